@@ -192,7 +192,7 @@ def retries(spark: SparkSession, folder: str) -> DataFrame:
 
 def report_of_orders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return batch_report(
-        doc_results(spark, folder), RUN, F.lit(WALL_MS), receipts(spark, folder)
+        doc_results(spark, folder), RUN, WALL_MS, receipts(spark, folder)
     )
 
 
@@ -284,7 +284,7 @@ UNION ALL SELECT 'ingest_run_stage_duration_seconds', '{{{_BASE},{_TAIL},"stage"
  WHERE section = 'duration' AND key <> 'duration_ms')""",
 )
 def metrics(spark: SparkSession, folder: str) -> DataFrame:
-    rows = metric_rows(*report_of_orders(spark, folder), backend_kind="local")
+    rows = metric_rows(*report_of_orders(spark, folder), RUN, backend_kind="local")
     return rows.withColumn("value", F.round("value", 6))
 
 

@@ -32,18 +32,17 @@ def parse(text: Column) -> Column:
         text.rlike(r"\d\.0"), F.regexp_replace(text, _INTEGRAL_FLOAT, f'$1"{_MARK}$2"')
     ).otherwise(text)
     pair = F.try_parse_json(F.concat(F.lit("["), marked, F.lit(f',"{_END}"]')))
-    whole = (F.try_variant_get(pair, "$[1]", "string") == _END) & F.try_variant_get(
-        pair, "$[2]", "variant"
-    ).isNull()
-    return F.when(whole, F.try_variant_get(pair, "$[0]", "variant"))
+    whole = F.filter(
+        F.array(F.try_variant_get(pair, "$", "array<variant>")),
+        lambda items: (F.size(items) == 2)
+        & (F.try_variant_get(F.get(items, F.lit(1)), "$", "string") == _END),
+    )
+    return F.get(F.get(whole, F.lit(0)), F.lit(0))
 
 
 def render(value: Column) -> Column:
     """Canonical JSON text of a variant."""
-    text = F.to_json(value)
-    return F.when(
-        text.contains(_MARK), F.regexp_replace(text, f'"{_MARK}(-?\\d+\\.0)0*"', "$1")
-    ).otherwise(text)
+    return F.regexp_replace(F.to_json(value), f'"{_MARK}(-?\\d+\\.0)0*"', "$1")
 
 
 def canonical(text: Column) -> Column:
@@ -98,26 +97,26 @@ def object_text(fields: Mapping[str, Column], omit_null: bool = False) -> Column
 
 
 def _at(value: Column, path: str) -> Column:
-    return F.try_variant_get(value, path, "variant")
+    return value if path == "$" else F.try_variant_get(value, path, "variant")
 
 
 def kind_at(value: Column, path: str = "$") -> Column:
-    """Type name at a path: OBJECT, ARRAY, STRING, BIGINT, BOOLEAN, VOID, ..."""
-    node = value if path == "$" else _at(value, path)
-    return F.regexp_extract(F.schema_of_variant(node), r"^([A-Z]+)", 1)
+    """Type name of a scalar at a path: STRING, BIGINT, BOOLEAN, VOID, ..."""
+    return F.regexp_extract(F.schema_of_variant(_at(value, path)), r"^([A-Z]+)", 1)
 
 
 def is_object(value: Column, path: str = "$") -> Column:
-    return F.coalesce(kind_at(value, path) == "OBJECT", F.lit(False))
+    return F.try_variant_get(value, path, "map<string,variant>").isNotNull()
 
 
 def is_list(value: Column, path: str = "$") -> Column:
-    return F.coalesce(kind_at(value, path) == "ARRAY", F.lit(False))
+    return F.try_variant_get(value, path, "array<variant>").isNotNull()
 
 
 def absent(value: Column, path: str) -> Column:
     """True for a missing field and for a JSON null."""
-    return F.coalesce(kind_at(value, path), F.lit("VOID")) == "VOID"
+    node = _at(value, path)
+    return node.isNull() | F.is_variant_null(node)
 
 
 def string_at(value: Column, path: str) -> Column:

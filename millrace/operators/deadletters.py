@@ -45,12 +45,8 @@ def build_dlq(run_meta: DataFrame, receipts: DataFrame, written_at: Column) -> D
     )
 
 
-def _scan_order() -> list[Column]:
-    """Oldest first; letters of the same second keep scan order: pending, then done, by name."""
-    return [F.col("mtime_s"), F.col("__origin"), F.col("name")]
-
-
 def _protected(scope: DataFrame, keep_last: int, per_destination: bool) -> DataFrame:
+    """The newest letters; those of one second go by scan order: pending, done, by name."""
     newest = [F.col("mtime_s").desc(), F.col("__origin"), F.col("name")]
     slim = scope.select("name", "__origin", "mtime_s", "destination")
     if per_destination:
@@ -63,46 +59,46 @@ def _protected(scope: DataFrame, keep_last: int, per_destination: bool) -> DataF
     return kept.select("name", "__origin", F.lit(True).alias("__kept"))
 
 
-def _cutoff(candidates: DataFrame, need: Column) -> Column:
+def _cutoff(candidates: DataFrame, need: int) -> tuple[int, int, str] | None:
     """Key of the last candidate taken when the oldest are freed until ``need`` bytes.
 
     The boundary is narrowed by day, by second and by name prefix before single
-    letters are summed, so each running sum covers a bounded number of rows.
+    letters are summed.  Each step is one aggregation whose result is one row,
+    and each running sum covers a bounded number of rows.
     """
 
-    def narrowed(df: DataFrame, level: str, budget: Column) -> Column:
+    def narrowed(df: DataFrame, level: str, budget: int) -> tuple[object, int] | None:
         before = Window.orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        sums = (
+        last = (
             df.groupBy(level)
             .agg(F.sum("size_bytes").alias("__n"))
             .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
             .filter(F.col("__before") < budget)
+            .agg(F.max(F.struct(F.col(level).alias("at"), (budget - F.col("__before")).alias("rest"))))
+            .first()[0]
         )
-        return sums.agg(
-            F.max(F.struct(F.col(level).alias("at"), (budget - F.col("__before")).alias("rest")))
-        ).scalar()
+        return None if last is None else (last["at"], last["rest"])
 
-    levels = candidates.select(
+    rows = candidates.select(
         F.floor(F.col("mtime_s") / DAY_SECONDS).alias("day"),
         F.col("mtime_s").alias("second"),
-        F.struct(
-            "__origin", F.substring("name", 1, NAME_PREFIX).alias("prefix")
-        ).alias("bucket"),
+        F.struct("__origin", F.substring("name", 1, NAME_PREFIX).alias("prefix")).alias("bucket"),
         "name",
         "size_bytes",
     )
-    day = narrowed(levels, "day", need)
-    in_day = levels.filter(F.col("day") == day["at"])
-    second = narrowed(in_day, "second", day["rest"])
-    in_second = in_day.filter(F.col("second") == second["at"])
-    bucket = narrowed(in_second, "bucket", second["rest"])
-    in_bucket = in_second.filter(F.col("bucket") == bucket["at"])
-    last = narrowed(in_bucket, "name", bucket["rest"])
-    return F.struct(
-        second["at"].alias("mtime_s"),
-        bucket["at"]["__origin"].alias("origin"),
-        last["at"].alias("name"),
+    day = narrowed(rows, "day", need)
+    if day is None:
+        return None
+    rows = rows.filter(F.col("day") == day[0])
+    second = narrowed(rows, "second", day[1])
+    rows = rows.filter(F.col("second") == second[0])
+    bucket = narrowed(rows, "bucket", second[1])
+    rows = rows.filter(
+        (F.col("bucket.__origin") == bucket[0]["__origin"])
+        & (F.col("bucket.prefix") == bucket[0]["prefix"])
     )
+    name = narrowed(rows, "name", bucket[1])
+    return second[0], bucket[0]["__origin"], name[0]
 
 
 def prune_dlq(
@@ -118,7 +114,8 @@ def prune_dlq(
 ) -> tuple[DataFrame, DataFrame]:
     """Letters with the decision on each, and one row of statistics.
 
-    Letters older than the age limit are selected, then the oldest others until
+    A size limit is settled by a few small jobs at once; everything else is
+    lazy.  Letters older than the age limit are selected, then the oldest others until
     the size limit holds; the newest ``keep_last`` are never selected.  ``apply``
     turns the state of selected letters to ``pruned``.
     """
@@ -149,20 +146,25 @@ def prune_dlq(
     else:
         over = F.sum("size_bytes") - limit_bytes
         freed = F.coalesce(F.sum(F.when(F.col("by_age"), F.col("size_bytes"))), F.lit(0))
-        need = aged.agg((over - freed).alias("need")).scalar()
+        need = aged.agg((over - freed).alias("need")).first()["need"]
         candidates = aged.filter(~F.col("protected") & ~F.col("by_age"))
-        cut = _cutoff(candidates.select("mtime_s", "__origin", "name", "size_bytes"), need)
-        key = F.struct(
-            F.col("mtime_s").alias("mtime_s"),
-            F.col("__origin").alias("origin"),
-            F.col("name").alias("name"),
-        )
-        decided = aged.withColumn(
-            "by_size",
-            ~F.col("protected")
-            & ~F.col("by_age")
-            & F.coalesce(key <= cut, F.lit(False)),
-        )
+        cut = None
+        if need is not None and need > 0:
+            cut = _cutoff(candidates.select("mtime_s", "__origin", "name", "size_bytes"), need)
+        if cut is None:
+            decided = aged.withColumn("by_size", F.lit(False))
+        else:
+            second, origin, name = (F.lit(v) for v in cut)
+            until = (F.col("mtime_s") < second) | (
+                (F.col("mtime_s") == second)
+                & (
+                    (F.col("__origin") < origin)
+                    | ((F.col("__origin") == origin) & (F.col("name") <= name))
+                )
+            )
+            decided = aged.withColumn(
+                "by_size", ~F.col("protected") & ~F.col("by_age") & until
+            )
     plan = decided.withColumn("selected", F.col("by_age") | F.col("by_size"))
     if apply:
         plan = plan.withColumn(

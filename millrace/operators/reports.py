@@ -21,16 +21,51 @@ OUTCOMES = ("success", "failed", "skipped_unsupported", "skipped_existing")
 DURATION_VALUES_PER_SLICE = 4096
 
 
+def _known_outcome() -> Column:
+    return F.col("outcome").isin("success", "skipped_unsupported", "skipped_existing")
+
+
+def _count_columns() -> dict[str, Column]:
+    return {
+        "total": F.count(F.lit(1)),
+        "success": F.count_if(F.col("outcome") == "success"),
+        "failed": F.count_if(~_known_outcome()),
+        "skipped_unsupported": F.count_if(F.col("outcome") == "skipped_unsupported"),
+        "skipped_existing": F.count_if(F.col("outcome") == "skipped_existing"),
+    }
+
+
+def _delivery_columns() -> dict[str, Column]:
+    ok, retry = F.col("ok"), F.col("failure_retryability")
+    return {
+        "total": F.count(ok),
+        "ok": F.count_if(ok),
+        "failed": F.count_if(~ok),
+        "failed_retryable": F.count_if(~ok & (retry == "retryable")),
+        "failed_non_retryable": F.count_if(~ok & (retry == "non_retryable")),
+        "failed_unknown": F.count_if(~ok & ~retry.isin("retryable", "non_retryable")),
+    }
+
+
+def _retry_columns() -> dict[str, Column]:
+    success, tried = F.col("outcome") == "success", F.col("outcome") != "skipped_existing"
+    extra = F.when(tried & (F.col("attempts") > 1), F.col("attempts") - 1).otherwise(0)
+    return {
+        "retry_attempts_total": F.coalesce(F.sum(extra), F.lit(0)),
+        "retried_success": F.count_if(success & (F.col("attempts") > 1)),
+        "retryable_failed": F.count_if(
+            ~_known_outcome() & F.coalesce("retryable", F.lit(False))
+        ),
+    }
+
+
+def _aggregated(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    return df.agg(*[c.alias(name) for name, c in columns.items()])
+
+
 def batch_counts(doc_results: DataFrame) -> DataFrame:
     """One row: documents in total and by outcome; an unknown outcome is a failure."""
-    known = F.col("outcome").isin("success", "skipped_unsupported", "skipped_existing")
-    return doc_results.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("outcome") == "success").alias("success"),
-        F.count_if(~known).alias("failed"),
-        F.count_if(F.col("outcome") == "skipped_unsupported").alias("skipped_unsupported"),
-        F.count_if(F.col("outcome") == "skipped_existing").alias("skipped_existing"),
-    )
+    return _aggregated(doc_results, _count_columns())
 
 
 def counts_by_extension(doc_results: DataFrame) -> DataFrame:
@@ -56,16 +91,7 @@ def counts_by_error_code(doc_results: DataFrame) -> DataFrame:
 
 def delivery_counts(doc_results: DataFrame) -> DataFrame:
     """One row: deliveries in total, by result and by retryability."""
-    delivered, ok = F.col("ok").isNotNull(), F.col("ok")
-    retry = F.col("failure_retryability")
-    return doc_results.filter(delivered).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(ok).alias("ok"),
-        F.count_if(~ok).alias("failed"),
-        F.count_if(~ok & (retry == "retryable")).alias("failed_retryable"),
-        F.count_if(~ok & (retry == "non_retryable")).alias("failed_non_retryable"),
-        F.count_if(~ok & ~retry.isin("retryable", "non_retryable")).alias("failed_unknown"),
-    )
+    return _aggregated(doc_results, _delivery_columns())
 
 
 def counts_by_destination(receipts: DataFrame) -> DataFrame:
@@ -163,103 +189,119 @@ def report_durations(doc_results: DataFrame) -> DataFrame:
 
 def retry_stats(doc_results: DataFrame) -> DataFrame:
     """One row: extra attempts, successes that needed them, failures worth a retry."""
-    success = F.col("outcome") == "success"
-    failed = ~F.col("outcome").isin("success", "skipped_unsupported", "skipped_existing")
-    tried = F.col("outcome") != "skipped_existing"
-    extra = F.when(tried & (F.col("attempts") > 1), F.col("attempts") - 1).otherwise(0)
-    return doc_results.agg(
-        F.coalesce(F.sum(extra), F.lit(0)).alias("retry_attempts_total"),
-        F.count_if(success & (F.col("attempts") > 1)).alias("retried_success"),
-        F.count_if(failed & F.coalesce("retryable", F.lit(False))).alias("retryable_failed"),
+    return _aggregated(doc_results, _retry_columns())
+
+
+def _entry(section: str, key: Column, subkey: Column, value: Column) -> Column:
+    return F.struct(
+        F.lit(section).alias("section"),
+        key.alias("key"),
+        subkey.cast("string").alias("subkey"),
+        value.cast("long").alias("value"),
+    )
+
+
+def _destination_entries(section: str) -> list[Column]:
+    there = F.when(F.col("ok").isNotNull(), F.col("destination"))
+    facts = {"total": F.lit(1), "ok": F.col("ok"), "failed": ~F.col("ok")}
+    return [_entry(section, there, F.lit(n), v) for n, v in facts.items()]
+
+
+def _summed(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
+    """Sum entries by section and key in one pass; entries without a key do not count."""
+    return (
+        df.select(F.explode(F.array(*entries)).alias("e"))
+        .select("e.*")
+        .filter(F.col("key").isNotNull())
+        .groupBy("section", "key", "subkey")
+        .agg(F.sum("value").alias("value"))
     )
 
 
 def batch_report(
     doc_results: DataFrame,
     run: Mapping[str, str],
-    wall_ms: Column,
+    wall_ms: int,
     children: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The report as one row, and its breakdowns as rows.
 
     ``run`` holds the constants of the run (run_id, pipeline_version, strategy,
-    executor, ...).  Breakdown rows are (section, key, subkey, value).
+    executor, ...).  Breakdown rows are (section, key, subkey, value).  The row
+    comes from one pass over the results, the counted breakdowns from another
+    and the durations from a third.
     """
-    counts = batch_counts(doc_results)
-    deliveries = delivery_counts(doc_results)
-    letters = doc_results.agg(F.count_if("dlq_written").alias("n"))
-    retries = retry_stats(doc_results)
-
-    def facts(df: DataFrame) -> Column:
-        return df.agg(F.max(F.struct(*df.columns))).scalar()
-
-    d, r = facts(deliveries), facts(retries)
-    report = counts.select(
+    docs = {f"docs_{n}": c for n, c in _count_columns().items()}
+    sent = {f"delivery_{n}": c for n, c in _delivery_columns().items()}
+    letters = {"dlq_written_total": F.count_if("dlq_written")}
+    total = F.col("docs_total")
+    report = _aggregated(doc_results, docs | sent | letters | _retry_columns()).select(
         *[F.lit(v).alias(k) for k, v in run.items()],
-        wall_ms.cast("long").alias("run_wall_ms"),
-        F.when(wall_ms > 0, F.col("total") / wall_ms * F.lit(60000.0)).alias("docs_per_min"),
-        F.col("total").alias("docs_total"),
-        F.col("success").alias("docs_success_total"),
-        F.col("failed").alias("docs_failed_total"),
-        (F.col("skipped_existing") + F.col("skipped_unsupported")).alias("docs_skipped_total"),
-        "skipped_existing",
-        "skipped_unsupported",
-        *[
-            d[c].alias("delivery_total" if c == "total" else f"delivery_{c}_total")
-            for c in deliveries.columns
+        F.lit(wall_ms).cast("long").alias("run_wall_ms"),
+        F.when(F.lit(wall_ms) > 0, total / F.lit(wall_ms) * F.lit(60000.0)).alias("docs_per_min"),
+        total,
+        F.col("docs_success").alias("docs_success_total"),
+        F.col("docs_failed").alias("docs_failed_total"),
+        (F.col("docs_skipped_existing") + F.col("docs_skipped_unsupported")).alias(
+            "docs_skipped_total"
+        ),
+        F.col("docs_skipped_existing").alias("skipped_existing"),
+        F.col("docs_skipped_unsupported").alias("skipped_unsupported"),
+        *[F.col(n).alias(n if n == "delivery_total" else f"{n}_total") for n in sent],
+        "dlq_written_total",
+        *_retry_columns(),
+    )
+    one, none = F.lit(1), F.lit(None)
+    unsuccessful = ~F.col("outcome").isin("success", "skipped_existing")
+    run_code = F.when(unsuccessful & (F.col("error_code") != ""), F.col("error_code"))
+
+    def shared(name: str) -> Column:
+        return F.when(~F.col(name).isin("not_failed", "unknown"), F.col(name))
+
+    kind = shared("shared_failure_kind")
+    breakdown = _summed(
+        doc_results,
+        [
+            _entry("extension", F.col("extension"), none, one),
+            _entry("error_code", run_code, none, one),
+            _entry("error_code", shared("shared_error_code"), none, one),
+            *_destination_entries("destination"),
+            _entry("failure_kind", F.when(kind.isNotNull(), F.col("destination")), kind, one),
         ],
-        letters.scalar().alias("dlq_written_total"),
-        *[r[c].alias(c) for c in retries.columns],
     )
-
-    def rows(df: DataFrame, section: str, key: str, subkey: Column, value: str) -> DataFrame:
-        return df.select(
-            F.lit(section).alias("section"),
-            F.col(key).alias("key"),
-            subkey.cast("string").alias("subkey"),
-            F.col(value).cast("long").alias("value"),
-        )
-
-    def unpivoted(df: DataFrame, section: str, key: str, names: Sequence[str]) -> DataFrame:
-        pairs = F.array(
-            *[F.struct(F.lit(n).alias("n"), F.col(n).cast("long").alias("v")) for n in names]
+    if children is not None:
+        reported = F.when(~F.col("ok") & (F.col("failure_kind") != ""), F.col("failure_kind"))
+        below = _summed(
+            children,
+            [
+                *_destination_entries("fanout_child"),
+                _entry(
+                    "failure_kind",
+                    F.when(reported.isNotNull(), F.col("destination")),
+                    reported,
+                    one,
+                ),
+            ],
         )
-        return (
-            df.select(key, F.explode(pairs).alias("p"))
-            .select(F.col(key).alias("key"), F.col("p.n").alias("n"), F.col("p.v").alias("v"))
-            .select(
-                F.lit(section).alias("section"),
-                "key",
-                F.col("n").alias("subkey"),
-                F.col("v").alias("value"),
-            )
+        breakdown = (
+            breakdown.unionByName(below)
+            .groupBy("section", "key", "subkey")
+            .agg(F.sum("value").alias("value"))
         )
-
-    none = F.lit(None)
-    trio = ["total", "ok", "failed"]
-    parts = [
-        rows(counts_by_extension(doc_results), "extension", "extension", none, "docs"),
-        rows(counts_by_error_code(doc_results), "error_code", "error_code", none, "docs"),
-        unpivoted(counts_by_destination(doc_results), "destination", "destination", trio),
-        rows(
-            failure_kinds_by_destination(doc_results, children),
-            "failure_kind",
-            "destination",
-            F.col("failure_kind"),
-            "failures",
-        ),
-        unpivoted(
-            report_durations(doc_results), "duration", "stat_of", ["min", "max", "avg", "p95"]
-        ),
-    ]
-    if children is not None:
-        parts.append(
-            unpivoted(counts_by_destination(children), "fanout_child", "destination", trio)
+    stats = F.array(
+        *[F.struct(F.lit(n).alias("n"), F.col(n).alias("v")) for n in ("min", "max", "avg", "p95")]
+    )
+    timed = (
+        report_durations(doc_results)
+        .select("stat_of", F.explode(stats).alias("p"))
+        .select(
+            F.lit("duration").alias("section"),
+            F.col("stat_of").alias("key"),
+            F.col("p.n").alias("subkey"),
+            F.col("p.v").alias("value"),
         )
-    breakdown = parts[0]
-    for part in parts[1:]:
-        breakdown = breakdown.unionByName(part)
-    return report, breakdown
+    )
+    return report, breakdown.unionByName(timed)
 
 
 GAUGES = (
@@ -278,18 +320,20 @@ GAUGES = (
 
 
 def metric_rows(
-    report: DataFrame, breakdown: DataFrame, backend_kind: str = "unknown", prefix: str = "ingest"
+    report: DataFrame,
+    breakdown: DataFrame,
+    run: Mapping[str, str],
+    backend_kind: str = "unknown",
+    prefix: str = "ingest",
 ) -> DataFrame:
     """Gauge samples (name, labels as JSON text, value) of a batch report.
 
     Times are in seconds, and destinations without an ok or a failed delivery
     have no such sample.
     """
-    base = {
-        "pipeline_version": J.quote(F.col("pipeline_version")),
-        "strategy": J.quote(F.col("strategy")),
-        "executor": J.quote(F.col("executor")),
-        "backend_kind": J.quote(F.lit(backend_kind)),
+    shown = ("pipeline_version", "strategy", "executor")
+    base = {n: J.quote(F.lit(run[n])) for n in shown} | {
+        "backend_kind": J.quote(F.lit(backend_kind))
     }
     head = f"{prefix}_run_"
 
@@ -303,15 +347,13 @@ def metric_rows(
         sample("docs_per_minute", F.col("docs_per_min")),
         *[sample(g, F.col(g)) for g in GAUGES],
     ]
-    labelled = report.withColumn("__labels", J.object_text(base))
     totals = (
-        labelled.select("__labels", F.explode(F.array(*samples)).alias("s"))
+        report.select(F.explode(F.array(*samples)).alias("s"))
         .filter(F.col("s.value").isNotNull())
-        .select("s.name", F.col("__labels").alias("labels"), "s.value")
+        .select("s.name", J.object_text(base).alias("labels"), "s.value")
     )
-    constants = report.select("pipeline_version", "strategy", "executor")
-    run = constants.agg(F.max(F.struct(*constants.columns))).scalar()
-    section, stage = F.col("section"), F.regexp_replace("key", "_ms$", "")
+    section = F.col("section")
+    stage = F.regexp_replace("key", "_ms$", "")
     by_destination = section == "destination"
     timed = section == "duration"
     staged = timed & (F.col("key") != "duration_ms")
@@ -323,9 +365,8 @@ def metric_rows(
         .when(timed, head + "doc_duration_seconds")
     )
     labels = J.object_text(
-        {n: J.quote(run[n]) for n in ("pipeline_version", "strategy", "executor")}
+        base
         | {
-            "backend_kind": J.quote(F.lit(backend_kind)),
             "destination": F.when(~timed, J.quote(F.col("key"))),
             "failure_kind": F.when(section == "failure_kind", J.quote(F.col("subkey"))),
             "stage": F.when(staged, J.quote(stage)),
@@ -333,20 +374,11 @@ def metric_rows(
         },
         omit_null=True,
     )
-    details = breakdown.select(
-        name.alias("name"),
-        labels.alias("labels"),
-        F.when(timed, F.col("value") / F.lit(1000.0))
-        .otherwise(F.col("value"))
-        .cast("double")
-        .alias("value"),
-        by_destination.alias("__counter"),
-    ).filter(
-        F.col("name").isNotNull()
-        & F.col("value").isNotNull()
-        & (~F.col("__counter") | (F.col("value") > 0))
-    )
-    return totals.unionByName(details.drop("__counter"))
+    seconds = F.when(timed, F.col("value") / F.lit(1000.0)).otherwise(F.col("value"))
+    details = breakdown.filter(
+        F.col("value").isNotNull() & (~by_destination | (F.col("value") > 0))
+    ).select(name.alias("name"), labels.alias("labels"), seconds.cast("double").alias("value"))
+    return totals.unionByName(details.filter(F.col("name").isNotNull()))
 
 
 def usage_records(tasks: DataFrame, run_meta: DataFrame, receipts: DataFrame) -> DataFrame:
