@@ -102,7 +102,7 @@ def _at(value: Column, path: str) -> Column:
 
 def kind_at(value: Column, path: str = "$") -> Column:
     """Type name of a scalar at a path: STRING, BIGINT, BOOLEAN, VOID, ..."""
-    return F.regexp_extract(F.schema_of_variant(_at(value, path)), r"^([A-Z]+)", 1)
+    return F.schema_of_variant(_at(value, path))
 
 
 def is_object(value: Column, path: str = "$") -> Column:

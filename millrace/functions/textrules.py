@@ -11,10 +11,7 @@ LINE_BREAK = "\\r\\n|[\\n\\r\\x0B\\x0C\\x1C\\x1D\\x1E\\x85\\u2028\\u2029]"
 
 def lines_of(text: Column) -> Column:
     """Lines of a text; a final line break does not open another line."""
-    lines = F.split(text, LINE_BREAK)
-    return F.when(
-        F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1)
-    ).otherwise(lines)
+    return F.split(F.regexp_replace(text, f"(?:{LINE_BREAK})\\z", ""), LINE_BREAK)
 
 
 def base_name(path: Column) -> Column:

@@ -317,48 +317,61 @@ def denylist_scan(
                 F.lit(t.severity).alias("severity"),
                 F.lit(t.reason).alias("reason"),
                 _literal_array(t.blocked_in).alias("blocked_in"),
-                _literal_array(FALSE_POSITIVES.get(t.term, ())).alias("excuses"),
             )
             for t in terms
         ]
     )
-    any_term = "|".join(re.escape(t.term.lower()) for t in terms)
-    candidates = docs.filter(F.lower(text).rlike(any_term))
-    negatives = _literal_array(NEGATIVE_MARKERS)
+    needles = [t.term.lower() for t in terms]
+    excused = {t.term: FALSE_POSITIVES[t.term] for t in terms if t.term in FALSE_POSITIVES}
 
-    def line_hits(line: Column, i: Column) -> Column:
-        lowered = F.lower(line)
+    def wording(lowered: Column) -> Column:
+        """What a line says that matters to its neighbours; no marker spans lines."""
+        excuses = [
+            _any_of(lowered, options, "contains").alias(name) for name, options in excused.items()
+        ]
+        negative = _any_of(lowered, NEGATIVE_MARKERS, "contains")
+        return F.struct(negative.alias("negative"), *excuses)
+
+    def line_hits(lowered: Column, i: Column) -> Column:
+        """Terms on a line with what is said around it; lines without a term are left early."""
         start = F.greatest(i - LINES_BEFORE, F.lit(0))
-        near = F.lower(
-            F.array_join(
-                F.slice(F.col("__lines"), start + 1, i - start + 1 + LINES_AFTER), "\n"
-            )
-        )
+        near = F.slice(F.col("__wording"), start + 1, i - start + 1 + LINES_AFTER)
         found = F.filter(entries, lambda t: lowered.contains(t["needle"]))
-        real = F.filter(found, lambda t: ~F.exists(t["excuses"], lambda x: near.contains(x)))
-        return F.transform(
-            real,
-            lambda t: F.struct(
-                (i + 1).alias("line"),
-                t["term"].alias("term"),
-                t["category"].alias("category"),
-                t["severity"].alias("severity"),
-                t["reason"].alias("reason"),
-                t["blocked_in"].alias("blocked_in"),
-                F.exists(negatives, lambda n: near.contains(n)).alias("negative"),
-                F.trim(line).alias("text"),
+
+        def excuse(term: Column) -> Column:
+            hit = F.lit(False)
+            for name in excused:
+                hit = hit | ((term == name) & F.exists(near, lambda w, n=name: w[n]))
+            return hit
+
+        return F.when(
+            _any_of(lowered, needles, "contains"),
+            F.transform(
+                found,
+                lambda t: F.struct(
+                    (i + 1).alias("line"),
+                    t["term"].alias("term"),
+                    t["category"].alias("category"),
+                    t["severity"].alias("severity"),
+                    t["reason"].alias("reason"),
+                    t["blocked_in"].alias("blocked_in"),
+                    F.exists(near, lambda w: w["negative"]).alias("negative"),
+                    excuse(t["term"]).alias("excused"),
+                    F.trim(F.get(F.col("__lines"), i)).alias("text"),
+                ),
             ),
-        )
+        ).otherwise(F.array())
 
-    hits = (
-        candidates.withColumn("__lines", textrules.lines_of(F.col(text)))
-        .withColumn("context_kind", context_kind(F.col(path), rules or ContextRules()))
-        .select(
-            F.col(path).alias("path"),
-            "context_kind",
-            F.explode(F.flatten(F.transform("__lines", line_hits))).alias("h"),
-        )
+    listed = (
+        docs.withColumn("__lines", textrules.lines_of(F.col(text)))
+        .withColumn("__lowered", F.transform("__lines", F.lower))
+        .withColumn("__wording", F.transform("__lowered", wording))
     )
+    hits = listed.select(
+        F.col(path).alias("path"),
+        context_kind(F.col(path), rules or ContextRules()).alias("context_kind"),
+        F.explode(F.flatten(F.transform("__lowered", line_hits))).alias("h"),
+    ).filter(~F.col("h.excused"))
     kind = F.col("context_kind")
     blocked = F.lit(False)
     for name, contexts in BLOCKED_CONTEXTS.items():
@@ -465,32 +478,34 @@ def import_scan(
             for p in r.forbidden_patterns
         ]
     )
-    any_pattern = "|".join(re.escape(p.lower()) for r in rules for p in r.forbidden_patterns)
-
-    def line_hits(line: Column, i: Column) -> Column:
-        lowered = F.lower(line)
-        return F.transform(
-            F.filter(entries, lambda t: lowered.contains(t["needle"])),
-            lambda t: F.struct(
-                (i + 1).alias("line"),
-                t["pattern"].alias("pattern"),
-                t["rule_id"].alias("rule_id"),
-                t["severity"].alias("severity"),
-                t["reason"].alias("reason"),
-                _any_of(lowered, IMPORT_MARKERS, "contains").alias("imports"),
-                _any_of(lowered, BOUNDARY_NOTES, "contains").alias("note"),
-                F.trim(line).alias("text"),
+    needles = [p.lower() for r in rules for p in r.forbidden_patterns]
+
+    def line_hits(lowered: Column, i: Column) -> Column:
+        return F.when(
+            _any_of(lowered, needles, "contains"),
+            F.transform(
+                F.filter(entries, lambda t: lowered.contains(t["needle"])),
+                lambda t: F.struct(
+                    (i + 1).alias("line"),
+                    t["pattern"].alias("pattern"),
+                    t["rule_id"].alias("rule_id"),
+                    t["severity"].alias("severity"),
+                    t["reason"].alias("reason"),
+                    _any_of(lowered, IMPORT_MARKERS, "contains").alias("imports"),
+                    _any_of(lowered, BOUNDARY_NOTES, "contains").alias("note"),
+                    F.trim(F.get(F.col("__lines"), i)).alias("text"),
+                ),
             ),
-        )
+        ).otherwise(F.array())
 
     hits = (
-        docs.filter(F.lower(text).rlike(any_pattern))
-        .withColumn("__kind", file_kind)
+        docs.withColumn("__kind", file_kind)
         .withColumn("__lines", textrules.lines_of(F.col(text)))
+        .withColumn("__lowered", F.transform("__lines", F.lower))
         .select(
             F.col(path).alias("path"),
             "__kind",
-            F.explode(F.flatten(F.transform("__lines", line_hits))).alias("h"),
+            F.explode(F.flatten(F.transform("__lowered", line_hits))).alias("h"),
         )
     )
     kind = F.col("__kind")

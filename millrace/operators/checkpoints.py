@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import identity, ordering
 from millrace.functions import jsontext as J
+from millrace.functions.binding import evaluate_once
 
 SCHEMA_VERSION = 1
 PROGRESS_KINDS = ("cursor_v1", "token_v1", "page_v1", "state_dict_v1")
@@ -220,24 +221,30 @@ def checkpoint_compat(df: DataFrame, text: str) -> DataFrame:
             )
         ),
     )
+    headed = evaluate_once(
+        df.withColumn("__c", J.parse(F.col(text))),
+        [*df.columns, "__c"],
+        {"schema_version": F.when(J.is_object(c), version), "__flow": flow},
+    ).withColumn("flow_kind", F.when(F.col("schema_version").isNotNull(), F.col("__flow")))
+    wrong = F.coalesce(malformed, unsupported)
+    checked = evaluate_once(
+        headed,
+        [*df.columns, "schema_version", "flow_kind"],
+        {
+            "__malformed": malformed,
+            "__unsupported": F.when(malformed.isNull(), unsupported),
+            "__shape": F.when(wrong.isNull(), shape),
+        },
+    )
     return (
-        df.withColumn("__c", J.parse(F.col(text)))
-        .withColumn("schema_version", F.when(J.is_object(c), version))
-        .withColumn("flow_kind", F.when(F.col("schema_version").isNotNull(), flow))
-        .withColumn("__malformed", malformed)
-        .withColumn("__unsupported", F.when(F.col("__malformed").isNull(), unsupported))
-        .withColumn(
-            "__shape",
-            F.when(F.col("__malformed").isNull() & F.col("__unsupported").isNull(), shape),
-        )
-        .withColumn(
+        checked.withColumn(
             "status",
             F.when(F.col("__malformed").isNotNull() | F.col("__shape").isNotNull(), "malformed")
             .when(F.col("__unsupported").isNotNull(), "unsupported")
             .otherwise("supported"),
         )
         .withColumn("reason", F.coalesce("__malformed", "__unsupported", "__shape"))
-        .drop("__c", "__malformed", "__unsupported", "__shape")
+        .drop("__malformed", "__unsupported", "__shape")
     )
 
 
@@ -334,16 +341,26 @@ def select_resume(
         .when(kind != "cursor_v1", "unsupported_progress_kind")
     )
     pairs = [F.lit(x) for pair in ISSUE_STATUS.items() for x in pair]
-    return joined.withColumn("issue_code", issue).select(
+    mode = F.when(F.col("wanted_checkpoint_key").isNull(), "latest_checkpoint").otherwise(
+        "explicit_checkpoint_identity"
+    )
+    judged = evaluate_once(
+        joined,
+        [request, ref, "task_identity_key", "stream", "__entry"],
+        {
+            "mode": mode,
+            "exclusive_after_cursor": F.when(kind == "cursor_v1", cursor),
+            "issue_code": issue,
+        },
+    )
+    return judged.select(
         request,
         ref,
-        F.when(F.col("wanted_checkpoint_key").isNull(), "latest_checkpoint")
-        .otherwise("explicit_checkpoint_identity")
-        .alias("mode"),
-        F.col("task_identity_key"),
-        F.col("stream"),
+        "mode",
+        "task_identity_key",
+        "stream",
         *[F.col(f"__entry.{f}").alias(f) for f in fields[:4]],
-        F.when((kind == "cursor_v1"), cursor).alias("exclusive_after_cursor"),
+        "exclusive_after_cursor",
         "issue_code",
         F.try_element_at(F.create_map(*pairs), F.col("issue_code")).alias("issue_status"),
     )

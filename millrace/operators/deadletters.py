@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import identity, textrules
 from millrace.functions import jsontext as J
+from millrace.functions.binding import evaluate_once, let
 from millrace.operators.checkpoints import EXECUTION_MODES, RUN_ORIGINS
 from millrace.operators.metadata import with_fields
 
@@ -210,23 +211,26 @@ def prune_dlq(
 
 def replay_run_meta(run_meta: Column) -> Column:
     """Run metadata whose provenance says that this delivery is a replay."""
-    parsed = J.parse(run_meta)
-    at = "$.provenance"
 
-    def kept(name: str, allowed: Sequence[str] | None = None) -> Column:
-        value = J.string_at(parsed, f"{at}.{name}")
-        return J.quote(value) if allowed is None else J.quote(F.when(value.isin(*allowed), value))
+    def provenance(parsed: Column) -> Column:
+        def kept(name: str, allowed: Sequence[str] | None = None) -> Column:
+            value = J.string_at(parsed, f"$.provenance.{name}")
+            known = value if allowed is None else F.when(value.isin(*allowed), value)
+            return F.when(known.isNotNull(), J.quote(known))
+
+        return J.object_text(
+            {
+                "run_origin": kept("run_origin", RUN_ORIGINS),
+                "delivery_origin": F.lit('"replay"'),
+                "execution_mode": kept("execution_mode", EXECUTION_MODES),
+                "task_id": kept("task_id"),
+                "checkpoint_identity_key": kept("checkpoint_identity_key"),
+                "task_identity_key": kept("task_identity_key"),
+            },
+            omit_null=True,
+        )
 
-    fields = {
-        "run_origin": kept("run_origin", RUN_ORIGINS),
-        "delivery_origin": F.lit('"replay"'),
-        "execution_mode": kept("execution_mode", EXECUTION_MODES),
-        "task_id": kept("task_id"),
-        "checkpoint_identity_key": kept("checkpoint_identity_key"),
-        "task_identity_key": kept("task_identity_key"),
-    }
-    present = {n: F.when(text != "null", text) for n, text in fields.items()}
-    return with_fields(run_meta, {"provenance": J.object_text(present, omit_null=True)})
+    return with_fields(run_meta, {"provenance": let(J.parse(run_meta), provenance)})
 
 
 def replay_select(dlq: DataFrame, limit: int | None = None) -> DataFrame:
@@ -239,13 +243,15 @@ def replay_select(dlq: DataFrame, limit: int | None = None) -> DataFrame:
     taken = pending if limit is None else pending.orderBy("name").limit(limit)
     meta_ok = F.coalesce(J.is_object(J.parse(F.col("run_meta"))), F.lit(False))
     valid = F.col("sha256").isNotNull() & F.col("run_id").isNotNull() & meta_ok
-    return (
-        taken.withColumn("valid", valid)
-        .withColumn("run_meta", F.when(F.col("valid"), replay_run_meta(F.col("run_meta"))))
-        .withColumn(
-            "delivery_identity",
-            F.when(F.col("valid"), identity.delivery_key(F.col("sha256"), F.col("run_id"))),
-        )
+    judged = evaluate_once(taken, taken.columns, {"valid": valid})
+    rewritten = evaluate_once(
+        judged,
+        [c for c in judged.columns if c != "run_meta"],
+        {"run_meta": F.when(F.col("valid"), replay_run_meta(F.col("run_meta")))},
+    )
+    return rewritten.withColumn(
+        "delivery_identity",
+        F.when(F.col("valid"), identity.delivery_key(F.col("sha256"), F.col("run_id"))),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import jsontext as J
+from millrace.functions.binding import evaluate_once
 
 # Texts read as a boolean.
 TRUE_TEXTS = ("true", "t", "yes", "y", "on", "1")
@@ -78,11 +79,13 @@ def normalize_metadata(elements: DataFrame, metadata: str = "metadata") -> DataF
     has_box = J.is_object(m, "$.coordinates")
     box = F.col("bbox")
     box_text = F.when(box.isNotNull(), F.to_json(box))
+    read = evaluate_once(
+        elements.withColumn("__m", F.try_parse_json(metadata)),
+        [*elements.columns, "__m"],
+        {"is_extracted": extracted, "bbox": F.when(has_box, bbox_of(points))},
+    )
     return (
-        elements.withColumn("__m", F.try_parse_json(metadata))
-        .withColumn("is_extracted", extracted)
-        .withColumn("bbox", F.when(has_box, bbox_of(points)))
-        .withColumn(
+        read.withColumn(
             "metadata_warnings",
             F.filter(
                 F.array(

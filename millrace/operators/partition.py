@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import textrules
+from millrace.functions.binding import let
 
 TITLE_MAX_CHARS = 80
 LIST_MARK = r"^(?:[-*•‣▪–]|\d{1,3}[.)])\s+\S"
@@ -69,19 +70,24 @@ def decode_entities(text: Column) -> Column:
 
         return step
 
-    decimal = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(0*[1-9]\d{0,5});"), F.lit(1)))
-    step_one = F.when(
-        text.contains("&#"), F.aggregate(decimal, text, replace_code(10, "&#"))
-    ).otherwise(text)
-    hexes = F.array_distinct(
-        F.regexp_extract_all(step_one, F.lit(r"&#x(0*[1-9A-Fa-f][0-9A-Fa-f]{0,4});"), F.lit(1))
-    )
-    out = F.when(
-        text.contains("&#x"), F.aggregate(hexes, step_one, replace_code(16, "&#x"))
-    ).otherwise(step_one)
-    for name, char in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    def numeric(base: int, mark: str, pattern: str) -> Callable[[Column], Column]:
+        def step(current: Column) -> Column:
+            codes = F.array_distinct(F.regexp_extract_all(current, F.lit(pattern), F.lit(1)))
+            return F.when(
+                current.contains(mark), F.aggregate(codes, current, replace_code(base, mark))
+            ).otherwise(current)
+
+        return step
+
+    def named(current: Column) -> Column:
+        out = current
+        for name, char in ENTITIES.items():
+            out = F.replace(out, F.lit(name), F.lit(char))
+        return F.when(current.contains("&"), out).otherwise(current)
+
+    plain = let(text, numeric(10, "&#", r"&#(0*[1-9]\d{0,5});"))
+    plain = let(plain, numeric(16, "&#x", r"&#x(0*[1-9A-Fa-f][0-9A-Fa-f]{0,4});"))
+    return let(plain, named)
 
 
 def html_text(html: Column) -> Column:
@@ -108,17 +114,19 @@ def html_elements(html: Column) -> Column:
     def clean(line: Column) -> Column:
         return F.regexp_replace(line, f"^[\\s {_TITLE}{_ITEM}]+|[\\s ]+$", "")
 
-    def element(line: Column) -> Column:
-        body = clean(line)
+    def cleaned(line: Column) -> Column:
+        return F.struct(clean(line).alias("text"), line.alias("line"))
+
+    def element(c: Column) -> Column:
         kind = (
-            F.when(line.contains(_TITLE), "Title")
-            .when(line.contains(_ITEM), "ListItem")
-            .otherwise(F.when(body.rlike(LIST_MARK), "ListItem").otherwise("NarrativeText"))
+            F.when(c["line"].contains(_TITLE), "Title")
+            .when(c["line"].contains(_ITEM) | c["text"].rlike(LIST_MARK), "ListItem")
+            .otherwise("NarrativeText")
         )
-        return F.struct(kind.alias("type"), body.alias("text"))
+        return F.struct(kind.alias("type"), c["text"].alias("text"))
 
-    elements = F.transform(F.split(html_text(html), "\n"), element)
-    return F.filter(elements, lambda e: e["text"] != "")
+    lines = F.transform(F.split(html_text(html), "\n"), cleaned)
+    return F.transform(F.filter(lines, lambda c: c["text"] != ""), element)
 
 
 def md_elements(text: Column) -> Column:

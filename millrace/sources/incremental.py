@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import jsontext as J
 from millrace.functions import ordering
+from millrace.functions.binding import evaluate_once
 from millrace.sources.normalize import json_value, normalize_values
 from millrace.sources.tables import RecordTables
 
@@ -165,8 +166,11 @@ def read_offsets(
         df.select(*keys, F.col(offset).alias("offset"), text.alias("__value"))
         .filter(start.isNull() | (F.col("offset") > start))
         .withColumn("__v", J.parse(F.col("__value")))
-        .withColumn("data", F.when(J.is_object(F.col("__v")), J.render(F.col("__v"))))
-        .drop("__v", "__value")
+    )
+    rows = evaluate_once(
+        rows,
+        [*keys, "offset"],
+        {"data": F.when(J.is_object(F.col("__v")), J.render(F.col("__v")))},
     )
     slice_by = F.floor(F.col("offset") / offsets_per_slice)
     indexed = ordering.group_index(rows, keys, ["offset"], "record_index", slice_by)

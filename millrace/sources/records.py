@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import jsontext as J
 from millrace.functions import ordering
+from millrace.functions.binding import evaluate_once
 from millrace.sources.tables import RecordTables
 
 PAGES_PER_SLICE = 1024
@@ -18,15 +19,13 @@ def _first_problem(items: Column) -> Column:
     return F.get(F.filter(items, lambda p: p.isNotNull()), F.lit(0))
 
 
-def _message(m: Column) -> Column:
-    kind = J.string_at(m, "$.type")
-    body = F.when(kind == "RECORD", "record").when(kind == "STATE", "state").when(
-        kind == "LOG", "log"
-    )
+def _message(typed: Column) -> Column:
+    kind, m = typed["kind"], typed["m"]
     data_path = {"RECORD": "$.record.data", "STATE": "$.state.data"}
+    known = F.coalesce(kind.isin("RECORD", "STATE", "LOG"), F.lit(False))
     problem = (
         F.when(~J.is_object(m), "message_not_an_object")
-        .when(body.isNull(), "unsupported_message_type")
+        .when(~known, "unsupported_message_type")
         .when((kind == "RECORD") & ~J.is_object(m, "$.record"), "record_not_an_object")
         .when(
             (kind == "RECORD") & J.filled_string_at(m, "$.record.stream").isNull(),
@@ -56,13 +55,13 @@ def _message(m: Column) -> Column:
     return F.struct(
         kind.alias("kind"),
         problem.alias("problem"),
-        J.string_at(m, "$.record.stream").alias("stream"),
+        F.when(kind == "RECORD", J.string_at(m, "$.record.stream")).alias("stream"),
         F.when(kind == "RECORD", J.text_at(m, data_path["RECORD"]))
         .when(kind == "STATE", J.text_at(m, data_path["STATE"]))
         .alias("data"),
-        J.string_at(m, "$.record.emitted_at").alias("emitted_at"),
-        J.string_at(m, "$.log.level").alias("level"),
-        J.string_at(m, "$.log.message").alias("message"),
+        F.when(kind == "RECORD", J.string_at(m, "$.record.emitted_at")).alias("emitted_at"),
+        F.when(kind == "LOG", J.string_at(m, "$.log.level")).alias("level"),
+        F.when(kind == "LOG", J.string_at(m, "$.log.message")).alias("message"),
     )
 
 
@@ -73,33 +72,39 @@ def read_messages(df: DataFrame, key: str, text: str) -> RecordTables:
     shuffle is needed.  Any bad message rejects its whole document, as does a
     second record stream.
     """
-    root = J.parse(F.col(text))
-    parsed = (
-        df.select(F.col(key), root.alias("__root"))
+    def typed(m: Column) -> Column:
+        return F.struct(J.string_at(m, "$.type").alias("kind"), m.alias("m"))
+
+    listed = (
+        df.select(F.col(key), J.parse(F.col(text)).alias("__root"))
         .withColumn("__list", J.list_at(F.col("__root"), "$.messages"))
-        .withColumn("__m", F.transform("__list", _message))
+        .withColumn("__m", F.transform(F.transform("__list", typed), _message))
         .withColumn("__records", F.filter("__m", lambda m: m["kind"] == "RECORD"))
-        .withColumn("stream", F.get(F.col("__records"), F.lit(0))["stream"])
-        .withColumn(
-            "problem",
-            F.when(F.col("__root").isNull(), "malformed_json")
-            .when(~J.is_object(F.col("__root")), "document_not_an_object")
-            .when(F.col("__list").isNull(), "messages_not_a_list")
-            .otherwise(
-                F.coalesce(
-                    _first_problem(F.transform("__m", lambda m: m["problem"])),
-                    F.when(
-                        F.exists("__records", lambda m: m["stream"] != F.col("stream")),
-                        "more_than_one_stream",
-                    ),
-                )
-            ),
+        .withColumn("__stream", F.get(F.col("__records"), F.lit(0))["stream"])
+    )
+    problem = (
+        F.when(F.col("__root").isNull(), "malformed_json")
+        .when(~J.is_object(F.col("__root")), "document_not_an_object")
+        .when(F.col("__list").isNull(), "messages_not_a_list")
+        .otherwise(
+            F.coalesce(
+                _first_problem(F.transform("__m", lambda m: m["problem"])),
+                F.when(
+                    F.exists("__records", lambda m: m["stream"] != F.col("__stream")),
+                    "more_than_one_stream",
+                ),
+            )
         )
     )
+    parsed = evaluate_once(
+        listed,
+        [key],
+        {"stream": F.col("__stream"), "problem": problem, "__messages": F.col("__m")},
+    )
     good = parsed.filter(F.col("problem").isNull())
 
     def numbered(kind: str, index: str) -> DataFrame:
-        picked = F.filter("__m", lambda m: m["kind"] == kind)
+        picked = F.filter("__messages", lambda m: m["kind"] == kind)
         return good.select(key, "stream", F.posexplode(picked).alias(index, "m"))
 
     return RecordTables(
@@ -132,19 +137,23 @@ def read_record_list(df: DataFrame, key: str, text: str) -> RecordTables:
             J.string_at(r, "$.emitted_at").alias("emitted_at"),
         )
 
-    parsed = (
+    listed = (
         df.select(F.col(key), J.parse(F.col(text)).alias("__root"))
         .withColumn("__list", J.list_at(F.col("__root"), "$.records"))
-        .withColumn("__r", F.transform("__list", record))
-        .withColumn("stream", J.filled_string_at(F.col("__root"), "$.stream"))
-        .withColumn(
-            "problem",
-            F.when(F.col("__root").isNull(), "malformed_json")
-            .when(~J.is_object(F.col("__root")), "document_not_an_object")
-            .when(F.col("stream").isNull(), "stream_not_a_filled_string")
-            .when(F.col("__list").isNull(), "records_not_a_list")
-            .otherwise(_first_problem(F.transform("__r", lambda r: r["problem"]))),
-        )
+        .withColumn("__read", F.transform("__list", record))
+        .withColumn("__stream", J.filled_string_at(F.col("__root"), "$.stream"))
+    )
+    problem = (
+        F.when(F.col("__root").isNull(), "malformed_json")
+        .when(~J.is_object(F.col("__root")), "document_not_an_object")
+        .when(F.col("__stream").isNull(), "stream_not_a_filled_string")
+        .when(F.col("__list").isNull(), "records_not_a_list")
+        .otherwise(_first_problem(F.transform("__read", lambda r: r["problem"])))
+    )
+    parsed = evaluate_once(
+        listed,
+        [key],
+        {"stream": F.col("__stream"), "problem": problem, "__r": F.col("__read")},
     )
     good = parsed.filter(F.col("problem").isNull())
     spark = df.sparkSession
@@ -178,24 +187,31 @@ def read_paged(
     rejects its whole source.
     """
     at = [*keys, stream]
-    record_list = J.list_at(F.col("__b"), "$.records")
-    parsed = (
+    listed = (
         pages.select(*at, page_number, source_url, J.parse(F.col(body)).alias("__b"))
-        .withColumn("__list", record_list)
-        .withColumn("next_cursor", J.filled_string_at(F.col("__b"), "$.next_cursor"))
-        .withColumn("record_count", F.coalesce(F.size("__list"), F.lit(0)))
-        .withColumn(
-            "problem",
-            F.when(F.col("__b").isNull(), "malformed_json")
-            .when(~J.is_object(F.col("__b")), "response_not_an_object")
-            .when(F.col("__list").isNull(), "records_not_a_list")
-            .when(F.exists("__list", lambda r: ~J.is_object(r)), "record_not_an_object")
-            .when(
-                ~J.absent(F.col("__b"), "$.next_cursor") & F.col("next_cursor").isNull(),
-                "next_cursor_not_a_filled_string",
-            ),
+        .withColumn("__items", J.list_at(F.col("__b"), "$.records"))
+        .withColumn("__next", J.filled_string_at(F.col("__b"), "$.next_cursor"))
+    )
+    problem = (
+        F.when(F.col("__b").isNull(), "malformed_json")
+        .when(~J.is_object(F.col("__b")), "response_not_an_object")
+        .when(F.col("__items").isNull(), "records_not_a_list")
+        .when(F.exists("__items", lambda r: ~J.is_object(r)), "record_not_an_object")
+        .when(
+            ~J.absent(F.col("__b"), "$.next_cursor") & F.col("__next").isNull(),
+            "next_cursor_not_a_filled_string",
         )
     )
+    parsed = evaluate_once(
+        listed,
+        [*at, page_number, source_url],
+        {
+            "next_cursor": F.col("__next"),
+            "record_count": F.coalesce(F.size("__items"), F.lit(0)),
+            "problem": problem,
+            "__list": F.col("__items"),
+        },
+    )
     # The second page that names a cursor is where a read would stop advancing.
     seen = Window.partitionBy(*keys, "next_cursor").orderBy(page_number)
     repeats = (
