@@ -36,6 +36,7 @@ from millrace.operators.failures import (
     run_outcomes,
 )
 from millrace.operators.receipts import fanout, receipt_details, receipt_summary
+from millrace.session import spread
 
 catalog = Catalog()
 
@@ -395,7 +396,7 @@ def _details(df: DataFrame) -> Column:
 )
 def summaries(spark: SparkSession, folder: str) -> DataFrame:
     """Details take the way through their JSON text."""
-    rows = receipts(spark, folder)
+    rows = spread(receipts(spark, folder))
     stored = rows.select("doc", "destination", "ok", _details(rows).alias("details"))
     return receipt_summary(receipt_details(stored)).select(
         "doc",

@@ -31,6 +31,7 @@ from millrace.sources.fetched import (
     fetched_metadata,
     wiki_filename,
 )
+from millrace.session import spread
 from millrace.sources.specs import DOCUMENT_CONTRACT_BY_ALIAS, resolve_source_contract, spec_id_of
 
 catalog = Catalog()
@@ -53,7 +54,7 @@ FROM (SELECT doc_id, source, lang, line, row_number() OVER (PARTITION BY doc_id
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").withColumn(
+    return spread(table(spark, folder, "documents")).withColumn(
         "sha256", identity.sha256_of(F.col("text"))
     )
 
@@ -119,7 +120,7 @@ FROM (SELECT doc_id, source, sha256(text) AS sha FROM documents) JOIN
   FROM ({LINES_SQL}) GROUP BY doc_id) USING (doc_id) GROUP BY source""",
 )
 def report_by_source(spark: SparkSession, folder: str) -> DataFrame:
-    return source_report(table(spark, folder, "documents"))
+    return source_report(spread(table(spark, folder, "documents")))
 
 
 def intake_inputs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -314,7 +315,7 @@ def task_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @catalog.add("partition_html")
 def partition_html(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages").withColumn("sha256", identity.sha256_of(F.col("html")))
+    pages = spread(table(spark, folder, "pages")).withColumn("sha256", identity.sha256_of(F.col("html")))
     return explode_elements(partition_documents(pages, "html", "html"), "page_id").select(
         "page_id", F.col("ord").cast("long").alias("ord"), "type", "text"
     )

@@ -17,6 +17,7 @@ from millrace.operators.failures import (
     classify_http,
 )
 from millrace.operators.receipts import receipt_summary
+from millrace.session import spread
 
 DESTINATIONS = ("webhook", "opensearch", "loki", "weaviate", "s3", "clickhouse")
 STATUSES = (200, 400, 401, 403, 404, 409, 413, 422, 429, 500, 503, 301)
@@ -196,7 +197,7 @@ FROM (SELECT *, CASE WHEN ok THEN 'delivered' ELSE 'failed' END AS d_outcome,
 
 def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     """One dead letter per order, named after its content."""
-    o = table(spark, folder, "orders")
+    o = spread(table(spark, folder, "orders"))
     sha = identity.sha256_of(F.col("o_orderkey").cast("string"))
     meta = F.concat(
         F.lit('{"engine":{"name":"builtin"},"provenance":{"run_origin":"'),

@@ -64,6 +64,7 @@ from millrace.operators.tasks import (
     recover_stale,
     requeue,
 )
+from millrace.session import spread
 
 catalog = Catalog()
 
@@ -820,7 +821,7 @@ def backfilled(spark: SparkSession, folder: str) -> DataFrame:
 )
 def audited(spark: SparkSession, folder: str) -> DataFrame:
     """Read back one payload per document; some are lost, empty or of another run."""
-    docs = table(spark, folder, "documents").withColumn(
+    docs = spread(table(spark, folder, "documents")).withColumn(
         "sha256", identity.sha256_of(F.col("text"))
     )
     key = F.col("doc_id")
@@ -886,7 +887,7 @@ _CONTEXTS = (
 
 
 def _scanned(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents")
+    d = spread(table(spark, folder, "documents"))
     place = pick(FOLDERS, F.col("doc_id") % len(FOLDERS))
     return d.select(
         F.concat(place, F.lit("d"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"),

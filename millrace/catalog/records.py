@@ -22,6 +22,7 @@ from millrace.operators.delivery import content_evidence
 from millrace.operators.elements import elements_from_records
 from millrace.operators.sinks import log_lines, record_lines
 from millrace.plans.records import ingest_records
+from millrace.session import spread
 from millrace.sources.incremental import check_cursor, read_incremental, read_offsets
 from millrace.sources.normalize import json_value, normalize_values
 from millrace.sources.records import read_messages, read_paged, read_record_list
@@ -201,7 +202,7 @@ def event_messages(spark: SparkSession, folder: str) -> DataFrame:
 
     Signups put a second record under another stream name, which is an error.
     """
-    e = table(spark, folder, "events")
+    e = spread(table(spark, folder, "events"))
     key = F.col("event_id").cast("string")
     record = F.concat(
         F.lit('{"type":"RECORD","record":{"stream":"'),
@@ -297,7 +298,7 @@ FROM orders, (SELECT unnest([0, 1]) AS j) WHERE o_orderpriority <> '5-LOW'""",
 )
 def record_list(spark: SparkSession, folder: str) -> DataFrame:
     """Two records per order; low-priority orders carry a record without data."""
-    o = table(spark, folder, "orders")
+    o = spread(table(spark, folder, "orders"))
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     text = F.concat(
         F.lit('{"stream":"orders","records":[{"data":{"status":"'),
@@ -403,7 +404,7 @@ def paged_errors(spark: SparkSession, folder: str) -> DataFrame:
  CAST(l_linenumber AS VARCHAR) AS line FROM lineitem""",
 )
 def normalized_values(spark: SparkSession, folder: str) -> DataFrame:
-    items = table(spark, folder, "lineitem")
+    items = spread(table(spark, folder, "lineitem"))
     tax = F.col("l_tax").cast("decimal(6,4)")
     day = F.col("l_shipdate").cast("date")
     rows = items.select(
@@ -522,7 +523,7 @@ PROGRESS_FORMS = (
 
 def event_states(spark: SparkSession, folder: str) -> DataFrame:
     """Each event leaves one state of its user, numbered by event id."""
-    e = table(spark, folder, "events")
+    e = spread(table(spark, folder, "events"))
     form = pick([f[0] for f in PROGRESS_FORMS], F.col("event_id") % len(PROGRESS_FORMS))
     data = F.replace(form, F.lit("~"), F.col("event_id").cast("string"))
     return e.select(
@@ -682,7 +683,7 @@ CHECKPOINT_FORMS = (
  {sql_pick([f[2] for f in CHECKPOINT_FORMS], f'event_id % {len(CHECKPOINT_FORMS)}')} AS reason FROM events""",
 )
 def compatibility(spark: SparkSession, folder: str) -> DataFrame:
-    e = table(spark, folder, "events")
+    e = spread(table(spark, folder, "events"))
     form = pick([f[0] for f in CHECKPOINT_FORMS], F.col("event_id") % len(CHECKPOINT_FORMS))
     texts = e.select(
         "event_id", F.replace(form, F.lit("~"), F.col("event_id").cast("string")).alias("text")
@@ -699,7 +700,7 @@ def compatibility(spark: SparkSession, folder: str) -> DataFrame:
 FROM orders, (SELECT unnest([0, 1]) AS j)""",
 )
 def checkpoint_entries(spark: SparkSession, folder: str) -> DataFrame:
-    o = table(spark, folder, "orders")
+    o = spread(table(spark, folder, "orders"))
     text = F.concat(
         F.lit('{"schema_version":1,"flow_kind":"it","stream":"orders","task_identity_key":"t",'),
         F.lit('"checkpoints":[{"checkpoint_index":0,"checkpoint_identity_key":"c0","progress":{"page":'),

@@ -14,10 +14,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.binding import let
+
 _MARK = "\ue000"
 _END = "\ue003"
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _FLOAT_SKIP = rf'(?:{_STRING}|[^"\-0-9]++|(?!-?\d++\.0++(?![\deE]))-?\d[\d.eE+\-]*+)*+'
+_MAYBE_FLOAT = r"(?:^|[:,\[\s])-?\d+\.0+(?:[\s,}\]]|$)"
 _INTEGRAL_FLOAT = rf"\G({_FLOAT_SKIP})(-?\d++\.0++)(?![\deE])"
 _SEPARATOR = rf'\G((?:[^",:]++|{_STRING})*+)([,:])'
 
@@ -29,7 +32,7 @@ def parse(text: Column) -> Column:
     items, a text with anything behind its value is malformed as it should be.
     """
     marked = F.when(
-        text.rlike(r"\d\.0"), F.regexp_replace(text, _INTEGRAL_FLOAT, f'$1"{_MARK}$2"')
+        text.rlike(_MAYBE_FLOAT), F.regexp_replace(text, _INTEGRAL_FLOAT, f'$1"{_MARK}$2"')
     ).otherwise(text)
     pair = F.try_parse_json(F.concat(F.lit("["), marked, F.lit(f',"{_END}"]')))
     whole = F.filter(
@@ -56,27 +59,26 @@ def spaced(text: Column) -> Column:
 
 def ascii_only(text: Column) -> Column:
     """Escape characters above 0x7F as ``\\uXXXX`` pairs, as identity keys need."""
-    escaped = F.array_join(
-        F.transform(
-            F.split(text, ""),
-            lambda ch: F.when(
-                F.ascii(ch) > 127,
-                F.regexp_replace(
-                    F.lower(F.hex(F.encode(ch, "UTF-16BE"))), "(.{4})", r"\\\\u$1"
-                ),
-            ).otherwise(ch),
-        ),
-        "",
-    )
-    return F.when(text.rlike(r"[^\x00-\x7F]"), escaped).otherwise(text)
+    def escape(ch: Column) -> Column:
+        units = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
+        return F.when(
+            F.ascii(ch) > 127, F.regexp_replace(units, "(.{4})", r"\\\\u$1")
+        ).otherwise(ch)
+
+    def whole(t: Column) -> Column:
+        escaped = F.array_join(F.transform(F.split(t, ""), escape), "")
+        return F.when(t.rlike(r"[^\x00-\x7F]"), escaped).otherwise(t)
+
+    return let(text, whole)
 
 
 def quote(value: Column) -> Column:
-    """JSON text of one scalar; a null becomes ``null``."""
-    wrapped = F.to_json(F.array(value))
-    return F.when(value.isNull(), F.lit("null")).otherwise(
-        wrapped.substr(F.lit(2), F.length(wrapped) - 2)
-    )
+    """JSON text of one scalar; a null becomes ``null``.
+
+    Only the brackets of the list around the scalar can be trimmed off: a string
+    begins and ends with its quotes.
+    """
+    return F.btrim(F.to_json(F.array(value)), F.lit("[]"))
 
 
 def object_text(fields: Mapping[str, Column], omit_null: bool = False) -> Column:
@@ -121,13 +123,16 @@ def absent(value: Column, path: str) -> Column:
 
 def string_at(value: Column, path: str) -> Column:
     """The string at a path; null when it is missing or another type."""
-    text = F.try_variant_get(value, path, "string")
-    return F.when((kind_at(value, path) == "STRING") & ~text.startswith(_MARK), text)
+
+    def text(node: Column) -> Column:
+        found = F.try_variant_get(node, "$", "string")
+        return F.when((kind_at(node) == "STRING") & ~found.startswith(_MARK), found)
+
+    return let(_at(value, path), text)
 
 
 def filled_string_at(value: Column, path: str) -> Column:
-    text = string_at(value, path)
-    return F.when(text != "", text)
+    return F.nullif(string_at(value, path), F.lit(""))
 
 
 def integer_at(value: Column, path: str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import jsontext as J
+from millrace.functions.binding import evaluate_once
 from millrace.functions import textrules
 
 RECEIPT_SCHEMA_VERSION = 1
@@ -367,10 +368,16 @@ def denylist_scan(
         .withColumn("__lowered", F.transform("__lines", F.lower))
         .withColumn("__wording", F.transform("__lowered", wording))
     )
-    hits = listed.select(
-        F.col(path).alias("path"),
-        context_kind(F.col(path), rules or ContextRules()).alias("context_kind"),
-        F.explode(F.flatten(F.transform("__lowered", line_hits))).alias("h"),
+    found_in = evaluate_once(
+        listed,
+        [path],
+        {
+            "context_kind": context_kind(F.col(path), rules or ContextRules()),
+            "__hits": F.flatten(F.transform("__lowered", line_hits)),
+        },
+    )
+    hits = found_in.select(
+        F.col(path).alias("path"), "context_kind", F.explode("__hits").alias("h")
     ).filter(~F.col("h.excused"))
     kind = F.col("context_kind")
     blocked = F.lit(False)
@@ -498,16 +505,15 @@ def import_scan(
             ),
         ).otherwise(F.array())
 
-    hits = (
-        docs.withColumn("__kind", file_kind)
-        .withColumn("__lines", textrules.lines_of(F.col(text)))
-        .withColumn("__lowered", F.transform("__lines", F.lower))
-        .select(
-            F.col(path).alias("path"),
-            "__kind",
-            F.explode(F.flatten(F.transform("__lowered", line_hits))).alias("h"),
-        )
+    listed = docs.withColumn("__lines", textrules.lines_of(F.col(text))).withColumn(
+        "__lowered", F.transform("__lines", F.lower)
+    )
+    found_in = evaluate_once(
+        listed,
+        [path],
+        {"__kind": file_kind, "__hits": F.flatten(F.transform("__lowered", line_hits))},
     )
+    hits = found_in.select(F.col(path).alias("path"), "__kind", F.explode("__hits").alias("h"))
     kind = F.col("__kind")
     in_scope = F.lit(False)
     for r in rules:
@@ -578,7 +584,10 @@ def path_rule_scan(
         )
 
     found = F.filter(F.array(*[verdict(r) for r in rules]), lambda v: v.isNotNull())
-    return paths.select(where.alias("path"), F.explode(found).alias("v")).select("path", "v.*")
+    judged = evaluate_once(paths, [path], {"__found": found})
+    return judged.select(where.alias("path"), F.explode("__found").alias("v")).select(
+        "path", "v.*"
+    )
 
 
 def path_scan_summary(findings: DataFrame, paths: DataFrame) -> DataFrame:

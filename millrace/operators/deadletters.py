@@ -214,9 +214,11 @@ def replay_run_meta(run_meta: Column) -> Column:
 
     def provenance(parsed: Column) -> Column:
         def kept(name: str, allowed: Sequence[str] | None = None) -> Column:
-            value = J.string_at(parsed, f"$.provenance.{name}")
-            known = value if allowed is None else F.when(value.isin(*allowed), value)
-            return F.when(known.isNotNull(), J.quote(known))
+            def quoted(value: Column) -> Column:
+                known = value.isNotNull() if allowed is None else value.isin(*allowed)
+                return F.when(known, J.quote(value))
+
+            return let(J.string_at(parsed, f"$.provenance.{name}"), quoted)
 
         return J.object_text(
             {
@@ -244,12 +246,8 @@ def replay_select(dlq: DataFrame, limit: int | None = None) -> DataFrame:
     meta_ok = F.coalesce(J.is_object(J.parse(F.col("run_meta"))), F.lit(False))
     valid = F.col("sha256").isNotNull() & F.col("run_id").isNotNull() & meta_ok
     judged = evaluate_once(taken, taken.columns, {"valid": valid})
-    rewritten = evaluate_once(
-        judged,
-        [c for c in judged.columns if c != "run_meta"],
-        {"run_meta": F.when(F.col("valid"), replay_run_meta(F.col("run_meta")))},
-    )
-    return rewritten.withColumn(
+    rewritten = F.when(F.col("valid"), replay_run_meta(F.col("run_meta")))
+    return judged.withColumn("run_meta", rewritten).withColumn(
         "delivery_identity",
         F.when(F.col("valid"), identity.delivery_key(F.col("sha256"), F.col("run_id"))),
     )

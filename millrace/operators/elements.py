@@ -10,17 +10,29 @@ from pyspark.sql import functions as F
 from millrace.functions import jsontext as J
 from millrace.sources.tables import RecordTables
 
-KIND_ORDER = {"record": 0, "state": 1, "log": 2}
-
-
-def _element_id(kind: str, index: str) -> Column:
-    return F.concat_ws(
-        ":", F.coalesce(F.col("stream"), F.lit("it")), F.lit(kind), F.col(index).cast("string")
-    )
-
-
-def _shared(kind: str) -> dict[str, Column]:
-    return {"artifact_kind": F.lit(f'"{kind}"'), "flow_kind": F.lit('"it"')}
+KINDS = ("record", "state", "log")
+TYPES = ("StructuredRecord", "StructuredState", "StructuredLog")
+
+
+def merged_rows(tables: RecordTables, keys: Sequence[str]) -> DataFrame:
+    """Records, states and logs as one table."""
+    if tables.merged is not None:
+        return tables.merged
+    columns = ("stream", "data", "emitted_at", "level", "message")
+    parts = []
+    for kind, df in zip(KINDS, (tables.records, tables.states, tables.logs), strict=True):
+        parts.append(
+            df.select(
+                *keys,
+                F.lit(kind).alias("kind"),
+                F.col(f"{kind}_index").cast("long").alias("index"),
+                *[
+                    F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+                    for c in columns
+                ],
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def elements_from_records(tables: RecordTables, keys: Sequence[str]) -> DataFrame:
@@ -28,45 +40,40 @@ def elements_from_records(tables: RecordTables, keys: Sequence[str]) -> DataFram
 
     ``ord`` is (kind, index), which sorts the elements of one document.
     """
+    kind, index = F.col("kind"), F.col("index").cast("string")
 
-    def element(df: DataFrame, kind: str, index: str, type_: str, text: Column, more: dict):
-        metadata = J.object_text(_shared(kind) | {index: F.col(index).cast("string")} | more)
-        return df.select(
-            *keys,
-            F.struct(
-                F.lit(KIND_ORDER[kind]).alias("kind"), F.col(index).cast("long").alias("index")
-            ).alias("ord"),
-            _element_id(kind, index).alias("element_id"),
-            F.lit(type_).alias("type"),
-            text.alias("text"),
-            metadata.alias("metadata"),
+    def by_kind(values: Sequence[Column]) -> Column:
+        return F.when(kind == "record", values[0]).when(kind == "state", values[1]).otherwise(
+            values[2]
         )
 
-    data_text = J.spaced(F.col("data"))
-    records = element(
-        tables.records,
-        "record",
-        "record_index",
-        "StructuredRecord",
-        data_text,
-        {
-            "stream": J.quote(F.col("stream")),
-            "emitted_at": J.quote(F.col("emitted_at")),
-            "data": F.col("data"),
-        },
+    def metadata(name: str, more: dict[str, Column]) -> Column:
+        shared = {"artifact_kind": F.lit(f'"{name}"'), "flow_kind": F.lit('"it"')}
+        return J.object_text(shared | {f"{name}_index": index} | more)
+
+    record = {
+        "stream": J.quote(F.col("stream")),
+        "emitted_at": J.quote(F.col("emitted_at")),
+        "data": F.col("data"),
+    }
+    described = by_kind(
+        [
+            metadata("record", record),
+            metadata("state", {"data": F.col("data")}),
+            metadata("log", {"level": J.quote(F.col("level"))}),
+        ]
     )
-    states = element(
-        tables.states, "state", "state_index", "StructuredState", data_text, {"data": F.col("data")}
-    )
-    logs = element(
-        tables.logs,
-        "log",
-        "log_index",
-        "StructuredLog",
-        F.col("message"),
-        {"level": J.quote(F.col("level"))},
+    stream = F.coalesce(F.col("stream"), F.lit("it"))
+    return merged_rows(tables, keys).select(
+        *keys,
+        F.struct(
+            by_kind([F.lit(i) for i in range(3)]).alias("kind"), F.col("index").alias("index")
+        ).alias("ord"),
+        F.concat_ws(":", stream, kind, index).alias("element_id"),
+        by_kind([F.lit(t) for t in TYPES]).alias("type"),
+        F.when(kind == "log", F.col("message")).otherwise(J.spaced(F.col("data"))).alias("text"),
+        described.alias("metadata"),
     )
-    return records.unionByName(states).unionByName(logs)
 
 
 def normalized_text(

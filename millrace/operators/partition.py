@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import textrules
-from millrace.functions.binding import let
+from millrace.functions.binding import evaluate_once, let
 
 TITLE_MAX_CHARS = 80
 LIST_MARK = r"^(?:[-*•‣▪–]|\d{1,3}[.)])\s+\S"
@@ -192,20 +192,18 @@ def partition_documents(
     documents: DataFrame, kind: str, text: str = "text", sha: str = "sha256"
 ) -> DataFrame:
     """Add ``elements`` (element_id, type, text) and ``normalized_text`` to each document."""
-    listed = documents.withColumn("__e", ELEMENT_RULES[kind](F.col(text)))
-    return listed.withColumn(
-        "elements",
-        F.transform(
-            "__e",
-            lambda e, i: F.struct(
-                F.concat_ws(":", F.col(sha), i.cast("string")).alias("element_id"),
-                e["type"].alias("type"),
-                e["text"].alias("text"),
-            ),
+    elements = F.transform(
+        ELEMENT_RULES[kind](F.col(text)),
+        lambda e, i: F.struct(
+            F.concat_ws(":", F.col(sha), i.cast("string")).alias("element_id"),
+            e["type"].alias("type"),
+            e["text"].alias("text"),
         ),
-    ).withColumn(
+    )
+    listed = evaluate_once(documents, documents.columns, {"elements": elements})
+    return listed.withColumn(
         "normalized_text", F.array_join(F.transform("elements", lambda e: e["text"]), "\n\n")
-    ).drop("__e")
+    )
 
 
 def explode_elements(results: DataFrame, *keys: str) -> DataFrame:

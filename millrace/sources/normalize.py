@@ -64,6 +64,25 @@ def normalize_values(df: DataFrame) -> DataFrame:
     )
 
 
+def _key_sorted(value: Column, kind: T.DataType) -> Column:
+    """The same value with the fields of every object in name order."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _key_sorted(v, kind.elementType))
+    if isinstance(kind, T.MapType):
+        inner = F.transform_values(value, lambda _, v: _key_sorted(v, kind.valueType))
+        entries = F.map_entries(inner)
+        by_key = F.array_sort(
+            entries,
+            lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0),
+        )
+        return F.map_from_entries(by_key)
+    if isinstance(kind, T.StructType):
+        ordered = sorted(kind.fields, key=lambda f: f.name)
+        fields = [_key_sorted(value[f.name], f.dataType).alias(f.name) for f in ordered]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
+
+
 def json_value(df: DataFrame, name: str) -> Column:
     """Canonical JSON text of a normalised column."""
     value = F.col(f"`{name}`")
@@ -71,5 +90,5 @@ def json_value(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.StringType):
         return J.quote(value)
     if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        return J.canonical(F.to_json(value, {"ignoreNullFields": "false"}))
+        return F.to_json(_key_sorted(value, kind), {"ignoreNullFields": "false"})
     return value.cast("string")

@@ -107,7 +107,19 @@ def read_messages(df: DataFrame, key: str, text: str) -> RecordTables:
         picked = F.filter("__messages", lambda m: m["kind"] == kind)
         return good.select(key, "stream", F.posexplode(picked).alias(index, "m"))
 
+    def indexed(kind: str) -> Column:
+        return F.transform(
+            F.filter("__messages", lambda m: m["kind"] == kind),
+            lambda m, i: F.struct(
+                F.lit(kind.lower()).alias("kind"),
+                i.cast("long").alias("index"),
+                *[m[c].alias(c) for c in ("data", "emitted_at", "level", "message")],
+            ),
+        )
+
+    every = F.concat(*[indexed(kind) for kind in ("RECORD", "STATE", "LOG")])
     return RecordTables(
+        merged=good.select(key, "stream", F.inline(every)),
         records=numbered("RECORD", "record_index").select(
             key, "stream", "record_index", "m.data", "m.emitted_at"
         ),

@@ -148,24 +148,24 @@ def _identity_value(spec: Column, field: str) -> Column:
     return J.text_at(spec, path)
 
 
-def identity_text(spec: Column) -> Column:
+def identity_text(spec: Column, kind: Column) -> Column:
     """Canonical identity text of a parsed spec; null for an unknown kind."""
-    kind = J.filled_string_at(spec, "$.source.kind")
     text = F.lit(None).cast("string")
     for name, fields in IDENTITY_FIELDS.items():
         body = {f: _identity_value(spec, f) for f in fields}
-        body["kind"] = J.quote(F.lit(name))
-        text = F.when(kind == name, J.ascii_only(J.object_text(body))).otherwise(text)
-    return text
+        body["kind"] = F.lit(f'"{name}"')
+        text = F.when(kind == name, J.object_text(body)).otherwise(text)
+    return J.ascii_only(text)
 
 
 def source_identity(df: DataFrame, text: str, default_sha: str | None = None) -> DataFrame:
     """Add ``source_sha256``; unknown specs keep ``default_sha`` when it is given."""
-    sha = identity.sha256_of(identity_text(F.col("__spec")))
+    sha = identity.sha256_of(identity_text(F.col("__spec"), F.col("__kind")))
     if default_sha is not None:
         sha = F.coalesce(sha, F.col(default_sha))
     return (
         df.withColumn("__spec", J.parse(F.col(text)))
+        .withColumn("__kind", J.string_at(F.col("__spec"), "$.source.kind"))
         .withColumn("source_sha256", sha)
-        .drop("__spec")
+        .drop("__spec", "__kind")
     )

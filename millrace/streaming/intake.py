@@ -51,6 +51,7 @@ def stream_documents(
         name = _batch_name(batch_id)
         session = batch.sparkSession
         tables = ingest_documents(batch, _known_shas(session, out, name), kind, run, out)
+        tables.results.persist()
         write_batch(
             tables.payloads.select("sha256", "delivery_identity", "payload_json"),
             out,
@@ -63,6 +64,7 @@ def stream_documents(
             out,
             name,
         )
+        tables.results.unpersist()
 
     return (
         documents.writeStream.foreachBatch(ingest)
