@@ -62,7 +62,7 @@ def ascii_only(text: Column) -> Column:
     def escape(ch: Column) -> Column:
         units = F.lower(F.hex(F.encode(ch, "UTF-16BE")))
         return F.when(
-            F.ascii(ch) > 127, F.regexp_replace(units, "(.{4})", r"\\\\u$1")
+            F.ascii(ch) > 127, F.regexp_replace(units, "(.{4})", r"\\u$1")
         ).otherwise(ch)
 
     def whole(t: Column) -> Column:

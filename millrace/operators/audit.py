@@ -339,10 +339,13 @@ def denylist_scan(
         near = F.slice(F.col("__wording"), start + 1, i - start + 1 + LINES_AFTER)
         found = F.filter(entries, lambda t: lowered.contains(t["needle"]))
 
+        def said_near(name: str) -> Column:
+            return F.exists(near, lambda w: w[name])
+
         def excuse(term: Column) -> Column:
             hit = F.lit(False)
             for name in excused:
-                hit = hit | ((term == name) & F.exists(near, lambda w, n=name: w[n]))
+                hit = hit | ((term == name) & said_near(name))
             return hit
 
         return F.when(

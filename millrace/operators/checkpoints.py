@@ -36,10 +36,9 @@ def progress_kind_of(progress: Column) -> Column:
 
 
 def progress_kind(states: DataFrame, data: str = "data") -> DataFrame:
-    return (
-        states.withColumn("__p", J.parse(F.col(data)))
-        .withColumn("progress_kind", progress_kind_of(F.col("__p")))
-        .drop("__p")
+    parsed = states.withColumn("__p", J.parse(F.col(data)))
+    return evaluate_once(
+        parsed, states.columns, {"progress_kind": progress_kind_of(F.col("__p"))}
     )
 
 
