@@ -11,6 +11,7 @@ from millrace.operators.delivery import (
     PREVIEW_CHARS,
     build_payloads,
     document_evidence,
+    row_evidence,
     text_evidence,
     vector_rows,
 )
@@ -107,7 +108,22 @@ FROM conversations WHERE text <> '' GROUP BY conv_id""",
 )
 def conversation_text(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").withColumnRenamed("turn", "ord")
-    return normalized_text(turns, ["conv_id"], "\n\n", skip_empty=True)
+    return normalized_text(
+        turns, ["conv_id"], "\n\n", skip_empty=True, slice_by=F.floor(F.col("ord") / 1024)
+    )
+
+
+@catalog.add(
+    "row_evidence",
+    f"""SELECT conv_id, elements_count, CAST(length(t) AS BIGINT) AS normalized_text_len,
+ substr(t, 1, {PREVIEW_CHARS}) AS normalized_text_preview,
+ length(t) > {PREVIEW_CHARS} AS normalized_text_truncated
+FROM (SELECT conv_id, count(*) AS elements_count, string_agg(text, chr(10) ORDER BY turn) AS t
+ FROM conversations GROUP BY conv_id)""",
+)
+def conversation_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    return row_evidence(turns, ["conv_id"], "turn", "\n", F.floor(F.col("turn") / 1024))
 
 
 @catalog.add(

@@ -1,0 +1,30 @@
+"""Joining facts to tables in which one key may hold most of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SPREAD = 32
+SALT = "__salt"
+
+
+def attach(
+    rows: DataFrame,
+    facts: DataFrame,
+    keys: Sequence[str],
+    salt_by: Sequence[str],
+    how: str = "inner",
+    spread: int = SPREAD,
+) -> DataFrame:
+    """Join ``rows`` with ``facts``, which has one row per key.
+
+    Facts are repeated ``spread`` times and rows are spread over the repeats by
+    ``salt_by``, so the rows of one key go to that many tasks.  The salt also keeps
+    later work on the key from being done where the join left the rows.
+    """
+    repeats = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    salted = rows.withColumn(SALT, F.pmod(F.xxhash64(*salt_by), F.lit(spread)).cast("int"))
+    return salted.join(facts.withColumn(SALT, repeats), [*keys, SALT], how).drop(SALT)

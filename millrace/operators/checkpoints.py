@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import identity, ordering
 from millrace.functions import jsontext as J
 from millrace.functions.binding import evaluate_once
+from millrace.functions.joining import attach
 
 SCHEMA_VERSION = 1
 PROGRESS_KINDS = ("cursor_v1", "token_v1", "page_v1", "state_dict_v1")
@@ -74,15 +75,12 @@ def build_checkpoints(
         known("execution_mode", "batch").alias("execution_mode"),
         (F.col(resumed) if resumed in tasks.columns else F.lit(None).cast("string")).alias(resumed),
     )
-    entries = (
-        progress_kind(states.select(*keys, "state_index", "data"))
-        .join(headers, list(keys))
-        .withColumn(
-            "checkpoint_identity_key",
-            identity.checkpoint_key(
-                F.col("task_identity_key"), F.col("stream"), F.col("progress_kind"), F.col("data")
-            ),
-        )
+    read = progress_kind(states.select(*keys, "state_index", "data"))
+    entries = attach(read, headers, keys, ["state_index"]).withColumn(
+        "checkpoint_identity_key",
+        identity.checkpoint_key(
+            F.col("task_identity_key"), F.col("stream"), F.col("progress_kind"), F.col("data")
+        ),
     )
     chained = ordering.previous_value(
         entries,
@@ -395,15 +393,13 @@ def resume_filter(
     states: DataFrame,
     selection: DataFrame,
     keys: Sequence[str],
-    spread: int = 32,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Records, states and blocked requests of a resume.
 
     Records after the selected cursor stay (cursors compare as texts), and so do
     states.  One record without an emit time, or one state without a cursor,
     blocks its whole resume.  Logs do not resume.  ``selection`` has one row per
-    task; a task may own a large part of the records, so each selection row is
-    repeated ``spread`` times and records are spread over the repeats.
+    task, and a task may own a large part of the records.
     """
     at = list(keys)
     flags = (
@@ -432,15 +428,10 @@ def resume_filter(
         *at, "issue_code", F.lit("blocked").alias("issue_status")
     )
     open_ = judged.filter(F.col("issue_code").isNull()).select(*at, "__after")
-    salted = open_.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
 
     def after(df: DataFrame, index: str, cursor: Column) -> DataFrame:
-        return (
-            df.withColumn("__salt", F.pmod(F.xxhash64(index), F.lit(spread)).cast("int"))
-            .join(salted, [*at, "__salt"])
-            .filter(cursor > F.col("__after"))
-            .select(*df.columns)
-        )
+        joined = attach(df, open_, at, [index])
+        return joined.filter(cursor > F.col("__after")).select(*df.columns)
 
     kept_records = after(records, "record_index", F.col("emitted_at"))
     kept_states = after(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions import identity, textrules
+from millrace.functions import identity, ordering, textrules
 from millrace.functions import jsontext as J
 from millrace.functions.binding import evaluate_once, let
 from millrace.operators.checkpoints import EXECUTION_MODES, RUN_ORIGINS
@@ -20,6 +20,7 @@ from millrace.operators.metadata import with_fields
 DAY_SECONDS = 86_400
 MEGABYTE = 1024 * 1024
 NAME_PREFIX = 4
+TOP_K_LIMIT = 1000
 INVALID_PAYLOAD = "ZE-DELIVERY-INVALID-PAYLOAD"
 
 
@@ -50,7 +51,13 @@ def _protected(scope: DataFrame, keep_last: int, per_destination: bool) -> DataF
     """The newest letters; those of one second go by scan order: pending, done, by name."""
     newest = [F.col("mtime_s").desc(), F.col("__origin"), F.col("name")]
     slim = scope.select("name", "__origin", "mtime_s", "destination")
-    if per_destination:
+    if keep_last > TOP_K_LIMIT:
+        # Too many for a top-k: rank by slices, so that no task sorts a destination.
+        aged = slim.withColumn("__age", -F.col("mtime_s"))
+        keys = ["destination"] if per_destination else []
+        ranked = ordering.group_index(aged, keys, ["__age", "__origin", "name"], "__rn")
+        kept = ranked.filter(F.col("__rn") < keep_last)
+    elif per_destination:
         window = Window.partitionBy("destination").orderBy(*newest)
         kept = slim.withColumn("__rn", F.row_number().over(window)).filter(
             F.col("__rn") <= keep_last

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions import identity, textrules
+from millrace.functions import identity, ordering, textrules
 from millrace.functions import jsontext as J
 
 PREVIEW_CHARS = 16 * 1024
@@ -54,6 +54,45 @@ def document_evidence(results: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def row_evidence(
+    elements: DataFrame, keys: Sequence[str], order: str, separator: str,
+    slice_by: Column | None = None,
+) -> DataFrame:
+    """Preview, length and truncation of a text that exists only as element rows.
+
+    For a read whose joined text would not fit a row: lengths are summed, and only
+    the elements that reach into the preview are gathered.  There is no sha of a
+    text that is never put together.
+    """
+    width = len(separator)
+    sized = elements.select(
+        *keys, order, "text", (F.length("text") + width).cast("long").alias("__chars")
+    )
+    totals = sized.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("elements_count"),
+        (F.sum("__chars") - width).alias("normalized_text_len"),
+    )
+    placed = ordering.sum_before(sized, keys, [order], "__chars", "__before", slice_by)
+    shown = (
+        placed.filter(F.col("__before") < PREVIEW_CHARS)
+        .groupBy(*keys)
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct(order, F.col("text").substr(1, PREVIEW_CHARS).alias("t")))
+            ).alias("__l")
+        )
+        .select(
+            *keys,
+            F.array_join(F.transform("__l", lambda e: e["t"]), separator)
+            .substr(1, PREVIEW_CHARS)
+            .alias("normalized_text_preview"),
+        )
+    )
+    return totals.join(shown, list(keys), "left").withColumn(
+        "normalized_text_truncated", F.col("normalized_text_len") > PREVIEW_CHARS
+    )
+
+
 def content_evidence(
     results: DataFrame, elements: DataFrame, keys: Sequence[str], record_flow: str = "is_records"
 ) -> DataFrame:
@@ -185,6 +224,13 @@ def build_payloads(
     joined = run_meta.join(
         evidence.select(on, F.struct(*facts).alias("content_evidence")), on, "left"
     )
+    return shape_payloads(joined, out_root, record_engine)
+
+
+def shape_payloads(
+    runs: DataFrame, out_root: str, record_engine: str = RECORD_ENGINE
+) -> DataFrame:
+    """The same for runs that already carry their ``content_evidence``; a narrow transform."""
     is_records = F.coalesce(F.col("engine_name") == record_engine, F.lit(False))
     paths = artifact_paths(out_root, F.col("sha256"), is_records)
     payload = J.object_text(
@@ -198,7 +244,7 @@ def build_payloads(
         omit_null=True,
     )
     return (
-        joined.withColumn("artifacts", paths)
+        runs.withColumn("artifacts", paths)
         .withColumn("delivery_identity", identity.delivery_key(F.col("sha256"), F.col("run_id")))
         .withColumn("schema_version", F.lit(PAYLOAD_SCHEMA_VERSION))
         .withColumn("payload_json", payload)

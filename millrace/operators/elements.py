@@ -77,22 +77,40 @@ def elements_from_records(tables: RecordTables, keys: Sequence[str]) -> DataFram
 
 
 def normalized_text(
-    elements: DataFrame, keys: Sequence[str], separator: str, skip_empty: bool
+    elements: DataFrame,
+    keys: Sequence[str],
+    separator: str,
+    skip_empty: bool,
+    slice_by: Column | None = None,
 ) -> DataFrame:
     """One text per document from its element rows.
 
     Record documents join every text by a line break; other documents join the
     non-empty ones by a blank line.  The result is one value per document, so a
-    document has to fit a row; for documents that are still rows the text made by
-    ``partition_documents`` needs no shuffle.
+    document has to fit a row; ``row_evidence`` describes a read that does not, and
+    for documents that are still rows the text made by ``partition_documents`` needs
+    no shuffle.  With ``slice_by``, a column that never decreases along the order,
+    the elements of a slice are joined first and only the pieces of a document
+    meet in one task.
     """
     wanted = elements.filter(F.col("text") != "") if skip_empty else elements
-    gathered = wanted.groupBy(*keys).agg(F.collect_list(F.struct("ord", "text")).alias("__l"))
+    if slice_by is None:
+        return _joined(wanted, keys, "ord", "text", separator, "normalized_text")
+    sliced = wanted.withColumn("__slice", slice_by)
+    pieces = _joined(sliced, [*keys, "__slice"], "ord", "text", separator, "__piece")
+    return _joined(pieces, keys, "__slice", "__piece", separator, "normalized_text")
+
+
+def _joined(
+    rows: DataFrame, keys: Sequence[str], order: str, text: str, separator: str, out: str
+) -> DataFrame:
+    gathered = rows.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))).alias(
+            "__l"
+        )
+    )
     return gathered.select(
-        *keys,
-        F.array_join(
-            F.transform(F.array_sort("__l"), lambda e: e["text"]), separator
-        ).alias("normalized_text"),
+        *keys, F.array_join(F.transform("__l", lambda e: e["t"]), separator).alias(out)
     )
 
 

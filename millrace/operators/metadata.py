@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import jsontext as J
 from millrace.functions.binding import evaluate_once
+from millrace.functions.joining import attach
 
 # Texts read as a boolean.
 TRUE_TEXTS = ("true", "t", "yes", "y", "on", "1")
@@ -124,7 +125,7 @@ def decorate_elements(
     added = {name: F.when(F.col(f"__f_{name}").isNotNull(), J.quote(F.col(f"__f_{name}"))) for name in fields}
     added["source_kind"] = J.quote(F.lit(source_kind))
     return (
-        elements.join(facts, on)
+        attach(elements, facts, [on], ["element_id"])
         .withColumn(metadata, with_fields(F.col(metadata), added))
         .drop(*[f"__f_{name}" for name in fields])
     )

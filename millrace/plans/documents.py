@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import identity
-from millrace.operators.delivery import build_payloads, document_evidence
+from millrace.operators.delivery import document_evidence, shape_payloads
 from millrace.operators.partition import partition_documents
 from millrace.operators.routing import plan_intake
 from millrace.operators.runs import with_run_meta
@@ -25,6 +25,10 @@ class DocumentIngest:
     payloads: DataFrame
 
 
+def _aliased(columns: Mapping[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in columns.items()]
+
+
 def ingest_documents(
     documents: DataFrame,
     existing: DataFrame,
@@ -37,7 +41,8 @@ def ingest_documents(
     """From documents (``uri``, ``filename``, ``text``) to delivery payloads.
 
     Content is deduplicated by sha before any text is partitioned, on slim
-    rows; the texts themselves are shuffled once at most.  ``run`` has ``run_id``,
+    rows; the texts themselves are shuffled once at most, and payloads are made
+    where the text is.  ``run`` has ``run_id``,
     ``pipeline_version`` and ``timestamp_utc``.
     """
     hashed = documents.withColumn("sha256", identity.sha256_of(F.col("text")))
@@ -45,32 +50,41 @@ def ingest_documents(
     chosen = intake.filter(F.col("decision") == "process").select("uri", "sha256")
     texts = hashed.join(chosen, ["uri", "sha256"], "left_semi")
     results = partition_documents(texts, kind)
-    facts = results.select(
-        "uri",
-        "filename",
-        "sha256",
-        F.octet_length("text").alias("size_bytes"),
-        F.lit(None).cast("string").alias("mime_type"),
-        F.lit(run["timestamp_utc"]).alias("created_at_utc"),
-        *[F.lit(v).alias(k) for k, v in run.items()],
-        F.lit("success").alias("outcome"),
-        F.lit("builtin").alias("engine_name"),
-        F.lit("spark").alias("engine_backend"),
-        F.lit("1").alias("engine_version"),
-        F.lit("auto").alias("strategy"),
-        F.size("elements").alias("elements_count"),
-        F.length("normalized_text").alias("normalized_text_len"),
-        F.lit(1).alias("attempts"),
-        F.lit("intake").alias("run_origin"),
-        F.lit("primary").alias("delivery_origin"),
-        F.lit("batch").alias("execution_mode"),
-        identity.task_key(
+    facts_of = {
+        "uri": F.col("uri"),
+        "filename": F.col("filename"),
+        "sha256": F.col("sha256"),
+        "size_bytes": F.octet_length("text"),
+        "mime_type": F.lit(None).cast("string"),
+        "created_at_utc": F.lit(run["timestamp_utc"]),
+        **{k: F.lit(v) for k, v in run.items()},
+        "outcome": F.lit("success"),
+        "engine_name": F.lit("builtin"),
+        "engine_backend": F.lit("spark"),
+        "engine_version": F.lit("1"),
+        "strategy": F.lit("auto"),
+        "elements_count": F.size("elements"),
+        "normalized_text_len": F.length("normalized_text"),
+        "attempts": F.lit(1),
+        "run_origin": F.lit("intake"),
+        "delivery_origin": F.lit("primary"),
+        "execution_mode": F.lit("batch"),
+        "task_identity_key": identity.task_key(
             F.lit("uns"), F.lit(run["pipeline_version"]), F.col("sha256")
-        ).alias("task_identity_key"),
-    )
+        ),
+    }
+    facts = results.select(*_aliased(facts_of))
     run_meta = with_run_meta(facts)
-    evidence = document_evidence(results, ["sha256"])
-    payloads = build_payloads(run_meta, evidence, out_root)
+    evidence_columns = ("normalized_text", "elements")
+    described = document_evidence(
+        results.select(*evidence_columns, F.struct(*_aliased(facts_of)).alias("__facts")),
+        ["__facts"],
+    )
+    shown = [c for c in described.columns if c != "__facts"]
+    delivered = with_run_meta(
+        described.select("__facts.*", F.struct(*shown).alias("content_evidence"))
+    )
+    payloads = shape_payloads(delivered, out_root)
     return DocumentIngest(intake=intake, results=results, run_meta=run_meta, payloads=payloads)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import jsontext as J
 from millrace.functions import ordering
 from millrace.functions.binding import evaluate_once
+from millrace.functions.joining import attach
 from millrace.sources.tables import RecordTables
 
 PAGES_PER_SLICE = 1024
@@ -243,9 +244,8 @@ def read_paged(
         F.min(F.struct(page_number, "problem")).alias("__e")
     ).select(*keys, f"__e.{page_number}", "__e.problem")
     # One small row per page decides which pages are read and where each one starts.
-    headers = parsed.select(*at, page_number, source_url, "next_cursor", "record_count").join(
-        errors.select(*keys), list(keys), "left_anti"
-    )
+    slim = parsed.select(*at, page_number, source_url, "next_cursor", "record_count")
+    headers = attach(slim, errors.select(*keys), keys, [page_number], "left_anti")
     slice_by = F.floor(F.col(page_number) / PAGES_PER_SLICE)
     started = ordering.sum_before(
         headers, keys, [page_number], "record_count", "__before", slice_by

@@ -56,3 +56,18 @@ def test_null_previous_value_is_kept(spark):
         df, [], ["o"], "v", "p", F.col("o"), first=F.lit("start")
     ).collect()
     assert {r.o: r.p for r in got} == {1: "start", 2: "a", 3: None}
+
+
+def test_attach_keeps_every_row(spark):
+    from millrace.functions.joining import attach
+
+    rows = spark.range(500).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("n"),
+    )
+    facts = spark.createDataFrame([("hot", 1), ("4", 2), ("none", 3)], "k string, f int")
+    got = attach(rows, facts, ["k"], ["n"]).collect()
+    assert sorted(r.n for r in got) == sorted([*range(0, 500, 3), 4])
+    rest = attach(rows, facts.select("k"), ["k"], ["n"], "left_anti")
+    assert rest.count() == 500 - len(got)
+    assert attach(rows, facts, ["k"], ["n"], "left").count() == 500
