@@ -121,14 +121,20 @@ def absent(value: Column, path: str) -> Column:
     return node.isNull() | F.is_variant_null(node)
 
 
-def string_at(value: Column, path: str) -> Column:
-    """The string at a path; null when it is missing or another type."""
+def string_of(node: Column) -> Column:
+    """The string a variant holds; null for another type."""
+    found = F.try_variant_get(node, "$", "string")
+    return F.when((kind_at(node) == "STRING") & ~found.startswith(_MARK), found)
+
 
-    def text(node: Column) -> Column:
-        found = F.try_variant_get(node, "$", "string")
-        return F.when((kind_at(node) == "STRING") & ~found.startswith(_MARK), found)
+def fields_of(node: Column) -> Column:
+    """Fields of an object as a map; null for another type."""
+    return F.try_variant_get(node, "$", "map<string,variant>")
 
-    return let(_at(value, path), text)
+
+def string_at(value: Column, path: str) -> Column:
+    """The string at a path; null when it is missing or another type."""
+    return let(_at(value, path), string_of)
 
 
 def filled_string_at(value: Column, path: str) -> Column:

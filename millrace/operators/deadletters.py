@@ -67,12 +67,13 @@ def _protected(scope: DataFrame, keep_last: int, per_destination: bool) -> DataF
     return kept.select("name", "__origin", F.lit(True).alias("__kept"))
 
 
-def _cutoff(candidates: DataFrame, need: int) -> tuple[int, int, str] | None:
-    """Key of the last candidate taken when the oldest are freed until ``need`` bytes.
+def _cutoff(aged: DataFrame, limit_bytes: int) -> tuple[int, int, str] | None:
+    """Key of the last candidate taken when the oldest are freed until the limit holds.
 
-    The boundary is narrowed by day, by second and by name prefix before single
-    letters are summed.  Each step is one aggregation whose result is one row,
-    and each running sum covers a bounded number of rows.
+    None when nothing has to be freed.  The boundary is narrowed by day, by second
+    and by name prefix before single letters are summed.  Each step is one
+    aggregation whose result is one row, and each running sum covers a bounded
+    number of rows.
     """
 
     def narrowed(df: DataFrame, level: str, budget: int) -> tuple[object, int] | None:
@@ -87,16 +88,33 @@ def _cutoff(candidates: DataFrame, need: int) -> tuple[int, int, str] | None:
         )
         return None if last is None else (last["at"], last["rest"])
 
-    rows = candidates.select(
-        F.floor(F.col("mtime_s") / DAY_SECONDS).alias("day"),
+    free = ~F.col("protected") & ~F.col("by_age")
+    size = F.col("size_bytes")
+    aged = aged.withColumn("day", F.floor(F.col("mtime_s") / DAY_SECONDS))
+    all_days = Window.partitionBy()
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    day = (
+        aged.groupBy("day")
+        .agg(
+            F.sum(size).alias("__all"),
+            F.coalesce(F.sum(F.when(F.col("by_age"), size)), F.lit(0)).alias("__aged"),
+            F.sum(F.when(free, size)).alias("__n"),
+        )
+        .withColumn("__need", F.sum(F.col("__all") - F.col("__aged")).over(all_days) - limit_bytes)
+        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        .filter(F.col("__n").isNotNull() & (F.col("__before") < F.col("__need")))
+        .agg(F.max(F.struct("day", (F.col("__need") - F.col("__before")).alias("rest"))))
+        .first()[0]
+    )
+    if day is None:
+        return None
+    rows = aged.filter(free).select(
+        "day",
         F.col("mtime_s").alias("second"),
         F.struct("__origin", F.substring("name", 1, NAME_PREFIX).alias("prefix")).alias("bucket"),
         "name",
         "size_bytes",
     )
-    day = narrowed(rows, "day", need)
-    if day is None:
-        return None
     rows = rows.filter(F.col("day") == day[0])
     second = narrowed(rows, "second", day[1])
     rows = rows.filter(F.col("second") == second[0])
@@ -152,13 +170,7 @@ def prune_dlq(
     if limit_bytes is None:
         decided = aged.withColumn("by_size", F.lit(False))
     else:
-        over = F.sum("size_bytes") - limit_bytes
-        freed = F.coalesce(F.sum(F.when(F.col("by_age"), F.col("size_bytes"))), F.lit(0))
-        need = aged.agg((over - freed).alias("need")).first()["need"]
-        candidates = aged.filter(~F.col("protected") & ~F.col("by_age"))
-        cut = None
-        if need is not None and need > 0:
-            cut = _cutoff(candidates.select("mtime_s", "__origin", "name", "size_bytes"), need)
+        cut = _cutoff(aged, limit_bytes)
         if cut is None:
             decided = aged.withColumn("by_size", F.lit(False))
         else:

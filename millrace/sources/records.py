@@ -20,49 +20,78 @@ def _first_problem(items: Column) -> Column:
     return F.get(F.filter(items, lambda p: p.isNotNull()), F.lit(0))
 
 
-def _message(typed: Column) -> Column:
-    kind, m = typed["kind"], typed["m"]
-    data_path = {"RECORD": "$.record.data", "STATE": "$.state.data"}
-    known = F.coalesce(kind.isin("RECORD", "STATE", "LOG"), F.lit(False))
-    problem = (
-        F.when(~J.is_object(m), "message_not_an_object")
-        .when(~known, "unsupported_message_type")
-        .when((kind == "RECORD") & ~J.is_object(m, "$.record"), "record_not_an_object")
-        .when(
-            (kind == "RECORD") & J.filled_string_at(m, "$.record.stream").isNull(),
-            "record_stream_not_a_filled_string",
-        )
-        .when(
-            (kind == "RECORD") & ~J.is_object(m, "$.record.data"), "record_data_not_an_object"
+BODY_OF = {"RECORD": "record", "STATE": "state", "LOG": "log"}
+
+
+def _field(fields: Column, name: str) -> Column:
+    return F.try_element_at(fields, F.lit(name))
+
+
+def _messages(items: Column) -> Column:
+    """Read each message in steps, so that every node is visited once."""
+
+    def typed(m: Column) -> Column:
+        return F.struct(
+            J.string_of(_field(m, "type")).alias("kind"),
+            m.isNotNull().alias("is_object"),
+            m.alias("fields"),
         )
-        .when(
-            (kind == "RECORD")
-            & ~J.absent(m, "$.record.emitted_at")
-            & J.string_at(m, "$.record.emitted_at").isNull(),
-            "record_emitted_at_not_a_string",
+
+    def opened(m: Column) -> Column:
+        body = F.lit(None).cast("variant")
+        for kind, name in BODY_OF.items():
+            body = F.when(m["kind"] == kind, _field(m["fields"], name)).otherwise(body)
+        return F.struct(
+            m["kind"].alias("kind"),
+            m["is_object"].alias("is_object"),
+            J.fields_of(body).alias("body"),
         )
-        .when((kind == "STATE") & ~J.is_object(m, "$.state"), "state_not_an_object")
-        .when((kind == "STATE") & ~J.is_object(m, "$.state.data"), "state_data_not_an_object")
-        .when((kind == "LOG") & ~J.is_object(m, "$.log"), "log_not_an_object")
-        .when(
-            (kind == "LOG") & J.filled_string_at(m, "$.log.level").isNull(),
-            "log_level_not_a_filled_string",
+
+    def read(m: Column) -> Column:
+        body = m["body"]
+        return F.struct(
+            m["kind"].alias("kind"),
+            m["is_object"].alias("is_object"),
+            body.isNotNull().alias("has_body"),
+            _field(body, "data").alias("data"),
+            J.is_object(_field(body, "data")).alias("has_data"),
+            J.absent(_field(body, "emitted_at"), "$").alias("no_emit"),
+            *[
+                J.string_of(_field(body, c)).alias(c)
+                for c in ("stream", "emitted_at", "level", "message")
+            ],
         )
+
+    steps = F.transform(F.transform(F.transform(items, J.fields_of), typed), opened)
+    return F.transform(F.transform(steps, read), _judged)
+
+
+def _judged(m: Column) -> Column:
+    kind = m["kind"]
+    record, state, log = (kind == k for k in BODY_OF)
+    known = F.coalesce(kind.isin(*BODY_OF), F.lit(False))
+
+    def empty(name: str) -> Column:
+        return F.coalesce(m[name], F.lit("")) == ""
+
+    problem = (
+        F.when(~m["is_object"], "message_not_an_object")
+        .when(~known, "unsupported_message_type")
+        .when(~m["has_body"], F.concat(F.lower(kind), F.lit("_not_an_object")))
+        .when(record & empty("stream"), "record_stream_not_a_filled_string")
+        .when(record & ~m["has_data"], "record_data_not_an_object")
         .when(
-            (kind == "LOG") & J.filled_string_at(m, "$.log.message").isNull(),
-            "log_message_not_a_filled_string",
+            record & ~m["no_emit"] & m["emitted_at"].isNull(), "record_emitted_at_not_a_string"
         )
+        .when(state & ~m["has_data"], "state_data_not_an_object")
+        .when(log & empty("level"), "log_level_not_a_filled_string")
+        .when(log & empty("message"), "log_message_not_a_filled_string")
     )
     return F.struct(
         kind.alias("kind"),
         problem.alias("problem"),
-        F.when(kind == "RECORD", J.string_at(m, "$.record.stream")).alias("stream"),
-        F.when(kind == "RECORD", J.text_at(m, data_path["RECORD"]))
-        .when(kind == "STATE", J.text_at(m, data_path["STATE"]))
-        .alias("data"),
-        F.when(kind == "RECORD", J.string_at(m, "$.record.emitted_at")).alias("emitted_at"),
-        F.when(kind == "LOG", J.string_at(m, "$.log.level")).alias("level"),
-        F.when(kind == "LOG", J.string_at(m, "$.log.message")).alias("message"),
+        F.when(~log, J.render(m["data"])).alias("data"),
+        *[m[c].alias(c) for c in ("stream", "emitted_at", "level", "message")],
     )
 
 
@@ -73,13 +102,10 @@ def read_messages(df: DataFrame, key: str, text: str) -> RecordTables:
     shuffle is needed.  Any bad message rejects its whole document, as does a
     second record stream.
     """
-    def typed(m: Column) -> Column:
-        return F.struct(J.string_at(m, "$.type").alias("kind"), m.alias("m"))
-
     listed = (
         df.select(F.col(key), J.parse(F.col(text)).alias("__root"))
         .withColumn("__list", J.list_at(F.col("__root"), "$.messages"))
-        .withColumn("__m", F.transform(F.transform("__list", typed), _message))
+        .withColumn("__m", _messages(F.col("__list")))
         .withColumn("__records", F.filter("__m", lambda m: m["kind"] == "RECORD"))
         .withColumn("__stream", F.get(F.col("__records"), F.lit(0))["stream"])
     )
