@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import Catalog, table
 from millrace.llm.bpe import encode_texts
 from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.language import predict_language, train_language
+from millrace.llm.licenses import license_digest, scan_licenses
+from millrace.llm.mixing import take
+from millrace.llm.neighbours import nearest
+from millrace.llm.quality import score_quality, train_quality
+from millrace.llm.samples import held_out
+from millrace.llm.sharding import assign_shards
 from millrace.llm.simhash import hex_digits, near_duplicates
 from millrace.llm.url_filter import judge_urls
 
 catalog = Catalog()
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+QUALITY_THRESHOLD = 0.3
 URL_RULES = (
     ("block", "net/"),
     ("allow", "example.net/en/"),
@@ -22,6 +30,60 @@ URL_RULES = (
 )
 
 
+@catalog.add("op1_license_scan")
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return license_digest(scan_licenses(table(spark, folder, "documents")))
+
+
+@catalog.add(
+    "op2_mix_sources",
+    r"""
+    WITH d AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+             md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key
+      FROM documents
+    ), s AS (
+      SELECT source, sum(size) AS source_size,
+             row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+      FROM d GROUP BY source
+    ), w AS (
+      SELECT *, CASE place % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
+             3.0::DOUBLE * source_size AS most, sum(source_size) OVER () AS whole
+      FROM s
+    ), o AS (
+      SELECT *,
+             (whole - coalesce(sum(most) OVER (ORDER BY most / weight, place
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+             / sum(weight) OVER (ORDER BY most / weight, place
+                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM w
+    ), t AS (
+      SELECT source, source_size,
+             CASE WHEN level * weight < most
+                  THEN max(CASE WHEN level * weight < most THEN level END) OVER () * weight
+                  ELSE most END AS target
+      FROM o
+    ), r AS (
+      SELECT d.doc_id, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS budget,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
+           CAST(CASE WHEN source_size = 0 THEN 0 ELSE
+             (budget // source_size) * size
+             + greatest(0, least(size, budget % source_size - earlier)) END AS BIGINT) AS taken
+    FROM r
+    """,
+)
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    taken = take(table(spark, folder, "documents"))
+    words = F.col("epochs") * F.col("size") + F.col("part")
+    return taken.select("doc_id", "size", "source_size", "target", words.alias("taken"))
+
+
 @catalog.add("op3_bpe")
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Encode and decode every document; digests of ids and decoded text."""
@@ -35,6 +97,12 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@catalog.add("op4_nearest_vectors")
+def op4_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth."""
+    return nearest(table(spark, folder, "embeddings"), every=20, k=20)
+
+
 @catalog.add(
     "op5_exact_dedup",
     """
@@ -57,6 +125,14 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return groups.withColumnRenamed("digest", "text_sha256")
 
 
+@catalog.add("op6_language_id")
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, folder, "documents")
+    found = predict_language(docs, train_language(docs), ["doc_id"])
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 @catalog.add(
     "op7_url_filter",
     r"""
@@ -87,9 +163,37 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), URL_RULES, ["page_id"])
 
 
+@catalog.add("op8_quality")
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, folder, "documents")
+    model = train_quality(docs, table(spark, folder, "labels"))
+    scored = score_quality(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @catalog.add("op9_simhash")
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, folder, "documents"), shingle=3, radius=3)
     return found.select("doc_id", hex_digits().alias("fingerprint"), "component_id")
 
+
+@catalog.add("op10_sharding")
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document, sizes near equal."""
+    placed = assign_shards(table(spark, folder, "documents"), shards=8)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
