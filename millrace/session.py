@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,24 +29,26 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names; make a scratch one only for local runs.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Checkpoints must outlive executors, so on a cluster the folder has to be on
-    shared storage and is never invented here.
+    Checkpoints must outlive executors, so the folder has to be on storage that all of
+    them share and is never invented here.  Where the setting is missing, a folder that
+    the caller gave to ``setCheckpointDir`` serves.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get(CHECKPOINT_SETTING, None) or context.getConf().get(
-        CHECKPOINT_SETTING
+    folder = (
+        spark.conf.get(CHECKPOINT_SETTING, None)
+        or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
+        or spark.sparkContext.getCheckpointDir()
     )
-    if configured:
-        context.setCheckpointDir(configured)
-        return
-    if not context.master.startswith("local"):
+    if not folder:
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a shared folder before running this job")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-checkpoint-"))
+    return folder.rstrip("/")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -11,5 +11,7 @@ from millrace.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return build_session("local[4]", 4)
+def spark(tmp_path_factory):
+    session = build_session("local[4]", 4)
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    return session
