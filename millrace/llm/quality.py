@@ -243,3 +243,18 @@ def score_quality(
     )
     source = docs.select(*keep, F.col(text).cast("string").alias("__text"))
     return source.mapInArrow(run, schema)
+
+
+def keep_good(
+    docs: DataFrame, model: QualityModel, threshold: float, text: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, whose score is at least ``threshold``.
+
+    The text itself goes to the scoring task and comes back, so nothing is joined.
+    """
+    columns = docs.columns
+    packed = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    scored = score_quality(packed, model, packed.columns, f"c{columns.index(text)}", "score")
+    return scored.filter(F.col("score") >= threshold).select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)]
+    )

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.catalog.base import Catalog, table
 from millrace.llm.bpe import encode_texts
 from millrace.llm.exact_dedup import exact_groups
@@ -197,3 +198,6 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+catalog.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import connect
+from millrace.llm.rows import drop_rows
 from millrace.llm.textblocks import Block, lowered, map_texts, spaced_words, spaces, sums
 from millrace.session import cut_lineage
 
@@ -259,9 +260,10 @@ def near_duplicates(
     radius: int = 3,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """``keep`` columns (the id), ``simhash`` and ``component_id`` for every row.
+    """``keep`` columns (the id), ``simhash``, ``root`` and ``component_id`` for every row.
 
-    ``component_id`` is the smallest id that links lead to.  Fingerprints are made
+    ``root`` is the component's smallest fingerprint and ``component_id`` the smallest id
+    that links lead to.  Fingerprints are made
     once and written, without the texts.
     """
     keep = keep or [id_column]
@@ -274,12 +276,40 @@ def near_duplicates(
         "root", F.coalesce("root", "fp")
     )
     named = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    roots = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
+    roots = rooted.select("fp", "root").join(named, "root")
     return marked.join(roots.withColumnRenamed("fp", "simhash"), "simhash").select(
-        *keep, "simhash", "component_id"
+        *keep, "simhash", "root", "component_id"
     )
 
 
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    radius: int = 3,
+) -> DataFrame:
+    """``docs`` with one row of every component, that with the smallest id.
+
+    Only keys are moved to find the rows; of rows that share the smallest id the one
+    whose text has the smallest digest stays.
+    """
+    digest = F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary"), 256)
+    keyed = docs.select(F.col(f"`{id_column}`").alias("id"), digest.alias("digest"), F.col(f"`{text}`").alias("text"))
+    found = near_duplicates(keyed, "id", "text", shingle, radius, ["id", "digest"])
+    rows = cut_lineage(found.select("id", "digest", "root"))
+    member = F.struct("id", "digest")
+    shared = rows.groupBy("root").agg(F.min(member).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    touched = (
+        rows.join(shared, "root")
+        .groupBy("id", "digest")
+        .agg(F.max(F.col("first") == member).alias("stays"), F.count("*").alias("n"))
+        .filter("not stays or n > 1")
+        .drop("n")
+    )
+    return drop_rows(docs, {"id": F.col(f"`{id_column}`"), "digest": digest}, touched)
+
+
 def hex_digits(column: str = "simhash"):
     """A fingerprint as 16 lowercase hexadecimal digits."""
     return F.lpad(F.lower(F.hex(F.col(column))), 16, "0")
