@@ -337,16 +337,15 @@ def encode_texts(
 ) -> DataFrame:
     """``keep`` columns, ``ids`` and ``n_tokens``; with ``decoded`` also the text again.
 
-    ``ids`` holds the token ids as little-endian unsigned 32-bit integers.
+    ``ids`` holds the token ids as little-endian unsigned 32-bit integers.  Kept columns
+    with the name of a made one give way to it.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     made = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
     if decoded:
         made.append(T.StructField("decoded", T.StringType()))
-    taken = {f.name for f in made} & set(keep)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} would appear twice")
+    keep = [c for c in keep if c not in {f.name for f in made}]
     schema = T.StructType([*docs.select(*keep).schema.fields, *made])
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary_path))
     run = partial(

@@ -198,6 +198,7 @@ def predict_language(
     """``keep`` columns, ``lang_pred`` and ``score`` of every whole text."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    keep = [c for c in keep if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = (
         docs.select(*keep)

@@ -31,6 +31,7 @@ from millrace.session import cut_lineage
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SLICE_DIGITS = 3
+MADE = ("size", "source_size", "target", "epochs", "part")
 
 
 def _text(name: str) -> Column:
@@ -72,7 +73,7 @@ def targets(sizes: DataFrame, weights: Sequence[float], most: float) -> DataFram
     )
 
 
-def take(
+def _taken(
     docs: DataFrame,
     id_column: str = "doc_id",
     text: str = "text",
@@ -81,14 +82,7 @@ def take(
     most: float = 3.0,
     seed: int = 0,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``epochs`` and ``part``.
-
-    A document is taken ``epochs`` times whole, and once more for its first ``part``
-    words.
-    """
-    made = {"size", "source_size", "target", "epochs", "part"} & set(docs.columns)
-    if made:
-        raise ValueError(f"columns {sorted(made)} would appear twice")
+    """Each document in ``__doc`` and what the mix takes of it."""
     name = F.concat_ws(
         ":", F.lit(str(seed)), F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")),
         F.md5(_text(text).cast("binary")),
@@ -158,30 +152,41 @@ def take(
         .withColumn("size", size)
         .withColumn("part", F.greatest(F.lit(0), F.least("size", left)))
     )
-    columns = [F.col(f"__doc.`{c}`").alias(c) for c in docs.columns]
-    out = [*columns, "size", "source_size", "target", "epochs", F.col("part").cast("long")]
+    out = ["__doc", *MADE[:-1], F.col("part").cast("long")]
     return decided.select(*out).union(sorted_part.select(*out))
 
 
+def take(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with ``size``, ``source_size``, ``target``, ``epochs`` and ``part``.
+
+    A document is taken ``epochs`` times whole, and once more for its first ``part``
+    words.  Columns of ``docs`` with one of these names give way to them.
+    """
+    columns = [F.col(f"__doc.`{c}`").alias(c) for c in docs.columns if c not in MADE]
+    return _taken(docs, **options).select(*columns, *MADE)
+
+
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: a row for every time a document is taken, columns as in ``docs``.
 
     A document's last, partial taking holds its first ``part`` words, with the space
     between them as it was.
     """
-    taken = take(docs, text=text, **options)
+    taken = _taken(docs, text=text, **options)
     partial = (F.col("part") > 0).cast("int")
     copies = F.sequence(F.lit(1), (F.col("epochs") + partial).cast("int"))
-    rows = (
-        taken.filter((F.col("epochs") + partial > 0) & (F.col("size") > 0))
-        .withColumn("__copy", F.explode(copies))
+    rows = taken.filter((F.col("epochs") + partial > 0) & (F.col("size") > 0)).withColumn(
+        "__copy", F.explode(copies)
     )
-    ends = F.split(F.col(f"`{text}`"), "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])")
+    whole = F.col(f"__doc.`{text}`")
+    ends = F.split(whole, "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])")
     head = F.array_join(F.slice(ends, 1, F.col("part").cast("int")), "")
     cut = (F.col("__copy") > F.col("epochs")) & (F.col("part") < F.col("size"))
     return rows.select(
         *[
-            F.when(cut, head).otherwise(F.col(f"`{c}`")).alias(c) if c == text else F.col(f"`{c}`")
+            F.when(cut, head).otherwise(whole).alias(c)
+            if c == text
+            else F.col(f"__doc.`{c}`").alias(c)
             for c in docs.columns
         ]
     )

@@ -108,11 +108,14 @@ def _search(left: pd.DataFrame, right: pd.DataFrame, k: int, wanted: float) -> p
     queries = np.stack(right["vector"].to_numpy()).astype(np.float64)
     ids = [sorted(int(i) for i in x) for x in left["ids"]]
     forest = Forest(vectors)
+    # An entry is held at most once by each tree, a query's own one by all of them: this is
+    # enough for k others, or for all there are.
+    enough = max(int(wanted * len(vectors)) + forest.trees, forest.trees * (k + 1))
     out: list[tuple[int, int, float]] = []
     step = 256
     for at in range(0, len(queries), step):
         block = queries[at : at + step]
-        found = forest.candidates(block, int(wanted * len(vectors)))
+        found = forest.candidates(block, enough)
         # With candidates this dense a product of all, masked, beats gathering them.
         scores = np.where(found, block @ vectors.T, -np.inf)
         # Sums of another order may differ in the last digits: a few more are scored anew.
@@ -146,7 +149,8 @@ def nearest(
 
     Queries are the rows whose id is divisible by ``every``, candidates all others.  A
     query ascends until the prefixes of a shard's trees hold ``wanted`` times as many
-    vectors as the shard, counting one for each tree that it is found in.
+    vectors as the shard, counting one for each tree that it is found in and leaving out
+    itself.
     """
     rows = usable(vectors, id_column, vector)
     by_id = Window.partitionBy("vector").orderBy("id")

@@ -236,6 +236,7 @@ def score_quality(
     """``keep`` columns and the probability of label 1 of every whole text."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    keep = [c for c in keep if c != out]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*keep).withColumn(out, F.lit(0.0)).schema
     run = partial(

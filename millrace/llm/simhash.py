@@ -106,6 +106,7 @@ def fingerprints(
     """``keep`` columns and the signed 64-bit fingerprint of every whole text."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    keep = [c for c in keep if c != out]
     source = docs.select(*keep, F.col(text).cast("string").alias("__text"))
     kept = docs.select(*keep)
     made = kept.withColumn(out, F.lit(0).cast("long")).schema

@@ -9,7 +9,7 @@ path, then block over allow.
 The rules are a parameter of bounded size (``MAX_RULES``, checked); the trie is built
 from them on the driver and broadcast.  URLs are judged where they are read.
 
-A null URL and one without ``://`` have an empty host and path, which no rule fits.
+Kept columns named like a result give way to it.  A null URL and one without ``://`` have an empty host and path, which no rule fits.
 """
 
 from __future__ import annotations
@@ -120,6 +120,7 @@ def judge_urls(
             yield pd.DataFrame(found, columns=["rule", "verdict"])
 
     host, path = url_parts(F.col(url))
+    keep = [c for c in keep if c not in ("host", "path", "rule", "verdict")]
     split = pages.select(*keep, host.alias("host"), path.alias("path"))
     marked = split.withColumn("__found", judged("host", "path"))
     return marked.select(
