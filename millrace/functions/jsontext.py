@@ -4,12 +4,17 @@ Free-form objects travel as *canonical JSON text*: keys sorted, no blanks, raw
 non-ASCII.  ``parse`` turns any JSON text into a variant and ``render`` turns a
 variant back into canonical text.  A variant stores ``1.0`` as the number one,
 so ``parse`` marks integral floats first and ``render`` removes the mark; that
-keeps ``1`` and ``1.0`` apart.
+keeps ``1`` and ``1.0`` apart.  Numbers that a variant cannot hold (integers of 39
+digits and more, exponents of three) are marked too and keep their text.
+
+An object that repeats a key keeps the last value where the session has
+``spark.sql.variant.allowDuplicateKeys`` set (``session.KEEP_LAST_KEY``), as sessions
+made here and by the entry have; else its document counts as malformed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,19 +27,33 @@ _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 _FLOAT_SKIP = rf'(?:{_STRING}|[^"\-0-9]++|(?!-?\d++\.0++(?![\deE]))-?\d[\d.eE+\-]*+)*+'
 _MAYBE_FLOAT = r"(?:^|[:,\[\s])-?\d+\.0+(?:[\s,}\]]|$)"
 _INTEGRAL_FLOAT = rf"\G({_FLOAT_SKIP})(-?\d++\.0++)(?![\deE])"
+_LARGE_MARK = "\ue001"
+_LARGE = r"-?\d++(?:\.\d++)?+[eE]\+?\d{3,}+|-?\d{39,}+(?![\d.eE])"
+_LARGE_SKIP = rf'(?:{_STRING}|[^"\-0-9]++|(?!{_LARGE})-?\d[\d.eE+\-]*+)*+'
+_MAYBE_LARGE = r"\d[eE]\+?\d{3}|\d{39}"
+#: Longest string, in characters, that the JSON parser takes.
+LONGEST_STRING = 20_000_000
+_STRICT = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
 _SEPARATOR = rf'\G((?:[^",:]++|{_STRING})*+)([,:])'
 
 
+def _marked(text: Column) -> Column:
+    floats = F.when(
+        text.rlike(_MAYBE_FLOAT), F.regexp_replace(text, _INTEGRAL_FLOAT, f'$1"{_MARK}$2"')
+    ).otherwise(text)
+    return F.when(
+        floats.rlike(_MAYBE_LARGE),
+        F.regexp_replace(floats, rf"\G({_LARGE_SKIP})({_LARGE})", f'$1"{_LARGE_MARK}$2"'),
+    ).otherwise(floats)
+
+
 def parse(text: Column) -> Column:
     """Variant of a JSON text, null when the text is malformed.
 
     Spark's parser stops after the first value.  Read as the first of two list
     items, a text with anything behind its value is malformed as it should be.
     """
-    marked = F.when(
-        text.rlike(_MAYBE_FLOAT), F.regexp_replace(text, _INTEGRAL_FLOAT, f'$1"{_MARK}$2"')
-    ).otherwise(text)
-    pair = F.try_parse_json(F.concat(F.lit("["), marked, F.lit(f',"{_END}"]')))
+    pair = F.try_parse_json(F.concat(F.lit("["), _marked(text), F.lit(f',"{_END}"]')))
     whole = F.filter(
         F.array(F.try_variant_get(pair, "$", "array<variant>")),
         lambda items: (F.size(items) == 2)
@@ -43,9 +62,37 @@ def parse(text: Column) -> Column:
     return F.get(F.get(whole, F.lit(0)), F.lit(0))
 
 
+def document(text: Column, lists: Sequence[str], values: Sequence[str] = ()) -> Column:
+    """Named fields of a JSON object: ``lists`` as arrays of variants, ``values`` as variants.
+
+    Each item is a variant of its own, so a document may be as large as a row.  Null for
+    a text that is malformed or no object; a field that is no list is null.
+    """
+    fields = [f"`{n}`:array<variant>" for n in lists] + [f"`{n}`:variant" for n in values]
+    schema = f"array<struct<{','.join(fields)},`{_END}`:int>>"
+    pair = F.from_json(
+        F.concat(F.lit("["), _marked(text), F.lit(f',{{"{_END}":1}}]')), schema, _STRICT
+    )
+    whole = F.filter(
+        F.array(pair), lambda items: (F.size(items) == 2) & (F.get(items, F.lit(1))[_END] == 1)
+    )
+    return F.get(F.get(whole, F.lit(0)), F.lit(0))
+
+
+def document_problem(text: Column, whole: Column, other: str) -> Column:
+    """Why ``document`` is null: too long a string, malformed, or ``other`` for no object."""
+    return F.when(
+        whole.isNull(),
+        F.when(parse(text).isNotNull(), other)
+        .when(F.length(text) > LONGEST_STRING, "string_too_long_or_malformed_json")
+        .otherwise("malformed_json"),
+    )
+
+
 def render(value: Column) -> Column:
     """Canonical JSON text of a variant."""
-    return F.regexp_replace(F.to_json(value), f'"{_MARK}(-?\\d+\\.0)0*"', "$1")
+    text = F.regexp_replace(F.to_json(value), f'"{_MARK}(-?\\d+\\.0)0*"', "$1")
+    return F.regexp_replace(text, f'"{_LARGE_MARK}([^"]*)"', "$1")
 
 
 def canonical(text: Column) -> Column:
@@ -124,7 +171,8 @@ def absent(value: Column, path: str) -> Column:
 def string_of(node: Column) -> Column:
     """The string a variant holds; null for another type."""
     found = F.try_variant_get(node, "$", "string")
-    return F.when((kind_at(node) == "STRING") & ~found.startswith(_MARK), found)
+    number = found.startswith(_MARK) | found.startswith(_LARGE_MARK)
+    return F.when((kind_at(node) == "STRING") & ~number, found)
 
 
 def fields_of(node: Column) -> Column:

@@ -15,7 +15,7 @@ order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,15 +110,27 @@ def sum_before(
     value: str,
     out: str,
     slice_by: Column | None = None,
+    totals: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Add the sum of ``value`` over the rows before this one in the group."""
+    """Add the sum of ``value`` over the rows before this one in the group.
+
+    ``totals`` names columns to add and the columns whose sum over the whole group they
+    get; they come from the same slice summaries.
+    """
     rows = sliced(df, keys, order, slice_by)
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*keys)
     summary = (
         rows.groupBy(*keys, SLICE)
-        .agg(F.sum(value).alias("__o_n"))
+        .agg(
+            F.sum(value).alias("__o_n"),
+            *[F.sum(c).alias(f"__o_t_{name}") for name, c in (totals or {}).items()],
+        )
         .withColumn("__o_before", F.coalesce(F.sum("__o_n").over(before), F.lit(0)))
-        .drop("__o_n")
+        .withColumns(
+            {name: F.coalesce(F.sum(f"__o_t_{name}").over(group), F.lit(0)) for name in totals or {}}
+        )
+        .drop("__o_n", *[f"__o_t_{name}" for name in totals or {}])
     )
     local = (
         Window.partitionBy(*keys, SLICE)

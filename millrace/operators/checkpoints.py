@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from millrace.functions import identity, ordering
 from millrace.functions import jsontext as J
 from millrace.functions.binding import evaluate_once
-from millrace.functions.joining import attach
 
 SCHEMA_VERSION = 1
 PROGRESS_KINDS = ("cursor_v1", "token_v1", "page_v1", "state_dict_v1")
@@ -76,7 +75,7 @@ def build_checkpoints(
         (F.col(resumed) if resumed in tasks.columns else F.lit(None).cast("string")).alias(resumed),
     )
     read = progress_kind(states.select(*keys, "state_index", "data"))
-    entries = attach(read, headers, keys, ["state_index"]).withColumn(
+    entries = read.join(headers, list(keys)).withColumn(
         "checkpoint_identity_key",
         identity.checkpoint_key(
             F.col("task_identity_key"), F.col("stream"), F.col("progress_kind"), F.col("data")
@@ -429,12 +428,10 @@ def resume_filter(
     )
     open_ = judged.filter(F.col("issue_code").isNull()).select(*at, "__after")
 
-    def after(df: DataFrame, index: str, cursor: Column) -> DataFrame:
-        joined = attach(df, open_, at, [index])
+    def after(df: DataFrame, cursor: Column) -> DataFrame:
+        joined = df.join(open_, at)
         return joined.filter(cursor > F.col("__after")).select(*df.columns)
 
-    kept_records = after(records, "record_index", F.col("emitted_at"))
-    kept_states = after(
-        states, "state_index", J.filled_string_at(J.parse(F.col("data")), "$.cursor")
-    )
+    kept_records = after(records, F.col("emitted_at"))
+    kept_states = after(states, J.filled_string_at(J.parse(F.col("data")), "$.cursor"))
     return kept_records, kept_states, blocked

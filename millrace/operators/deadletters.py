@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import identity, ordering, textrules
@@ -19,8 +19,6 @@ from millrace.operators.metadata import with_fields
 
 DAY_SECONDS = 86_400
 MEGABYTE = 1024 * 1024
-NAME_PREFIX = 4
-TOP_K_LIMIT = 1000
 INVALID_PAYLOAD = "ZE-DELIVERY-INVALID-PAYLOAD"
 
 
@@ -47,84 +45,45 @@ def build_dlq(run_meta: DataFrame, receipts: DataFrame, written_at: Column) -> D
     )
 
 
-def _protected(scope: DataFrame, keep_last: int, per_destination: bool) -> DataFrame:
-    """The newest letters; those of one second go by scan order: pending, done, by name."""
-    newest = [F.col("mtime_s").desc(), F.col("__origin"), F.col("name")]
-    slim = scope.select("name", "__origin", "mtime_s", "destination")
-    if keep_last > TOP_K_LIMIT:
-        # Too many for a top-k: rank by slices, so that no task sorts a destination.
-        aged = slim.withColumn("__age", -F.col("mtime_s"))
-        keys = ["destination"] if per_destination else []
-        ranked = ordering.group_index(aged, keys, ["__age", "__origin", "name"], "__rn")
-        kept = ranked.filter(F.col("__rn") < keep_last)
-    elif per_destination:
-        window = Window.partitionBy("destination").orderBy(*newest)
-        kept = slim.withColumn("__rn", F.row_number().over(window)).filter(
-            F.col("__rn") <= keep_last
-        )
-    else:
-        kept = slim.orderBy(*newest).limit(keep_last)
-    return kept.select("name", "__origin", F.lit(True).alias("__kept"))
+_OLDEST_FIRST = ["mtime_s", "__origin", "name"]
 
 
-def _cutoff(aged: DataFrame, limit_bytes: int) -> tuple[int, int, str] | None:
-    """Key of the last candidate taken when the oldest are freed until the limit holds.
+def _protected(scope: DataFrame, keep_last: int, per_destination: bool) -> DataFrame:
+    """The newest letters; those of one second go by scan order: pending, done, by name.
 
-    None when nothing has to be freed.  The boundary is narrowed by day, by second
-    and by name prefix before single letters are summed.  Each step is one
-    aggregation whose result is one row, and each running sum covers a bounded
-    number of rows.
+    Ranked by slices, so that no task sorts a whole destination, whatever ``keep_last``.
     """
+    aged = scope.select(
+        "name", "__origin", "destination", (-F.col("mtime_s")).alias("__age")
+    )
+    keys = ["destination"] if per_destination else []
+    ranked = ordering.group_index(aged, keys, ["__age", "__origin", "name"], "__rn")
+    return ranked.filter(F.col("__rn") < keep_last).select(
+        "name", "__origin", F.lit(True).alias("__kept")
+    )
 
-    def narrowed(df: DataFrame, level: str, budget: int) -> tuple[object, int] | None:
-        before = Window.orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        last = (
-            df.groupBy(level)
-            .agg(F.sum("size_bytes").alias("__n"))
-            .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-            .filter(F.col("__before") < budget)
-            .agg(F.max(F.struct(F.col(level).alias("at"), (budget - F.col("__before")).alias("rest"))))
-            .first()[0]
-        )
-        return None if last is None else (last["at"], last["rest"])
 
+def _freed(aged: DataFrame, limit_bytes: int) -> DataFrame:
+    """Letters taken by the size limit: the oldest first, until what stays fits.
+
+    One ordered pass over slim rows gives each letter the bytes that older candidates
+    free and the bytes that the age limit leaves.
+    """
     free = ~F.col("protected") & ~F.col("by_age")
-    size = F.col("size_bytes")
-    aged = aged.withColumn("day", F.floor(F.col("mtime_s") / DAY_SECONDS))
-    all_days = Window.partitionBy()
-    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    day = (
-        aged.groupBy("day")
-        .agg(
-            F.sum(size).alias("__all"),
-            F.coalesce(F.sum(F.when(F.col("by_age"), size)), F.lit(0)).alias("__aged"),
-            F.sum(F.when(free, size)).alias("__n"),
-        )
-        .withColumn("__need", F.sum(F.col("__all") - F.col("__aged")).over(all_days) - limit_bytes)
-        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-        .filter(F.col("__n").isNotNull() & (F.col("__before") < F.col("__need")))
-        .agg(F.max(F.struct("day", (F.col("__need") - F.col("__before")).alias("rest"))))
-        .first()[0]
-    )
-    if day is None:
-        return None
-    rows = aged.filter(free).select(
-        "day",
-        F.col("mtime_s").alias("second"),
-        F.struct("__origin", F.substring("name", 1, NAME_PREFIX).alias("prefix")).alias("bucket"),
+    slim = aged.select(
         "name",
-        "size_bytes",
+        "__origin",
+        "mtime_s",
+        free.alias("__free"),
+        F.when(free, F.col("size_bytes")).otherwise(0).alias("__size"),
+        F.when(F.col("by_age"), 0).otherwise(F.col("size_bytes")).alias("__left"),
     )
-    rows = rows.filter(F.col("day") == day[0])
-    second = narrowed(rows, "second", day[1])
-    rows = rows.filter(F.col("second") == second[0])
-    bucket = narrowed(rows, "bucket", second[1])
-    rows = rows.filter(
-        (F.col("bucket.__origin") == bucket[0]["__origin"])
-        & (F.col("bucket.prefix") == bucket[0]["prefix"])
+    placed = ordering.sum_before(
+        slim, [], _OLDEST_FIRST, "__size", "__before", totals={"__stays": "__left"}
     )
-    name = narrowed(rows, "name", bucket[1])
-    return second[0], bucket[0]["__origin"], name[0]
+    return placed.filter(
+        F.col("__free") & (F.col("__before") < F.col("__stays") - limit_bytes)
+    ).select("name", "__origin", F.lit(True).alias("__freed"))
 
 
 def prune_dlq(
@@ -140,8 +99,7 @@ def prune_dlq(
 ) -> tuple[DataFrame, DataFrame]:
     """Letters with the decision on each, and one row of statistics.
 
-    A size limit is settled by a few small jobs at once; everything else is
-    lazy.  Letters older than the age limit are selected, then the oldest others until
+    Letters older than the age limit are selected, then the oldest others until
     the size limit holds; the newest ``keep_last`` are never selected.  ``apply``
     turns the state of selected letters to ``pruned``.
     """
@@ -170,21 +128,12 @@ def prune_dlq(
     if limit_bytes is None:
         decided = aged.withColumn("by_size", F.lit(False))
     else:
-        cut = _cutoff(aged, limit_bytes)
-        if cut is None:
-            decided = aged.withColumn("by_size", F.lit(False))
-        else:
-            second, origin, name = (F.lit(v) for v in cut)
-            until = (F.col("mtime_s") < second) | (
-                (F.col("mtime_s") == second)
-                & (
-                    (F.col("__origin") < origin)
-                    | ((F.col("__origin") == origin) & (F.col("name") <= name))
-                )
-            )
-            decided = aged.withColumn(
-                "by_size", ~F.col("protected") & ~F.col("by_age") & until
-            )
+        freed = _freed(aged, limit_bytes)
+        decided = (
+            aged.join(freed, ["name", "__origin"], "left")
+            .withColumn("by_size", F.coalesce("__freed", F.lit(False)))
+            .drop("__freed")
+        )
     plan = decided.withColumn("selected", F.col("by_age") | F.col("by_size"))
     if apply:
         plan = plan.withColumn(

@@ -7,6 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: With this set to true, a JSON object that repeats a key keeps its last value.
+KEEP_LAST_KEY = "spark.sql.variant.allowDuplicateKeys"
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None) -> SparkSession:
@@ -17,6 +19,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(KEEP_LAST_KEY, "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -55,13 +58,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly row work on an input of few splits.
-
-    A small file is read by one task.  An input that already has a task for every
-    core is returned as it is, so large inputs are never shuffled by this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

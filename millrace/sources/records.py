@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from millrace.functions import jsontext as J
 from millrace.functions import ordering
 from millrace.functions.binding import evaluate_once
-from millrace.functions.joining import attach
 from millrace.sources.tables import RecordTables
 
 PAGES_PER_SLICE = 1024
@@ -103,15 +102,17 @@ def read_messages(df: DataFrame, key: str, text: str) -> RecordTables:
     second record stream.
     """
     listed = (
-        df.select(F.col(key), J.parse(F.col(text)).alias("__root"))
-        .withColumn("__list", J.list_at(F.col("__root"), "$.messages"))
+        evaluate_once(df, [key, text], {"__root": J.document(F.col(text), ["messages"])})
+        .withColumn("__list", F.col("__root.messages"))
         .withColumn("__m", _messages(F.col("__list")))
         .withColumn("__records", F.filter("__m", lambda m: m["kind"] == "RECORD"))
         .withColumn("__stream", F.get(F.col("__records"), F.lit(0))["stream"])
     )
     problem = (
-        F.when(F.col("__root").isNull(), "malformed_json")
-        .when(~J.is_object(F.col("__root")), "document_not_an_object")
+        F.when(
+            F.col("__root").isNull(),
+            J.document_problem(F.col(text), F.col("__root"), "document_not_an_object"),
+        )
         .when(F.col("__list").isNull(), "messages_not_a_list")
         .otherwise(
             F.coalesce(
@@ -177,14 +178,18 @@ def read_record_list(df: DataFrame, key: str, text: str) -> RecordTables:
         )
 
     listed = (
-        df.select(F.col(key), J.parse(F.col(text)).alias("__root"))
-        .withColumn("__list", J.list_at(F.col("__root"), "$.records"))
+        evaluate_once(
+            df, [key, text], {"__root": J.document(F.col(text), ["records"], ["stream"])}
+        )
+        .withColumn("__list", F.col("__root.records"))
         .withColumn("__read", F.transform("__list", record))
-        .withColumn("__stream", J.filled_string_at(F.col("__root"), "$.stream"))
+        .withColumn("__stream", F.nullif(J.string_of(F.col("__root.stream")), F.lit("")))
     )
     problem = (
-        F.when(F.col("__root").isNull(), "malformed_json")
-        .when(~J.is_object(F.col("__root")), "document_not_an_object")
+        F.when(
+            F.col("__root").isNull(),
+            J.document_problem(F.col(text), F.col("__root"), "document_not_an_object"),
+        )
         .when(F.col("__stream").isNull(), "stream_not_a_filled_string")
         .when(F.col("__list").isNull(), "records_not_a_list")
         .otherwise(_first_problem(F.transform("__read", lambda r: r["problem"])))
@@ -227,17 +232,24 @@ def read_paged(
     """
     at = [*keys, stream]
     listed = (
-        pages.select(*at, page_number, source_url, J.parse(F.col(body)).alias("__b"))
-        .withColumn("__items", J.list_at(F.col("__b"), "$.records"))
-        .withColumn("__next", J.filled_string_at(F.col("__b"), "$.next_cursor"))
+        evaluate_once(
+            pages,
+            [*at, page_number, source_url, body],
+            {"__b": J.document(F.col(body), ["records"], ["next_cursor"])},
+        )
+        .withColumn("__items", F.col("__b.records"))
+        .withColumn("__cursor", F.col("__b.next_cursor"))
+        .withColumn("__next", F.nullif(J.string_of(F.col("__cursor")), F.lit("")))
     )
     problem = (
-        F.when(F.col("__b").isNull(), "malformed_json")
-        .when(~J.is_object(F.col("__b")), "response_not_an_object")
+        F.when(
+            F.col("__b").isNull(),
+            J.document_problem(F.col(body), F.col("__b"), "response_not_an_object"),
+        )
         .when(F.col("__items").isNull(), "records_not_a_list")
         .when(F.exists("__items", lambda r: ~J.is_object(r)), "record_not_an_object")
         .when(
-            ~J.absent(F.col("__b"), "$.next_cursor") & F.col("__next").isNull(),
+            ~J.absent(F.col("__cursor"), "$") & F.col("__next").isNull(),
             "next_cursor_not_a_filled_string",
         )
     )
@@ -271,7 +283,7 @@ def read_paged(
     ).select(*keys, f"__e.{page_number}", "__e.problem")
     # One small row per page decides which pages are read and where each one starts.
     slim = parsed.select(*at, page_number, source_url, "next_cursor", "record_count")
-    headers = attach(slim, errors.select(*keys), keys, [page_number], "left_anti")
+    headers = slim.join(errors.select(*keys), list(keys), "left_anti")
     slice_by = F.floor(F.col(page_number) / PAGES_PER_SLICE)
     started = ordering.sum_before(
         headers, keys, [page_number], "record_count", "__before", slice_by

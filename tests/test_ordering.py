@@ -58,16 +58,13 @@ def test_null_previous_value_is_kept(spark):
     assert {r.o: r.p for r in got} == {1: "start", 2: "a", 3: None}
 
 
-def test_attach_keeps_every_row(spark):
-    from millrace.functions.joining import attach
-
-    rows = spark.range(500).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
-        F.col("id").alias("n"),
-    )
-    facts = spark.createDataFrame([("hot", 1), ("4", 2), ("none", 3)], "k string, f int")
-    got = attach(rows, facts, ["k"], ["n"]).collect()
-    assert sorted(r.n for r in got) == sorted([*range(0, 500, 3), 4])
-    rest = attach(rows, facts.select("k"), ["k"], ["n"], "left_anti")
-    assert rest.count() == 500 - len(got)
-    assert attach(rows, facts, ["k"], ["n"], "left").count() == 500
+@pytest.mark.parametrize("slice_by", [None, "div"])
+def test_totals_of_the_group(spark, slice_by):
+    data = rows(3)
+    df = spark.createDataFrame(data, "k string, o long, v long").repartition(5)
+    by = None if slice_by is None else F.floor(F.col("o") / 700)
+    got = ordering.sum_before(df, ["k"], ["o"], "v", "s", by, totals={"all": "v"}).collect()
+    whole = defaultdict(int)
+    for key, _, value in data:
+        whole[key] += value
+    assert len(got) == len(data) and all(r["all"] == whole[r.k] for r in got)
