@@ -88,6 +88,30 @@ def incremental_logs(spark: SparkSession, folder: str) -> DataFrame:
     return order_read(spark, folder).logs
 
 
+@catalog.add(
+    "incremental_errors",
+    """SELECT 'orders' AS stream, cursor, 'cursor_did_not_advance' AS problem
+FROM (SELECT strftime(o_orderdate, '%Y-%m-%d') AS cursor FROM orders)
+GROUP BY cursor HAVING count(*) > 1
+UNION ALL SELECT 'refused', CAST(o_orderkey AS VARCHAR), 'delivered' FROM orders WHERE o_orderkey < 0""",
+)
+def incremental_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Order dates repeat, so the read is refused: its records would show as delivered."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("cursor")
+    )
+    read = read_incremental(
+        orders, ["cursor", "o_orderkey"], "cursor", None, BATCH, "orders", ORIGIN,
+        slice_by=F.col("cursor").substr(1, 7),
+    )
+    delivered = read.records.select(
+        F.lit("refused").alias("stream"),
+        F.col("emitted_at").alias("cursor"),
+        F.lit("delivered").alias("problem"),
+    )
+    return read.errors.unionByName(delivered)
+
+
 @catalog.add(
     "cursor_violations",
     """SELECT o_orderkey, cursor, previous_cursor, 'cursor_did_not_advance' AS problem
@@ -129,8 +153,13 @@ def cursor_violations_by_range(spark: SparkSession, folder: str) -> DataFrame:
     return check_cursor(rows, "cursor", None, ["l_suppkey"], ["arrival"])
 
 
+OFFSET_CONTRACT = {"source_kind": "kafka_partition_offset_v1", "offset_cursor_width": 20}
+
+
 def offset_read(spark: SparkSession, folder: str) -> RecordTables:
-    return read_offsets(event_offsets(spark, folder), OFFSET_BATCH, "events", "log", 9)
+    return read_offsets(
+        event_offsets(spark, folder), OFFSET_BATCH, "events", "log", 9, contract=OFFSET_CONTRACT
+    )
 
 
 _OFFSETS_SQL = """SELECT user_id, event_id, props,
@@ -155,6 +184,7 @@ def offset_records(spark: SparkSession, folder: str) -> DataFrame:
  b AS state_index, '{{"connection_name":"log","cursor":"' || lpad(CAST(last AS VARCHAR), 20, '0') ||
  '","last_offset":' || last || ',"partition":' || user_id ||
  ',"read_direction":"asc","read_mode":"explicit_partition_offset","record_count":' || n ||
+ ',"source_operational_contract":{{"offset_cursor_width":20,"source_kind":"kafka_partition_offset_v1"}}' ||
  ',"topic":"events"}}' AS data FROM ({_OFFSET_BATCHES_SQL})""",
 )
 def offset_states(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,33 +197,54 @@ def offset_states(spark: SparkSession, folder: str) -> DataFrame:
  b AS log_index, 'INFO' AS level,
  'fetched batch=' || (b + 1) || ' records=' || n || ' offset=' || last AS message
 FROM ({_OFFSET_BATCHES_SQL})
-UNION ALL SELECT 'events', CAST(user_id AS INTEGER), 'events', max(b) + 1, 'INFO',
- 'source exhausted after batch=' || (max(b) + 2) FROM ({_OFFSET_BATCHES_SQL}) GROUP BY user_id""",
+UNION ALL SELECT 'events', CAST(e.user_id AS INTEGER), 'events', coalesce(max(b), -1) + 1, 'INFO',
+ 'source exhausted after batch=' || (coalesce(max(b), -1) + 2)
+FROM (SELECT DISTINCT user_id FROM events) e LEFT JOIN ({_OFFSET_BATCHES_SQL}) USING (user_id)
+GROUP BY e.user_id""",
 )
 def offset_logs(spark: SparkSession, folder: str) -> DataFrame:
     return offset_read(spark, folder).logs
 
 
+_DIRTY = "event_type IN ('view', 'click')"
+
+
+@catalog.add(
+    "offset_clean_records",
+    f"""SELECT 'events' AS topic, CAST(user_id AS INTEGER) AS partition, 'events' AS stream,
+ row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS record_index,
+ CAST(json(props) AS VARCHAR) AS data, lpad(CAST(event_id AS VARCHAR), 20, '0') AS emitted_at
+FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE {_DIRTY} AND event_id % 50 = 0)""",
+)
+def offset_clean_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Only partitions without a bad value are delivered."""
+    return read_offsets(dirty_log(spark, folder, 50), OFFSET_BATCH, "events", "log").records
+
+
 @catalog.add(
     "offset_errors",
     """SELECT 'events' AS topic, CAST(user_id AS INTEGER) AS partition, event_id AS "offset",
  'value_not_a_json_object' AS problem FROM events WHERE event_type IN ('view', 'click')""",
 )
 def offset_errors(spark: SparkSession, folder: str) -> DataFrame:
-    """Views carry a broken value and clicks a list."""
+    return read_offsets(dirty_log(spark, folder), OFFSET_BATCH, "events", "log").errors
+
+
+def dirty_log(spark: SparkSession, folder: str, every: int = 1) -> DataFrame:
+    """Views carry a broken value and clicks a list, where the id divides by ``every``."""
     e = table(spark, folder, "events")
+    dirty = F.col("event_id") % every == 0
     value = (
-        F.when(F.col("event_type") == "view", F.concat(F.col("props"), F.lit("}")))
-        .when(F.col("event_type") == "click", F.concat(F.lit("["), "props", F.lit("]")))
+        F.when(dirty & (F.col("event_type") == "view"), F.concat(F.col("props"), F.lit("}")))
+        .when(dirty & (F.col("event_type") == "click"), F.concat(F.lit("["), "props", F.lit("]")))
         .otherwise(F.col("props"))
     )
-    log = e.select(
+    return e.select(
         F.lit("events").alias("topic"),
         F.col("user_id").cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         value.alias("value"),
     )
-    return read_offsets(log, OFFSET_BATCH, "events", "log").errors
 
 
 def event_messages(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,15 @@ OFFSET_CURSOR_WIDTH = 20
 
 
 def _batch_logs(
-    states: DataFrame, keys: Sequence[str], unit: str, position: str, count: str, batch: str
+    states: DataFrame,
+    keys: Sequence[str],
+    unit: str,
+    position: str,
+    count: str,
+    batch: str,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
-    """One line per batch and a closing line per group."""
+    """One line per batch and a closing line per group; ``groups`` names empty ones too."""
     fetched = states.select(
         *keys,
         F.col(batch).alias("log_index"),
@@ -33,18 +40,17 @@ def _batch_logs(
             F.col(position),
         ).alias("message"),
     )
-    closing = (
-        states.groupBy(*keys)
-        .agg(F.max(batch).alias("__last"))
-        .select(
-            *keys,
-            (F.coalesce(F.col("__last"), F.lit(-1)) + 1).alias("log_index"),
-            F.lit("INFO").alias("level"),
-            F.concat(
-                F.lit("source exhausted after batch="),
-                F.coalesce(F.col("__last"), F.lit(-1)) + 2,
-            ).alias("message"),
-        )
+    ended = states.groupBy(*keys).agg(F.max(batch).alias("__last"))
+    if groups is not None:
+        ended = groups.join(ended, list(keys), "left")
+    closing = ended.select(
+        *keys,
+        (F.coalesce(F.col("__last"), F.lit(-1)) + 1).alias("log_index"),
+        F.lit("INFO").alias("level"),
+        F.concat(
+            F.lit("source exhausted after batch="),
+            F.coalesce(F.col("__last"), F.lit(-1)) + 2,
+        ).alias("message"),
     )
     return fetched.unionByName(closing)
 
@@ -65,8 +71,9 @@ def read_incremental(
     The projection and the cursor filter reach the scan.  ``origin`` names the
     table (``connection_name``, ``schema``/``database``, ``table``/``collection``)
     and is repeated in every state.  ``documents`` selects the field names of a
-    document store.  Rows whose cursor is empty or does not advance are reported
-    by :func:`check_cursor`.
+    document store.  ``errors`` has the cursors that are null, empty or repeated; a
+    read with one of them gives no records, states or logs, so that no resume starts
+    behind a row that was refused.
     """
     wanted = df.select(*columns)
     if cursor_start is not None:
@@ -77,6 +84,20 @@ def read_incremental(
         F.col(cursor).alias("cursor"),
         J.object_text({c: json_value(normal, c) for c in columns}).alias("data"),
     )
+    empty = F.col("cursor").isNull() | (F.col("cursor").cast("string") == "")
+    errors = (
+        rows.groupBy("cursor")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn(
+            "problem",
+            F.when(empty, "cursor_not_a_filled_string").when(
+                F.col("__n") > 1, "cursor_did_not_advance"
+            ),
+        )
+        .filter(F.col("problem").isNotNull())
+        .select(F.lit(stream).alias("stream"), F.col("cursor").cast("string"), "problem")
+    )
+    sound = ~errors.exists()
     indexed = ordering.group_index(rows, [], ["cursor"], "record_index", slice_by)
     batched = indexed.withColumn(
         "__batch", F.floor(F.col("record_index") / batch_size).cast("long")
@@ -104,7 +125,12 @@ def read_incremental(
     logs = _batch_logs(
         per_batch, [], "documents" if documents else "rows", "cursor", "__n", "__batch"
     ).select(F.lit(stream).alias("stream"), "log_index", "level", "message")
-    return RecordTables(records=records, states=states, logs=logs)
+    return RecordTables(
+        records=records.filter(sound),
+        states=states.filter(sound),
+        logs=logs.filter(sound),
+        errors=errors,
+    )
 
 
 def check_cursor(
@@ -151,32 +177,57 @@ def read_offsets(
     offset: str = "offset",
     value: str = "value",
     offsets_per_slice: int = 1_000_000,
+    contract: Mapping[str, object] | None = None,
 ) -> RecordTables:
     """Read message-log partitions after ``offset_start`` (exclusive; null reads all).
 
     Offsets are unique within a partition, so a slice holds at most
-    ``offsets_per_slice`` rows.  ``errors`` lists messages that are no JSON object
-    and offsets that are negative or repeated; a partition with errors is not
-    to be delivered.
+    ``offsets_per_slice`` rows.  ``errors`` lists messages that are no JSON object and
+    offsets that are missing, negative or repeated; a partition with errors gives no
+    records, states or logs.  A partition of ``df`` without messages after the start
+    has its closing log line.  ``contract`` is repeated in every state.
     """
     keys = [topic, partition]
     start = offset_start if isinstance(offset_start, Column) else F.lit(offset_start).cast("long")
     text = F.col(value).cast("string")
-    rows = (
-        df.select(*keys, F.col(offset).alias("offset"), text.alias("__value"))
-        .filter(start.isNull() | (F.col("offset") > start))
-        .withColumn("__v", J.parse(F.col("__value")))
+    at = F.col(offset)
+    given = df.filter(start.isNull() | at.isNull() | (at > start)).select(
+        *keys, at.alias("offset"), text.alias("__value")
     )
-    rows = evaluate_once(
-        rows,
-        [*keys, "offset"],
-        {"data": F.when(J.is_object(F.col("__v")), J.render(F.col("__v")))},
+
+    def decoded(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+        parsed = rows.withColumn("__v", J.parse(F.col("__value")))
+        data = F.when(J.is_object(F.col("__v")), J.render(F.col("__v")))
+        return evaluate_once(parsed, keep, {"data": data})
+
+    offsets = (
+        given.groupBy(*keys, "offset")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn(
+            "problem",
+            F.when(F.col("offset").isNull(), "offset_missing")
+            .when(F.col("offset") < 0, "offset_negative")
+            .when(F.col("__n") > 1, "offset_did_not_advance"),
+        )
+        .filter(F.col("problem").isNotNull())
+        .select(*keys, "offset", "problem")
     )
-    slice_by = F.floor(F.col("offset") / offsets_per_slice)
-    indexed = ordering.group_index(rows, keys, ["offset"], "record_index", slice_by)
-    batched = indexed.withColumn(
-        "__batch", F.floor(F.col("record_index") / batch_size).cast("long")
+    values = (
+        decoded(given, [*keys, "offset"])
+        .filter(F.col("data").isNull())
+        .select(*keys, "offset", F.lit("value_not_a_json_object").alias("problem"))
     )
+    # One reason for a message: that of its offset comes first.
+    errors = offsets.unionByName(values).groupBy(*keys, "offset").agg(
+        F.min(F.struct(F.col("problem").startswith("value"), "problem")).alias("__p")
+    ).select(*keys, "offset", F.col("__p.problem").alias("problem"))
+    refused = errors.select(*keys).distinct()
+    sound = given.join(refused, keys, "left_anti")
+    partitions = df.select(*keys).distinct().join(refused, keys, "left_anti")
+    slice_by = F.floor(F.col("offset") / offsets_per_slice)
+    placed = ordering.group_index(sound, keys, ["offset"], "record_index", slice_by)
+    indexed = decoded(placed, [*keys, "offset", "record_index"])
+    batched = placed.withColumn("__batch", F.floor(F.col("record_index") / batch_size).cast("long"))
     records = indexed.select(
         *keys,
         F.lit(stream).alias("stream"),
@@ -187,6 +238,10 @@ def read_offsets(
     per_batch = batched.groupBy(*keys, "__batch").agg(
         F.max("offset").alias("offset"), F.count(F.lit(1)).alias("__n")
     )
+    declared = {}
+    if contract is not None:
+        canonical = json.dumps(contract, sort_keys=True, separators=(",", ":"))
+        declared["source_operational_contract"] = F.lit(canonical)
     states = per_batch.select(
         *keys,
         F.lit(stream).alias("stream"),
@@ -201,24 +256,11 @@ def read_offsets(
                 "read_mode": F.lit('"explicit_partition_offset"'),
                 "record_count": F.col("__n").cast("string"),
                 "topic": J.quote(F.col(topic)),
+                **declared,
             }
         ).alias("data"),
     )
-    logs = _batch_logs(per_batch, keys, "records", "offset", "__n", "__batch").select(
+    logs = _batch_logs(per_batch, keys, "records", "offset", "__n", "__batch", partitions).select(
         *keys, F.lit(stream).alias("stream"), "log_index", "level", "message"
     )
-    repeated = (
-        rows.groupBy(*keys, "offset")
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.count("data").alias("__ok"),
-        )
-        .withColumn(
-            "problem",
-            F.when(F.col("offset") < 0, "offset_negative")
-            .when(F.col("__n") > 1, "offset_did_not_advance")
-            .when(F.col("__ok") < F.col("__n"), "value_not_a_json_object"),
-        )
-    )
-    errors = repeated.filter(F.col("problem").isNotNull()).select(*keys, "offset", "problem")
     return RecordTables(records=records, states=states, logs=logs, errors=errors)

@@ -207,12 +207,46 @@ def test_offsets(spark):
     assert [(r.partition, r.problem) for r in every.errors.collect()] == [
         (1, "value_not_a_json_object")
     ]
-    assert every.records.count() == 8
+    for part in (every.records, every.states, every.logs):
+        assert {r.partition for r in part.collect()} == {0}
+    assert every.records.count() == 6
+    late = read_offsets(df, 2, "s", "c", offset_start=5)
+    assert late.records.count() == 0
+    assert {(r.partition, r.message) for r in late.logs.collect()} == {
+        (0, "source exhausted after batch=1"),
+        (1, "source exhausted after batch=1"),
+    }
     options = log_reader_options(["b:2", "a:1"], "t", {0: None, 1: 4})
     assert json.loads(options["startingOffsets"]) == {"t": {"0": -2, "1": 5}}
     assert options["kafka.bootstrap.servers"] == "a:1,b:2"
 
 
+def test_bad_offsets_withhold_their_partition(spark):
+    log = [("t", 0, -1, "{}"), ("t", 0, 2, "{}"), ("t", 1, 3, "{}"), ("t", 1, 3, "[]")]
+    log += [("t", 2, None, "{}"), ("t", 3, 1, "{}"), ("t", 3, 7, None), ("t", 4, 1, "{}")]
+    df = spark.createDataFrame(log, "topic string, partition int, offset long, value string")
+    tables = read_offsets(df, 2, "s", "c", contract={"read_model": "m", "a": 1})
+    assert {(r.partition, r.offset, r.problem) for r in tables.errors.collect()} == {
+        (0, -1, "offset_negative"),
+        (1, 3, "offset_did_not_advance"),
+        (2, None, "offset_missing"),
+        (3, 7, "value_not_a_json_object"),
+    }
+    assert [r.partition for r in tables.records.collect()] == [4]
+    state = json.loads(tables.states.first().data)
+    assert state["source_operational_contract"] == {"read_model": "m", "a": 1}
+
+
+@pytest.mark.parametrize("bad", [None, "", "a"])
+def test_bad_cursors_withhold_the_read(spark, bad):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (bad, 3)], "id string, v long")
+    tables = read_incremental(df, ["id", "v"], "id", None, 5, "st", ORIGIN)
+    problem = "cursor_did_not_advance" if bad else "cursor_not_a_filled_string"
+    assert [(r.cursor, r.problem) for r in tables.errors.collect()] == [(bad, problem)]
+    for part in (tables.records, tables.states, tables.logs):
+        assert part.count() == 0
+
+
 def test_normalize_values(spark):
     df = spark.sql(
         "select timestamp_ntz'2026-01-02 03:04:05.5' a, date'2026-01-02' b, "
