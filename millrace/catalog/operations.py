@@ -629,11 +629,12 @@ def recovered(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _wanted(spark: SparkSession, folder: str) -> DataFrame:
-    """Each customer asks for one task, from a bucket it may not be in."""
-    return table(spark, folder, "customer").select(
+    """Each customer asks twice for one task, from a bucket it may not be in."""
+    asked = table(spark, folder, "customer").select(
         F.concat(F.lit("task-"), (F.col("c_custkey") * 11).cast("string")).alias("task_id"),
         pick(("poison", "inflight", "done"), F.col("c_custkey") % 3).alias("source_bucket"),
     )
+    return asked.union(asked)
 
 
 _WANTED_SQL = f"""SELECT 'task-' || (c_custkey * 11) AS task_id,

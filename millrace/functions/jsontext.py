@@ -145,6 +145,14 @@ def object_text(fields: Mapping[str, Column], omit_null: bool = False) -> Column
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
+def string_values(value: Column) -> Column:
+    """All strings that a variant holds as values, at any depth; keys do not count."""
+    quoted = F.regexp_extract_all(render(value), F.lit(f"{_STRING}:?"), F.lit(0))
+    values = F.filter(quoted, lambda s: ~s.endswith(":"))
+    listed = F.concat(F.lit("["), F.array_join(values, ","), F.lit("]"))
+    return F.from_json(listed, "array<string>")
+
+
 def _at(value: Column, path: str) -> Column:
     return value if path == "$" else F.try_variant_get(value, path, "variant")
 

@@ -178,14 +178,18 @@ def audit_payloads(
     """Read-back check of delivered payloads.
 
     ``expected`` has ``sha256``, ``run_id``, ``flow`` and the column ``token``
-    under the join key; ``payloads`` has ``payload_json``.
+    under the join key; ``payloads`` has ``payload_json``.  The token is looked for in
+    the preview text and in the string values of the previewed records.
     """
     p = F.col("__p")
     text = J.string_at(p, "$.content_evidence.normalized_text_preview")
     records = F.try_variant_get(p, "$.content_evidence.records_preview", "array<variant>")
     in_text = F.coalesce(text.contains(F.col(token)), F.lit(False))
     in_records = F.coalesce(
-        F.exists(records, lambda r: F.to_json(r).contains(F.col(token))), F.lit(False)
+        F.exists(
+            records, lambda r: F.exists(J.string_values(r), lambda v: v.contains(F.col(token)))
+        ),
+        F.lit(False),
     )
     has_evidence = J.is_object(p, "$.content_evidence")
     is_records = F.col("flow") == "it"

@@ -95,20 +95,24 @@ def requeue(
 ) -> tuple[DataFrame, DataFrame]:
     """The table after operators requeued tasks, and one result row per request.
 
-    ``wanted`` has one row per ``task_id`` with the ``source_bucket`` it is taken
-    from (poison or inflight).  Counts stay, and the move is added to the
-    provenance.
+    ``wanted`` has ``task_id`` and the ``source_bucket`` it is taken from (poison or
+    inflight).  A request that is repeated counts once.  Counts stay, and the move is
+    added to the provenance.
     """
-    asked = wanted.select("task_id", F.col("source_bucket").alias("__from"))
+    asked = wanted.select("task_id", F.col("source_bucket").alias("__from")).distinct()
+    recoverable = F.col("__from").isin("poison", "inflight")
+    # Of several requests for a task only the one for its own bucket can move it.
+    moved = asked.filter(recoverable).join(
+        task_state.select("task_id", F.col("bucket").alias("__from")), ["task_id", "__from"]
+    )
     entry = F.struct(
         F.lit("requeue").alias("action"),
         F.col("__from").alias("source_bucket"),
         F.lit("pending").alias("target_bucket"),
         now.cast("double").alias("recorded_at"),
     )
-    allowed = F.col("__from").isin("poison", "inflight") & (F.col("bucket") == F.col("__from"))
-    joined = task_state.join(asked, "task_id", "left").withColumn(
-        "__hit", F.coalesce(allowed, F.lit(False))
+    joined = task_state.join(moved.distinct(), "task_id", "left").withColumn(
+        "__hit", F.col("__from").isNotNull()
     )
     changed = {
         "bucket": F.when(F.col("__hit"), "pending").otherwise(F.col("bucket")),
@@ -125,8 +129,8 @@ def requeue(
         "task_id",
         F.lit("requeue").alias("action"),
         F.col("__from").alias("source_bucket"),
-        F.when(F.coalesce(allowed, F.lit(False)), "moved_to_pending")
-        .when(~F.col("__from").isin("poison", "inflight"), "source_bucket_not_recoverable")
+        F.when(recoverable & (F.col("bucket") == F.col("__from")), "moved_to_pending")
+        .when(~recoverable, "source_bucket_not_recoverable")
         .otherwise("task_not_found_in_source_bucket")
         .alias("result"),
         "failure_count",

@@ -59,7 +59,8 @@ def scan_files(
     files = listing.withColumn("uri", uri)
     if not os.path.isfile(path):
         root = os.path.abspath(path) if os.path.exists(path) else path.rstrip("/")
-        relative = F.substring_index(F.col("uri"), f"{root}/", -1)
+        inside = F.col("uri").startswith(f"{root}/")
+        relative = F.when(inside, F.col("uri").substr(F.lit(len(root) + 2), F.length("uri")))
         wanted = "|".join(f"(?:{path_regex(p)})" for p in expand_braces(pattern))
         files = files.filter(relative.rlike(wanted))
     columns = [

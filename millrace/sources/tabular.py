@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,35 +15,52 @@ def partition_tabular(
     kind: str,
     schema: T.StructType | str | None = None,
     row_tag: str = "row",
+    multiline: bool = True,
 ) -> DataFrame:
     """Rows of files as elements (uri, element_id, ord, type, text).
 
-    Rows of one file keep their order under ``ord``: the byte where their split
-    begins, then the row's place in the split.  Splittable formats stay split, so
-    a large file is read by many tasks.
+    ``ord`` is the row's number in its file, from 0, and ``element_id`` the file and that
+    number, whatever other files are read and however the file is split.  Quoted values
+    of csv and tsv files may hold line breaks and doubled quotes, so such a file is read
+    by one task; without ``multiline`` its rows are lines and it stays split, as ndjson
+    files do.  Without a schema the files are read once more to find it.
     """
     if kind not in KINDS:
         raise ValueError(f"unsupported tabular kind: {kind}")
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind in ("csv", "tsv"):
-        rows = reader.csv(path, header=True, sep="," if kind == "csv" else "\t")
+        rows = reader.csv(
+            path,
+            header=True,
+            sep="," if kind == "csv" else "\t",
+            multiLine=multiline,
+            quote='"',
+            escape='"',
+        )
     elif kind == "xml":
         rows = reader.format("xml").option("rowTag", row_tag).load(path)
     else:
         rows = reader.option("multiLine", str(kind == "json").lower()).json(path)
     columns = [F.col(f"`{c}`") for c in rows.columns]
-    spot = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     located = rows.select(
         F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("text"),
         F.col("_metadata.file_path").alias("uri"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), spot.alias("row")
-        ).alias("ord"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        # Rows of a file's block follow each other in one task.
+        F.monotonically_increasing_id().alias("__spot"),
     )
-    return located.select(
+    before = Window.partitionBy("uri").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        located.groupBy("uri", "__block")
+        .agg(F.min("__spot").alias("__first"), F.count(F.lit(1)).alias("__n"))
+        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        .drop("__n")
+    )
+    number = F.col("__before") + F.col("__spot") - F.col("__first")
+    return located.join(blocks, ["uri", "__block"]).select(
         "uri",
-        F.concat_ws(":", "uri", "ord.block", "ord.row").alias("element_id"),
-        "ord",
+        F.concat_ws(":", "uri", number).alias("element_id"),
+        number.alias("ord"),
         F.lit("TableRow").alias("type"),
         "text",
     )

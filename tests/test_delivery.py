@@ -17,6 +17,7 @@ from millrace.operators.delivery import (
 from millrace.operators.failures import classify_batch_items, run_outcomes
 from millrace.operators.receipts import fanout, receipt_details, receipt_summary
 from millrace.operators.reports import batch_counts, duration_stats
+from millrace.operators.audit import audit_payloads
 from millrace.operators.tasks import (
     apply_acks,
     enqueue,
@@ -382,3 +383,44 @@ def test_enqueue_and_requeue(spark):
     row = summary.first()
     assert listed.count() == 1 and (row.pending, row.listed_tasks) == (1, 1)
     assert row.recovery_audit_support == "persisted_in_history"
+
+
+def test_repeated_requests_move_a_task_once(spark):
+    df = spark.createDataFrame(
+        [task("a", "poison", 3, 1), task("b", "inflight", 1, 0, 4.0), task("c", "done")], TASK_STATE
+    )
+    asked = spark.createDataFrame(
+        [("a", "poison"), ("a", "poison"), ("a", "inflight"), ("b", "poison"), ("c", "done"), ("x", "poison")],
+        "task_id string, source_bucket string",
+    )
+    after, results = requeue(df, asked, F.lit(8.0))
+    assert sorted((r.task_id, r.bucket) for r in after.collect()) == [
+        ("a", "pending"),
+        ("b", "inflight"),
+        ("c", "done"),
+    ]
+    assert {(r.task_id, r.source_bucket): r.result for r in results.collect()} == {
+        ("a", "poison"): "moved_to_pending",
+        ("a", "inflight"): "task_not_found_in_source_bucket",
+        ("b", "poison"): "task_not_found_in_source_bucket",
+        ("c", "done"): "source_bucket_not_recoverable",
+        ("x", "poison"): "task_not_found_in_source_bucket",
+    }
+
+
+def test_audit_looks_at_string_values(spark):
+    def found(token, record):
+        payload = json.dumps(
+            {"content_evidence": {"normalized_text_preview": "", "records_preview": [record]}}
+        )
+        payloads = spark.createDataFrame([("d", payload)], "delivery_identity string, payload_json string")
+        expected = spark.createDataFrame(
+            [("d", "s", "r", "it", token)],
+            "delivery_identity string, sha256 string, run_id string, flow string, token string",
+        )
+        return audit_payloads(payloads, expected, "token").first().token_pass
+
+    record = {"code": "x", "deep": [{"n": 5, "t": ['say "hi": ok']}]}
+    assert found('"hi"', record) and found("x", record) and found("hi\": o", record)
+    assert not found("code", record) and not found("deep", record) and not found("{", record)
+    assert not found("5", record)

@@ -146,6 +146,42 @@ def test_tabular(spark, tmp_path, kind, body):
     assert len({r.element_id for r in rows}) == 2
 
 
+def test_scan_below_a_repeated_root(spark, tmp_path):
+    root = tmp_path / "in"
+    inner = root / str(root).lstrip("/")
+    inner.mkdir(parents=True)
+    (inner / "deep.csv").write_text("x")
+    (root / "top.csv").write_text("x")
+    assert [r.filename for r in scan_files(spark, str(root), "*.csv").collect()] == ["top.csv"]
+    assert scan_files(spark, str(root), "**/*.csv").count() == 2
+
+
+def test_tabular_rows_are_numbered_by_file(spark, tmp_path):
+    for i in range(24):
+        (tmp_path / f"f{i:02d}.csv").write_text('x,y\n1,"l1\nl2 ""q"""\n2,\n')
+    rows = partition_tabular(spark, str(tmp_path), "csv", "x string, y string").collect()
+    assert sorted(r.element_id.rsplit("/", 1)[1] for r in rows) == sorted(
+        f"f{i:02d}.csv:{n}" for i in range(24) for n in range(2)
+    )
+    assert {(r.ord, r.text) for r in rows} == {
+        (0, '{"x":"1","y":"l1\\nl2 \\"q\\""}'),
+        (1, '{"x":"2","y":null}'),
+    }
+
+
+def test_tabular_numbers_run_over_splits(spark, tmp_path):
+    (tmp_path / "f.ndjson").write_text("".join('{"n":"%06d"}\n' % i for i in range(4000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = partition_tabular(spark, str(tmp_path), "ndjson", "n string")
+        assert df.select(F.spark_partition_id()).distinct().count() >= 1
+        got = {r.ord: r.text for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {i: '{"n":"%06d"}' % i for i in range(4000)}
+
+
 def test_fetched_names(spark):
     rows = [
         ("https://h/a%20b/c%2Bd?x=1", None, "text/html; x"),
