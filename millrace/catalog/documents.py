@@ -263,7 +263,7 @@ FROM (SELECT doc_id, CASE WHEN short <> '' THEN short || '.html'
     THEN 'page_version_mismatch' END AS problem
  FROM (SELECT doc_id, lang, n_chars, CASE WHEN doc_id % 3 > 0 THEN 'en' END AS space_key,
    CASE WHEN doc_id % 2 = 0 THEN 1 END AS page_version,
-   lower(regexp_replace(regexp_replace(substr(text, 1, doc_id % 30), '[^A-Za-z0-9]+', '-', 'g'),
+   lower(regexp_replace(regexp_replace(text, '[^A-Za-z0-9]+', '-', 'g'),
     '^-+|-+$', '', 'g')) AS short FROM documents))""",
 )
 def wiki_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -271,7 +271,7 @@ def wiki_pages(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("doc_id")
     pages = docs.select(
         key,
-        wiki_filename(F.col("text").substr(F.lit(1), (key % 30).cast("int")), key).alias("filename"),
+        wiki_filename(F.col("text"), key).alias("filename"),
         F.col("lang").alias("resolved_space_key"),
         (F.col("n_chars") % 4).alias("resolved_page_version"),
     )
@@ -502,12 +502,10 @@ SELECT h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' ||
  n_chars AS size_bytes, n AS elements_count, nt AS normalized_text,
  'primary' AS delivery_origin, 'batch' AS execution_mode
 FROM (SELECT *, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(sha)) AS h
- FROM (SELECT doc_id, n_chars, sha256(text) AS sha FROM documents)) JOIN t USING (doc_id)
-WHERE n_chars > 300""",
+ FROM (SELECT doc_id, n_chars, sha256(text) AS sha FROM documents)) JOIN t USING (doc_id)""",
 )
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents of at most 300 characters stand for runs without a result."""
-    runs = _run_facts(spark, folder).withColumn("has_result", F.col("size_bytes") > 300)
+    runs = _run_facts(spark, folder).withColumn("has_result", F.lit(True))
     return vector_rows(runs).select(
         "uuid",
         "sha256",

@@ -497,6 +497,13 @@ def replayable(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@catalog.add("replay_select_all", f"SELECT name, valid, delivery_identity, run_meta FROM ({REPLAY_SQL})")
+def replayable_all(spark: SparkSession, folder: str) -> DataFrame:
+    return replay_select(dead_letters(spark, folder)).select(
+        "name", "valid", "delivery_identity", "run_meta"
+    )
+
+
 def _replayed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     store = dead_letters(spark, folder)
     chosen = replay_select(store)
@@ -683,18 +690,16 @@ def buckets(spark: SparkSession, folder: str) -> DataFrame:
     return bucket_counts(task_state(spark, folder))
 
 
-@catalog.add(
-    "inspect_tasks",
-    f"""SELECT task_id, CASE WHEN orphan_count > 0 THEN 'orphaned' ELSE '' END AS governance_labels,
+_INSPECTED_SQL = f"""SELECT task_id, CASE WHEN orphan_count > 0 THEN 'orphaned' ELSE '' END AS governance_labels,
  CASE WHEN orphan_count > 0 THEN 'orphaned' ELSE 'attempts_exhausted' END AS poison_kind,
  CASE WHEN orphan_count > 0 THEN 'poison_orphaned' ELSE 'poison_attempts_exhausted' END AS governance_problem,
  'requeue_supported' AS handling_expectation,
  'operator_requeue_supported_after_attempt_or_orphan_threshold' AS state_explanation
-FROM ({TASK_STATE_SQL}) WHERE bucket = 'poison' ORDER BY updated_at, task_id LIMIT 200""",
-)
-def inspected(spark: SparkSession, folder: str) -> DataFrame:
-    """The limit is the inspection's own top-k option."""
-    return inspect_tasks(task_state(spark, folder), "poison", 200)[0].select(
+FROM ({TASK_STATE_SQL}) WHERE bucket = 'poison'"""
+
+
+def _inspected(spark: SparkSession, folder: str, limit: int | None) -> DataFrame:
+    return inspect_tasks(task_state(spark, folder), "poison", limit)[0].select(
         "task_id",
         F.array_join("governance_labels", ",").alias("governance_labels"),
         "poison_kind",
@@ -704,6 +709,17 @@ def inspected(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@catalog.add("inspect_tasks", f"{_INSPECTED_SQL} ORDER BY updated_at, task_id LIMIT 200")
+def inspected(spark: SparkSession, folder: str) -> DataFrame:
+    """The limit is the inspection's own top-k option."""
+    return _inspected(spark, folder, 200)
+
+
+@catalog.add("inspect_tasks_all", _INSPECTED_SQL)
+def inspected_all(spark: SparkSession, folder: str) -> DataFrame:
+    return _inspected(spark, folder, None)
+
+
 @catalog.add(
     "inspect_summary",
     f"""SELECT {_BUCKETS_SQL}, count(*) FILTER (bucket = 'inflight') AS listed_tasks,
@@ -809,17 +825,18 @@ def backfilled(spark: SparkSession, folder: str) -> DataFrame:
 
 @catalog.add(
     "audit_payloads",
-    """SELECT doc_id, doc_id % 9 > 0 AS delivery_locator_found, doc_id % 9 > 0 AND doc_id % 7 > 0 AS content_evidence_found,
- CASE WHEN doc_id % 9 > 0 AND doc_id % 7 > 0 THEN 'normalized_text_preview_v1' ELSE 'missing' END AS evidence_kind,
- doc_id % 9 > 0 AND doc_id % 7 > 0 AND contains(text, lang) AS normalized_text_preview_found,
- doc_id % 9 > 0 AND doc_id % 7 > 0 AS records_preview_found,
- doc_id % 9 > 0 AND doc_id % 7 > 0 AND (contains(text, lang) OR doc_id % 2 = 1) AS token_pass,
- doc_id % 9 > 0 AND doc_id % 7 > 0 AND doc_id % 5 > 0 AS delivery_payload_core_metadata_check,
- CASE WHEN doc_id % 2 = 0 THEN 'not_applicable' WHEN doc_id % 9 > 0 THEN 'artifact_paths_only'
-  ELSE 'not_checked' END AS structured_state_log_status FROM documents""",
+    """WITH d AS (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS found FROM documents)
+SELECT doc_id, found AS delivery_locator_found, found AND doc_id % 7 > 0 AS content_evidence_found,
+ CASE WHEN found AND doc_id % 7 > 0 THEN 'normalized_text_preview_v1' ELSE 'missing' END AS evidence_kind,
+ found AND doc_id % 7 > 0 AND contains(text, lang) AS normalized_text_preview_found,
+ found AND doc_id % 7 > 0 AS records_preview_found,
+ found AND doc_id % 7 > 0 AND (contains(text, lang) OR doc_id % 2 = 1) AS token_pass,
+ found AND doc_id % 7 > 0 AND doc_id % 5 > 0 AS delivery_payload_core_metadata_check,
+ CASE WHEN doc_id % 2 = 0 THEN 'not_applicable' WHEN found THEN 'artifact_paths_only'
+  ELSE 'not_checked' END AS structured_state_log_status FROM d""",
 )
 def audited(spark: SparkSession, folder: str) -> DataFrame:
-    """Read back one payload per document; some are lost, empty or of another run."""
+    """Read back the payloads of labelled documents; some are empty or of another run."""
     docs = table(spark, folder, "documents").withColumn(
         "sha256", identity.sha256_of(F.col("text"))
     )
@@ -840,7 +857,10 @@ def audited(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 7 > 0, evidence).otherwise("null"),
         F.lit("}"),
     )
-    delivered = docs.filter(key % 9 > 0).select("doc_id", body.alias("payload_json"))
+    labelled = table(spark, folder, "labels").select("doc_id")
+    delivered = docs.select("doc_id", body.alias("payload_json")).join(
+        labelled, "doc_id", "left_semi"
+    )
     expected = docs.select(
         "doc_id",
         "sha256",

@@ -19,9 +19,9 @@ from millrace.operators.checkpoints import (
     select_resume,
 )
 from millrace.operators.delivery import content_evidence
-from millrace.operators.elements import elements_from_records
+from millrace.operators.elements import elements_from_records, normalized_text
 from millrace.operators.sinks import log_lines, record_lines
-from millrace.plans.records import ingest_records
+from millrace.plans.records import RecordIngest, ingest_records
 from millrace.sources.incremental import check_cursor, read_incremental, read_offsets
 from millrace.sources.normalize import json_value, normalize_values
 from millrace.sources.records import read_messages, read_paged, read_record_list
@@ -367,11 +367,11 @@ def record_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def conversation_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """A conversation is a source and each turn one page of two records.
+    """A conversation is a source and each turn one page of two records, one with its text.
 
     In every seventh conversation the cursor repeats itself.
     """
-    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     last = turns.groupBy("conv_id").agg(F.max("turn").alias("__last"))
     turn = F.col("turn").cast("string")
     cursor = F.when(F.col("conv_id") % 7 == 0, F.lit("same")).otherwise(F.concat(F.lit("t"), turn))
@@ -380,7 +380,9 @@ def conversation_pages(spark: SparkSession, folder: str) -> DataFrame:
         turn,
         F.lit(',"role":"'),
         "role",
-        F.lit('"},{"copy":true}],"next_cursor":'),
+        F.lit('","text":'),
+        J.quote(F.col("text")),
+        F.lit('},{"copy":true}],"next_cursor":'),
         F.when(F.col("turn") == F.col("__last"), F.lit("null")).otherwise(
             F.concat(F.lit('"'), cursor, F.lit('"'))
         ),
@@ -396,7 +398,7 @@ def conversation_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _PAGED_SQL = """WITH l AS (SELECT conv_id, max(turn) AS last FROM conversations GROUP BY 1),
- p AS (SELECT c.conv_id, c.turn, c.role, l.last FROM conversations c JOIN l USING (conv_id)
+ p AS (SELECT c.conv_id, c.turn, c.role, c.text, l.last FROM conversations c JOIN l USING (conv_id)
   WHERE c.conv_id % 7 <> 0 OR l.last < 2)"""
 
 
@@ -404,7 +406,7 @@ _PAGED_SQL = """WITH l AS (SELECT conv_id, max(turn) AS last FROM conversations
     "paged_records",
     _PAGED_SQL
     + """ SELECT conv_id, 'turns' AS stream, 2 * turn + j AS record_index,
- CASE WHEN j = 0 THEN '{"role":"' || role || '","turn":' || turn || '}' ELSE '{"copy":true}' END AS data,
+ CASE WHEN j = 0 THEN '{"role":"' || role || '","text":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '}' ELSE '{"copy":true}' END AS data,
  CAST(NULL AS VARCHAR) AS emitted_at FROM p, (SELECT unnest([0, 1]) AS j)""",
 )
 def paged_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -602,8 +604,8 @@ def user_tasks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of a user, all in one stream; multiples of nine have none."""
-    e = table(spark, folder, "events").filter(F.col("user_id") % 9 > 0)
+    """Records of a user, all in one stream."""
+    e = table(spark, folder, "events")
     return e.select(
         "user_id",
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("stream"),
@@ -639,7 +641,7 @@ _CHECKPOINTS_SQL = f"""SELECT user_id, event_id AS checkpoint_index,
  {sql_pick([f[1] for f in PROGRESS_FORMS], f'event_id % {len(PROGRESS_FORMS)}')} AS progress_kind,
  replace({sql_pick(_PROGRESS_SORTED, f'event_id % {len(PROGRESS_FORMS)}')}, '~',
   CAST(event_id AS VARCHAR)) AS progress,
- CASE WHEN user_id % 9 > 0 THEN 'u' || user_id END AS stream, {_TASK_SQL} AS task_identity_key
+ 'u' || user_id AS stream, {_TASK_SQL} AS task_identity_key
  FROM events"""
 _KEYED_SQL = f"""SELECT *, '{{"kind":"it","progress":' || progress || ',"progress_kind":"' || progress_kind ||
  '","stream":' || coalesce('"' || stream || '"', 'null') || ',"task":' || task_identity_key || '}}'
@@ -775,7 +777,7 @@ def resume_selection(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("supported")
         .alias("status"),
         identity.task_key(F.lit("it"), F.lit("p1"), F.col("sha256")).alias("task_identity_key"),
-        F.when(F.col("user_id") % 9 > 0, F.concat(F.lit("u"), F.col("user_id"))).alias("stream"),
+        F.concat(F.lit("u"), F.col("user_id")).alias("stream"),
     )
     first_cursor = (
         entries.filter(F.col("progress_kind") == "cursor_v1")
@@ -922,7 +924,8 @@ def resume_blocked(spark: SparkSession, folder: str) -> DataFrame:
     "record_evidence",
     """WITH i AS (SELECT user_id, event_id, props,
   row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events)
-SELECT user_id, count(*) AS elements_count, count(*) AS records_count, count(*) > 10 AS records_truncated,
+SELECT user_id, CAST(sum(length(CAST(json(props) AS VARCHAR)) + 1) - 1 AS BIGINT) AS normalized_text_len,
+ count(*) AS elements_count, count(*) AS records_count, count(*) > 10 AS records_truncated,
  string_agg(CAST(json(props) AS VARCHAR), '|' ORDER BY i) FILTER (i < 10) AS preview,
  'not_available' AS structured_state_visibility, 'normalized_text_and_records_preview_v1' AS evidence_kind
 FROM i GROUP BY user_id""",
@@ -936,11 +939,14 @@ def record_evidence(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.lit(0).alias("kind"), F.col("record_index").alias("index")).alias("ord"),
         "data",
     )
-    done = user_tasks(spark, folder).select(
-        "user_id", F.col("sha256").alias("normalized_text"), F.lit(True).alias("is_records")
+    texts = elements.withColumn("text", F.col("data"))
+    slice_by = F.floor(F.col("ord.index") / 1000)
+    done = normalized_text(texts, ["user_id"], "\n", False, slice_by).withColumn(
+        "is_records", F.lit(True)
     )
     return content_evidence(done, elements, ["user_id"]).select(
         "user_id",
+        F.col("normalized_text_len").cast("long").alias("normalized_text_len"),
         "elements_count",
         "records_count",
         "records_truncated",
@@ -953,12 +959,37 @@ def record_evidence(spark: SparkSession, folder: str) -> DataFrame:
 @catalog.add(
     "ingest_records",
     f"""SELECT count(*) AS elements, count(*) FILTER (type = 'StructuredState') AS states,
+ count(*) FILTER (type = 'StructuredLog') AS logs,
  CAST(sum(length(text)) AS BIGINT) AS text_chars, (SELECT count(*) FROM events) AS checkpoints
 FROM (SELECT 'StructuredRecord' AS type, replace(CAST(json(props) AS VARCHAR), ':', ': ') AS text FROM events
  UNION ALL SELECT 'StructuredState', '{{"cursor": "' || lpad(CAST(event_id AS VARCHAR), 12, '0') || '"}}'
- FROM events)""",
+ FROM events UNION ALL SELECT 'StructuredLog', event_type FROM events)""",
 )
 def record_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    ingest = _event_ingest(spark, folder)
+    entries = ingest.checkpoints.agg(F.count("checkpoint_identity_key").alias("n")).scalar()
+    return ingest.elements.agg(
+        F.count(F.lit(1)).alias("elements"),
+        F.count_if(F.col("type") == "StructuredState").alias("states"),
+        F.count_if(F.col("type") == "StructuredLog").alias("logs"),
+        F.sum(F.length("text")).alias("text_chars"),
+    ).withColumn("checkpoints", entries)
+
+
+@catalog.add(
+    "ingest_record_elements",
+    """SELECT user_id, 'u' || user_id || ':record:' || event_id AS element_id, 'StructuredRecord' AS type,
+ replace(CAST(json(props) AS VARCHAR), ':', ': ') AS text FROM events
+UNION ALL SELECT user_id, 'u' || user_id || ':state:' || event_id, 'StructuredState',
+ '{"cursor": "' || lpad(CAST(event_id AS VARCHAR), 12, '0') || '"}' FROM events
+UNION ALL SELECT user_id, 'u' || user_id || ':log:' || event_id, 'StructuredLog', event_type FROM events""",
+)
+def record_ingest_elements(spark: SparkSession, folder: str) -> DataFrame:
+    return _event_ingest(spark, folder).elements.select("user_id", "element_id", "type", "text")
+
+
+def _event_ingest(spark: SparkSession, folder: str) -> RecordIngest:
+    """Every event leaves a record, a state and a log line of its user."""
     e = table(spark, folder, "events")
     emitted = F.lpad(F.col("event_id").cast("string"), 12, "0")
     at = (F.col("user_id"), F.concat(F.lit("u"), F.col("user_id")).alias("stream"))
@@ -973,18 +1004,12 @@ def record_ingest(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id").alias("state_index"),
         F.concat(F.lit('{"cursor":"'), emitted, F.lit('"}')).alias("data"),
     )
-    logs = e.filter(F.lit(False)).select(
+    logs = e.select(
         *at,
         F.col("event_id").alias("log_index"),
         F.lit("INFO").alias("level"),
-        F.lit("").alias("message"),
+        F.col("event_type").alias("message"),
     )
-    ingest = ingest_records(
+    return ingest_records(
         RecordTables(records, states, logs), user_tasks(spark, folder), ["user_id"]
     )
-    entries = ingest.checkpoints.agg(F.count("checkpoint_identity_key").alias("n")).scalar()
-    return ingest.elements.agg(
-        F.count(F.lit(1)).alias("elements"),
-        F.count_if(F.col("type") == "StructuredState").alias("states"),
-        F.sum(F.length("text")).alias("text_chars"),
-    ).withColumn("checkpoints", entries)
