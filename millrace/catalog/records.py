@@ -22,6 +22,7 @@ from millrace.operators.delivery import content_evidence
 from millrace.operators.elements import elements_from_records, normalized_text
 from millrace.operators.sinks import log_lines, record_lines
 from millrace.plans.records import RecordIngest, ingest_records
+from millrace.session import stored
 from millrace.sources.incremental import check_cursor, read_incremental, read_offsets
 from millrace.sources.normalize import json_value, normalize_values
 from millrace.sources.records import read_messages, read_paged, read_record_list
@@ -769,8 +770,11 @@ def checkpoint_entries(spark: SparkSession, folder: str) -> DataFrame:
 
 def resume_selection(spark: SparkSession, folder: str) -> DataFrame:
     """A resume request per user: the latest checkpoint, a named one, or a wrong one."""
-    entries = event_checkpoints(spark, folder).withColumn("position", F.col("checkpoint_index"))
-    headers = user_tasks(spark, folder).select(
+    entries = stored(
+        event_checkpoints(spark, folder).withColumn("position", F.col("checkpoint_index"))
+    )
+    tasks = stored(user_tasks(spark, folder))
+    headers = tasks.select(
         "user_id",
         F.when(F.col("user_id") % 10 == 4, "malformed")
         .when(F.col("user_id") % 10 == 5, "unsupported")
@@ -785,7 +789,7 @@ def resume_selection(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.min_by("checkpoint_identity_key", "checkpoint_index").alias("__named"))
     )
     requests = (
-        user_tasks(spark, folder)
+        tasks
         .join(first_cursor, "user_id", "left")
         .select(
             F.concat(F.lit("r"), F.col("user_id").cast("string")).alias("request"),

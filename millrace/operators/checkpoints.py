@@ -296,7 +296,8 @@ def select_resume(
     compatibility check, ``task_identity_key``, ``stream``); ``entries`` has
     ``position``, the keys, ``progress_kind`` and ``progress``; ``requests`` has
     ``request``, ``ref``, ``pipeline_version``, ``sha256`` and
-    ``wanted_checkpoint_key`` (null asks for the latest).
+    ``wanted_checkpoint_key`` (null asks for the latest).  ``entries`` is read twice and should be a
+    written table (``session.stored``).
     """
     fields = [
         "checkpoint_index",
@@ -307,8 +308,13 @@ def select_resume(
     ]
     picked = F.struct("position", *fields)
     latest = entries.groupBy(ref).agg(F.max(picked).alias("__latest"))
+    wanted = requests.select(
+        ref, F.col("wanted_checkpoint_key").alias("checkpoint_identity_key")
+    ).distinct()
+    # Only entries that a request names are grouped by their key.
     by_key = (
-        entries.groupBy(ref, "checkpoint_identity_key")
+        entries.join(wanted, [ref, "checkpoint_identity_key"], "left_semi")
+        .groupBy(ref, "checkpoint_identity_key")
         .agg(F.min(picked).alias("__named"))
         .withColumnRenamed("checkpoint_identity_key", "wanted_checkpoint_key")
     )

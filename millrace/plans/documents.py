@@ -1,4 +1,4 @@
-"""Document ingest as one lazy plan."""
+"""Document ingest."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from millrace.operators.delivery import document_evidence, shape_payloads
 from millrace.operators.partition import partition_documents
 from millrace.operators.routing import plan_intake
 from millrace.operators.runs import with_run_meta
+from millrace.session import stored
 
 
 @dataclass(frozen=True)
@@ -37,19 +38,22 @@ def ingest_documents(
     out_root: str,
     skip_existing: bool = True,
     force: bool = False,
+    store_results: bool = False,
 ) -> DocumentIngest:
     """From documents (``uri``, ``filename``, ``text``) to delivery payloads.
 
-    Content is deduplicated by sha before any text is partitioned, on slim
-    rows; the texts themselves are shuffled once at most, and payloads are made
-    where the text is.  ``run`` has ``run_id``,
-    ``pipeline_version`` and ``timestamp_utc``.
+    A uri names one document.  Contents are hashed once and the hashes written, so the
+    plan of what to process reads no text; the texts that are processed are read once
+    more and shuffled once at most, and payloads are made where the text is.  ``run``
+    has ``run_id``, ``pipeline_version`` and ``timestamp_utc``.  ``store_results``
+    writes the results once, for callers that write more than one of the tables.
     """
-    hashed = documents.withColumn("sha256", identity.sha256_of(F.col("text")))
-    intake = plan_intake(hashed.select("uri", "sha256"), existing, skip_existing, force)
-    chosen = intake.filter(F.col("decision") == "process").select("uri", "sha256")
-    texts = hashed.join(chosen, ["uri", "sha256"], "left_semi")
-    results = partition_documents(texts, kind)
+    hashed = stored(documents.select("uri", identity.sha256_of(F.col("text")).alias("sha256")))
+    intake = plan_intake(hashed, existing, skip_existing, force)
+    chosen = intake.filter(F.col("decision") == "process").select("uri", "sha256").distinct()
+    results = partition_documents(documents.join(chosen, "uri"), kind)
+    if store_results:
+        results = stored(results)
     facts_of = {
         "uri": F.col("uri"),
         "filename": F.col("filename"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import jsontext as J
 from millrace.functions import ordering
 from millrace.functions.binding import evaluate_once
+from millrace.session import stored
 from millrace.sources.tables import RecordTables
 
 PAGES_PER_SLICE = 1024
@@ -253,15 +254,18 @@ def read_paged(
             "next_cursor_not_a_filled_string",
         )
     )
-    parsed = evaluate_once(
-        listed,
-        [*at, page_number, source_url],
-        {
-            "next_cursor": F.col("__next"),
-            "record_count": F.coalesce(F.size("__items"), F.lit(0)),
-            "problem": problem,
-            "__list": F.col("__items"),
-        },
+    # Bodies are parsed once; what follows reads only the columns it needs.
+    parsed = stored(
+        evaluate_once(
+            listed,
+            [*at, page_number, source_url],
+            {
+                "next_cursor": F.col("__next"),
+                "record_count": F.coalesce(F.size("__items"), F.lit(0)),
+                "problem": problem,
+                "__list": F.transform("__items", J.render),
+            },
+        )
     )
     # The second page that names a cursor is where a read would stop advancing.
     seen = Window.partitionBy(*keys, "next_cursor").orderBy(page_number)
@@ -296,7 +300,7 @@ def read_paged(
         .select(
             *at,
             (F.col("__before") + F.col("__i")).alias("record_index"),
-            J.render(F.col("__r")).alias("data"),
+            F.col("__r").alias("data"),
             F.lit(None).cast("string").alias("emitted_at"),
         )
     )

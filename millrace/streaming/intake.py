@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,8 +27,8 @@ def _known_shas(spark: SparkSession, out: str, before: str) -> DataFrame:
     """Shas stored by earlier batches."""
     try:
         stored = spark.read.parquet(f"{out}/run_meta")
-    except Exception as missing:  # the first batch finds no table
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:  # the first batch finds no table
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], "sha256 string")
     return stored.filter(F.col("batch").cast("string") < before).select("sha256")
@@ -50,8 +51,8 @@ def stream_documents(
     def ingest(batch: DataFrame, batch_id: int) -> None:
         name = _batch_name(batch_id)
         session = batch.sparkSession
-        tables = ingest_documents(batch, _known_shas(session, out, name), kind, run, out)
-        tables.results.persist()
+        known = _known_shas(session, out, name)
+        tables = ingest_documents(batch, known, kind, run, out, store_results=True)
         write_batch(
             tables.payloads.select("sha256", "delivery_identity", "payload_json"),
             out,
@@ -64,7 +65,6 @@ def stream_documents(
             out,
             name,
         )
-        tables.results.unpersist()
 
     return (
         documents.writeStream.foreachBatch(ingest)
