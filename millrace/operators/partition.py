@@ -7,6 +7,8 @@ is a narrow transform: no shuffle, and the full text of each document is used.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,28 +20,22 @@ TITLE_MAX_CHARS = 80
 LIST_MARK = r"^(?:[-*•‣▪–]|\d{1,3}[.)])\s+\S"
 END_MARK = r"[.!?:;,…]$"
 
-# Named character references that appear in running text.
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&hellip;": "…",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&euro;": "€",
-    "&amp;": "&",
-}
+# A reference that is no Unicode character is shown as this one.
+_REPLACEMENT = "\ufffd"
+_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
 
 _TITLE = "\ue001"
 _ITEM = "\ue002"
+_END = "\ue003"
+_BREAK = "\ue004"
+#: A row with bars, and below it the row of dashes that makes it a table's head.
+_TABLE = r"^[^\n]*\|[^\n]*\n[ \t]*\|?[ \t]*:?-{2,}[ \t:|-]*(?:\n|$)"
+_TAG = r"""(?:<[A-Za-z/!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[A-Za-z/!?][^>]*+>)"""
+_ATTRIBUTES = r"""\b(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
+_BLOCKS = (
+    "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form"
+    "|h[1-6]|header|hr|html|li|main|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul"
+)
 
 
 def line_type(line: Column) -> Column:
@@ -58,55 +54,71 @@ def text_elements(text: Column) -> Column:
     return F.transform(filled, lambda s: F.struct(line_type(s).alias("type"), s.alias("text")))
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode character references; ``&amp;`` last, so nothing is decoded twice."""
-
-    def replace_code(base: int, mark: str) -> Callable[[Column, Column], Column]:
-        def step(current: Column, code: Column) -> Column:
-            point = F.conv(code, base, 16)
-            char = F.decode(F.unhex(F.lpad(point, 8, "0")), "UTF-32")
-            whole = F.concat(F.lit(mark), code, F.lit(";"))
-            return F.replace(current, whole, char)
-
-        return step
+@cache
+def _named_references() -> list[Column]:
+    """Names (``&name;``) and their characters, as the HTML standard lists them."""
+    return [F.lit(x) for name, text in html5.items() if name.endswith(";") for x in (f"&{name}", text)]
+
+
+def _character(reference: Column) -> Column:
+    """What one character reference stands for; an unknown name stays as it is."""
+    digits = F.regexp_extract(reference, "^&#[xX]?0*([0-9A-Fa-f]*);$", 1)
+    base_16 = reference.rlike("^&#[xX]")
+    short = F.when(F.length(digits) <= 8, digits)
+    point = F.when(base_16, F.conv(short, 16, 10)).otherwise(short).try_cast("long")
+    valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    return F.when(
+        reference.startswith("&#"),
+        F.when(valid, character).otherwise(_REPLACEMENT),
+    ).otherwise(
+        F.coalesce(F.try_element_at(F.create_map(*_named_references()), reference), reference)
+    )
 
-    def numeric(base: int, mark: str, pattern: str) -> Callable[[Column], Column]:
-        def step(current: Column) -> Column:
-            codes = F.array_distinct(F.regexp_extract_all(current, F.lit(pattern), F.lit(1)))
-            return F.when(
-                current.contains(mark), F.aggregate(codes, current, replace_code(base, mark))
-            ).otherwise(current)
 
-        return step
+def decode_entities(text: Column) -> Column:
+    """Decode character references, each once."""
 
-    def named(current: Column) -> Column:
-        out = current
-        for name, char in ENTITIES.items():
-            out = F.replace(out, F.lit(name), F.lit(char))
-        return F.when(current.contains("&"), out).otherwise(current)
+    def decoded(current: Column) -> Column:
+        between = F.split(current, _REFERENCE)
+        characters = F.transform(
+            F.regexp_extract_all(current, F.lit(_REFERENCE), F.lit(0)), _character
+        )
+        joined = F.zip_with(
+            between, characters, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))
+        )
+        return F.when(current.contains("&"), F.array_join(joined, "")).otherwise(current)
 
-    plain = let(text, numeric(10, "&#", r"&#(0*[1-9]\d{0,5});"))
-    plain = let(plain, numeric(16, "&#x", r"&#x(0*[1-9A-Fa-f][0-9A-Fa-f]{0,4});"))
-    return let(plain, named)
+    return let(text, decoded)
 
 
 def html_text(html: Column) -> Column:
-    """Text of an HTML page, one block per line, with marks on headings and items."""
-    removed = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    """Text of an HTML page, one block per line, with marks on headings and items.
+
+    A comment, script or style that is not closed reaches to the end.  Lines of
+    preformatted text stay lines; blanks that do not break are blanks.
+    """
+    removed = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
+    removed = F.regexp_replace(removed, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)", "\n")
     removed = F.regexp_replace(
-        removed, r"(?is)<(script|style|nav|noscript|template|head)\b.*?</\1\s*>", "\n"
+        removed, r"(?is)<(nav|noscript|template|head)\b.*?</\1\s*>", "\n"
     )
-    flat = F.regexp_replace(removed, r"[\s]+", " ")
-    marked = F.regexp_replace(flat, r"(?i)<h[1-6]\b[^>]*>", f"\n{_TITLE}")
-    marked = F.regexp_replace(marked, r"(?i)<li\b[^>]*>", f"\n{_ITEM}")
-    blocks = F.regexp_replace(
-        marked,
-        r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption"
-        r"|figure|footer|form|h[1-6]|header|hr|html|li|main|ol|p|pre|section|table|tbody|td"
-        r"|tfoot|th|thead|title|tr|ul)\b[^>]*>",
-        "\n",
+    kept = F.regexp_replace(
+        removed,
+        rf"(?i)(<pre{_ATTRIBUTES}|\G(?!\A))((?:(?!</pre>)[^\n])*+)\n",
+        f"$1$2{_BREAK}",
     )
-    return decode_entities(F.regexp_replace(blocks, r"<[A-Za-z/!?][^>]*>", ""))
+    flat = F.regexp_replace(kept, r"[\s]+", " ")
+    marked = F.regexp_replace(flat, rf"(?i)<h[1-6]{_ATTRIBUTES}", f"\n{_TITLE}")
+    marked = F.regexp_replace(marked, rf"(?i)<li{_ATTRIBUTES}", f"\n{_ITEM}")
+    marked = F.regexp_replace(marked, r"(?i)</(?:h[1-6]|li)\s*>", f"{_END}\n")
+    blocks = F.regexp_replace(marked, rf"(?i)</?(?:{_BLOCKS}){_ATTRIBUTES}", "\n")
+    plain = F.regexp_replace(F.regexp_replace(blocks, _TAG, ""), _BREAK, "\n")
+    # A mark belongs to the first text behind it, unless its element ends before.
+    empty = F.regexp_replace(plain, rf"[{_TITLE}{_ITEM}]\s*+{_END}", "")
+    carried = F.regexp_replace(empty, rf"([{_TITLE}{_ITEM}]+)[ ]*\n\s*+", "\n$1")
+    decoded = decode_entities(F.regexp_replace(carried, _END, ""))
+    return F.replace(decoded, F.lit("\u00a0"), F.lit(" "))
 
 
 def html_elements(html: Column) -> Column:
@@ -130,8 +142,13 @@ def html_elements(html: Column) -> Column:
 
 
 def md_elements(text: Column) -> Column:
-    """Array of (type, text): headings, list items, paragraphs and fenced code."""
+    """Array of (type, text): headings, list items, tables, paragraphs and fenced code."""
     unified = F.regexp_replace(text, r"\r\n?", "\n")
+    # Underlined headings, and quotes without their marks.
+    unified = F.regexp_replace(unified, r"(?m)^ {0,3}(?:> ?)+", "")
+    unified = F.regexp_replace(
+        unified, r"(?m)^(?! {0,3}(?:[-*+>#|`~]|\d+[.)]\s))( {0,3}\S.*)\n {0,3}(?:=+|-+)[ \t]*$", "# $1"
+    )
     pieces = F.split(unified, r"(?m)^[ ]{0,3}(?:```|~~~).*$")
 
     def prose(piece: Column) -> Column:
@@ -157,6 +174,21 @@ def md_elements(text: Column) -> Column:
                     F.lit("ListItem").alias("type"), F.regexp_replace(b, item, "").alias("text")
                 ),
             )
+            .when(
+                b.rlike(_TABLE),
+                F.struct(
+                    F.lit("Table").alias("type"),
+                    F.regexp_replace(
+                        F.regexp_replace(
+                            F.regexp_replace(b, r"(?m)^[ \t]*\|?[ \t:|-]*--[ \t:|-]*$\n?", ""),
+                            r"(?m)^[ \t]*\|[ \t]*|[ \t]*\|[ \t]*$",
+                            "",
+                        ),
+                        r"[ \t]*\|[ \t]*",
+                        " ",
+                    ).alias("text"),
+                ),
+            )
             .otherwise(
                 F.struct(
                     F.lit("NarrativeText").alias("type"),

@@ -52,7 +52,7 @@ def test_html(spark):
         ("NarrativeText", "One two three four"),
         ("NarrativeText", "five é😀 &lt;"),
         ("ListItem", "x"),
-        ("NarrativeText", "y"),
+        ("ListItem", "y"),
     ]
 
 
@@ -106,6 +106,47 @@ def test_metadata(spark):
     assert second.metadata_warnings == ["is_extracted_not_a_boolean", "coordinates_without_a_box"]
 
 
+def elements_of(spark, text, kind):
+    df = spark.createDataFrame([("s", text)], "sha256 string, text string")
+    return [(e.type, e.text) for e in partition_documents(df, kind).first().elements]
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<ul><li><p>x</p></li><li>y</li></ul><p>z z.</p>",
+         [("ListItem", "x"), ("ListItem", "y"), ("NarrativeText", "z z.")]),
+        ("<h1></h1><p>plain</p><h2><b>T</b></h2>", [("NarrativeText", "plain"), ("Title", "T")]),
+        ("<p>a</p><script>if (a > b) {", [("NarrativeText", "a")]),
+        ("<p>a</p><!-- b <p>c</p>", [("NarrativeText", "a")]),
+        ('<p>a <img alt="x > y" src=z>b</p>', [("NarrativeText", "a b")]),
+        ("<pre>one\n  two</pre><p>a\nb</p>",
+         [("NarrativeText", "one"), ("NarrativeText", "two"), ("NarrativeText", "a b")]),
+        ("<p>&eacute;&trade;&middot;&#1048576;&#x10FFFF;&#X41;&amp;lt;&nosuch; &#0;&#xD800; a&b</p>",
+         [("NarrativeText", "é™·\U00100000\U0010ffffA&lt;&nosuch; \ufffd\ufffd a&b")]),
+        ("a < b and <i>c</i>", [("NarrativeText", "a < b and c")]),
+    ],
+)
+def test_html_details(spark, html, want):
+    assert elements_of(spark, html, "html") == want
+
+
+def test_md_details(spark):
+    text = (
+        "Head\n====\n\nSub\n---\n\n> quoted\n> more\n\n| a | b |\n|---|:-:|\n| 1 | 2 |\n\n"
+        "- item\n\n```\nx | y\n```\nlast *line*\n"
+    )
+    assert elements_of(spark, text, "md") == [
+        ("Title", "Head"),
+        ("Title", "Sub"),
+        ("NarrativeText", "quoted more"),
+        ("Table", "a b\n1 2"),
+        ("ListItem", "item"),
+        ("CodeSnippet", "x | y"),
+        ("NarrativeText", "last *line*"),
+    ]
+
+
 def test_scan_files(spark, tmp_path):
     for name in ("a.TXT", "sub/b.md", "sub/deep/c.txt", "d.csv"):
         path = tmp_path / name
