@@ -328,7 +328,49 @@ def task_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@catalog.add("partition_html")
+def _replaced(value: str, *steps: tuple[str, str]) -> str:
+    """Nested SQL calls that replace every match of a pattern by an expression."""
+    for pattern, by in steps:
+        value = f"regexp_replace({value}, '{pattern}', {by}, 'g')"
+    return value
+
+
+_BODY_SQL = _replaced(
+    "html",
+    ("(?s)<!--.*?-->", "''"),
+    ("(?is)<script\\b.*?</script\\s*>", "chr(10)"),
+    ("(?is)<style\\b.*?</style\\s*>", "chr(10)"),
+    ("(?is)<nav\\b.*?</nav\\s*>", "chr(10)"),
+    ("(?is)<head\\b.*?</head\\s*>", "chr(10)"),
+    ("\\s+", "' '"),
+    ("(?i)<h[1-6]\\b[^>]*>", "chr(10) || chr(1)"),
+    ("(?i)<li\\b[^>]*>", "chr(10) || chr(2)"),
+    ("(?i)</(?:h[1-6]|li)\\s*>", "chr(3) || chr(10)"),
+    ("(?i)</?(?:article|body|br|div|footer|html|p|table|td|th|tr|ul|ol|section)\\b[^>]*>", "chr(10)"),
+    ("<[A-Za-z/!?][^>]*>", "''"),
+    ("[\\x01\\x02]\\s*\\x03", "''"),
+    ("([\\x01\\x02]+) *\\n\\s*", "chr(10) || '\\1'"),
+    ("\\x03", "''"),
+    ("&copy;", "'©'"),
+    ("&middot;", "'·'"),
+    ("&quot;", "'\"'"),
+    ("&lt;", "'<'"),
+    ("&gt;", "'>'"),
+    ("&amp;", "'&'"),
+)
+
+
+@catalog.add(
+    "partition_html",
+    f"""SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS ord,
+ CASE WHEN contains(line, chr(1)) THEN 'Title'
+  WHEN contains(line, chr(2)) OR regexp_matches(text, '^(?:[-*•‣▪–]|[0-9]{{1,3}}[.)])\\s+\\S')
+  THEN 'ListItem' ELSE 'NarrativeText' END AS type, text
+FROM (SELECT page_id, i, l[i] AS line, regexp_replace(l[i], '^[\\s\\x01\\x02]+|\\s+$', '', 'g') AS text
+ FROM (SELECT page_id, string_split({_BODY_SQL}, chr(10)) AS l FROM pages) p,
+  LATERAL (SELECT unnest(range(1, len(l) + 1)) AS i) r)
+WHERE text <> ''""",
+)
 def partition_html(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").withColumn("sha256", identity.sha256_of(F.col("html")))
     return explode_elements(partition_documents(pages, "html", "html"), "page_id").select(
@@ -336,7 +378,13 @@ def partition_html(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@catalog.add("partition_md")
+@catalog.add(
+    "partition_md",
+    """SELECT conv_id, turn, CAST(0 AS BIGINT) AS ord, 'Title' AS type, role AS text FROM conversations
+UNION ALL SELECT conv_id, turn, CAST(1 AS BIGINT), 'NarrativeText',
+ regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '\\s*\\n\\s*', ' ', 'g')
+FROM conversations WHERE regexp_matches(text, '\\S')""",
+)
 def partition_md(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations as markdown: the role is a heading, the text a body."""
     turns = table(spark, folder, "conversations").select(
