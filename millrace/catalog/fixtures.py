@@ -248,7 +248,15 @@ def task_state(spark: SparkSession, folder: str) -> DataFrame:
     return o.select(
         F.concat(F.lit("task-"), key.cast("string")).alias("task_id"),
         bucket.alias("bucket"),
-        F.concat(F.lit('{"task_id":"task-'), key.cast("string"), F.lit('"}')).alias("task_json"),
+        F.concat(
+            F.lit('{"task_id":"task-'),
+            key.cast("string"),
+            F.lit('","kind":"uns","inputs":{"document":{"source":"'),
+            F.when(cust % 2 == 0, "s3").otherwise("local_file"),
+            F.lit('"}}'),
+            F.when(cust % 3 > 0, F.lit(',"identity":{"pipeline_version":"p1","sha256":"x"}')).otherwise(""),
+            F.lit("}"),
+        ).alias("task_json"),
         (cust % 3).cast("int").alias("failure_count"),
         (cust % 2).cast("int").alias("orphan_count"),
         F.when(bucket == "inflight", born + key % 100).alias("claimed_at"),
@@ -259,7 +267,9 @@ def task_state(spark: SparkSession, folder: str) -> DataFrame:
 
 
 TASK_STATE_SQL = f"""SELECT 'task-' || o_orderkey AS task_id, bucket,
- '{{"task_id":"task-' || o_orderkey || '"}}' AS task_json,
+ '{{"task_id":"task-' || o_orderkey || '","kind":"uns","inputs":{{"document":{{"source":"' ||
+  CASE WHEN o_custkey % 2 = 0 THEN 's3' ELSE 'local_file' END || '"}}}}' || CASE WHEN o_custkey % 3 > 0
+  THEN ',"identity":{{"pipeline_version":"p1","sha256":"x"}}' ELSE '' END || '}}' AS task_json,
  CAST(o_custkey % 3 AS INTEGER) AS failure_count, CAST(o_custkey % 2 AS INTEGER) AS orphan_count,
  CASE WHEN bucket = 'inflight' THEN epoch(o_orderdate) + o_orderkey % 100 END AS claimed_at,
  epoch(o_orderdate) AS created_at, epoch(o_orderdate) + o_orderkey % 1000 AS updated_at,

@@ -25,6 +25,7 @@ from millrace.operators.audit import (
     PathRule,
     Term,
     audit_payloads,
+    audit_vectors,
     backfill_governance,
     denylist_scan,
     governance_receipts,
@@ -288,9 +289,26 @@ def metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("value", F.round("value", 6))
 
 
+def _flat_usage(usage: DataFrame) -> DataFrame:
+    """All columns, lists as texts and the domains side by side."""
+    lists = [c for c, kind in usage.dtypes if kind == "array<string>"]
+    domains = F.col("capability_domains_used")
+    return usage.withColumns(
+        {
+            **{c: F.array_join(c, "|") for c in lists},
+            **{c: domains[c] for c in ("base", "pro", "extra")},
+            "evidence": F.array_join(domains["evidence"], "|"),
+        }
+    ).drop("capability_domains_used")
+
+
 @catalog.add(
     "usage_batch",
-    f"""SELECT run_id, pipeline_version, docs_total, docs_success_total AS docs_success,
+    f"""SELECT CAST(1 AS INTEGER) AS schema_version, 'raw_technical_usage_batch_summary_v1' AS record_kind,
+ true AS non_billing, true AS base, false AS pro, false AS extra, 'batch report aggregate' AS evidence,
+ 'aggregate_from_task_records_and_batch_report' AS source_linkage_scope,
+ 'billing|pricing|license entitlement|subscription allowance|quota decision|distributed runtime evidence'
+  AS not_claimed, run_id, pipeline_version, docs_total, docs_success_total AS docs_success,
  docs_failed_total AS docs_failed, docs_skipped_total AS docs_skipped, delivery_total,
  delivery_ok_total AS delivery_ok, delivery_failed_total AS delivery_failed,
  CASE WHEN docs_total = 0 THEN 'empty' WHEN docs_failed_total > 0 OR delivery_failed_total > 0
@@ -299,7 +317,7 @@ def metrics(spark: SparkSession, folder: str) -> DataFrame:
   ELSE 'none' END AS failure_stage FROM ({REPORT_SQL})""",
 )
 def usage_of_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return usage_batch(report_of_orders(spark, folder)[0])
+    return _flat_usage(usage_batch(report_of_orders(spark, folder)[0]))
 
 
 SOURCES = ("s3", "kafka", "local_file", "postgresql", "http")
@@ -310,7 +328,27 @@ ORIGINS = ("intake", "resume", "requeue", "redrive", None)
 
 @catalog.add(
     "usage_records",
-    f"""SELECT 'task-' || doc AS task_id, CASE WHEN doc % 2 = 0 THEN 'uns' ELSE 'it' END AS flow_kind,
+    f"""SELECT CAST(1 AS INTEGER) AS schema_version, 'raw_technical_usage_fact_v1' AS record_kind,
+ true AS non_billing, true AS base, false AS pro, false AS extra,
+ concat_ws('|', 'task.kind=' || CASE WHEN doc % 2 = 0 THEN 'uns' ELSE 'it' END,
+  'current retained source/destination surface=base', 'source_contract_id=' || CASE WHEN doc % 2 = 0
+   THEN {sql_pick(_DOC_LINK, 'doc % 5')} ELSE {sql_pick(_RECORD_LINK, 'doc % 5')} END) AS evidence,
+ CASE WHEN doc % 2 = 0 THEN 'elements_count|normalized_text_len' ELSE 'duration_ms|attempts' END
+  AS derivative_metrics,
+ CASE WHEN doc % 2 = 0 THEN 'page|delivery_success' ELSE 'delivery_success|checkpoint' END AS not_primary_units,
+ 'billing|pricing|license entitlement|subscription allowance|quota decision|page is a universal raw unit|'
+  || 'distributed runtime evidence' AS not_claimed,
+ 'run-1' AS run_id, 'p1' AS pipeline_version, '{{"task":' || doc || '}}' AS task_identity_key,
+ CASE WHEN doc % 4 = 0 THEN 'c' || doc END AS checkpoint_identity_key,
+ CASE WHEN doc % 2 = 0 THEN 'stable_current' ELSE 'bounded_not_fully_first_class' END AS maturity,
+ {sql_pick(SOURCES, 'doc % 5')} AS task_document_source,
+ CASE WHEN CASE WHEN doc % 2 = 0 THEN {sql_pick(_DOC_LINK, 'doc % 5')}
+  ELSE {sql_pick(_RECORD_LINK, 'doc % 5')} END IS NULL THEN 'flow_family_only' ELSE 'linked' END
+  AS source_contract_status,
+ CASE WHEN doc % 2 = 0 THEN 'document_selection' ELSE 'structured_emitted_item' END AS raw_unit_relation,
+ outcome AS run_outcome, delivery_outcome, {sql_pick(ORIGINS, 'doc % 5')} AS run_origin,
+ CASE WHEN doc % 3 = 0 THEN 'replay' ELSE 'primary' END AS delivery_origin, 'batch' AS execution_mode,
+ 'task-' || doc AS task_id, CASE WHEN doc % 2 = 0 THEN 'uns' ELSE 'it' END AS flow_kind,
  CASE WHEN doc % 2 = 0 THEN 'document' ELSE 'record_or_emitted_item' END AS primary_raw_unit,
  CASE WHEN doc % 2 = 0 THEN {sql_pick(_DOC_LINK, 'doc % 5')} ELSE {sql_pick(_RECORD_LINK, 'doc % 5')} END
   AS source_contract_id,
@@ -336,8 +374,10 @@ def usage(spark: SparkSession, folder: str) -> DataFrame:
         task,
         F.lit("run-1").alias("run_id"),
         F.lit("p1").alias("pipeline_version"),
-        F.lit(None).cast("string").alias("task_identity_key"),
-        F.lit(None).cast("string").alias("checkpoint_identity_key"),
+        F.concat(F.lit('{"task":'), doc.cast("string"), F.lit("}")).alias("task_identity_key"),
+        F.when(doc % 4 == 0, F.concat(F.lit("c"), doc.cast("string"))).alias(
+            "checkpoint_identity_key"
+        ),
         "outcome",
         F.col("error_code").alias("run_error_code"),
         pick(ORIGINS, doc % 5).alias("run_origin"),
@@ -352,18 +392,7 @@ def usage(spark: SparkSession, folder: str) -> DataFrame:
         "shared_failure_kind",
         "shared_error_code",
     )
-    return usage_records(tasks, meta, delivered).select(
-        "task_id",
-        "flow_kind",
-        "primary_raw_unit",
-        "source_contract_id",
-        "status",
-        "failure_stage",
-        "error_code",
-        "failure_kind",
-        "failure_retryability",
-        "recovery_kind",
-    )
+    return _flat_usage(usage_records(tasks, meta, delivered))
 
 
 @catalog.add(
@@ -672,11 +701,16 @@ def requeued(spark: SparkSession, folder: str) -> DataFrame:
     f"""SELECT w.task_id, w.source_bucket, CASE
   WHEN w.source_bucket NOT IN ('poison', 'inflight') THEN 'source_bucket_not_recoverable'
   WHEN s.bucket = w.source_bucket THEN 'moved_to_pending' ELSE 'task_not_found_in_source_bucket' END AS result,
- s.failure_count FROM ({_WANTED_SQL}) w LEFT JOIN ({TASK_STATE_SQL}) s ON s.task_id = w.task_id""",
+ s.failure_count, s.orphan_count, CASE WHEN s.task_id IS NOT NULL THEN 'uns' END AS kind,
+ CAST({NOW} AS DOUBLE) AS recorded_at, CASE WHEN s.o_custkey % 3 > 0
+  THEN '{{"kind":"uns","pipeline_version":"p1","sha256":"x"}}' END AS task_identity_key,
+ CASE WHEN s.o_custkey % 2 = 0 THEN 's3_document_v1' END AS source_contract_id,
+ 'requeue' AS action, 'persisted_in_history' AS audit_support
+FROM ({_WANTED_SQL}) w LEFT JOIN ({TASK_STATE_SQL}) s ON s.task_id = w.task_id""",
 )
 def requeue_answers(spark: SparkSession, folder: str) -> DataFrame:
     _, answers = requeue(task_state(spark, folder), _wanted(spark, folder), F.lit(NOW))
-    return answers.select("task_id", "source_bucket", "result", "failure_count")
+    return answers
 
 
 _BUCKETS_SQL = ", ".join(
@@ -735,11 +769,19 @@ def inspection(spark: SparkSession, folder: str) -> DataFrame:
 
 @catalog.add(
     "governance_receipts",
-    f"""SELECT 'gov-' || task_id AS action_id, 'requeue' AS action_kind, 'succeeded' AS status, task_id,
- 'queue_bucket' AS evidence_kind, bucket AS evidence_ref,
- '{{"failure_count":' || failure_count || '}}' AS result_summary FROM ({TASK_STATE_SQL})""",
+    f"""SELECT CAST(1 AS INTEGER) AS schema_version, 'governance_action_receipt_v1' AS record_kind,
+ 'gov-' || task_id AS action_id, 'requeue' AS action_kind, 'state_changing' AS action_category,
+ '2026-01-01T00:00:00Z' AS recorded_at_utc, 'succeeded' AS status, 'persisted_receipt' AS audit_support,
+ 'local_artifact' AS persistence_scope, 'requeue' AS recovery_kind, task_id,
+ 'queue_bucket=' || bucket || CASE WHEN claimed_at IS NOT NULL THEN '|claim=' || task_id ELSE '' END
+  AS evidence_refs, '{{"failure_count":' || failure_count || '}}' AS result_summary,
+ 'billing|pricing|license entitlement|RBAC approval workflow|multi-operator collaboration platform|'
+  || 'distributed governance platform' AS not_claimed FROM ({TASK_STATE_SQL})""",
 )
 def action_receipts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every task has its bucket as evidence, and its claim where it has one."""
+    bucket = F.struct(F.lit("queue_bucket").alias("kind"), F.col("bucket").alias("ref"))
+    claim = F.struct(F.lit("claim").alias("kind"), F.col("task_id").alias("ref"))
     actions = task_state(spark, folder).select(
         F.concat(F.lit("gov-"), "task_id").alias("action_id"),
         F.lit("requeue").alias("action_kind"),
@@ -749,18 +791,18 @@ def action_receipts(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("persisted_receipt").alias("audit_support"),
         F.lit("requeue").alias("recovery_kind"),
         "task_id",
-        F.lit("queue_bucket").alias("evidence_kind"),
-        F.col("bucket").alias("evidence_ref"),
+        F.when(F.col("claimed_at").isNotNull(), F.array(bucket, claim))
+        .otherwise(F.array(bucket))
+        .alias("evidence_refs"),
         F.to_json(F.struct("failure_count")).alias("result_summary"),
     )
-    return governance_receipts(actions).select(
-        "action_id",
-        "action_kind",
-        "status",
-        "linkage.task_id",
-        "evidence_kind",
-        "evidence_ref",
-        "result_summary",
+    refs = F.transform("evidence_refs", lambda r: F.concat_ws("=", r["kind"], r["ref"]))
+    return (
+        governance_receipts(actions)
+        .withColumn("task_id", F.col("linkage.task_id"))
+        .withColumn("evidence_refs", F.array_join(refs, "|"))
+        .withColumn("not_claimed", F.array_join("not_claimed", "|"))
+        .drop("linkage")
     )
 
 
@@ -826,7 +868,9 @@ def backfilled(spark: SparkSession, folder: str) -> DataFrame:
 @catalog.add(
     "audit_payloads",
     """WITH d AS (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS found FROM documents)
-SELECT doc_id, found AS delivery_locator_found, found AND doc_id % 7 > 0 AS content_evidence_found,
+SELECT doc_id, found AS delivery_locator_found, found AS delivery_payload_visible,
+ CASE WHEN found AND doc_id % 7 = 0 THEN 'content_evidence_missing' ELSE '' END AS note,
+ found AND doc_id % 7 > 0 AS content_evidence_found,
  CASE WHEN found AND doc_id % 7 > 0 THEN 'normalized_text_preview_v1' ELSE 'missing' END AS evidence_kind,
  found AND doc_id % 7 > 0 AND contains(text, lang) AS normalized_text_preview_found,
  found AND doc_id % 7 > 0 AS records_preview_found,
@@ -871,6 +915,23 @@ def audited(spark: SparkSession, folder: str) -> DataFrame:
     return audit_payloads(delivered, expected, "token", on="doc_id")
 
 
+@catalog.add(
+    "audit_vectors",
+    """SELECT doc_id, found AS delivery_locator_found, false AS delivery_payload_visible,
+ 'vector_object_holds_normalized_text' AS note, found AS content_evidence_found,
+ 'normalized_text_projection_v1' AS evidence_kind, found AND contains(text, lang) AS normalized_text_preview_found,
+ false AS records_preview_found, found AND contains(text, lang) AS token_pass,
+ false AS delivery_payload_core_metadata_check, 'not_checked' AS structured_state_log_status
+FROM (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS found FROM documents)""",
+)
+def audited_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Read back the vector objects of labelled documents."""
+    docs = table(spark, folder, "documents")
+    held = docs.join(table(spark, folder, "labels").select("doc_id"), "doc_id", "left_semi")
+    objects = held.select("doc_id", F.col("text").alias("normalized_text"))
+    return audit_vectors(objects, docs.select("doc_id", F.col("lang").alias("token")), "token", "doc_id")
+
+
 TERMS = (
     Term("the", "common", "note", ("packages",), "frequent"),
     Term("tion", "ending", "major", ("runtime",), "ending"),
@@ -938,21 +999,22 @@ SCAN_SQL = f"""WITH f AS (SELECT {sql_pick(FOLDERS, f'doc_id % {len(FOLDERS)}')}
    ELSE CASE WHEN negative THEN CASE WHEN context_kind = 'historical_doc' THEN 'allowed_boundary'
      ELSE 'review_required' END
     WHEN list_has_any(contexts, blocked) THEN 'blocked' ELSE 'review_required' END END AS classification,
-  severity, context_kind FROM m)"""
+  severity, CASE term WHEN 'the' THEN 'frequent' WHEN 'tion' THEN 'ending' WHEN 'license' THEN 'terms'
+   WHEN 'Password' THEN 'secret' ELSE 'address' END AS reason, context_kind,
+  CASE context_kind WHEN 'test_fixture' THEN 'test_fixture' WHEN 'boundary_doc' THEN 'historical_text'
+   WHEN 'historical_doc' THEN 'historical_text' WHEN 'tooling' THEN 'tooling'
+   ELSE 'actual_runtime_candidate' END AS historical_or_fixture,
+  CASE context_kind WHEN 'boundary_doc' THEN 'boundary-owner' WHEN 'historical_doc' THEN 'docs-owner'
+   WHEN 'tooling' THEN 'tooling-owner' WHEN 'test_fixture' THEN 'test-owner'
+   WHEN 'core_contract' THEN 'core-owner' WHEN 'connector' THEN 'connector-owner'
+   WHEN 'runtime' THEN 'runtime-owner' ELSE 'repo-owner' END AS suggested_owner,
+  trim(text) AS text FROM m)"""
 
 
 @catalog.add("denylist_scan", SCAN_SQL + " SELECT * FROM c")
 def denied(spark: SparkSession, folder: str) -> DataFrame:
     hits = denylist_scan(_scanned(spark, folder), TERMS, rules=CONTEXT)
-    return hits.select(
-        "path",
-        F.col("line").cast("long").alias("line"),
-        "term",
-        "category",
-        "classification",
-        "severity",
-        "context_kind",
-    )
+    return hits.withColumn("line", F.col("line").cast("long"))
 
 
 @catalog.add(

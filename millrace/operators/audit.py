@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -70,8 +70,34 @@ BLOCKED_CONTEXTS = {
 }
 
 
+# What a governance receipt does not claim.
+GOVERNANCE_NOT_CLAIMED = (
+    "billing",
+    "pricing",
+    "license entitlement",
+    "RBAC approval workflow",
+    "multi-operator collaboration platform",
+    "distributed governance platform",
+)
+#: Who looks after a hit in each kind of file.
+OWNERS = {
+    "boundary_doc": "boundary-owner",
+    "historical_doc": "docs-owner",
+    "tooling": "tooling-owner",
+    "test_fixture": "test-owner",
+    "core_contract": "core-owner",
+    "connector": "connector-owner",
+    "runtime": "runtime-owner",
+    "other": "repo-owner",
+}
+
+
 def governance_receipts(actions: DataFrame) -> DataFrame:
-    """Receipt rows of operator actions, linked to what they touched."""
+    """Receipt rows of operator actions, linked to what they touched.
+
+    ``actions`` has ``evidence_refs`` (an array of kind and ref), or ``evidence_kind``
+    and ``evidence_ref`` for one reference.
+    """
     links = (
         "task_id",
         "run_id",
@@ -85,6 +111,13 @@ def governance_receipts(actions: DataFrame) -> DataFrame:
     def column(name: str) -> Column:
         return F.col(name) if name in present else F.lit(None).cast("string")
 
+    if "evidence_refs" in present:
+        references = F.col("evidence_refs")
+    else:
+        one = F.struct(
+            column("evidence_kind").alias("kind"), column("evidence_ref").alias("ref")
+        )
+        references = F.filter(F.array(one), lambda r: r["ref"].isNotNull())
     return actions.select(
         F.lit(RECEIPT_SCHEMA_VERSION).alias("schema_version"),
         F.lit("governance_action_receipt_v1").alias("record_kind"),
@@ -102,9 +135,9 @@ def governance_receipts(actions: DataFrame) -> DataFrame:
         F.lit("local_artifact").alias("persistence_scope"),
         column("recovery_kind").alias("recovery_kind"),
         F.struct(*[column(c).alias(c) for c in links]).alias("linkage"),
-        column("evidence_kind").alias("evidence_kind"),
-        column("evidence_ref").alias("evidence_ref"),
+        references.alias("evidence_refs"),
         column("result_summary").alias("result_summary"),
+        _literal_array(GOVERNANCE_NOT_CLAIMED).alias("not_claimed"),
     )
 
 
@@ -215,6 +248,8 @@ def audit_payloads(
     return joined.select(
         on,
         found.alias("delivery_locator_found"),
+        found.alias("delivery_payload_visible"),
+        F.when(found & ~has_evidence, "content_evidence_missing").otherwise("").alias("note"),
         (found & has_evidence).alias("content_evidence_found"),
         F.when(found & has_evidence, F.coalesce(J.string_at(p, "$.content_evidence.evidence_kind"), F.lit("unknown")))
         .otherwise("missing")
@@ -231,6 +266,32 @@ def audit_payloads(
     )
 
 
+def audit_vectors(
+    objects: DataFrame, expected: DataFrame, token: str, on: str = "uuid"
+) -> DataFrame:
+    """Read-back check of vector objects, which hold the normalized text itself.
+
+    ``expected`` has the column ``token`` under the join key; ``objects`` has
+    ``normalized_text``.  The result has the columns of :func:`audit_payloads`.
+    """
+    text = F.col("normalized_text")
+    held = F.coalesce(text.contains(F.col(token)), F.lit(False))
+    objects = objects.select(on, "normalized_text", F.lit(True).alias("__found"))
+    return expected.select(on, token).join(objects, on, "left").select(
+        on,
+        F.coalesce("__found", F.lit(False)).alias("delivery_locator_found"),
+        F.lit(False).alias("delivery_payload_visible"),
+        F.lit("vector_object_holds_normalized_text").alias("note"),
+        text.isNotNull().alias("content_evidence_found"),
+        F.lit("normalized_text_projection_v1").alias("evidence_kind"),
+        held.alias("normalized_text_preview_found"),
+        F.lit(False).alias("records_preview_found"),
+        held.alias("token_pass"),
+        F.lit(False).alias("delivery_payload_core_metadata_check"),
+        F.lit("not_checked").alias("structured_state_log_status"),
+    )
+
+
 @dataclass(frozen=True)
 class Term:
     """One denied term and where it may not appear."""
@@ -305,6 +366,7 @@ def denylist_scan(
     path: str = "path",
     text: str = "text",
     rules: ContextRules | None = None,
+    owners: Mapping[str, str] = OWNERS,
 ) -> DataFrame:
     """Every (line, term) hit of a denylist, ignoring case.
 
@@ -353,7 +415,7 @@ def denylist_scan(
             return hit
 
         return F.when(
-            _any_of(lowered, needles, "contains"),
+            lowered.rlike("|".join(re.escape(n) for n in needles)),
             F.transform(
                 found,
                 lambda t: F.struct(
@@ -403,6 +465,9 @@ def denylist_scan(
         .when(blocked, "blocked")
         .otherwise("review_required")
     )
+    owner = F.try_element_at(
+        F.create_map(*[F.lit(x) for pair in owners.items() for x in pair]), kind
+    )
     return hits.select(
         "path",
         "h.line",
@@ -417,6 +482,7 @@ def denylist_scan(
         .when(kind == "tooling", "tooling")
         .otherwise("actual_runtime_candidate")
         .alias("historical_or_fixture"),
+        owner.alias("suggested_owner"),
         "h.text",
     )
 
@@ -496,7 +562,7 @@ def import_scan(
 
     def line_hits(lowered: Column, i: Column) -> Column:
         return F.when(
-            _any_of(lowered, needles, "contains"),
+            lowered.rlike("|".join(re.escape(n) for n in needles)),
             F.transform(
                 F.filter(entries, lambda t: lowered.contains(t["needle"])),
                 lambda t: F.struct(

@@ -381,6 +381,34 @@ def metric_rows(
     return totals.unionByName(details.filter(F.col("name").isNotNull()))
 
 
+# What usage facts do not claim.
+USAGE_NOT_CLAIMED = (
+    "billing",
+    "pricing",
+    "license entitlement",
+    "subscription allowance",
+    "quota decision",
+    "page is a universal raw unit",
+    "distributed runtime evidence",
+)
+BATCH_USAGE_NOT_CLAIMED = tuple(c for c in USAGE_NOT_CLAIMED if not c.startswith("page"))
+USAGE_SCHEMA_VERSION = 1
+
+
+def _texts(*values: str) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
+def _domains(evidence: Column) -> Column:
+    """Technical domains in use; this engine has the base domain only."""
+    return F.struct(
+        F.lit(True).alias("base"),
+        F.lit(False).alias("pro"),
+        F.lit(False).alias("extra"),
+        evidence.alias("evidence"),
+    )
+
+
 def usage_records(tasks: DataFrame, run_meta: DataFrame, receipts: DataFrame) -> DataFrame:
     """One technical usage fact per task.
 
@@ -416,7 +444,26 @@ def usage_records(tasks: DataFrame, run_meta: DataFrame, receipts: DataFrame) ->
     linked = F.coalesce(
         F.col("source_contract_id"), contract_id(F.col("kind"), F.col("source"))
     )
+    evidence = F.filter(
+        F.array(
+            F.concat(F.lit("task.kind="), F.col("kind")),
+            F.lit("current retained source/destination surface=base"),
+            F.concat(F.lit("source_contract_id="), linked),
+        ),
+        lambda e: e.isNotNull(),
+    )
     return joined.select(
+        F.lit(USAGE_SCHEMA_VERSION).alias("schema_version"),
+        F.lit("raw_technical_usage_fact_v1").alias("record_kind"),
+        F.lit(True).alias("non_billing"),
+        _domains(evidence).alias("capability_domains_used"),
+        F.when(document, _texts("elements_count", "normalized_text_len"))
+        .otherwise(_texts("duration_ms", "attempts"))
+        .alias("derivative_metrics"),
+        F.when(document, _texts("page", "delivery_success"))
+        .otherwise(_texts("delivery_success", "checkpoint"))
+        .alias("not_primary_units"),
+        _texts(*USAGE_NOT_CLAIMED).alias("not_claimed"),
         "task_id",
         "run_id",
         "pipeline_version",
@@ -459,6 +506,12 @@ def usage_batch(report: DataFrame) -> DataFrame:
     broken = (F.col("docs_failed_total") > 0) | (F.col("delivery_failed_total") > 0)
     empty = F.col("docs_total") == 0
     return report.select(
+        F.lit(USAGE_SCHEMA_VERSION).alias("schema_version"),
+        F.lit("raw_technical_usage_batch_summary_v1").alias("record_kind"),
+        F.lit(True).alias("non_billing"),
+        _domains(_texts("batch report aggregate")).alias("capability_domains_used"),
+        F.lit("aggregate_from_task_records_and_batch_report").alias("source_linkage_scope"),
+        _texts(*BATCH_USAGE_NOT_CLAIMED).alias("not_claimed"),
         "run_id",
         "pipeline_version",
         F.col("docs_total"),

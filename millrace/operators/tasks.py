@@ -10,6 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions import identity
+from millrace.functions import jsontext as J
+from millrace.functions.binding import evaluate_once
+from millrace.sources.specs import contract_id
+
 BUCKETS = ("pending", "inflight", "done", "failed", "poison")
 MAX_TASK_ATTEMPTS = 3
 MAX_ORPHAN_REQUEUES = 2
@@ -124,9 +129,34 @@ def requeue(
         ).otherwise(F.col("provenance")),
     }
     after = joined.select(*[changed.get(c, F.col(c)).alias(c) for c in task_state.columns])
-    found = task_state.select("task_id", "bucket", "failure_count", "orphan_count")
-    results = asked.join(found, "task_id", "left").select(
+    found = task_state.select("task_id", "bucket", "failure_count", "orphan_count", "task_json")
+    task = F.col("__task")
+    kind = J.filled_string_at(task, "$.kind")
+    document = "$.inputs.document"
+    facts = {
+        "kind": kind,
+        "task_identity_key": F.when(
+            J.is_object(task, "$.identity"),
+            identity.task_key(
+                kind,
+                J.string_at(task, "$.identity.pipeline_version"),
+                J.string_at(task, "$.identity.sha256"),
+            ),
+        ),
+        "source_contract_id": F.coalesce(
+            J.filled_string_at(task, f"{document}.source_contract_id"),
+            contract_id(kind, J.string_at(task, f"{document}.source")),
+        ),
+    }
+    answered = asked.join(found, "task_id", "left").withColumn(
+        "__task", J.parse(F.col("task_json"))
+    )
+    told = evaluate_once(
+        answered, ["task_id", "__from", "bucket", "failure_count", "orphan_count"], facts
+    )
+    results = told.select(
         "task_id",
+        "kind",
         F.lit("requeue").alias("action"),
         F.col("__from").alias("source_bucket"),
         F.when(recoverable & (F.col("bucket") == F.col("__from")), "moved_to_pending")
@@ -135,6 +165,9 @@ def requeue(
         .alias("result"),
         "failure_count",
         "orphan_count",
+        now.cast("double").alias("recorded_at"),
+        "task_identity_key",
+        "source_contract_id",
         F.lit("persisted_in_history").alias("audit_support"),
     )
     return after, results
