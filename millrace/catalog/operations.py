@@ -398,7 +398,11 @@ def usage(spark: SparkSession, folder: str) -> DataFrame:
 @catalog.add(
     "build_dlq",
     f"""SELECT r.sha256 || '__run-1__' || regexp_replace(trim(r.destination || ' / ' || r.attempts),
-  '[^A-Za-z0-9_.\\-]+', '_', 'g') AS name, 'pending' AS state, 'run-1' AS run_id, m.o_orderstatus AS outcome
+  '[^A-Za-z0-9_.\\-]+', '_', 'g') AS name, 'pending' AS state, r.sha256, 'run-1' AS run_id,
+ 'p1' AS pipeline_version, '2026-01-01T00:00:00Z' AS timestamp_utc, CAST(3 AS INTEGER) AS run_schema_version,
+ m.o_orderstatus AS outcome, r.destination || ' / ' || r.attempts AS destination, false AS ok,
+ CASE WHEN r.failure_kind IS NULL THEN '{{}}' ELSE '{{"failure_kind":"' || r.failure_kind || '"}}' END AS details,
+ '{{"order":' || m.o_orderkey || '}}' AS run_meta, '2026-01-01T00:00:00Z' AS written_at_utc
 FROM ({RECEIPTS_SQL}) r JOIN orders m ON m.o_orderkey = r.doc WHERE NOT r.ok""",
 )
 def new_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
@@ -419,11 +423,12 @@ def new_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("2026-01-01T00:00:00Z").alias("timestamp_utc"),
         F.lit(3).alias("run_schema_version"),
         F.col("o_orderstatus").alias("outcome"),
-        F.lit("{}").alias("run_meta"),
-    )
-    return build_dlq(runs, failed, F.lit("2026-01-01T00:00:00Z")).select(
-        "name", "state", "run_id", "outcome"
+        F.concat(F.lit('{"order":'), F.col("o_orderkey").cast("string"), F.lit("}")).alias("run_meta"),
     )
+    letters = build_dlq(runs, failed, F.lit("2026-01-01T00:00:00Z"))
+    return letters.withColumns(
+        {c: F.col("destination_receipt")[c] for c in ("ok", "details")}
+    ).drop("destination_receipt")
 
 
 PRUNE = {
@@ -473,23 +478,16 @@ def prune(spark: SparkSession, folder: str) -> DataFrame:
  count(*) FILTER (by_age) AS selected_by_age, count(*) FILTER (by_size) AS selected_by_size,
  count(*) FILTER (protected) AS protected,
  count(*) FILTER ((by_age OR by_size) AND state = 'pending') AS selected_pending,
- count(*) FILTER ((by_age OR by_size) AND state = 'done') AS moved_done FROM s""",
+ count(*) FILTER ((by_age OR by_size) AND state = 'done') AS selected_done,
+ count(*) FILTER ((by_age OR by_size) AND state = 'pending') AS moved_pending,
+ count(*) FILTER ((by_age OR by_size) AND state = 'done') AS moved_done,
+ CAST({int(NOW)} AS BIGINT) AS now_epoch_s, CAST(900 AS BIGINT) AS older_than_days,
+ CAST({int(NOW) - 900 * 86400} AS BIGINT) AS threshold_epoch_s, true AS include_pending, true AS include_done,
+ true AS apply, CAST(500 AS BIGINT) AS max_total_mb, CAST(40 AS BIGINT) AS keep_last,
+ true AS keep_last_per_destination, CAST(500 * 1024 * 1024 AS BIGINT) AS max_total_bytes FROM s""",
 )
 def prune_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return prune_dlq(dead_letters(spark, folder), **PRUNE)[1].select(
-        "total_bytes",
-        "bytes_over_limit",
-        "scanned",
-        "selected",
-        "moved",
-        "skipped",
-        "selected_bytes",
-        "selected_by_age",
-        "selected_by_size",
-        "protected",
-        "selected_pending",
-        "moved_done",
-    )
+    return prune_dlq(dead_letters(spark, folder), **PRUNE)[1]
 
 
 @catalog.add(

@@ -149,9 +149,9 @@ def prune_dlq(
         else F.when(total > limit_bytes, total - limit_bytes)
     )
     stats = plan.agg(
-        F.lit(now_epoch_s).alias("now_epoch_s"),
-        F.lit(older_than_days).alias("older_than_days"),
-        F.lit(threshold).alias("threshold_epoch_s"),
+        F.lit(now_epoch_s).cast("long").alias("now_epoch_s"),
+        F.lit(older_than_days).cast("long").alias("older_than_days"),
+        F.lit(threshold).cast("long").alias("threshold_epoch_s"),
         F.lit(include_pending).alias("include_pending"),
         F.lit(include_done).alias("include_done"),
         F.lit(apply).alias("apply"),
