@@ -567,22 +567,51 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ingested_sql(filename: str) -> str:
+    """Payload of every document, as the ingest of run ``run-1`` shapes it."""
+    return f"""SELECT filename, sha AS sha256, sha || ':run-1' AS delivery_identity, n AS elements_count,
+ CAST(length(nt) AS BIGINT) AS normalized_text_len,
+ '{{"artifacts":{{"out_dir":"/out/' || sha || '","run_meta_path":"/out/' || sha ||
+ '/run_meta.json","elements_path":"/out/' || sha || '/elements.json","normalized_path":"/out/' || sha ||
+ '/normalized.txt"}},"content_evidence":{{"elements_count":' || n ||
+ ',"normalized_text_status":"available","normalized_text_preview":' ||
+ CAST(to_json(substr(nt, 1, {PREVIEW_CHARS})) AS VARCHAR) || ',"normalized_text_len":' || length(nt) ||
+ ',"normalized_text_sha256":"' || sha256(nt) || '","normalized_text_truncated":' ||
+ CASE WHEN length(nt) > {PREVIEW_CHARS} THEN 'true' ELSE 'false' END ||
+ ',"evidence_kind":"normalized_text_preview_v1"}},"run_meta":{{"document":{{"created_at_utc":' ||
+ '"2026-01-01T00:00:00Z","filename":"' || filename || '","mime_type":null,"sha256":"' || sha ||
+ '","size_bytes":' || bytes || '}},"engine":{{"backend":"spark","name":"builtin","strategy":"auto",' ||
+ '"version":"1"}},"error":null,"metrics":{{"attempts":1,"duration_ms":null,"elements_count":' || n ||
+ ',"normalized_text_len":' || length(nt) || '}},"outcome":"success","pipeline_version":"p1",' ||
+ '"provenance":{{"delivery_origin":"primary","execution_mode":"batch","run_origin":"intake",' ||
+ '"task_identity_key":"{{\\"kind\\":\\"uns\\",\\"pipeline_version\\":\\"p1\\",\\"sha256\\":\\"' || sha ||
+ '\\"}}"}},"run_id":"run-1","schema_version":3,"timestamp_utc":"2026-01-01T00:00:00Z","warnings":[]}},' ||
+ '"schema_version":1,"sha256":"' || sha || '"}}' AS payload_json
+FROM (SELECT doc_id, {filename} AS filename, sha256(text) AS sha, strlen(text) AS bytes FROM documents)
+ JOIN (SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY ord) AS nt, count(*) AS n
+  FROM ({LINES_SQL}) GROUP BY doc_id) USING (doc_id)"""
+
+
+INGESTED_SQL = ingested_sql("'/in/' || lpad(CAST(doc_id AS VARCHAR), 9, '0')")
+
+
 @catalog.add(
     "ingest_documents",
     f"""WITH d AS (SELECT doc_id, sha256(text) AS sha FROM documents),
  known AS (SELECT DISTINCT sha FROM d WHERE doc_id IN (SELECT doc_id FROM labels)),
- chosen AS (SELECT min(doc_id) AS doc_id, sha FROM d WHERE sha NOT IN (SELECT sha FROM known)
-  GROUP BY sha)
-SELECT sha AS sha256, sha || ':run-1' AS delivery_identity, elements_count, normalized_text_len
-FROM chosen JOIN ({SUMMARY_SQL}) USING (doc_id)""",
+ chosen AS (SELECT min(doc_id) AS doc_id FROM d WHERE sha NOT IN (SELECT sha FROM known) GROUP BY sha)
+SELECT p.* FROM ({INGESTED_SQL}) p
+WHERE filename IN (SELECT '/in/' || lpad(CAST(doc_id AS VARCHAR), 9, '0') FROM chosen)""",
 )
 def ingest(spark: SparkSession, folder: str) -> DataFrame:
     docs, existing = intake_inputs(spark, folder)
     files = docs.select("uri", F.col("uri").alias("filename"), "text")
     tables = ingest_documents(files, existing, "text", RUN, "/out")
     return tables.payloads.select(
+        "filename",
         "sha256",
         "delivery_identity",
         F.col("elements_count").cast("long").alias("elements_count"),
         F.col("normalized_text_len").cast("long").alias("normalized_text_len"),
+        "payload_json",
     )

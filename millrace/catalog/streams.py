@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import Catalog, table
+from millrace.catalog.documents import ingested_sql
 from millrace.catalog.fixtures import DESTINATIONS
 from millrace.operators.sinks import read_artifacts
 from millrace.session import ensure_checkpoint_dir
@@ -34,8 +35,9 @@ def scratch(spark: SparkSession) -> str:
 
 @catalog.add(
     "stream_intake",
-    """SELECT sha256(text) AS sha256, sha256(text) || ':run-1' AS delivery_identity
-FROM documents GROUP BY 1""",
+    f"""SELECT sha256, delivery_identity, payload_json
+FROM ({ingested_sql("CAST(doc_id AS VARCHAR) || '.txt'")})
+WHERE filename IN (SELECT min_by(CAST(doc_id AS VARCHAR) || '.txt', doc_id) FROM documents GROUP BY text)""",
 )
 def intake(spark: SparkSession, folder: str) -> DataFrame:
     documents = stream_of(spark, folder, "documents").select(
@@ -46,7 +48,12 @@ def intake(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch(spark)
     run = {"run_id": "run-1", "pipeline_version": "p1", "timestamp_utc": "2026-01-01T00:00:00Z"}
     stream_documents(documents, f"{out}/tables", f"{out}/progress", run).awaitTermination()
-    return read_artifacts(spark, f"{out}/tables", "payloads").select("sha256", "delivery_identity")
+    return read_artifacts(spark, f"{out}/tables", "payloads").select(
+        "sha256",
+        "delivery_identity",
+        # The folder is another one each time.
+        F.replace("payload_json", F.lit(f"{out}/tables"), F.lit("/out")).alias("payload_json"),
+    )
 
 
 @catalog.add(
