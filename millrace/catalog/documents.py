@@ -446,10 +446,8 @@ def normalize_bbox(spark: SparkSession, folder: str) -> DataFrame:
  AS metadata FROM ({LINES_SQL})""",
 )
 def decorated(spark: SparkSession, folder: str) -> DataFrame:
-    docs = results(spark, folder)
-    elements = explode_elements(docs, "doc_id", "lang").withColumn(
-        "metadata", F.to_json(F.struct("lang"))
-    )
+    """Documents are decorated before they are taken apart, so no element is joined."""
+    docs = results(spark, folder).withColumn("metadata", F.to_json(F.struct("lang")))
     fetches = table(spark, folder, "documents").select(
         "doc_id",
         F.concat(F.lit("https://h/"), "source").alias("url"),
@@ -461,8 +459,10 @@ def decorated(spark: SparkSession, folder: str) -> DataFrame:
         "fetched_filename": "filename",
         "fetched_mime_type": "mime_type",
     }
-    decorated_ = decorate_elements(elements, fetches, "doc_id", "http_document_v1", fields)
-    return decorated_.select("doc_id", F.col("ord").cast("long").alias("ord"), "metadata")
+    with_facts = decorate_elements(docs, fetches, "doc_id", "http_document_v1", fields)
+    return explode_elements(with_facts, "doc_id", "metadata").select(
+        "doc_id", F.col("ord").cast("long").alias("ord"), "metadata"
+    )
 
 
 def _run_facts(spark: SparkSession, folder: str) -> DataFrame:

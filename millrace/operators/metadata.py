@@ -117,7 +117,9 @@ def decorate_elements(
 ) -> DataFrame:
     """Add fetch facts to the metadata of every element.
 
-    ``fetched`` has one row per document; ``fields`` maps a metadata name to one
+    ``elements`` has a row for each element, or a row for each document whose elements
+    share the metadata: decorated before its elements are taken apart, a document is
+    joined once.  ``fetched`` has one row per document; ``fields`` maps a metadata name to one
     of its columns, and null facts are left out.
     """
     facts = fetched.select(on, *[F.col(c).alias(f"__f_{name}") for name, c in fields.items()])

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import jsontext as J
+from millrace.session import stored
 from millrace.sources.specs import contract_id
 
 OUTCOMES = ("success", "failed", "skipped_unsupported", "skipped_existing")
@@ -127,13 +128,13 @@ def duration_stats(durations: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Minimum, maximum, whole-number mean and 95th percentile of integer columns.
 
     The percentile is the value at rank ``ceil(0.95 n)``.  Equal values are
-    counted first; ranks are then added up over slices of distinct values, so no
-    task sees a whole column.  A column without values has one row of nulls.
+    counted first, and written; ranks are then added up over slices of distinct values,
+    so no task sees a whole column.  A column without values has one row of nulls.
     """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("stat_of"), F.col(c).cast("long").alias("v")) for c in columns]
     )
-    counted = (
+    counted = stored(
         durations.select(F.explode(pairs).alias("p"))
         .select("p.*")
         .groupBy("stat_of", "v")
