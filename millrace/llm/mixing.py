@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import cut_lineage
+from millrace.session import cut_lineage, stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 SLICE_DIGITS = 3
@@ -121,7 +121,9 @@ def _taken(
         .groupBy("of")
         .agg(F.max(F.struct("slice", "before")).alias("cut"))
     )
-    cuts = cut_lineage(
+    # Written as a file of known size, so that a small table of sources is broadcast and
+    # the documents stay where they are.
+    cuts = stored(
         aims.join(reached, F.col("source").eqNullSafe(F.col("of")), "left").select(
             F.col("source").alias("__of"),
             "source_size",
