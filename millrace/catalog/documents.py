@@ -27,12 +27,11 @@ from millrace.operators.routing import (
 from millrace.operators.runs import with_run_meta
 from millrace.plans.documents import ingest_documents, source_report
 from millrace.sources.fetched import (
-    EXTENSION_BY_MIME,
     check_selector,
     fetched_metadata,
     wiki_filename,
 )
-from millrace.sources.specs import DOCUMENT_CONTRACT_BY_ALIAS, resolve_source_contract, spec_id_of
+from millrace.sources.specs import DOCUMENT_CONTRACT_BY_ALIAS, resolve_source_contract
 
 catalog = Catalog()
 
@@ -165,7 +164,12 @@ def intake(spark: SparkSession, folder: str) -> DataFrame:
 
 EXTENSIONS = (*KIND_BY_EXTENSION, ".PDF", ".exe", "", ".tar")
 STRATEGIES = ("auto", "fast", "hi_res", "ocr_only")
-_KIND_CASE = " ".join(f"WHEN '{e}' THEN '{k}'" for e, k in KIND_BY_EXTENSION.items())
+_KIND_SQL = """CASE WHEN e IN ('.txt', '.text', '.log') THEN 'text' WHEN e IN ('.html', '.htm') THEN 'html'
+ WHEN e IN ('.md', '.markdown') THEN 'md' WHEN e = '.eml' THEN 'email'
+ WHEN e IN ('.png', '.jpg', '.jpeg', '.tiff', '.tif', '.bmp', '.heic') THEN 'image'
+ WHEN e IN ('.xlsx', '.xls') THEN 'xlsx' WHEN e IN ('.ndjson', '.jsonl') THEN 'ndjson'
+ WHEN e IN ('.xml', '.msg', '.json', '.pdf', '.csv', '.tsv', '.doc', '.docx', '.ppt', '.pptx', '.rtf', '.rst',
+  '.epub', '.odt', '.org') THEN substr(e, 2) END"""
 
 
 @catalog.add(
@@ -173,9 +177,9 @@ _KIND_CASE = " ".join(f"WHEN '{e}' THEN '{k}'" for e, k in KIND_BY_EXTENSION.ite
     f"""SELECT *, CASE WHEN kind IS NULL THEN 'ZE-UNS-UNSUPPORTED-TYPE' END AS error_code,
  CASE WHEN kind = 'image' AND strategy = 'fast' THEN 'auto'
   WHEN kind IN ('pdf', 'image') THEN strategy END AS effective_strategy
-FROM (SELECT *, CASE lower(extension) {_KIND_CASE} END AS kind
- FROM (SELECT doc_id, {sql_pick(EXTENSIONS, f'doc_id % {len(EXTENSIONS)}')} AS extension,
-  {sql_pick(STRATEGIES, 'n_chars % 4')} AS strategy FROM documents))""",
+FROM (SELECT doc_id, extension, strategy, {_KIND_SQL} AS kind
+ FROM (SELECT *, lower(extension) AS e FROM (SELECT doc_id, {sql_pick(EXTENSIONS, f'doc_id % {len(EXTENSIONS)}')} AS extension,
+  {sql_pick(STRATEGIES, 'n_chars % 4')} AS strategy FROM documents)))""",
 )
 def route(spark: SparkSession, folder: str) -> DataFrame:
     files = table(spark, folder, "documents").select(
@@ -195,7 +199,9 @@ DISPOSITIONS = (
     'attachment; filename="/tmp/x/"; FILENAME=second.csv',
 )
 _DISPOSITION_NAMES = (None, "report one.pdf", "na me.txt", None, "x")
-_EXT_CASE = " ".join(f"WHEN '{m}' THEN '{e}'" for m, e in EXTENSION_BY_MIME.items())
+_EXT_CASE = """WHEN 'text/plain' THEN '.txt' WHEN 'text/html' THEN '.html' WHEN 'text/csv' THEN '.csv'
+ WHEN 'application/pdf' THEN '.pdf' WHEN 'application/json' THEN '.json' WHEN 'application/xml' THEN '.xml'
+ WHEN 'text/xml' THEN '.xml'"""
 
 
 def _sql_quoted(values: tuple) -> tuple:
@@ -286,17 +292,16 @@ def wiki_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ALIASES = (*DOCUMENT_CONTRACT_BY_ALIAS, " Git ", "ftp")
-_ALIAS_CASE = " ".join(f"WHEN '{a}' THEN '{c}'" for a, c in DOCUMENT_CONTRACT_BY_ALIAS.items())
-_SPEC_CASE = " ".join(
-    f"WHEN '{c}' THEN '{spec_id_of(c)}'" for c in dict.fromkeys(DOCUMENT_CONTRACT_BY_ALIAS.values())
-)
+_ALIAS_SQL = """CASE WHEN a = 'url' THEN 'http_document_v1'
+ WHEN regexp_matches(a, '^(http|s3|git|google_drive|confluence)(_document(_v1)?)?$')
+ THEN regexp_extract(a, '^(http|s3|git|google_drive|confluence)', 1) || '_document_v1' END"""
 
 
 @catalog.add(
     "resolve_source_contract",
-    f"""SELECT *, CASE source_contract_id {_SPEC_CASE} END AS source_spec_id
-FROM (SELECT doc_id, CASE lower(trim({sql_pick(ALIASES, f'doc_id % {len(ALIASES)}')})) {_ALIAS_CASE}
- END AS source_contract_id FROM documents)""",
+    f"""SELECT *, 'source.uns.' || replace(source_contract_id, '_v1', '.v1') AS source_spec_id
+FROM (SELECT doc_id, {_ALIAS_SQL} AS source_contract_id
+ FROM (SELECT doc_id, lower(trim({sql_pick(ALIASES, f'doc_id % {len(ALIASES)}')})) AS a FROM documents))""",
 )
 def contracts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select(

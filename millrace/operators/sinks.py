@@ -8,10 +8,11 @@ batch of each content sha, which gives replace-per-sha.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import jsontext as J
+from millrace.session import stored
 
 
 def record_lines(records: DataFrame, *keys: str) -> DataFrame:
@@ -75,12 +76,22 @@ def write_artifacts(
 
 
 def read_artifacts(spark: SparkSession, path: str, table: str, sha: str = "sha256") -> DataFrame:
-    """The newest stored rows of each content sha."""
+    """The newest stored rows of each content sha.
+
+    Only shas and batches are grouped.  Contents that a later batch replaced are few, so
+    the stored rows are filtered by a small table and are not moved.
+    """
     rows = spark.read.parquet(f"{path.rstrip('/')}/{table}").withColumn(
         "batch", F.col("batch").cast("string")
     )
-    newest = rows.groupBy(sha).agg(F.max("batch").alias("batch"))
-    return rows.join(newest, [sha, "batch"], "left_semi")
+    batches = rows.groupBy(sha, "batch").agg(F.count(F.lit(1)).alias("__n"))
+    newest = Window.partitionBy(sha)
+    replaced = (
+        batches.withColumn("__newest", F.max("batch").over(newest))
+        .filter(F.col("batch") < F.col("__newest"))
+        .select(sha, "batch")
+    )
+    return rows.join(stored(replaced), [sha, "batch"], "left_anti")
 
 
 def write_rows(

@@ -33,7 +33,8 @@ def expected(data: list[tuple]) -> dict:
 
 @pytest.mark.parametrize("slice_by", [None, "div"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_group_work_equals_brute_force(spark, slice_by, seed):
+def test_group_work_equals_brute_force(spark, slice_by, seed, monkeypatch):
+    monkeypatch.setattr(ordering, "ROWS_PER_SLICE", 100)
     data = rows(seed)
     df = spark.createDataFrame(data, "k string, o long, v long").repartition(5)
     by = None if slice_by is None else F.floor(F.col("o") / 700)
@@ -59,7 +60,8 @@ def test_null_previous_value_is_kept(spark):
 
 
 @pytest.mark.parametrize("slice_by", [None, "div"])
-def test_totals_of_the_group(spark, slice_by):
+def test_totals_of_the_group(spark, slice_by, monkeypatch):
+    monkeypatch.setattr(ordering, "ROWS_PER_SLICE", 100)
     data = rows(3)
     df = spark.createDataFrame(data, "k string, o long, v long").repartition(5)
     by = None if slice_by is None else F.floor(F.col("o") / 700)
