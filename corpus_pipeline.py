@@ -18,7 +18,6 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.llm.bpe import encode_texts
 from millrace.llm.exact_dedup import drop_copies
