@@ -30,12 +30,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.llm.textblocks import Block, blocks
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
 #: Cached words of a task; reaching the limit only empties the cache.
 CACHED_WORDS = 400_000
+#: New words that are merged at once; more only take more memory.
+MERGED_WORDS = 120_000
 
 
 def byte_symbols() -> list[str]:
@@ -186,9 +189,9 @@ def merge_words(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Merge the symbols of all words; returns the ids and the words' new bounds."""
     size = len(symbols)
-    token = np.append(symbols, -2)
-    after = np.arange(1, size + 2)
-    before = np.arange(-1, size)
+    token = np.append(symbols, -2).astype(np.int32)
+    after = np.arange(1, size + 2, dtype=np.int32)
+    before = np.arange(-1, size, dtype=np.int32)
     after[bounds[1:] - 1] = size
     before[bounds[:-1]] = -1
     index: dict[int, list[np.ndarray]] = {}
@@ -196,7 +199,7 @@ def merge_words(
 
     def enter(positions: np.ndarray) -> None:
         """Put positions into the lists of the pairs that start there."""
-        keys = token[positions] << 32 | token[after[positions]]
+        keys = token[positions].astype(np.int64) << 32 | token[after[positions]]
         place = np.searchsorted(vocabulary.pairs, keys)
         place[place == len(vocabulary.pairs)] = 0
         known = vocabulary.pairs[place] == keys
@@ -270,6 +273,8 @@ class Encoder:
                 number = known[word] = len(known)
                 fresh.append(word)
             numbers[i] = number
+        if len(fresh) > MERGED_WORDS:
+            self.settle()
         return numbers, count
 
     def settle(self) -> None:
@@ -340,8 +345,6 @@ def encode_texts(
     ``ids`` holds the token ids as little-endian unsigned 32-bit integers.  Kept columns
     with the name of a made one give way to it.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     made = [T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
     if decoded:
         made.append(T.StructField("decoded", T.StringType()))
