@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.llm import exact_dedup
 from millrace.llm.exact_dedup import drop_copies, exact_groups, sha256_hex
 
 
@@ -42,7 +43,10 @@ def test_groups(odd, weak):
     assert got == by_hand([(r.doc_id, r.text) for r in odd.collect()], own)
 
 
-def test_a_large_group(spark):
+@pytest.mark.parametrize("parts", [1, 1000])
+def test_a_large_group(spark, monkeypatch, parts):
+    """Whether its digest counts as hot or not."""
+    monkeypatch.setattr(exact_dedup, "HOT_PARTS", parts)
     docs = spark.range(0, 6000, numPartitions=13).select(
         F.col("id").alias("doc_id"),
         F.when(F.col("id") % 3 == 0, "Many copies").otherwise(F.col("id").cast("string")).alias("text"),
