@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import stored
+
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -17,20 +19,28 @@ def ascii_lower(text: Column) -> Column:
     ).otherwise(F.lower(text))
 
 
-def drop_rows(docs: DataFrame, keys: Mapping[str, Column], touched: DataFrame) -> DataFrame:
+def drop_rows(
+    docs: DataFrame, keys: Mapping[str, Column], touched: DataFrame, few: bool = False
+) -> DataFrame:
     """The rows of ``docs`` that ``touched`` lets stay, with the columns of ``docs``.
 
     ``keys`` are expressions on ``docs``.  ``touched`` has a column for each of their
     names and ``stays``: rows whose key is marked false go, of those marked true one
     stays, and rows whose key is not in it stay.  Null keys match.  ``touched`` names
-    only what is to be changed and is much smaller than ``docs``.
+    only what is to be changed.  With ``few`` it is expected to be small against ``docs``
+    and Spark broadcasts it below its size limit; otherwise both sides are merged by key
+    at every size.
     """
     columns = [F.col(f"__docs.`{c}`") for c in docs.columns]
     names = [f"__k_{n}" for n in keys]
     keyed = docs.select("*", *[c.alias(f"__k_{n}") for n, c in keys.items()]).alias("__docs")
-    other = touched.select(
-        *[F.col(n).alias(f"__t_{n}") for n in keys], F.col("stays").alias("__stays")
+    other = stored(
+        touched.select(
+            *[F.col(n).alias(f"__t_{n}") for n in keys], F.col("stays").alias("__stays")
+        )
     )
+    if not few:
+        other = other.hint("merge")
     same = [F.col(f"__k_{n}").eqNullSafe(F.col(f"__t_{n}")) for n in keys]
     untouched = keyed.join(other, same, "left_anti").select(*columns)
     repeated = keyed.join(other.filter("__stays"), same, "left_semi")

@@ -307,7 +307,7 @@ def drop_near_duplicates(
         .filter("not stays or n > 1")
         .drop("n")
     )
-    return drop_rows(docs, {"id": F.col(f"`{id_column}`"), "digest": digest}, touched)
+    return drop_rows(docs, {"id": F.col(f"`{id_column}`"), "digest": digest}, touched, few=True)
 
 
 def hex_digits(column: str = "simhash"):
