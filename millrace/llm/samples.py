@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import stored
+
 FOLDS = 5
 
 
@@ -14,23 +18,30 @@ def held_out(id_column: str) -> Column:
     return F.coalesce(F.crc32(text) % FOLDS == 0, F.lit(False))
 
 
+_HASHES = 1 << 62
+
+
 def training_sample(labelled: DataFrame, id_column: str, label: str, per_class: int) -> DataFrame:
     """At most ``per_class`` ids of each label, by the order of a hash of the id.
 
-    ``labelled`` has the columns ``id_column`` and ``label`` only, so no text is moved;
-    the rank is cut in the map tasks.  Held-out ids, null ids and null labels are left
-    out, and an id counts once.
+    ``labelled`` has the columns ``id_column`` and ``label`` only, so no text is moved.
+    Rows are counted by label first.  Only hashes below the share that gives somewhat
+    more than ``per_class`` rows are ranked, so no task ranks a whole label.  Held-out
+    ids, null ids and null labels are left out, and an id counts once.
     """
     rows = (
         labelled.filter(
             F.col(id_column).isNotNull() & F.col(label).isNotNull() & ~held_out(id_column)
         )
         .select(id_column, label)
-        .withColumn("order", F.xxhash64(id_column))
+        .withColumn("order", F.pmod(F.xxhash64(id_column), F.lit(_HASHES)))
     )
+    wanted = per_class + 6 * math.sqrt(per_class) + 20
+    counts = stored(rows.groupBy(label).agg((F.lit(wanted) / F.count("*")).alias("share")))
+    few = rows.join(counts, label).filter(F.col("order") < F.col("share") * _HASHES)
     first = Window.partitionBy(label).orderBy("order", id_column)
     return (
-        rows.withColumn("place", F.dense_rank().over(first))
+        few.withColumn("place", F.dense_rank().over(first))
         .filter(F.col("place") <= per_class)
         .groupBy(id_column)
         .agg(F.max(label).alias(label), F.min("order").alias("order"))
