@@ -34,6 +34,9 @@ _MAYBE_LARGE = r"\d[eE]\+?\d{3}|\d{39}"
 #: Longest string, in characters, that the JSON parser takes.
 LONGEST_STRING = 20_000_000
 _STRICT = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
+#: Longest text of one variant, in bytes.
+LONGEST_VARIANT = 134_217_728
+_LONG = {**_STRICT, "maxStringLen": "2147483647", "maxNumLen": "2147483647"}
 _SEPARATOR = rf'\G((?:[^",:]++|{_STRING})*+)([,:])'
 
 
@@ -54,24 +57,43 @@ def parse(text: Column) -> Column:
     items, a text with anything behind its value is malformed as it should be.
     """
     pair = F.try_parse_json(F.concat(F.lit("["), _marked(text), F.lit(f',"{_END}"]')))
+    return _first_of_pair(F.try_variant_get(pair, "$", "array<variant>"))
+
+
+def parse_line(text: Column) -> Column:
+    """The same for one line of a JSON-lines text, whose strings may be of any length.
+
+    Only the limit of a variant bounds a line (``LONGEST_VARIANT``).
+    """
+    pair = F.concat(F.lit("["), _marked(text), F.lit(f',"{_END}"]'))
+    long = _first_of_pair(F.from_json(pair, "array<variant>", _LONG))
+    return F.coalesce(parse(text), F.when(F.length(text) > LONGEST_STRING, long))
+
+
+def _first_of_pair(pair: Column) -> Column:
     whole = F.filter(
-        F.array(F.try_variant_get(pair, "$", "array<variant>")),
+        F.array(pair),
         lambda items: (F.size(items) == 2)
         & (F.try_variant_get(F.get(items, F.lit(1)), "$", "string") == _END),
     )
     return F.get(F.get(whole, F.lit(0)), F.lit(0))
 
 
-def document(text: Column, lists: Sequence[str], values: Sequence[str] = ()) -> Column:
+def document(
+    text: Column, lists: Sequence[str], values: Sequence[str] = (), long_strings: bool = False
+) -> Column:
     """Named fields of a JSON object: ``lists`` as arrays of variants, ``values`` as variants.
 
     Each item is a variant of its own, so a document may be as large as a row.  Null for
-    a text that is malformed or no object; a field that is no list is null.
+    a text that is malformed or no object; a field that is no list is null.  With
+    ``long_strings`` only the limit of a variant bounds a string.
     """
     fields = [f"`{n}`:array<variant>" for n in lists] + [f"`{n}`:variant" for n in values]
     schema = f"array<struct<{','.join(fields)},`{_END}`:int>>"
     pair = F.from_json(
-        F.concat(F.lit("["), _marked(text), F.lit(f',{{"{_END}":1}}]')), schema, _STRICT
+        F.concat(F.lit("["), _marked(text), F.lit(f',{{"{_END}":1}}]')),
+        schema,
+        _LONG if long_strings else _STRICT,
     )
     whole = F.filter(
         F.array(pair), lambda items: (F.size(items) == 2) & (F.get(items, F.lit(1))[_END] == 1)
@@ -79,6 +101,23 @@ def document(text: Column, lists: Sequence[str], values: Sequence[str] = ()) ->
     return F.get(F.get(whole, F.lit(0)), F.lit(0))
 
 
+def list_size(text: Column) -> Column:
+    """Number of items of a JSON list; null for a text that is malformed or no list.
+
+    Items are read as texts, so neither the list nor a string in it meets a limit below
+    that of a row.
+    """
+    pair = F.from_json(
+        F.concat(F.lit("["), text, F.lit(f',["{_END}"]]')), "array<array<string>>", _LONG
+    )
+    whole = F.filter(
+        F.array(pair),
+        lambda items: (F.size(items) == 2) & (F.get(F.get(items, F.lit(1)), F.lit(0)) == _END),
+    )
+    found = F.get(F.get(whole, F.lit(0)), F.lit(0))
+    return let(found, lambda items: F.when(items.isNotNull(), F.size(items)))
+
+
 def document_problem(text: Column, whole: Column, other: str) -> Column:
     """Why ``document`` is null: too long a string, malformed, or ``other`` for no object."""
     return F.when(
@@ -170,7 +209,7 @@ def is_list(value: Column, path: str = "$") -> Column:
     return F.try_variant_get(value, path, "array<variant>").isNotNull()
 
 
-def absent(value: Column, path: str) -> Column:
+def absent(value: Column, path: str = "$") -> Column:
     """True for a missing field and for a JSON null."""
     node = _at(value, path)
     return node.isNull() | F.is_variant_null(node)
@@ -188,16 +227,16 @@ def fields_of(node: Column) -> Column:
     return F.try_variant_get(node, "$", "map<string,variant>")
 
 
-def string_at(value: Column, path: str) -> Column:
+def string_at(value: Column, path: str = "$") -> Column:
     """The string at a path; null when it is missing or another type."""
     return let(_at(value, path), string_of)
 
 
-def filled_string_at(value: Column, path: str) -> Column:
+def filled_string_at(value: Column, path: str = "$") -> Column:
     return F.nullif(string_at(value, path), F.lit(""))
 
 
-def integer_at(value: Column, path: str) -> Column:
+def integer_at(value: Column, path: str = "$") -> Column:
     """The integer at a path; booleans and floats do not count."""
     return F.when(kind_at(value, path) == "BIGINT", F.try_variant_get(value, path, "bigint"))
 

@@ -133,49 +133,58 @@ def _one_of(value: Column, allowed: Sequence[str]) -> Column:
     return F.coalesce(value.isin(*allowed), F.lit(False))
 
 
-def _provenance_problem(c: Column, task: Column) -> Column:
-    at = "$.provenance"
+#: Fields of a checkpoint artifact beside its entries.
+HEADER = ["schema_version", "flow_kind", "stream", "task_identity_key", "provenance"]
+
+
+def _artifact(text: str) -> Column:
+    """The header as variants and each entry as a variant of its own."""
+    return J.document(F.col(text), ["checkpoints"], HEADER, long_strings=True)
+
+
+def _provenance_problem(p: Column, task: Column) -> Column:
+    at = "$"
     resumed, resume = f"{at}.resumed_from_checkpoint_identity_key", f"{at}.resume"
     after = f"{resume}.continuation"
-    has_resume = ~J.absent(c, resume)
-    has_after = has_resume & ~J.absent(c, after)
+    has_resume = ~J.absent(p, resume)
+    has_after = has_resume & ~J.absent(p, after)
     return (
         F.when(
-            J.filled_string_at(c, f"{at}.task_identity_key").isNull(),
+            J.filled_string_at(p, f"{at}.task_identity_key").isNull(),
             "provenance_task_not_a_filled_string",
         )
         .when(
-            ~_one_of(J.string_at(c, f"{at}.run_origin"), RUN_ORIGINS),
+            ~_one_of(J.string_at(p, f"{at}.run_origin"), RUN_ORIGINS),
             "provenance_run_origin_unsupported",
         )
         .when(
-            ~_one_of(J.string_at(c, f"{at}.delivery_origin"), DELIVERY_ORIGINS),
+            ~_one_of(J.string_at(p, f"{at}.delivery_origin"), DELIVERY_ORIGINS),
             "provenance_delivery_origin_unsupported",
         )
         .when(
-            ~_one_of(J.string_at(c, f"{at}.execution_mode"), EXECUTION_MODES),
+            ~_one_of(J.string_at(p, f"{at}.execution_mode"), EXECUTION_MODES),
             "provenance_execution_mode_unsupported",
         )
         .when(
-            ~J.absent(c, resumed) & J.filled_string_at(c, resumed).isNull(),
+            ~J.absent(p, resumed) & J.filled_string_at(p, resumed).isNull(),
             "provenance_resumed_from_not_a_filled_string",
         )
-        .when(has_resume & ~J.is_object(c, resume), "resume_not_an_object")
+        .when(has_resume & ~J.is_object(p, resume), "resume_not_an_object")
         .when(
-            has_resume & J.filled_string_at(c, f"{resume}.checkpoint_identity_key").isNull(),
+            has_resume & J.filled_string_at(p, f"{resume}.checkpoint_identity_key").isNull(),
             "resume_key_not_a_filled_string",
         )
         .when(
-            has_resume & ~_one_of(J.string_at(c, f"{resume}.progress_kind"), PROGRESS_KINDS),
+            has_resume & ~_one_of(J.string_at(p, f"{resume}.progress_kind"), PROGRESS_KINDS),
             "resume_progress_kind_unsupported",
         )
-        .when(has_after & ~J.is_object(c, after), "resume_continuation_not_an_object")
+        .when(has_after & ~J.is_object(p, after), "resume_continuation_not_an_object")
         .when(
-            has_after & J.filled_string_at(c, f"{after}.exclusive_after_cursor").isNull(),
+            has_after & J.filled_string_at(p, f"{after}.exclusive_after_cursor").isNull(),
             "resume_cursor_not_a_filled_string",
         )
         .when(
-            J.string_at(c, f"{at}.task_identity_key") != task, "provenance_task_differs"
+            J.string_at(p, f"{at}.task_identity_key") != task, "provenance_task_differs"
         )
     )
 
@@ -186,11 +195,13 @@ def checkpoint_compat(df: DataFrame, text: str) -> DataFrame:
     Checks run in a fixed order and the first that fails gives the reason.
     """
     c = F.col("__c")
-    version, flow = J.integer_at(c, "$.schema_version"), J.filled_string_at(c, "$.flow_kind")
-    task = J.filled_string_at(c, "$.task_identity_key")
-    entries = J.list_at(c, "$.checkpoints")
+    version, flow = J.integer_at(c["schema_version"]), J.filled_string_at(c["flow_kind"])
+    task = J.filled_string_at(c["task_identity_key"])
+    stream, provenance, entries = c["stream"], c["provenance"], c["checkpoints"]
+    too_large = F.octet_length(F.col(text)) > J.LONGEST_VARIANT
     malformed = (
-        F.when(c.isNull() | ~J.is_object(c), "not_a_json_object")
+        F.when(c.isNull() & F.col("__large"), "entry_too_large_or_not_a_json_object")
+        .when(c.isNull(), "not_a_json_object")
         .when(F.col("schema_version").isNull(), "schema_version_not_an_integer")
         .when(F.col("flow_kind").isNull(), "flow_kind_not_a_filled_string")
     )
@@ -199,15 +210,15 @@ def checkpoint_compat(df: DataFrame, text: str) -> DataFrame:
     ).when(F.col("flow_kind") != "it", "unsupported_flow_kind")
     shape = (
         F.when(
-            ~J.absent(c, "$.stream") & J.string_at(c, "$.stream").isNull(),
+            ~J.absent(stream) & J.string_at(stream).isNull(),
             "stream_not_a_string",
         )
         .when(task.isNull(), "task_identity_key_not_a_filled_string")
         .when(
-            ~J.absent(c, "$.provenance") & ~J.is_object(c, "$.provenance"),
+            ~J.absent(provenance) & ~J.is_object(provenance),
             "provenance_not_an_object",
         )
-        .when(J.is_object(c, "$.provenance"), _provenance_problem(c, task))
+        .when(J.is_object(provenance), _provenance_problem(provenance, task))
     )
     shape = F.coalesce(
         shape,
@@ -217,10 +228,11 @@ def checkpoint_compat(df: DataFrame, text: str) -> DataFrame:
             )
         ),
     )
+    read = evaluate_once(df, df.columns, {"__c": _artifact(text), "__large": too_large})
     headed = evaluate_once(
-        df.withColumn("__c", J.parse(F.col(text))),
-        [*df.columns, "__c"],
-        {"schema_version": F.when(J.is_object(c), version), "__flow": flow},
+        read,
+        read.columns,
+        {"schema_version": version, "__flow": flow},
     ).withColumn("flow_kind", F.when(F.col("schema_version").isNotNull(), F.col("__flow")))
     wrong = F.coalesce(malformed, unsupported)
     checked = evaluate_once(
@@ -246,14 +258,13 @@ def checkpoint_compat(df: DataFrame, text: str) -> DataFrame:
 
 def read_checkpoint_entries(df: DataFrame, key: str, text: str) -> DataFrame:
     """Entry rows of checkpoint documents that passed :func:`checkpoint_compat`."""
-    c = J.parse(F.col(text))
     return (
-        df.select(key, c.alias("__c"))
+        evaluate_once(df, [key], {"__c": _artifact(text)})
         .select(
             key,
-            J.string_at(F.col("__c"), "$.stream").alias("stream"),
-            J.string_at(F.col("__c"), "$.task_identity_key").alias("task_identity_key"),
-            F.posexplode(J.list_at(F.col("__c"), "$.checkpoints")).alias("position", "__e"),
+            J.string_at(F.col("__c.stream")).alias("stream"),
+            J.string_at(F.col("__c.task_identity_key")).alias("task_identity_key"),
+            F.posexplode("__c.checkpoints").alias("position", "__e"),
         )
         .withColumn("__p", F.try_variant_get("__e", "$.progress", "variant"))
         .select(

@@ -274,30 +274,40 @@ def replay_text(
 ) -> DataFrame:
     """Text and count the vector sink gets from stored artifacts, or the reason it cannot.
 
-    A missing text is rebuilt from the record lines.
+    A missing text is rebuilt from the record lines.  The elements are counted one by one,
+    so their text may be as large as a row; a record line may be as large as a variant.
     """
     lines = F.filter(textrules.lines_of(F.col(record_lines)), lambda s: F.trim(s) != "")
-    parsed = F.transform(F.col("__lines"), J.parse)
+    parsed = F.transform(F.col("__lines"), J.parse_line)
     bad_line = F.exists(
         "__parsed", lambda v: v.isNull() | ~J.is_object(v) | ~J.is_object(v, "$.data")
     )
+    large = F.exists("__lines", lambda s: F.octet_length(s) > J.LONGEST_VARIANT)
     rebuilt = F.array_join(
         F.transform("__parsed", lambda v: J.spaced(J.text_at(v, "$.data"))), "\n"
     )
     has_text = F.col(text).isNotNull()
-    elements = J.list_at(J.parse(F.col(elements_json)), "$")
+    elements = J.list_size(F.col(elements_json))
     reason = F.when(
         has_text,
         F.when(F.col(elements_json).isNull(), "missing_elements_json").when(
-            elements.isNull(), "invalid_elements_json"
+            F.col("__elements").isNull(), "invalid_elements_json"
         ),
     ).otherwise(
         F.when(~F.col(record_flow), "missing_normalized_txt")
         .when(F.col(record_lines).isNull(), "missing_records_jsonl")
-        .when(F.coalesce(bad_line, F.lit(False)), "invalid_records_jsonl")
+        .when(
+            F.coalesce(bad_line, F.lit(False)),
+            F.when(large, "line_too_large_or_invalid_records_jsonl").otherwise(
+                "invalid_records_jsonl"
+            ),
+        )
+    )
+    counted = evaluate_once(
+        stored, stored.columns, {"__elements": F.when(has_text, elements)}
     )
     return (
-        stored.withColumn("__lines", F.when(~has_text, lines))
+        counted.withColumn("__lines", F.when(~has_text, lines))
         .withColumn("__parsed", parsed)
         .withColumn("reason", reason)
         .withColumn(
@@ -308,9 +318,9 @@ def replay_text(
             "replay_count",
             F.when(
                 F.col("reason").isNull(),
-                F.when(has_text, F.size(elements)).otherwise(F.size("__lines")),
+                F.when(has_text, F.col("__elements")).otherwise(F.size("__lines")),
             ),
         )
         .withColumn("error_code", F.when(F.col("reason").isNotNull(), F.lit(INVALID_PAYLOAD)))
-        .drop("__lines", "__parsed")
+        .drop("__lines", "__parsed", "__elements")
     )

@@ -152,17 +152,13 @@ def evidence_from_stored(
     stored JSON-lines text.
     """
     lines = F.filter(textrules.lines_of(F.col(record_lines)), lambda s: F.trim(s) != "")
-    parsed = F.transform(F.slice("__lines", 1, PREVIEW_RECORDS), J.parse)
+    parsed = F.transform(F.slice("__lines", 1, PREVIEW_RECORDS), J.parse_line)
     bad = F.exists("__parsed", lambda v: v.isNull() | ~J.is_object(v))
-    elements = J.list_at(J.parse(F.col(elements_json)), "$")
     missing = F.col(record_lines).isNull()
     shaped = (
         stored.withColumn("__lines", lines)
         .withColumn("__parsed", parsed)
-        .withColumn("elements_count", F.when(F.col(elements_json).isNotNull(), F.size(elements)))
-        .withColumn(
-            "elements_count", F.when(F.col("elements_count") >= 0, F.col("elements_count"))
-        )
+        .withColumn("elements_count", J.list_size(F.col(elements_json)))
         .withColumn(
             "records_status",
             F.when(

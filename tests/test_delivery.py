@@ -6,10 +6,17 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.deadletters import prune_dlq, replay_apply, replay_run_meta, replay_select
+from millrace.operators.deadletters import (
+    prune_dlq,
+    replay_apply,
+    replay_run_meta,
+    replay_select,
+    replay_text,
+)
 from millrace.operators.delivery import (
     artifact_paths,
     content_evidence,
+    evidence_from_stored,
     text_evidence,
     timestamp_ns,
     upsert_rows,
@@ -321,6 +328,43 @@ def test_replay_store_sends_each_payload_once(spark):
     assert after.filter("state = 'pending'").count() == 1
 
 
+def test_large_elements_are_counted(spark):
+    """A list larger than one variant may be, and one string longer than a parser's default."""
+
+    def listed(length, times):
+        text = F.concat(F.lit('{"text":"'), F.repeat(F.col("x"), length), F.lit('"}'))
+        return F.concat(F.lit("["), F.array_join(F.array_repeat(text, times), ","), F.lit("]"))
+
+    stored = spark.createDataFrame([(i, "x") for i in range(6)], "k int, x string").select(
+        "k",
+        F.when(F.col("k") < 5, "whole").alias("normalized_text"),
+        F.when(F.col("k") == 0, listed(1_000_000, 140))
+        .when(F.col("k") == 1, listed(20_500_000, 1))
+        .when(F.col("k") == 2, '[1,{"a":[2]},null,"b",1e400] x')
+        .when(F.col("k") == 3, '[1,{"a":[2]},null,"b",1e400]')
+        .when(F.col("k") == 4, "[1],[2]")
+        .alias("elements_json"),
+        F.when(
+            F.col("k") == 5,
+            F.concat(F.lit('{"data":{"t":"'), F.repeat(F.col("x"), 20_500_000), F.lit('"}}')),
+        ).alias("record_lines"),
+        (F.col("k") == 5).alias("is_records"),
+    )
+    sent = replay_text(stored).withColumn("chars", F.length("replay_text"))
+    got = {r.k: (r.chars, r.replay_count, r.reason) for r in sent.drop("x", "replay_text").collect()}
+    assert got == {
+        0: (5, 140, None),
+        1: (5, 1, None),
+        2: (None, None, "invalid_elements_json"),
+        3: (5, 5, None),
+        4: (None, None, "invalid_elements_json"),
+        5: (20_500_009, 1, None),
+    }
+    seen = evidence_from_stored(stored).select("k", "elements_count", "records_status").collect()
+    assert {r.k: r.elements_count for r in seen} == {0: 140, 1: 1, 2: None, 3: 5, 4: None, 5: None}
+    assert {r.records_status for r in seen} == {None, "available"}
+
+
 def task(name, bucket, failures=0, orphans=0, claimed=None):
     return (name, bucket, "{}", failures, orphans, claimed, 1.0, 2.0, [])
 
