@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from millrace.llm.samples import training_sample
+from millrace.llm.samples import one_text, training_sample
 from millrace.llm.textblocks import Block, map_texts
 
 BITS = 16
@@ -157,20 +157,26 @@ def train_language(
     landmarks: int = 160,
     ridge: float = 0.1,
 ) -> LanguageModel:
-    """Learn from labelled documents that are not held out."""
+    """Learn from labelled documents that are not held out, one text for each id.
+
+    Of rows that repeat a sampled id, those with the sampled language count.
+    """
     fold = folding()
     shared = docs.sparkSession.sparkContext.broadcast(fold)
     sample = training_sample(docs.select(id_column, language), id_column, language, per_language)
-    rows = docs.select(
-        F.col(id_column).alias("id"), F.col(text).cast("string").alias("text")
+    drawn = docs.select(
+        F.col(id_column).alias("id"),
+        F.col(language).alias("lang"),
+        F.col(text).cast("string").alias("text"),
     ).join(
         F.broadcast(
             sample.select(
                 F.col(id_column).alias("id"), F.col(language).alias("lang"), "order"
             )
         ),
-        "id",
+        ["id", "lang"],
     )
+    rows = one_text(drawn, ["id", "lang", "order"])
     schema = pa.schema(
         [("lang", pa.string()), ("order", pa.int64()), ("places", pa.binary())]
     )

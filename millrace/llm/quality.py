@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from millrace.llm.samples import held_out, training_sample
+from millrace.llm.samples import held_out, one_text, training_sample
 from millrace.llm.textblocks import Block, blocks, lowered, map_texts, runs, spaces, sums
 
 BITS = 18
@@ -184,10 +184,13 @@ def train_quality(
     shares: int = 4,
     epochs: int = 3,
 ) -> QualityModel:
-    """Learn label 1 against 0 from labelled documents that are not held out."""
+    """Learn label 1 against 0 from labelled documents that are not held out.
+
+    One text is learned for each id, whatever the number of its rows.
+    """
     known = labels.filter(F.col(label).isin(0, 1))
     sample = training_sample(known, id_column, label, per_class)
-    rows = (
+    repeated = (
         docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))
         .join(
             F.broadcast(
@@ -200,8 +203,8 @@ def train_quality(
             ),
             "id",
         )
-        .fillna({"text": ""})
     )
+    rows = one_text(repeated, ["id", "label", "order", "share"]).fillna({"text": ""})
 
     def train_share(frame: pd.DataFrame) -> pd.DataFrame:
         return _train(frame, epochs)

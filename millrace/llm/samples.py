@@ -25,9 +25,10 @@ def training_sample(labelled: DataFrame, id_column: str, label: str, per_class:
     """At most ``per_class`` ids of each label, by the order of a hash of the id.
 
     ``labelled`` has the columns ``id_column`` and ``label`` only, so no text is moved.
-    Rows are counted by label first.  Only hashes below the share that gives somewhat
-    more than ``per_class`` rows are ranked, so no task ranks a whole label.  Held-out
-    ids, null ids and null labels are left out, and an id counts once.
+    Different ids are counted by label first.  Only hashes below the share that gives
+    somewhat more than ``per_class`` ids are ranked, so no task ranks a whole label.
+    Held-out ids, null ids and null labels are left out, and an id counts once, however
+    many rows repeat it.
     """
     rows = (
         labelled.filter(
@@ -37,12 +38,23 @@ def training_sample(labelled: DataFrame, id_column: str, label: str, per_class:
         .withColumn("order", F.pmod(F.xxhash64(id_column), F.lit(_HASHES)))
     )
     wanted = per_class + 6 * math.sqrt(per_class) + 20
-    counts = stored(rows.groupBy(label).agg((F.lit(wanted) / F.count("*")).alias("share")))
-    few = rows.join(counts, label).filter(F.col("order") < F.col("share") * _HASHES)
+    ids = rows.select(id_column, label).distinct()
+    counts = stored(ids.groupBy(label).agg((F.lit(wanted) / F.count("*")).alias("share")))
+    few = rows.join(counts, label).filter(F.col("order") < F.col("share") * _HASHES).distinct()
     first = Window.partitionBy(label).orderBy("order", id_column)
     return (
-        few.withColumn("place", F.dense_rank().over(first))
+        few.withColumn("place", F.row_number().over(first))
         .filter(F.col("place") <= per_class)
         .groupBy(id_column)
         .agg(F.max(label).alias(label), F.min("order").alias("order"))
     )
+
+
+def one_text(rows: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """One row for each value of ``keys``: of repeated rows the text of the least digest.
+
+    A null text stays only where there is no other.
+    """
+    value = F.col(text)
+    least = F.struct(value.isNull(), F.md5(value), value.alias("text"))
+    return rows.groupBy(*keys).agg(F.min(least)["text"].alias(text))

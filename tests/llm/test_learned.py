@@ -35,6 +35,31 @@ def test_sample_is_bounded(spark):
     assert len(sample) == 100 and not any(is_held_out(r.doc_id) for r in sample)
 
 
+def test_sample_counts_ids_not_rows(spark):
+    """A label whose rows repeat few ids keeps these, and a repeated id is learned once."""
+    ids = [i for i in range(4000) if not is_held_out(i)][:400]
+    rows = [(i, "often") for i in ids[:200] for _ in range(40)]
+    rows += [(ids[200 + k], f"once{k}") for k in range(40) for _ in range(10_000)]
+    table = spark.createDataFrame(rows, "doc_id long, lang string")
+    sample = training_sample(table, "doc_id", "lang", 50).collect()
+    found = [r.lang for r in sample]
+    assert len(set(found)) == 41 and found.count("often") == 50 and len(found) == 90
+
+
+def test_repeated_rows_are_learned_once(spark, monkeypatch):
+    rows = [(i, f"word{i % 7} text number {i}", "ab"[i % 2], i % 2) for i in range(200)]
+    schema = "doc_id long, text string, lang string, quality int"
+    docs = spark.createDataFrame(rows, schema)
+    more = spark.createDataFrame(rows + [r for r in rows[:20] for _ in range(30)], schema)
+    labels = docs.select("doc_id", "quality")
+    one, two = (train_quality(d.select("doc_id", "text"), labels) for d in (docs, more))
+    assert (one.weights == two.weights).all()
+    seen = []
+    monkeypatch.setattr("millrace.llm.language.fit", lambda rows, *a: seen.append(len(rows)) or ([], None))
+    train_language(more.union(docs.limit(9).withColumn("text", F.lit(None).cast("string"))))
+    assert seen == [sum(not is_held_out(i) for i in range(200))]
+
+
 @given
 def test_language(spark):
     rows = op6_language_id(spark, str(FOLDER)).collect()
