@@ -16,11 +16,13 @@ more than another.
 
 Vectors that are null, zero, or hold a null or non-finite component take no part, nor
 do rows without an id.  Rows that repeat an id count once, with the smallest vector.
-A query's candidates have its own dimension.
+A query's candidates have its own dimension.  However many candidates tie with the last
+score, those of the smallest ids are kept.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 
 import numpy as np
@@ -108,6 +110,7 @@ def _search(left: pd.DataFrame, right: pd.DataFrame, k: int, wanted: float) -> p
     queries = np.stack(right["vector"].to_numpy()).astype(np.float64)
     ids = [sorted(int(i) for i in x) for x in left["ids"]]
     forest = Forest(vectors)
+    longest = np.sqrt((vectors**2).sum(axis=1).max())
     # An entry is held at most once by each tree, a query's own one by all of them: this is
     # enough for k others, or for all there are.
     enough = max(int(wanted * len(vectors)) + forest.trees, forest.trees * (k + 1))
@@ -118,20 +121,25 @@ def _search(left: pd.DataFrame, right: pd.DataFrame, k: int, wanted: float) -> p
         found = forest.candidates(block, enough)
         # With candidates this dense a product of all, masked, beats gathering them.
         scores = np.where(found, block @ vectors.T, -np.inf)
-        # Sums of another order may differ in the last digits: a few more are scored anew.
-        most = min(len(vectors), k + 9)
-        nearest = np.argpartition(-scores, most - 1, axis=1)[:, :most]
+        # One more than k, as one entry may be the query's own.  Sums of another order may
+        # differ in the last digits: all that may tie with the last are scored anew.
+        most = min(len(vectors), k + 1)
+        last = -np.partition(-scores, most - 1, axis=1)[:, most - 1]
+        sizes = np.sqrt((block**2).sum(axis=1)) * longest
+        least = last - 4 * block.shape[1] * np.finfo(np.float64).eps * sizes
         for q, query_id in enumerate(right["id"].iloc[at : at + step].tolist()):
-            own = nearest[q][found[q, nearest[q]]]
+            own = np.flatnonzero(found[q] & ~(scores[q] < least[q]))
             exact = (vectors[own] * block[q]).sum(axis=1)
-            rows = [
-                (-score, i)
-                for entry, score in zip(own.tolist(), exact.tolist(), strict=True)
-                for i in ids[entry]
-                if i != query_id
-            ]
-            rows.sort()
-            out += [(query_id, i, -score) for score, i in rows[:k]]
+            rows = heapq.nsmallest(
+                k,
+                (
+                    (-score, i)
+                    for entry, score in zip(own.tolist(), exact.tolist(), strict=True)
+                    for i in ids[entry]
+                    if i != query_id
+                ),
+            )
+            out += [(query_id, i, -score) for score, i in rows]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]) if out else empty
 
 

@@ -67,3 +67,20 @@ def test_few_candidates(spark):
     assert [(r["rank"], r.vec_id) for r in sorted(found, key=lambda r: r["rank"])] == [
         (1, 4), (2, 3), (3, 2), (4, 1)
     ]
+
+
+def test_many_ties(spark):
+    """More different vectors than asked for share the last score: the smallest ids win."""
+    dimension = 60
+    rows = [(20, [1.0] * dimension, "")]
+    # Far more vectors of two ones than k, each with the same score.
+    pairs = [(a, b) for a in range(dimension) for b in range(a)][:900]
+    order = np.random.default_rng(5).permutation(len(pairs))
+    for place, n in enumerate(order.tolist()):
+        vector = [0.0] * dimension
+        vector[pairs[n][0]] = vector[pairs[n][1]] = 1.0
+        rows.append((21 + place + place // 19, vector, ""))
+    found = nearest(spark.createDataFrame(rows, SCHEMA), k=20, wanted=1000.0).filter("query_id = 20")
+    want = sorted((-sum(v), i) for i, v, _ in rows if i != 20)[:20]
+    got = [(-r.score, r.vec_id) for r in found.orderBy("rank").collect()]
+    assert got == want
