@@ -5,7 +5,8 @@ the same pairs in license templates.  A hit votes for its *diagonal*, the docume
 place minus the template place: text that follows the template stays on one diagonal,
 and a word put in or left out moves it to a neighbour.  Votes are counted by diagonal,
 neighbouring diagonals are merged into spans, and a span counts if enough of the
-template's pairs lie in it and its length fits.  The join also compares the words, so
+template's pairs lie in it and its length fits; in a longer span the parts of fitting
+length are looked at instead.  The join also compares the words, so
 a hash that two pairs share gives no hit.
 
 Phrases are templates that must be whole, on one diagonal.  Everything is done with
@@ -18,7 +19,7 @@ A null text is empty.  Rows that repeat id and text give the same result each.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -117,6 +118,51 @@ def _template_places(docs: DataFrame, templates: Sequence[Template]) -> DataFram
     return table.withColumn("hash", _pair_hash(F.col("t_first"), F.col("t_second")))
 
 
+def _parts_of_long_span(span: Callable[[Column, Column, Column], Column]) -> Column:
+    """The spans inside a merged span that is longer than its template allows.
+
+    From each diagonal on, the diagonals so near that they keep the length are taken
+    together, unless that diagonal alone covers enough.  Of those that cover enough and
+    overlap, the best stays, of equals the first.
+    """
+
+    def alone(part: Column) -> Column:
+        at, voters = part["diagonal"], part["voters"]
+        return span(at + F.array_min(voters), at + F.array_max(voters) + 2, voters)
+
+    def together(near: Column) -> Column:
+        return span(
+            F.array_min(F.transform(near, lambda p: p["diagonal"] + F.array_min(p["voters"]))),
+            F.array_max(F.transform(near, lambda p: p["diagonal"] + F.array_max(p["voters"]))) + 2,
+            F.array_distinct(F.flatten(F.transform(near, lambda p: p["voters"]))),
+        )
+
+    def best_from(part: Column, i: Column) -> Column:
+        # Diagonals differ, so no more than these can lie so near.
+        near = F.filter(
+            F.slice("parts", i + 1, F.col("pairs") + 2),
+            lambda p: p["diagonal"] <= part["diagonal"] + F.col("pairs") + 1,
+        )
+        enough = F.size(part["voters"]) / F.col("pairs") >= F.col("needed")
+        return F.when(enough, alone(part)).otherwise(together(near))
+
+    def add(kept: Column, new: Column) -> Column:
+        last = F.try_element_at(kept, F.lit(-1))
+        return (
+            F.when(last.isNull() | (new["start"] >= last["stop"]), F.concat(kept, F.array(new)))
+            .when(
+                new["cover"] > last["cover"],
+                F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(new)),
+            )
+            .otherwise(kept)
+        )
+
+    every = F.filter(
+        F.transform("parts", best_from), lambda s: s["cover"] >= F.col("needed")
+    )
+    return F.aggregate(F.array_sort(every), F.slice(every, 1, 0), add)
+
+
 def scan_licenses(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -194,24 +240,32 @@ def scan_licenses(
             F.min(F.col("diagonal") + F.array_min("voters")).alias("start"),
             (F.max(F.col("diagonal") + F.array_max("voters")) + 2).alias("stop"),
             F.sum("rows").alias("rows"),
+            F.collect_list(F.struct("diagonal", "voters")).alias("parts"),
         )
         .withColumn("pairs", F.get(pair_count, F.col("template")))
-        .withColumn("cover", F.size("voters") / F.col("pairs"))
+        .withColumn("needed", F.get(cover, F.col("template")))
+        .withColumn("parts", F.array_sort("parts"))
     )
-    fits = (F.col("cover") >= F.get(cover, F.col("template"))) & (
-        F.col("stop") - F.col("start") <= 2 * (F.col("pairs") + 1)
-    )
-    span = F.struct(
-        "start",
-        "stop",
-        "template",
-        F.get(label, F.col("template")).alias("label"),
-        is_phrase.alias("is_phrase"),
-        "cover",
+
+    def span(start: Column, stop: Column, voters: Column) -> Column:
+        return F.struct(
+            start.alias("start"),
+            stop.alias("stop"),
+            F.col("template"),
+            F.get(label, F.col("template")).alias("label"),
+            is_phrase.alias("is_phrase"),
+            (F.size(voters) / F.col("pairs")).alias("cover"),
+        )
+
+    short = F.col("stop") - F.col("start") <= 2 * (F.col("pairs") + 1)
+    whole_span = F.array(span(F.col("start"), F.col("stop"), F.col("voters")))
+    spans = F.filter(
+        F.when(short, whole_span).otherwise(_parts_of_long_span(span)),
+        lambda s: s["cover"] >= F.col("needed"),
     )
     found = merged.groupBy(*document).agg(
         F.sort_array(
-            F.collect_list(F.when((F.col("template") >= 0) & fits, span))
+            F.flatten(F.collect_list(F.when(F.col("template") >= 0, spans)))
         ).alias("spans"),
         F.max(F.when(F.col("template") == -1, F.col("rows"))).alias("times"),
     )

@@ -64,6 +64,28 @@ def test_notices(spark, text, labels, score):
     assert score is None and 0.5 <= row.score < 1 or row.score == score
 
 
+def test_notices_in_long_spans(spark):
+    """Template words repeated at a small distance chain up, and the notice is still found."""
+    again = " The MIT License." * 3
+    docs = spark.createDataFrame(
+        [
+            (1, "Released under the MIT License." + again),
+            (2, "The MIT License. " * 4 + "Released under the MIT License." + again),
+            (3, "The MIT License. " * 2000),
+            (4, "Released under the MIT License." + again * 5 + " Released under, the MIT License." + again),
+            (5, "Released, so, under the MIT License." + again),
+        ],
+        "doc_id long, text string",
+    )
+    got = {
+        r.doc_id: [(s.start, s.stop, s.cover) for s in r.spans if s.label == "mit-notice"]
+        for r in scan_licenses(docs).collect()
+    }
+    assert got[1] == [(0, 5, 1.0)] and got[2] == [(12, 17, 1.0)] and got[3] == []
+    assert got[4] == [(0, 5, 1.0), (50, 55, 1.0)]
+    assert [s[2] for s in got[5]] == [0.75]
+
+
 def test_spans(spark):
     notice = Template("own", "one two three four five six", 0.6)
     words = ["a", "one", "two", "NEW", "three", "four", "five", "six", "b", "one", "two", "c"]
