@@ -14,11 +14,14 @@ from millrace.llm.language import predict_language, train_language
 from millrace.llm.licenses import license_digest, scan_licenses
 from millrace.llm.mixing import take
 from millrace.llm.neighbours import nearest
+from millrace.llm.packing import pack
 from millrace.llm.quality import score_quality, train_quality
 from millrace.llm.samples import held_out
 from millrace.llm.sharding import assign_shards
 from millrace.llm.simhash import hex_digits, near_duplicates
+from millrace.llm.spelling import group_variants, vocabulary
 from millrace.llm.url_filter import judge_urls
+from millrace.llm.whitening import whiten
 
 catalog = Catalog()
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -200,4 +203,76 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@catalog.add("op11_packing")
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document in sequences of at most 2048 tokens."""
+    return pack(table(spark, folder, "documents"), VOCABULARY, size=2048, end=1)
+
+
+@catalog.add(
+    "op12_spelling",
+    r"""
+    WITH RECURSIVE steps AS (
+      SELECT list_transform(range(256), lambda b: list_reduce(
+               list_prepend(b, range(8)), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END
+             )) AS crc
+    ), runs AS (
+      SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+             translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{7,}')),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+      FROM documents
+    ), counted AS (
+      SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS x FROM runs GROUP BY id, run
+    ), hashed AS (
+      SELECT run, n, xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT,
+                 list_transform(range(1, length(x) + 1, 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT))),
+               lambda c, b: xor(c // 256, crc[xor(c % 256, b) + 1]))) AS h
+      FROM counted, steps
+    ), spelled AS (
+      SELECT CASE WHEN h % 31 = 0 THEN run[:(h % length(run))] || run[(h % length(run)) + 2:] ELSE run END AS word,
+             n AS times
+      FROM hashed
+    ), words AS (
+      SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelled
+      WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+    ), places AS (
+      SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words
+    ), shorter AS (
+      SELECT word, n, p, word[:p - 1] || word[p + 1:] AS rest FROM places
+    ), pairs AS (
+      SELECT a.word, b.word AS other, b.n AS other_n
+      FROM shorter a JOIN shorter b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+      UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+    ), best AS (
+      SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS form, max(other_n) AS form_n
+      FROM pairs GROUP BY word
+    ), formed AS (
+      SELECT words.word, n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN form_n >= 10 * n THEN form END AS form,
+             CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+      FROM words LEFT JOIN best ON best.word = words.word
+    ), chains AS (
+      SELECT word, word AS root, form AS onward FROM formed
+      UNION ALL
+      SELECT c.word, f.word, f.form FROM chains c JOIN formed f ON f.word = c.onward
+    )
+    SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+    FROM formed f JOIN chains c ON c.word = f.word AND c.onward IS NULL
+    """,
+)
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    grouped = group_variants(vocabulary(table(spark, folder, "documents")))
+    return grouped.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@catalog.add("op13_whitening")
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first four whitened components of every vector."""
+    whitened = whiten(table(spark, folder, "embeddings"), components=4)
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 catalog.add("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
