@@ -39,6 +39,7 @@ GUARDS, DEGREE, BOUND_STEPS = 20, 8, 10
 CERTIFIED, NO_VARIANCE = 1e-11, 1e-12
 MOST_ROUNDS = 200
 SEED = 13
+WIDTHS = ("<i2", "<i4", "<i8")
 
 
 @dataclass
@@ -78,6 +79,34 @@ def _matrix(batch: pa.RecordBatch, column: int = 0) -> np.ndarray:
     return values.reshape(len(lists), -1)
 
 
+def _blocked(fit: DataFrame) -> DataFrame:
+    """The vectors in blocks: a row holds many as one array of the narrowest whole numbers.
+
+    Every pass reads all vectors, and a block is read without looking at its entries.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _matrix(batch)
+            low, high = x.min(initial=0), x.max(initial=0)
+            kind = next(
+                k for k in WIDTHS if np.iinfo(k).min <= low and high <= np.iinfo(k).max
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(x)], pa.int64()), pa.array([kind]), pa.array([x.astype(kind).tobytes()], pa.binary())],
+                names=["vectors", "kind", "data"],
+            )
+
+    return fit.mapInArrow(run, "vectors long, kind string, data binary")
+
+
+def _blocks(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for row in batch.to_pylist():
+        yield np.frombuffer(row["data"], row["kind"]).reshape(row["vectors"], -1)
+
+
 def _summed(fit: DataFrame, part: Callable[[np.ndarray], np.ndarray], shape) -> np.ndarray:
     """Sum over all vectors of a matrix that ``part`` makes of some of them."""
     rows, columns = shape
@@ -86,8 +115,8 @@ def _summed(fit: DataFrame, part: Callable[[np.ndarray], np.ndarray], shape) ->
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
         for batch in batches:
-            if batch.num_rows:
-                total += part(_matrix(batch))
+            for x in _blocks(batch):
+                total += part(x)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(rows, dtype=np.int32)), *map(pa.array, total.T.copy())],
             names=["i", *names],
@@ -107,11 +136,10 @@ def _whole_sums(fit: DataFrame, dimension: int) -> list[int]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [0] * dimension
         for batch in batches:
-            if batch.num_rows:
-                x = _matrix(batch)
-                if np.abs(x.astype(np.float64)).max() * len(x) >= 2.0**62:
-                    x = x.astype(object)
-                total = [t + int(s) for t, s in zip(total, x.sum(axis=0), strict=True)]
+            for x in _blocks(batch):
+                wide = np.abs(x.astype(np.float64)).max() * len(x) >= 2.0**62
+                own = x.astype(object) if wide else x.astype(np.int64)
+                total = [t + int(s) for t, s in zip(total, own.sum(axis=0), strict=True)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(dimension), pa.int32()), pa.array(map(str, total), pa.string())],
             names=["i", "s"],
@@ -224,11 +252,16 @@ def _facing(axes: np.ndarray) -> np.ndarray:
 
 def fit_whitening(rows: DataFrame, components: int) -> Whitening | None:
     """Fit on the distinct vectors of ``rows`` (``x``); none where there is nothing to fit."""
-    fit = stored(rows.select("x").distinct())
-    n = fit.count()
-    dimension = len(fit.first().x) if n else 0
-    if not dimension:
+    distinct = rows.select("x").distinct()
+    fit = stored(_blocked(distinct))
+    counted = fit.agg(
+        F.sum("vectors").alias("n"),
+        F.max(F.octet_length("data") / F.col("vectors")).alias("bytes"),
+    ).first()
+    if not counted.bytes:
         return None
+    n = counted.n
+    dimension = next(_blocks(fit.limit(1).toArrow().to_batches()[0])).shape[1]
     sums = _whole_sums(fit, dimension)
     mean = np.array([s / n for s in sums])
     covariance = _Covariance(fit, n, mean)
