@@ -31,8 +31,8 @@ _LARGE_MARK = "\ue001"
 _LARGE = r"-?\d++(?:\.\d++)?+[eE]\+?\d{3,}+|-?\d{39,}+(?![\d.eE])"
 _LARGE_SKIP = rf'(?:{_STRING}|[^"\-0-9]++|(?!{_LARGE})-?\d[\d.eE+\-]*+)*+'
 _MAYBE_LARGE = r"\d[eE]\+?\d{3}|\d{39}"
-#: Longest string, in characters, that the JSON parser takes.
-LONGEST_STRING = 20_000_000
+#: Longest string, in characters, that ``try_parse_json`` takes.
+_SHORT_STRING = 20_000_000
 _STRICT = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
 #: Longest text of one variant, in bytes.
 LONGEST_VARIANT = 134_217_728
@@ -54,20 +54,15 @@ def parse(text: Column) -> Column:
     """Variant of a JSON text, null when the text is malformed.
 
     Spark's parser stops after the first value.  Read as the first of two list
-    items, a text with anything behind its value is malformed as it should be.
-    """
-    pair = F.try_parse_json(F.concat(F.lit("["), _marked(text), F.lit(f',"{_END}"]')))
-    return _first_of_pair(F.try_variant_get(pair, "$", "array<variant>"))
-
-
-def parse_line(text: Column) -> Column:
-    """The same for one line of a JSON-lines text, whose strings may be of any length.
-
-    Only the limit of a variant bounds a line (``LONGEST_VARIANT``).
+    items, a text with anything behind its value is malformed as it should be.  Only the
+    limit of a variant (``LONGEST_VARIANT``) bounds the text and the strings in it.
     """
     pair = F.concat(F.lit("["), _marked(text), F.lit(f',"{_END}"]'))
-    long = _first_of_pair(F.from_json(pair, "array<variant>", _LONG))
-    return F.coalesce(parse(text), F.when(F.length(text) > LONGEST_STRING, long))
+    quick = F.try_variant_get(F.try_parse_json(pair), "$", "array<variant>")
+    long = F.from_json(pair, "array<variant>", _LONG)
+    return F.coalesce(
+        _first_of_pair(quick), F.when(F.length(text) > _SHORT_STRING, _first_of_pair(long))
+    )
 
 
 def _first_of_pair(pair: Column) -> Column:
@@ -79,21 +74,19 @@ def _first_of_pair(pair: Column) -> Column:
     return F.get(F.get(whole, F.lit(0)), F.lit(0))
 
 
-def document(
-    text: Column, lists: Sequence[str], values: Sequence[str] = (), long_strings: bool = False
-) -> Column:
+def document(text: Column, lists: Sequence[str], values: Sequence[str] = ()) -> Column:
     """Named fields of a JSON object: ``lists`` as arrays of variants, ``values`` as variants.
 
-    Each item is a variant of its own, so a document may be as large as a row.  Null for
-    a text that is malformed or no object; a field that is no list is null.  With
-    ``long_strings`` only the limit of a variant bounds a string.
+    Each item is a variant of its own, so a document may be as large as a row; only the
+    limit of a variant bounds an item and the strings in it.  Null for a text that is
+    malformed or no object; a field that is no list is null.
     """
     fields = [f"`{n}`:array<variant>" for n in lists] + [f"`{n}`:variant" for n in values]
     schema = f"array<struct<{','.join(fields)},`{_END}`:int>>"
     pair = F.from_json(
         F.concat(F.lit("["), _marked(text), F.lit(f',{{"{_END}":1}}]')),
         schema,
-        _LONG if long_strings else _STRICT,
+        _LONG,
     )
     whole = F.filter(
         F.array(pair), lambda items: (F.size(items) == 2) & (F.get(items, F.lit(1))[_END] == 1)
@@ -119,11 +112,11 @@ def list_size(text: Column) -> Column:
 
 
 def document_problem(text: Column, whole: Column, other: str) -> Column:
-    """Why ``document`` is null: too long a string, malformed, or ``other`` for no object."""
+    """Why ``document`` is null: an item beyond a variant, malformed, or ``other`` for no object."""
     return F.when(
         whole.isNull(),
         F.when(parse(text).isNotNull(), other)
-        .when(F.length(text) > LONGEST_STRING, "string_too_long_or_malformed_json")
+        .when(F.octet_length(text) > LONGEST_VARIANT, "item_too_large_or_malformed_json")
         .otherwise("malformed_json"),
     )
 
@@ -189,7 +182,7 @@ def string_values(value: Column) -> Column:
     quoted = F.regexp_extract_all(render(value), F.lit(f"{_STRING}:?"), F.lit(0))
     values = F.filter(quoted, lambda s: ~s.endswith(":"))
     listed = F.concat(F.lit("["), F.array_join(values, ","), F.lit("]"))
-    return F.from_json(listed, "array<string>")
+    return F.from_json(listed, "array<string>", _LONG)
 
 
 def _at(value: Column, path: str) -> Column:

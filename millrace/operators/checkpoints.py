@@ -139,7 +139,7 @@ HEADER = ["schema_version", "flow_kind", "stream", "task_identity_key", "provena
 
 def _artifact(text: str) -> Column:
     """The header as variants and each entry as a variant of its own."""
-    return J.document(F.col(text), ["checkpoints"], HEADER, long_strings=True)
+    return J.document(F.col(text), ["checkpoints"], HEADER)
 
 
 def _provenance_problem(p: Column, task: Column) -> Column:

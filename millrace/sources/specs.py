@@ -47,7 +47,8 @@ RECORD_CONTRACT_BY_ALIAS = {
 DOCUMENT_KINDS = tuple(dict.fromkeys(DOCUMENT_CONTRACT_BY_ALIAS.values()))
 RECORD_KINDS = tuple(dict.fromkeys(RECORD_CONTRACT_BY_ALIAS.values()))
 
-# Fields that make up the identity of a source, by kind.  Credentials are no part of it.
+# Fields that make up the identity of a source, by kind, in the order that
+# sources declare them.  Credentials are no part of it.
 IDENTITY_FIELDS = {
     "postgresql_incremental_v1": (
         "stream", "connection_name", "schema", "table", "columns", "cursor_column",
