@@ -115,13 +115,13 @@ def conversation_text(spark: SparkSession, folder: str) -> DataFrame:
     "row_evidence",
     f"""SELECT conv_id, elements_count, CAST(length(t) AS BIGINT) AS normalized_text_len,
  substr(t, 1, {PREVIEW_CHARS}) AS normalized_text_preview,
- length(t) > {PREVIEW_CHARS} AS normalized_text_truncated
+ sha256(t) AS normalized_text_sha256, length(t) > {PREVIEW_CHARS} AS normalized_text_truncated
 FROM (SELECT conv_id, count(*) AS elements_count, string_agg(text, chr(10) ORDER BY turn) AS t
  FROM conversations GROUP BY conv_id)""",
 )
 def conversation_evidence(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations")
-    return row_evidence(turns, ["conv_id"], "turn", "\n", F.floor(F.col("turn") / 1024))
+    return row_evidence(turns, ["conv_id"], "turn", "\n")
 
 
 @catalog.add(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.catalog.base import Catalog, table
 from millrace.functions import identity
 from millrace.operators.sinks import read_artifacts, write_artifacts
-from millrace.session import checkpoint_folder
+from millrace.session import results_folder
 from millrace.sources.files import scan_files
 from millrace.sources.tabular import partition_tabular
 
@@ -18,7 +18,7 @@ catalog = Catalog()
 
 
 def _place(spark: SparkSession) -> str:
-    return f"{checkpoint_folder(spark)}/files/{uuid.uuid4().hex}"
+    return f"{results_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
 @catalog.add(

@@ -18,8 +18,8 @@ from millrace.operators.checkpoints import (
     resume_provenance,
     select_resume,
 )
-from millrace.operators.delivery import content_evidence
-from millrace.operators.elements import elements_from_records, normalized_text
+from millrace.operators.delivery import record_evidence
+from millrace.operators.elements import elements_from_records
 from millrace.operators.sinks import log_lines, record_lines
 from millrace.plans.records import RecordIngest, ingest_records
 from millrace.session import stored
@@ -929,12 +929,14 @@ def resume_blocked(spark: SparkSession, folder: str) -> DataFrame:
     """WITH i AS (SELECT user_id, event_id, props,
   row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events)
 SELECT user_id, CAST(sum(length(CAST(json(props) AS VARCHAR)) + 1) - 1 AS BIGINT) AS normalized_text_len,
+ sha256(string_agg(CAST(json(props) AS VARCHAR), chr(10) ORDER BY i)) AS normalized_text_sha256,
+ substr(string_agg(CAST(json(props) AS VARCHAR), chr(10) ORDER BY i), 1, 16384) AS normalized_text_preview,
  count(*) AS elements_count, count(*) AS records_count, count(*) > 10 AS records_truncated,
  string_agg(CAST(json(props) AS VARCHAR), '|' ORDER BY i) FILTER (i < 10) AS preview,
  'not_available' AS structured_state_visibility, 'normalized_text_and_records_preview_v1' AS evidence_kind
 FROM i GROUP BY user_id""",
 )
-def record_evidence(spark: SparkSession, folder: str) -> DataFrame:
+def evidence_of_reads(spark: SparkSession, folder: str) -> DataFrame:
     """Evidence of one document per user whose records are its events."""
     tables = read_offsets(event_offsets(spark, folder), OFFSET_BATCH, "events", "log")
     elements = tables.records.select(
@@ -944,13 +946,11 @@ def record_evidence(spark: SparkSession, folder: str) -> DataFrame:
         "data",
     )
     texts = elements.withColumn("text", F.col("data"))
-    slice_by = F.floor(F.col("ord.index") / 1000)
-    done = normalized_text(texts, ["user_id"], "\n", False, slice_by).withColumn(
-        "is_records", F.lit(True)
-    )
-    return content_evidence(done, elements, ["user_id"]).select(
+    return record_evidence(texts, ["user_id"]).select(
         "user_id",
-        F.col("normalized_text_len").cast("long").alias("normalized_text_len"),
+        "normalized_text_len",
+        "normalized_text_sha256",
+        "normalized_text_preview",
         "elements_count",
         "records_count",
         "records_truncated",

@@ -14,7 +14,7 @@ from millrace.catalog.base import Catalog, table
 from millrace.catalog.documents import ingested_sql
 from millrace.catalog.fixtures import DESTINATIONS
 from millrace.operators.sinks import read_artifacts
-from millrace.session import ensure_checkpoint_dir
+from millrace.session import results_folder
 from millrace.streaming.intake import stream_dedup, stream_dlq, stream_documents, stream_offsets
 
 catalog = Catalog()
@@ -29,8 +29,7 @@ def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/streams/{uuid.uuid4().hex}"
+    return f"{results_folder(spark)}/streams-{uuid.uuid4().hex}"
 
 
 @catalog.add(

@@ -8,10 +8,9 @@ meet in one task.
 
 ``slice_by`` is a column that never decreases along the order and whose slices
 are known to be small, such as ``key div 1000000`` for a unique integer key.
-Without it the rows are written once, counted, and range-partitioned on the full order
-into slices of about ``ROWS_PER_SLICE`` rows; the partition number, made stable by a
-checkpoint, is the slice.  ``order`` should be a total order: rows that agree in it stay
-in one slice.
+Without it the rows are counted, range-partitioned on the full order into slices of about
+``ROWS_PER_SLICE`` rows and written once with the partition number, which is the slice.
+``order`` should be a total order: rows that agree in it stay in one slice.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import cut_lineage, stored
+from millrace.session import stored
 
 SLICE = "__slice"
 ROWS_PER_SLICE = 1_000_000
@@ -33,10 +32,9 @@ def sliced(
 ) -> DataFrame:
     if slice_by is not None:
         return df.withColumn(SLICE, slice_by)
-    written = stored(df)
-    slices = max(1, math.ceil(written.count() / ROWS_PER_SLICE))
-    ranged = written.repartitionByRange(slices, *[F.col(c) for c in (*keys, *order)])
-    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
+    slices = max(1, math.ceil(df.count() / ROWS_PER_SLICE))
+    ranged = df.repartitionByRange(slices, *[F.col(c) for c in (*keys, *order)])
+    return stored(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 
 def _join_slices(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions import identity, ordering, textrules
+from millrace.functions import identity, textrules
 from millrace.functions import jsontext as J
+from millrace.functions.folding import joined_text_facts
 
 PREVIEW_CHARS = 16 * 1024
 PREVIEW_RECORDS = 10
@@ -55,41 +56,21 @@ def document_evidence(results: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def row_evidence(
-    elements: DataFrame, keys: Sequence[str], order: str, separator: str,
-    slice_by: Column | None = None,
+    elements: DataFrame, keys: Sequence[str], order: str, separator: str, skip_empty: bool = False
 ) -> DataFrame:
-    """Preview, length and truncation of a text that exists only as element rows.
+    """Count, preview, length, sha and truncation of a text that exists only as element rows.
 
-    For a read whose joined text would not fit a row: lengths are summed, and only
-    the elements that reach into the preview are gathered.  There is no sha of a
-    text that is never put together.
+    The text is never put together, so it may be larger than a row
+    (``folding.joined_text_facts``).
     """
-    width = len(separator)
-    sized = elements.select(
-        *keys, order, "text", (F.length("text") + width).cast("long").alias("__chars")
-    )
-    totals = sized.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("elements_count"),
-        (F.sum("__chars") - width).alias("normalized_text_len"),
-    )
-    placed = ordering.sum_before(sized, keys, [order], "__chars", "__before", slice_by)
-    shown = (
-        placed.filter(F.col("__before") < PREVIEW_CHARS)
-        .groupBy(*keys)
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct(order, F.col("text").substr(1, PREVIEW_CHARS).alias("t")))
-            ).alias("__l")
-        )
-        .select(
-            *keys,
-            F.array_join(F.transform("__l", lambda e: e["t"]), separator)
-            .substr(1, PREVIEW_CHARS)
-            .alias("normalized_text_preview"),
-        )
-    )
-    return totals.join(shown, list(keys), "left").withColumn(
-        "normalized_text_truncated", F.col("normalized_text_len") > PREVIEW_CHARS
+    facts = joined_text_facts(elements, keys, order, "text", separator, PREVIEW_CHARS, skip_empty)
+    return facts.select(
+        *keys,
+        F.col("rows").alias("elements_count"),
+        F.col("preview").alias("normalized_text_preview"),
+        F.col("chars").alias("normalized_text_len"),
+        F.col("sha256").alias("normalized_text_sha256"),
+        (F.col("chars") > PREVIEW_CHARS).alias("normalized_text_truncated"),
     )
 
 
@@ -102,6 +83,28 @@ def content_evidence(
     ``elements`` has ``type``, ``ord.index`` and, for records, ``data``.  Only the
     first records of a document are ever gathered; the others are counted.
     """
+    texts = text_evidence(results.select(*keys, "normalized_text", record_flow))
+    return _with_row_facts(texts, elements, keys, record_flow)
+
+
+def record_evidence(
+    elements: DataFrame, keys: Sequence[str], order: str = "ord", separator: str = "\n"
+) -> DataFrame:
+    """The same for record reads that exist only as element rows (``text`` beside the
+    columns above): nothing of the size of a read is gathered."""
+    texts = (
+        row_evidence(elements, keys, order, separator)
+        .drop("elements_count")
+        .withColumn("normalized_text_status", F.lit("available"))
+        .withColumn("__records_flow", F.lit(True))
+    )
+    return _with_row_facts(texts, elements, keys, "__records_flow")
+
+
+def _with_row_facts(
+    texts: DataFrame, elements: DataFrame, keys: Sequence[str], record_flow: str
+) -> DataFrame:
+    """Text evidence joined with what the element rows tell."""
     counts = elements.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("elements_count"),
         F.count_if(F.col("type") == "StructuredRecord").alias("records_count"),
@@ -124,8 +127,7 @@ def content_evidence(
 
     found = F.coalesce(F.col("records_count"), F.lit(0)) > 0
     joined = (
-        text_evidence(results.select(*keys, "normalized_text", record_flow))
-        .join(counts, list(keys), "left")
+        texts.join(counts, list(keys), "left")
         .join(first, list(keys), "left")
         .withColumn("elements_count", F.coalesce("elements_count", F.lit(0)))
         .withColumn("records_status", F.when(found, "available"))

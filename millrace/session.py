@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 #: With this set to true, a JSON object that repeats a key keeps its last value.
 KEEP_LAST_KEY = "spark.sql.variant.allowDuplicateKeys"
+#: Folders of this process's applications.
+_owned: set[str] = set()
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None) -> SparkSession:
@@ -37,19 +39,47 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
     Checkpoints must outlive executors, so the folder has to be on storage that all of
-    them share and is never invented here.  Where the setting is missing, a folder that
-    the caller gave to ``setCheckpointDir`` serves.
+    them share.  Where the setting is missing, a folder that the caller gave to
+    ``setCheckpointDir`` serves, and else one in the session's warehouse, which is shared
+    as well.
     """
     folder = (
         spark.conf.get(CHECKPOINT_SETTING, None)
         or spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
         or spark.sparkContext.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
     )
-    if not folder:
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a shared folder before running this job")
     return folder.rstrip("/")
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def results_folder(spark: SparkSession) -> str:
+    """The application's own folder below the checkpoint folder.
+
+    The application owns what is written here: tables made from it can be used until the
+    application ends, and the folder is removed with it.  ``drop_results`` removes it before.
+    """
+    folder = f"{checkpoint_folder(spark)}/millrace-{spark.sparkContext.applicationId}"
+    if folder not in _owned:
+        files, path = _file_system(spark, folder)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _owned.add(folder)
+    return folder
+
+
+def drop_results(spark: SparkSession) -> None:
+    """Remove what this application has stored so far; tables that read it are void then."""
+    for folder in list(_owned):
+        files, path = _file_system(spark, folder)
+        files.delete(path, True)
+        _owned.discard(folder)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(checkpoint_folder(spark))
@@ -62,11 +92,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet below the checkpoint folder and continue from the files.
+    """Write ``df`` as Parquet below the results folder and continue from the files.
 
-    Unlike a checkpoint the written copy is read by column, so later steps that need a
-    few columns read only these.
+    It is written when this is called.  Unlike a checkpoint the written copy is read by
+    column, so later steps that need a few columns read only these.  The application owns
+    it (``results_folder``).
     """
-    place = f"{checkpoint_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    place = f"{results_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
