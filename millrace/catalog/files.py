@@ -12,7 +12,7 @@ from millrace.functions import identity
 from millrace.operators.sinks import read_artifacts, write_artifacts
 from millrace.session import results_folder
 from millrace.sources.files import scan_files
-from millrace.sources.tabular import partition_tabular
+from millrace.sources.tabular import SEPARATORS, partition_tabular
 
 catalog = Catalog()
 
@@ -21,36 +21,46 @@ def _place(spark: SparkSession) -> str:
     return f"{results_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
+FILE_ROWS = 5
+
+
 @catalog.add(
     "scan_files",
-    """SELECT CAST(s_suppkey AS VARCHAR) AS folder, '.txt' AS extension,
- CAST(strlen(s_name) + 1 AS BIGINT) AS size_bytes, sha256(s_name || chr(10)) AS sha256
-FROM supplier WHERE s_nationkey % 2 = 0""",
+    f"""SELECT CAST(s_nationkey AS VARCHAR) AS folder, '.txt' AS extension,
+ CAST(sum(strlen(s_name) + 1) AS BIGINT) AS size_bytes,
+ sha256(string_agg(s_name || chr(10), '' ORDER BY s_suppkey)) AS sha256
+FROM (SELECT *, (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) // {FILE_ROWS} AS file
+ FROM supplier) GROUP BY s_nationkey, file""",
 )
 def scanned(spark: SparkSession, folder: str) -> DataFrame:
-    """A file for each supplier below the folder of its nation; every other nation is listed."""
+    """Files of five suppliers each, in a folder for each nation, are listed and hashed."""
     place = _place(spark)
     suppliers = table(spark, folder, "supplier").select(
-        (F.col("s_nationkey") % 2).alias("half"), F.col("s_suppkey").alias("key"), "s_name"
+        F.col("s_nationkey").alias("nation"), "s_suppkey", "s_name"
     )
-    suppliers.repartition(8, "key").write.partitionBy("half", "key").text(place)
-    files = scan_files(spark, place, "half=0/**/*.txt", with_sha=True)
-    return files.select(
-        F.regexp_extract("uri", "key=([0-9]+)/", 1).alias("folder"),
+    ordered = suppliers.repartition("nation").sortWithinPartitions("nation", "s_suppkey")
+    written = ordered.drop("s_suppkey").write.option("maxRecordsPerFile", str(FILE_ROWS))
+    written.partitionBy("nation").text(place)
+    return scan_files(spark, place, with_sha=True).select(
+        F.regexp_extract("uri", "nation=([0-9]+)/", 1).alias("folder"),
         "extension",
         "size_bytes",
         "sha256",
     )
 
 
-_KINDS = ("csv", "tsv", "ndjson", "xml")
+_KINDS = ("csv", "tsv", "json", "ndjson", "xml")
 
 
 @catalog.add(
     "partition_tabular",
-    """SELECT kind, 'TableRow' AS type, '{"k":' || c_custkey || ',"name":"' || c_name || ' \\"' ||
- CASE WHEN kind = 'xml' THEN '' ELSE '\\n' END || lower(c_mktsegment) || '\\"","empty":null}' AS text
-FROM customer, (SELECT unnest(['csv', 'tsv', 'ndjson', 'xml']) AS kind)""",
+    f"""SELECT kind, 'TableRow' AS type, CAST(c_custkey // 1000 AS VARCHAR) AS file,
+ CAST(row_number() OVER (PARTITION BY kind, c_custkey // 1000 ORDER BY c_custkey) - 1 AS BIGINT) AS ord,
+ (c_custkey // 1000) || ':' || (row_number() OVER (PARTITION BY kind, c_custkey // 1000 ORDER BY c_custkey) - 1)
+ AS element_id,
+ '{{"k":' || c_custkey || ',"name":"' || c_name || ' \\"' ||
+ CASE WHEN kind = 'xml' THEN '' ELSE '\\n' END || lower(c_mktsegment) || '\\"","empty":null}}' AS text
+FROM customer, (SELECT unnest({list(_KINDS)}) AS kind)""",
 )
 def tabular(spark: SparkSession, folder: str) -> DataFrame:
     """Customers as files of every kind, with quotes and line breaks in their values."""
@@ -61,19 +71,35 @@ def tabular(spark: SparkSession, folder: str) -> DataFrame:
         gap = "" if kind == "xml" else "\n"
         name = F.concat("c_name", F.lit(f' "{gap}'), F.lower("c_mktsegment"), F.lit('"'))
         rows = c.select(
+            F.floor(F.col("c_custkey") / 1000).alias("file"),
             F.col("c_custkey").alias("k"),
             name.alias("name"),
             F.lit(None).cast("string").alias("empty"),
         )
-        writer = rows.repartition(3).write
-        if kind in ("csv", "tsv"):
-            writer.csv(place, header=True, sep="," if kind == "csv" else "\t", quote='"', escape='"')
-        elif kind == "xml":
-            writer.format("xml").option("rowTag", "row").save(place)
+        if kind == "json":  # a file is one list
+            rows = rows.groupBy("file").agg(
+                F.to_json(F.array_sort(F.collect_list(F.struct("k", "name", "empty")))).alias("list")
+            )
+            rows.repartition("file").write.partitionBy("file").text(place)
         else:
-            writer.json(place)
-        read = partition_tabular(spark, place, kind, "k long, name string, empty string")
-        one = read.select(F.lit(kind).alias("kind"), "type", "text")
+            ordered = rows.repartition("file").sortWithinPartitions("file", "k")
+            writer = ordered.write.partitionBy("file")
+            if kind in SEPARATORS:
+                writer.csv(place, header=True, sep=SEPARATORS[kind], quote='"', escape='"')
+            elif kind == "xml":
+                writer.format("xml").option("rowTag", "row").save(place)
+            else:
+                writer.json(place)
+        read = partition_tabular(spark, f"{place}/*", kind, "k long, name string, empty string")
+        named = "^.*/file=([0-9]+)/[^/]*?(:[0-9]+)?$"
+        one = read.select(
+            F.lit(kind).alias("kind"),
+            "type",
+            F.regexp_replace("uri", named, "$1").alias("file"),
+            "ord",
+            F.regexp_replace("element_id", named, "$1$2").alias("element_id"),
+            "text",
+        )
         out = one if out is None else out.unionByName(one)
     return out
 
