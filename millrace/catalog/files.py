@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import Catalog, table
+from millrace.catalog.documents import LINES_SQL
 from millrace.functions import identity
+from millrace.operators.partition import partition_documents
 from millrace.operators.sinks import read_artifacts, write_artifacts
+from millrace.operators.store import compact_keyed, write_keyed
 from millrace.session import results_folder
 from millrace.sources.files import scan_files
 from millrace.sources.tabular import SEPARATORS, partition_tabular
@@ -106,27 +109,50 @@ def tabular(spark: SparkSession, folder: str) -> DataFrame:
 
 @catalog.add(
     "read_artifacts",
-    """WITH d AS (SELECT sha256(text) AS sha256, min(doc_id) AS doc_id, any_value(lower(lang)) AS lang
- FROM (SELECT text, doc_id, 'x' AS lang FROM documents) GROUP BY 1)
-SELECT sha256, doc_id, CASE WHEN doc_id % 3 = 0 THEN 'second' ELSE 'first' END AS normalized_text FROM d""",
+    f"""WITH d AS (SELECT sha256(text) AS sha256, min(doc_id) AS doc_id, any_value(text) AS text
+ FROM documents GROUP BY 1)
+SELECT sha256, doc_id, CASE WHEN doc_id % 3 = 0 THEN 'b2' ELSE 'b1' END AS batch,
+ CAST(n AS BIGINT) AS elements, chars AS text_chars, sha256(t) AS text_sha256
+FROM d JOIN (SELECT doc_id, count(*) AS n, length(string_agg(text, chr(10) || chr(10) ORDER BY ord)) AS chars,
+ string_agg(text, chr(10) || chr(10) ORDER BY ord) AS t FROM ({LINES_SQL}) GROUP BY doc_id) USING (doc_id)""",
 )
 def stored(spark: SparkSession, folder: str) -> DataFrame:
-    """Artifacts of two batches; the second replaces those of every third content."""
+    """Partitioned documents of two batches; the second replaces those of every third content."""
     place = _place(spark)
-    docs = (
-        table(spark, folder, "documents")
-        .withColumn("sha256", identity.sha256_of(F.col("text")))
-        .groupBy("sha256")
-        .agg(F.min("doc_id").alias("doc_id"))
+    docs = table(spark, folder, "documents").withColumn("sha256", identity.sha256_of(F.col("text")))
+    firsts = docs.groupBy("sha256").agg(F.min("doc_id").alias("doc_id"))
+    contents = docs.join(firsts, ["sha256", "doc_id"])
+    results = partition_documents(contents, "text").select(
+        "sha256", "doc_id", "elements", "normalized_text"
     )
-    for batch, name, rows in (
-        ("b1", "first", docs),
-        ("b2", "second", docs.filter(F.col("doc_id") % 3 == 0)),
-    ):
-        results = rows.withColumn("normalized_text", F.lit(name))
-        write_artifacts(rows.select("sha256"), results, place, batch)
+    meta = contents.select("sha256", "doc_id")
+    third = F.col("doc_id") % 3 == 0
+    write_artifacts(meta, results, place, "b1")
+    write_artifacts(meta.filter(third), results.filter(third), place, "b2")
     # A batch that is run again replaces its own rows.
-    write_artifacts(
-        docs.select("sha256"), docs.withColumn("normalized_text", F.lit("first")), place, "b1"
+    write_artifacts(meta, results, place, "b1")
+    return read_artifacts(spark, place, "results").select(
+        "sha256",
+        "doc_id",
+        "batch",
+        F.size("elements").cast("long").alias("elements"),
+        F.length("normalized_text").cast("long").alias("text_chars"),
+        identity.sha256_of(F.col("normalized_text")).alias("text_sha256"),
     )
-    return read_artifacts(spark, place, "results").select("sha256", "doc_id", "normalized_text")
+
+
+@catalog.add(
+    "read_artifacts_asked",
+    """SELECT sha256(text) AS sha256, min(doc_id) AS doc_id, 'b9' AS batch FROM documents
+WHERE doc_id % 50 = 0 GROUP BY 1""",
+)
+def asked(spark: SparkSession, folder: str) -> DataFrame:
+    """Contents of every fiftieth document, looked up in a store of ten compacted batches."""
+    place = _place(spark)
+    docs = table(spark, folder, "documents").withColumn("sha256", identity.sha256_of(F.col("text")))
+    wanted = docs.filter(F.col("doc_id") % 50 == 0).groupBy("sha256").agg(F.min("doc_id").alias("doc_id"))
+    for n in range(10):
+        rows = wanted if n == 9 else docs.filter(F.col("doc_id") % 10 == n).select("sha256", "doc_id")
+        write_keyed(rows, place, "run_meta", f"b{n}")
+    compact_keyed(spark, place, "run_meta", before="b9", apart=4)
+    return read_artifacts(spark, place, "run_meta", wanted).select("sha256", "doc_id", "batch")

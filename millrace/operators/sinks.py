@@ -1,18 +1,19 @@
 """Writing artifact tables and destination rows.
 
-Artifacts are tables, not one folder per document.  Each write lands in its own
-``batch`` partition and replaces only that partition, so a job that is run again
-after a lost executor or driver leaves the same rows.  Readers take the newest
-batch of each content sha, which gives replace-per-sha.
+Artifacts are tables, not one folder per document, kept by content
+(``operators.store``).  Rows without a content key lie in a folder for each batch, which a
+job that is run again replaces.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import jsontext as J
-from millrace.session import stored
+from millrace.operators.store import DIGITS, read_keyed, write_keyed
 
 
 def record_lines(records: DataFrame, *keys: str) -> DataFrame:
@@ -63,35 +64,34 @@ def write_batch(df: DataFrame, path: str, table: str, batch: str) -> None:
 
 
 def write_artifacts(
-    run_meta: DataFrame, results: DataFrame, path: str, batch: str, **others: DataFrame
+    run_meta: DataFrame,
+    results: DataFrame,
+    path: str,
+    batch: str,
+    digits: int = DIGITS,
+    **others: DataFrame,
 ) -> None:
     """Filesystem sink: run metadata of every run, texts and elements of successful ones.
 
-    ``others`` are further artifact tables, such as record and log lines.
+    ``others`` are further artifact tables, such as record and log lines; ``digits`` sets the
+    buckets of new tables.  Run metadata is
+    written last, so a content counts as known only when its other rows are there.
     """
-    write_batch(results, path, "results", batch)
+    write_keyed(results, path, "results", batch, digits=digits)
     for table, df in others.items():
-        write_batch(df, path, table, batch)
-    write_batch(run_meta, path, "run_meta", batch)
-
-
-def read_artifacts(spark: SparkSession, path: str, table: str, sha: str = "sha256") -> DataFrame:
-    """The newest stored rows of each content sha.
-
-    Only shas and batches are grouped.  Contents that a later batch replaced are few, so
-    the stored rows are filtered by a small table and are not moved.
-    """
-    rows = spark.read.parquet(f"{path.rstrip('/')}/{table}").withColumn(
-        "batch", F.col("batch").cast("string")
-    )
-    batches = rows.groupBy(sha, "batch").agg(F.count(F.lit(1)).alias("__n"))
-    newest = Window.partitionBy(sha)
-    replaced = (
-        batches.withColumn("__newest", F.max("batch").over(newest))
-        .filter(F.col("batch") < F.col("__newest"))
-        .select(sha, "batch")
-    )
-    return rows.join(stored(replaced), [sha, "batch"], "left_anti")
+        write_keyed(df, path, table, batch, digits=digits)
+    write_keyed(run_meta, path, "run_meta", batch, digits=digits)
+
+
+def read_artifacts(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    asked: DataFrame | Sequence[str] | None = None,
+    sha: str = "sha256",
+) -> DataFrame:
+    """The newest stored rows of each content sha, or of those in ``asked``."""
+    return read_keyed(spark, path, table, asked, sha)
 
 
 def write_rows(

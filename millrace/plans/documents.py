@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,7 +32,7 @@ def _aliased(columns: Mapping[str, Column]) -> list[Column]:
 
 def ingest_documents(
     documents: DataFrame,
-    existing: DataFrame,
+    existing: DataFrame | Callable[[DataFrame], DataFrame],
     kind: str,
     run: Mapping[str, str],
     out_root: str,
@@ -44,12 +44,13 @@ def ingest_documents(
 
     A uri names one document.  Contents are hashed once and the hashes written, so the
     plan of what to process reads no text; the texts that are processed are read once
-    more and shuffled once at most, and payloads are made where the text is.  ``run``
-    has ``run_id``, ``pipeline_version`` and ``timestamp_utc``.  ``store_results``
+    more and shuffled once at most, and payloads are made where the text is.  ``existing``
+    has the shas that are known, or finds them for a table of shas.  ``run`` has ``run_id``, ``pipeline_version`` and ``timestamp_utc``.  ``store_results``
     writes the results once, for callers that write more than one of the tables.
     """
     hashed = stored(documents.select("uri", identity.sha256_of(F.col("text")).alias("sha256")))
-    intake = plan_intake(hashed, existing, skip_existing, force)
+    known = existing(hashed) if callable(existing) else existing
+    intake = plan_intake(hashed, known, skip_existing, force)
     chosen = intake.filter(F.col("decision") == "process").select("uri", "sha256").distinct()
     results = partition_documents(documents.join(chosen, "uri"), kind)
     if store_results:

@@ -52,7 +52,8 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
+    """The file system that holds a folder, and the folder as its path."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
@@ -65,7 +66,7 @@ def results_folder(spark: SparkSession) -> str:
     """
     folder = f"{checkpoint_folder(spark)}/millrace-{spark.sparkContext.applicationId}"
     if folder not in _owned:
-        files, path = _file_system(spark, folder)
+        files, path = file_system(spark, folder)
         files.mkdirs(path)
         files.deleteOnExit(path)
         _owned.add(folder)
@@ -75,7 +76,7 @@ def results_folder(spark: SparkSession) -> str:
 def drop_results(spark: SparkSession) -> None:
     """Remove what this application has stored so far; tables that read it are void then."""
     for folder in list(_owned):
-        files, path = _file_system(spark, folder)
+        files, path = file_system(spark, folder)
         files.delete(path, True)
         _owned.discard(folder)
 

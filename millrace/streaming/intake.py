@@ -8,62 +8,57 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions import jsontext as J
 from millrace.operators.sinks import write_artifacts, write_batch
+from millrace.operators.store import DIGITS, compact_keyed, known_shas
 from millrace.plans.documents import ingest_documents
 from millrace.sources.incremental import offset_cursor
 
+#: Batches after which the folders of earlier ones are made one.
+COMPACT_EVERY = 16
+
 
 def _batch_name(batch_id: int) -> str:
     return f"{batch_id:020d}"
 
 
-def _known_shas(spark: SparkSession, out: str, before: str) -> DataFrame:
-    """Shas stored by earlier batches."""
-    try:
-        stored = spark.read.parquet(f"{out}/run_meta")
-    except AnalysisException as missing:  # the first batch finds no table
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "sha256 string")
-    return stored.filter(F.col("batch").cast("string") < before).select("sha256")
-
-
 def stream_documents(
     documents: DataFrame,
     out: str,
     checkpoint: str,
     run: Mapping[str, str],
     kind: str = "text",
+    digits: int = DIGITS,
 ) -> StreamingQuery:
     """Ingest everything a document stream (``uri``, ``filename``, ``text``) holds, then stop.
 
-    A content seen in an earlier batch, or earlier in the same batch, is skipped.
-    Run metadata is written last, so a content counts as known only when its
-    other rows are there.
+    A content seen in an earlier batch, or earlier in the same batch, is skipped.  A batch
+    looks up its own contents only, in their buckets of the store; every
+    ``COMPACT_EVERY`` batches the run metadata of earlier ones is made one, so a batch costs
+    the same after many batches.
     """
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
         name = _batch_name(batch_id)
         session = batch.sparkSession
-        known = _known_shas(session, out, name)
+        if batch_id % COMPACT_EVERY == 0:
+            compact_keyed(session, out, "run_meta", before=name)
+
+        def known(hashed: DataFrame) -> DataFrame:
+            return known_shas(session, out, "run_meta", hashed, before=name)
+
         tables = ingest_documents(batch, known, kind, run, out, store_results=True)
-        write_batch(
-            tables.payloads.select("sha256", "delivery_identity", "payload_json"),
-            out,
-            "payloads",
-            name,
-        )
         write_artifacts(
             tables.run_meta.select("sha256", "run_id", "outcome", "run_meta"),
             tables.results.select("sha256", "elements", "normalized_text"),
             out,
             name,
+            digits,
+            payloads=tables.payloads.select("sha256", "delivery_identity", "payload_json"),
         )
 
     return (

@@ -16,7 +16,8 @@ from millrace.operators.audit import (
 from millrace.operators.metadata import normalize_metadata
 from millrace.operators.partition import explode_elements, partition_documents
 from millrace.operators.routing import plan_intake
-from millrace.operators.sinks import read_artifacts, write_batch, write_rows
+from millrace.operators.sinks import read_artifacts, write_rows
+from millrace.operators.store import write_keyed
 from millrace.sources.fetched import fetched_metadata
 from millrace.sources.files import expand_braces, path_regex, scan_files
 from millrace.sources.specs import source_identity
@@ -292,9 +293,9 @@ def test_verify_evidence(spark):
 def test_artifact_batches_replace_by_sha(spark, tmp_path):
     out = str(tmp_path / "out")
     first = spark.createDataFrame([("x", 1), ("y", 1)], "sha256 string, v int")
-    write_batch(first, out, "t", "0001")
-    write_batch(first, out, "t", "0001")
-    write_batch(spark.createDataFrame([("x", 2)], "sha256 string, v int"), out, "t", "0002")
+    write_keyed(first, out, "t", "0001")
+    write_keyed(first, out, "t", "0001")
+    write_keyed(spark.createDataFrame([("x", 2)], "sha256 string, v int"), out, "t", "0002")
     rows = read_artifacts(spark, out, "t").collect()
     assert sorted((r.sha256, r.v) for r in rows) == [("x", 2), ("y", 1)]
     write_rows(first, str(tmp_path / "rows"))
