@@ -8,11 +8,12 @@ hold as many vectors as asked for; what they hold are its candidates.  Inner pro
 are made an angle with one more coordinate, the root of what a vector lacks to the
 longest norm, so longer vectors are nearer.
 
-Vectors are dealt to shards of about ``shard_rows`` and queries to blocks of about
-``block_rows``; a task grows the forest of one shard and answers one block, and gives
-at most ``k`` rows for a query.  Equal vectors are one entry with its ``k + 1``
-smallest ids, more than any query needs, so a vector that very many rows share costs no
-more than another.
+Vectors are dealt to ``least_shards`` shards, or to as many as keep them at about
+``shard_rows``, which fill a task's memory.  Every vector is moved once.  A task reads a
+shard's vectors, grows its forest once, and answers the queries as they stream past in
+batches; it gives at most ``k`` rows for a query.  Equal vectors are one entry with its
+``k + 1`` smallest ids, more than any query needs, so a vector that very many rows share
+costs no more than another.
 
 Vectors that are null, zero, or hold a null or non-finite component take no part, nor
 do rows without an id.  Rows that repeat an id count once, with the smallest vector.
@@ -24,15 +25,18 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TREES = 128
 DEPTH = 24
 SEED = 20
+#: Inner products held at a time.
+SCORES = 1 << 22
 
 
 def usable(vectors: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -63,8 +67,8 @@ class Forest:
 
     def strings(self, longer: np.ndarray) -> np.ndarray:
         """Sign strings as integers, a row for each tree."""
-        weights = 1 << np.arange(self.depth - 1, -1, -1, dtype=np.int64)
-        out = np.empty((self.trees, len(longer)), dtype=np.int64)
+        weights = 1 << np.arange(self.depth - 1, -1, -1, dtype=np.int32)
+        out = np.empty((self.trees, len(longer)), dtype=np.int32)
         own = longer.astype(np.float32)
         for tree in range(self.trees):
             planes = self.planes[:, tree * self.depth : (tree + 1) * self.depth]
@@ -96,51 +100,90 @@ class Forest:
         return found
 
 
-def _search(left: pd.DataFrame, right: pd.DataFrame, k: int, wanted: float) -> pd.DataFrame:
-    """The nearest ``k`` of a shard's entries for every query of a block."""
-    empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-        {"query_id": "int64", "vec_id": "int64", "score": "float64"}
-    )
-    if not len(left) or not len(right):
-        return empty
-    # The order of rows that arrive by the network must not change the results.
-    left = left.assign(first=[min(x) for x in left["ids"]]).sort_values("first")
-    right = right.sort_values("id")
-    vectors = np.stack(left["vector"].to_numpy()).astype(np.float64)
-    queries = np.stack(right["vector"].to_numpy()).astype(np.float64)
-    ids = [sorted(int(i) for i in x) for x in left["ids"]]
-    forest = Forest(vectors)
-    longest = np.sqrt((vectors**2).sum(axis=1).max())
-    # An entry is held at most once by each tree, a query's own one by all of them: this is
-    # enough for k others, or for all there are.
-    enough = max(int(wanted * len(vectors)) + forest.trees, forest.trees * (k + 1))
-    out: list[tuple[int, int, float]] = []
-    step = 256
-    for at in range(0, len(queries), step):
-        block = queries[at : at + step]
-        found = forest.candidates(block, enough)
-        # With candidates this dense a product of all, masked, beats gathering them.
-        scores = np.where(found, block @ vectors.T, -np.inf)
-        # One more than k, as one entry may be the query's own.  Sums of another order may
-        # differ in the last digits: all that may tie with the last are scored anew.
-        most = min(len(vectors), k + 1)
-        last = -np.partition(-scores, most - 1, axis=1)[:, most - 1]
-        sizes = np.sqrt((block**2).sum(axis=1)) * longest
-        least = last - 4 * block.shape[1] * np.finfo(np.float64).eps * sizes
-        for q, query_id in enumerate(right["id"].iloc[at : at + step].tolist()):
-            own = np.flatnonzero(found[q] & ~(scores[q] < least[q]))
-            exact = (vectors[own] * block[q]).sum(axis=1)
-            rows = heapq.nsmallest(
-                k,
-                (
-                    (-score, i)
-                    for entry, score in zip(own.tolist(), exact.tolist(), strict=True)
-                    for i in ids[entry]
-                    if i != query_id
-                ),
+class _Shard:
+    """The entries of a shard as they arrive, and its forest once they are all there."""
+
+    def __init__(self, k: int, wanted: float) -> None:
+        self.k, self.wanted = k, wanted
+        self.parts: list[np.ndarray] = []
+        self.ids: list[list[int]] = []
+        self.forest: Forest | None = None
+
+    def add(self, vectors: np.ndarray, ids: pa.Array) -> None:
+        self.parts.append(vectors)
+        self.ids += [sorted(x) for x in ids.to_pylist()]
+
+    def answers(self, queries: np.ndarray, ids: list[int]) -> Iterator[tuple[int, int, float]]:
+        """The nearest ``k`` of the shard for every query."""
+        if not self.ids:
+            return
+        if self.forest is None:
+            self.forest = Forest(np.concatenate(self.parts))
+            self.parts.clear()
+            self.longest = np.sqrt((self.forest.vectors**2).sum(axis=1).max())
+        vectors, forest = self.forest.vectors, self.forest
+        # An entry is held at most once by each tree, a query's own one by all of them: this
+        # is enough for k others, or for all there are.
+        enough = max(int(self.wanted * len(vectors)) + forest.trees, forest.trees * (self.k + 1))
+        step = max(1, SCORES // len(vectors))
+        for at in range(0, len(queries), step):
+            block = queries[at : at + step]
+            found = forest.candidates(block, enough)
+            # With candidates this dense a product of all, masked, beats gathering them.
+            scores = np.where(found, block @ vectors.T, -np.inf)
+            # One more than k, as one entry may be the query's own.  Sums of another order
+            # may differ in the last digits: all that may tie with the last are scored anew.
+            most = min(len(vectors), self.k + 1)
+            last = -np.partition(-scores, most - 1, axis=1)[:, most - 1]
+            sizes = np.sqrt((block**2).sum(axis=1)) * self.longest
+            least = last - 4 * block.shape[1] * np.finfo(np.float64).eps * sizes
+            for q, query_id in enumerate(ids[at : at + step]):
+                own = np.flatnonzero(found[q] & ~(scores[q] < least[q]))
+                exact = (vectors[own] * block[q]).sum(axis=1)
+                rows = heapq.nsmallest(
+                    self.k,
+                    (
+                        (-score, i)
+                        for entry, score in zip(own.tolist(), exact.tolist(), strict=True)
+                        for i in self.ids[entry]
+                        if i != query_id
+                    ),
+                )
+                yield from ((query_id, i, -score) for score, i in rows)
+
+
+def _search(
+    batches: Iterable[pa.RecordBatch], k: int, wanted: float
+) -> Iterator[pa.RecordBatch]:
+    """Answers of all shards of a task, whose rows are sorted: entries, then queries."""
+    current, shard = None, None
+    for batch in batches:
+        keys = [batch.column(i).to_pylist() for i in range(3)]
+        rows = list(zip(*keys, strict=True))
+        out: list[tuple[int, int, float]] = []
+        first = 0
+        while first < len(rows):
+            dimension, number, is_query = rows[first]
+            last = first
+            while last < len(rows) and rows[last] == rows[first]:
+                last += 1
+            if (dimension, number) != current:
+                current, shard = (dimension, number), _Shard(k, wanted)
+            own = batch.slice(first, last - first)
+            values = own.column(5).flatten().to_numpy(zero_copy_only=False)
+            vectors = values.reshape(-1, dimension).astype(np.float64)
+            if is_query:
+                out += shard.answers(vectors, own.column(3).to_pylist())
+            else:
+                shard.add(vectors, own.column(4))
+            first = last
+        if out:
+            columns = zip(*out, strict=True)
+            kinds = (pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)],
+                names=["query_id", "vec_id", "score"],
             )
-            out += [(query_id, i, -score) for score, i in rows]
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]) if out else empty
 
 
 def nearest(
@@ -149,8 +192,8 @@ def nearest(
     k: int = 20,
     id_column: str = "vec_id",
     vector: str = "embedding",
-    shard_rows: int = 8192,
-    block_rows: int = 2048,
+    shard_rows: int = 262_144,
+    least_shards: int = 16,
     wanted: float = 1.0,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` nearest found for each query.
@@ -168,29 +211,34 @@ def nearest(
         .groupBy("vector")
         .agg(F.collect_list("id").alias("ids"))
     )
-    asked = rows.filter(F.col("id") % every == 0)
-    counts = rows.agg(
-        F.count("*").alias("rows"), F.count(F.when(F.col("id") % every == 0, 1)).alias("queries")
-    ).first()
-    shards = max(1, math.ceil(counts.rows / shard_rows))
-    blocks = max(1, math.ceil(counts.queries / block_rows))
-    dealt = entries.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards))).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    shards = max(least_shards, math.ceil(rows.count() / shard_rows))
+    dealt = entries.select(
+        F.size("vector").alias("dimension"),
+        F.pmod(F.xxhash64("vector"), F.lit(shards)).alias("shard"),
+        F.lit(False).alias("is_query"),
+        F.array_min("ids").alias("id"),
+        "ids",
+        "vector",
+    )
+    asked = rows.filter(F.col("id") % every == 0).select(
+        F.size("vector").alias("dimension"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
+        F.lit(True).alias("is_query"),
+        "id",
+        F.array().cast("array<long>").alias("ids"),
+        "vector",
     )
-    every_shard = F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))
-    questions = asked.withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    ).withColumn("shard", F.explode(every_shard))
-    keys = [F.size("vector").alias("dimension"), F.col("shard"), F.col("block")]
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _search(left, right, k, wanted)
-
-    found = (
-        dealt.groupBy(*keys)
-        .cogroup(questions.groupBy(*keys))
-        .applyInPandas(search, "query_id long, vec_id long, score double")
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _search(batches, k, wanted)
+
+    # The order of rows that arrive by the network must not change the results.
+    ordered = (
+        dealt.union(asked)
+        .repartition("dimension", "shard")
+        .sortWithinPartitions("dimension", "shard", "is_query", "id")
     )
+    found = ordered.mapInArrow(search, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))

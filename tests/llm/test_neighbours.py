@@ -27,7 +27,7 @@ def test_recall(spark, scale):
     if scale:
         table *= rng.uniform(0.2, 3, (3000, 1)).astype(np.float32)
     rows = [(i, [float(v) for v in x], "own") for i, x in enumerate(table)]
-    found = nearest(spark.createDataFrame(rows, SCHEMA), shard_rows=1000, block_rows=60).collect()
+    found = nearest(spark.createDataFrame(rows, SCHEMA), shard_rows=1000, least_shards=2).collect()
     vectors = {i: np.array(x, dtype=np.float64) for i, x, _ in rows}
     want, hits = by_hand(vectors, 20), 0
     got = {}
