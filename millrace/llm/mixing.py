@@ -5,11 +5,12 @@ and taken up to its target number of words: whole epochs first, then the documen
 to the place where the running number of words reaches the rest of the target, where
 the last document is cut at the exact word.
 
-The order is cut into slices by the leading digits of the key, so a source of any size
-is spread over many slices.  Words are summed by source and slice (combined before the
+The order is cut into slices by the leading digits of the key, as many as keep a slice at
+about ``SLICE_ROWS`` rows.  Words are summed by source and slice (combined before the
 shuffle); a running sum over a source's slices finds the one slice that the cut falls
-in.  All other documents are decided from their slice alone, where they are read, and
-only the documents of the cut slices are sorted.
+in.  All other documents are decided from their slice alone, where they are read.  Of the
+cut slices the documents are written once and their equal keys counted; only the counts are
+sorted, and the documents take their places from them.
 
 Targets: sources in code point order, null last, have the given weights in turn and
 share the words of the whole corpus.  No target is above ``most`` times its source's
@@ -22,6 +23,7 @@ rows that also agree in these are interchangeable.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,7 +32,9 @@ from pyspark.sql import functions as F
 from millrace.session import cut_lineage, stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-SLICE_DIGITS = 3
+#: Most rows of a slice, about, digits of a slice's name at least, and parts in which the
+#: rows of one key are counted.
+SLICE_ROWS, LEAST_DIGITS, SALTS = 250_000, 3, 256
 MADE = ("size", "source_size", "target", "epochs", "part")
 
 
@@ -87,16 +91,17 @@ def _taken(
         ":", F.lit(str(seed)), F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")),
         F.md5(_text(text).cast("binary")),
     )
+    digits = max(LEAST_DIGITS, math.ceil(math.log(max(1, docs.count() / SLICE_ROWS), 16)))
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
         F.col(f"`{source}`").cast("string").alias("__source"),
         F.md5(name.cast("binary")).alias("__key"),
-    ).withColumn("__slice", F.substring("__key", 1, SLICE_DIGITS))
+    ).withColumn("__slice", F.substring("__key", 1, digits))
     words = F.regexp_count(_text(text), F.lit(WORD)).cast("long")
     sums = cut_lineage(
         docs.select(
             F.col(f"`{source}`").cast("string").alias("source"),
-            F.substring(F.md5(name.cast("binary")), 1, SLICE_DIGITS).alias("slice"),
+            F.substring(F.md5(name.cast("binary")), 1, digits).alias("slice"),
             words.alias("size"),
         )
         .groupBy("source", "slice")
@@ -143,15 +148,33 @@ def _taken(
         .withColumn("size", size)
         .withColumn("part", F.when(F.expr("__slice < __cut"), F.col("size")).otherwise(F.lit(0)))
     )
+    # Written, so that a row keeps its salt.
+    in_cut = stored(
+        placed.filter("__slice = __cut")
+        .withColumn("size", size)
+        .withColumns(
+            {
+                "__id": F.col(f"__doc.`{id_column}`"),
+                "__salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)),
+            }
+        )
+    )
+    place = ["__of", "__key", "__id", "size", "__salt"]
+    counted = in_cut.groupBy(*place).agg(F.count("*").alias("__n"))
     order = (
         Window.partitionBy("__of")
-        .orderBy("__key", F.col(f"__doc.`{id_column}`"), "size")
+        .orderBy(*place[1:])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    left = F.col("__rest") - F.col("__before") - F.coalesce(F.sum("size").over(order), F.lit(0))
+    running = counted.withColumn(
+        "__sum", F.coalesce(F.sum(F.col("__n") * F.col("size")).over(order), F.lit(0))
+    ).select(*[F.col(c).alias(f"__c{c}") for c in place], "__sum")
+    # Rows that agree in all of these are interchangeable.
+    copy = F.row_number().over(Window.partitionBy(*place).orderBy(F.lit(0))) - 1
+    left = F.col("__rest") - F.col("__before") - F.col("__sum") - F.col("__copy") * F.col("size")
     sorted_part = (
-        placed.filter("__slice = __cut")
-        .withColumn("size", size)
+        in_cut.withColumn("__copy", copy)
+        .join(running, [F.col(c).eqNullSafe(F.col(f"__c{c}")) for c in place])
         .withColumn("part", F.greatest(F.lit(0), F.least("size", left)))
     )
     out = ["__doc", *MADE[:-1], F.col("part").cast("long")]
