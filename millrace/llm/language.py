@@ -5,12 +5,15 @@ both have at least once, divided by the root of the numbers they have.  Letters
 folded to lower case, everything between words to one blank, and n-grams are hashed
 to ``2 ** BITS`` places.
 
-Training is one-versus-rest kernel ridge regression in the Nyström features of
-``landmarks`` texts.  It uses at most ``per_language`` labelled documents of each
-language, whose n-gram places (8 KB each) come to the driver.  Because the kernel is a
-product of presence vectors, the landmarks, the Nyström map and the ridge weights
-multiply out to one matrix of places by languages.  Scoring multiplies batches of
-presence vectors with it in the task that reads the texts.
+Training is one-versus-rest kernel ridge regression in the Nyström features of at most
+``landmarks`` texts, dealt evenly to the languages.  It uses at most ``per_language``
+labelled documents of each language.  Only the landmarks' n-gram places (8 KB each) come to
+the driver; the normal equations are summed up by Spark where the documents are: a matrix of
+landmarks by landmarks and a row for each language.  The model keeps the landmarks and the
+ridge weights of each language in the Nyström features, so a language more costs a few
+hundred numbers; up to ``MAX_LANGUAGES`` are learned, and a label column with more values is
+refused as no column of languages.  Scoring multiplies batches of presence vectors with
+both in the task that reads the texts.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text when
 there was nothing to learn from.  Ties go to the language that comes first in order.
@@ -24,16 +27,19 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.llm.samples import one_text, training_sample
 from millrace.llm.textblocks import Block, map_texts
+from millrace.session import stored
 
 BITS = 16
 SIZES = (2, 3, 4)
 BATCH = 64
+#: Labels that are learned at most: 64 MB of weights.
+MAX_LANGUAGES = 100_000
 _BLANK = 0x20
 _MIX = np.uint32(0x9E3779B1)
 
@@ -85,8 +91,15 @@ def presence(block: Block, fold: np.ndarray) -> Iterator[tuple[int, np.ndarray,
 @dataclass
 class LanguageModel:
     names: list[str]
-    matrix: np.ndarray  # places by languages
+    chosen: np.ndarray  # places by Nyström features
+    weights: np.ndarray  # Nyström features by languages
     fold: np.ndarray
+    rows: int = 0  # documents learned from
+
+    def margins(self, found: np.ndarray) -> np.ndarray:
+        """One-versus-rest margins of presence vectors."""
+        size = np.maximum(found.sum(axis=1), 1)
+        return (found.astype(np.float32) @ self.chosen / np.sqrt(size)[:, None]) @ self.weights
 
     def predict(self, block: Block) -> tuple[list[str], np.ndarray]:
         best = ["und"] * len(block)
@@ -94,8 +107,7 @@ class LanguageModel:
         if not self.names:
             return best, scores
         for first, found, letters in presence(block, self.fold):
-            size = np.maximum(found.sum(axis=1), 1)
-            margins = (found.astype(np.float32) @ self.matrix) / np.sqrt(size)[:, None]
+            margins = self.margins(found)
             chance = np.exp(4 * (margins - margins.max(axis=1, keepdims=True)))
             chance /= chance.sum(axis=1, keepdims=True)
             for i in np.flatnonzero(letters):
@@ -111,31 +123,83 @@ def _unpacked(rows: list[bytes]) -> np.ndarray:
     ).astype(np.float32)
 
 
-def fit(
-    rows: list[bytes], languages: list[str], landmarks: int, ridge: float
-) -> tuple[list[str], np.ndarray]:
-    """Languages and the matrix that presence vectors are multiplied with."""
-    names = sorted(set(languages))
-    if not names:
-        return [], np.zeros((1 << BITS, 0), dtype=np.float32)
-    by_language = [[i for i, x in enumerate(languages) if x == n] for n in names]
-    share = max(1, landmarks // len(names))
-    chosen = _unpacked([rows[i] for own in by_language for i in own[:share]])
-    size = np.sqrt(np.maximum(chosen.sum(axis=1), 1))
-    chosen /= size[:, None]
+def nystroem_map(landmarks: list[bytes]) -> np.ndarray:
+    """Places by Nyström features: what a presence vector, divided by the root of its
+    size, is multiplied with."""
+    chosen = _unpacked(landmarks)
+    chosen /= np.sqrt(np.maximum(chosen.sum(axis=1), 1))[:, None]
     values, vectors = np.linalg.eigh((chosen @ chosen.T).astype(np.float64))
     used = values > values[-1] * 1e-6
-    nystroem = vectors[:, used] / np.sqrt(values[used])
-    parts = []
-    for at in range(0, len(rows), BATCH):
-        own = _unpacked(rows[at : at + BATCH])
-        kernel = (own @ chosen.T) / np.sqrt(np.maximum(own.sum(axis=1), 1))[:, None]
-        parts.append(kernel @ nystroem)
-    mapped = np.concatenate(parts)
-    target = np.where(np.array(languages)[:, None] == np.array(names)[None, :], 1.0, -1.0)
-    gram = mapped.T @ mapped + ridge * np.eye(mapped.shape[1])
-    weights = nystroem @ np.linalg.solve(gram, mapped.T @ target)
-    return names, (chosen.T @ weights).astype(np.float32)
+    return (chosen.T @ (vectors[:, used] / np.sqrt(values[used]))).astype(np.float32)
+
+
+def _equation_parts(batches, chosen, names):
+    """A task's share of the normal equations: rows of the gram matrix by number, and sums of
+    the mapped documents by language."""
+    matrix = chosen.value
+    width = matrix.shape[1]
+    gram, sums = np.zeros((width, width)), {}
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH):
+            own = batch.slice(at, BATCH)
+            places = _unpacked(own.column(1).to_pylist())
+            size = np.sqrt(np.maximum(places.sum(axis=1), 1))
+            mapped = (places @ matrix / size[:, None]).astype(np.float64)
+            gram += mapped.T @ mapped
+            for lang, row in zip(own.column(0).to_pylist(), mapped, strict=True):
+                sums[lang] = sums.get(lang, 0) + np.append(row, 1.0)
+    keys = [(i, None) for i in range(width)] + [(None, lang) for lang in sums]
+    rows = [np.append(g, 0.0) for g in gram] + list(sums.values())
+    numbers, langs = zip(*keys, strict=True)
+    columns = np.array(rows).T.copy()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(numbers, pa.int32()), pa.array(langs, pa.string()), *map(pa.array, columns)],
+        names=names,
+    )
+
+
+def fit(places: DataFrame, landmarks: int, ridge: float) -> tuple:
+    """Languages, Nyström map, ridge weights and number of rows of ``places`` (``lang``,
+    ``order``, ``places``)."""
+    per_label = Window.partitionBy("lang").orderBy("order", "places")
+    labels = places.select("lang").distinct().count()
+    if labels > MAX_LANGUAGES:
+        raise ValueError(f"{labels} labels are no languages (at most {MAX_LANGUAGES})")
+    share = max(1, landmarks // max(1, labels))
+    chosen = (
+        places.withColumn("rank", F.row_number().over(per_label))
+        .filter(F.col("rank") <= share)
+        .orderBy("rank", "lang")
+        .limit(landmarks)
+        .collect()
+    )
+    if not chosen:
+        return [], np.zeros((1 << BITS, 1), np.float32), np.zeros((1, 0), np.float32), 0
+    matrix = nystroem_map([r.places for r in sorted(chosen, key=lambda r: (r.lang, r["rank"]))])
+    width = matrix.shape[1]
+    values = [f"c{i}" for i in range(width + 1)]
+    shared = places.sparkSession.sparkContext.broadcast(matrix)
+    run = partial(_equation_parts, chosen=shared, names=["i", "lang", *values])
+    schema = ", ".join(["i int", "lang string", *[f"{c} double" for c in values]])
+    summed = (
+        places.select("lang", "places")
+        .mapInArrow(run, schema)
+        .groupBy("i", "lang")
+        .agg(*[F.sum(c).alias(c) for c in values])
+        .collect()
+    )
+    gram, sums = ridge * np.eye(width), {}
+    for row in summed:
+        if row.i is None:
+            sums[row.lang] = np.array(row[2:])
+        else:
+            gram[row.i] += row[2:-1]
+    names = sorted(sums)
+    by_language = np.array([sums[n] for n in names])
+    # A target is one for its language and minus one for the others.
+    aims = 2 * by_language[:, :-1] - by_language[:, :-1].sum(axis=0)
+    weights = np.linalg.solve(gram, aims.T).astype(np.float32)
+    return names, matrix, weights, int(by_language[:, -1].sum())
 
 
 def _presence_batches(batches, fold, schema):
@@ -181,14 +245,13 @@ def train_language(
         [("lang", pa.string()), ("order", pa.int64()), ("places", pa.binary())]
     )
     run = partial(_presence_batches, fold=shared, schema=schema)
-    found = (
-        rows.select("lang", "order", "text")
-        .mapInArrow(run, "lang string, order long, places binary")
-        .collect()
+    places = stored(
+        rows.select("lang", "order", "text").mapInArrow(
+            run, "lang string, order long, places binary"
+        )
     )
-    found.sort(key=lambda r: (r.order, r.lang, r.places))
-    names, matrix = fit([r.places for r in found], [r.lang for r in found], landmarks, ridge)
-    return LanguageModel(names, matrix, fold)
+    names, chosen, weights, learned = fit(places, landmarks, ridge)
+    return LanguageModel(names, chosen, weights, fold, learned)
 
 
 def _predict_batches(batches, model, text, keep, schema):
