@@ -154,7 +154,8 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     ), m AS (
       SELECT s.page_id, s.host, s.path, r.host_rule || r.path_rule AS rule, r.verdict,
              row_number() OVER (PARTITION BY s.page_id
-                                ORDER BY length(r.host_rule || r.path_rule) DESC) AS place
+                                ORDER BY length(r.host_rule || r.path_rule) DESC, r.verdict DESC,
+                                         length(r.host_rule) DESC) AS place
       FROM s JOIN r ON (s.host = r.host_rule OR ends_with(s.host, '.' || r.host_rule))
                    AND starts_with(s.path, r.path_rule)
     )

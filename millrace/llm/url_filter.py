@@ -3,13 +3,14 @@
 The trie's first levels are host labels from the last to the first, so a rule for a
 host also stands for its subdomains; below a host come the segments of the path.  A
 search descends along a URL's labels and from every host node it meets along the
-URL's path.  Of the rules met, that with most labels wins, then that with the longest
-path, then block over allow.
+URL's path.  Of the rules met the longest wins, counted in characters of ``host/path``; of
+equally long ones block wins over allow, then the longer host.
 
 The rules are a parameter of bounded size (``MAX_RULES``, checked); the trie is built
 from them on the driver and broadcast.  URLs are judged where they are read.
 
-Kept columns named like a result give way to it.  A null URL and one without ``://`` have an empty host and path, which no rule fits.
+Kept columns named like a result give way to it.  A null URL and one without ``://`` have
+an empty host and path, which no rule fits.
 """
 
 from __future__ import annotations
@@ -78,13 +79,16 @@ def build_trie(rules: Sequence[tuple[str, str]]) -> HostNode:
 
 def match(trie: HostNode, host: str, path: str) -> tuple[str, str] | None:
     """The winning rule and its verdict, or nothing."""
-    best, node = None, trie
+    best, rank, node = None, (0, False), trie
     for label in reversed(host.split(".")):
         node = node.labels.get(label)
         if node is None:
             break
         if node.paths is not None:
-            best = node.paths.longest(path) or best
+            found = node.paths.longest(path)
+            # Hosts are met from the shortest to the longest.
+            if found and (len(found[0]), found[1] == "block") >= rank:
+                best, rank = found, (len(found[0]), found[1] == "block")
     return best
 
 

@@ -14,6 +14,11 @@ RULES = (
     ("allow", "org/fr/"),
     ("block", "a.example.com/de/x/y"),
     ("allow", "example.com/d"),
+    # Longer than a rule of a longer host, and as long as one with the other verdict.
+    ("block", "net/en/a-path-longer-than-any-host"),
+    ("block", "com/de/x/yzabc"),
+    ("allow", "example.com/de"),
+    ("allow", "m/de/x/yzabcdef"),
 )
 
 
@@ -22,7 +27,7 @@ def by_hand(host, path):
     for verdict, rule in RULES:
         rule_host, slash, rest = rule.partition("/")
         if (host == rule_host or host.endswith("." + rule_host)) and path.startswith(slash + rest):
-            rank = (rule_host.count("."), len(rest), verdict == "block")
+            rank = (len(rule), verdict == "block", len(rule_host))
             best = max(best or (rank, rule, verdict), (rank, rule, verdict))
     return best[1:] if best else None
 
@@ -30,7 +35,7 @@ def by_hand(host, path):
 def test_match_is_the_longest_rule():
     hosts = ["net", "example.net", "a.example.net", "ample.net", "example.com", "a.example.com",
              "b.a.example.com", "org", "x.org", "", "net.", ".net", "com"]
-    paths = ["", "/", "/en", "/en/", "/en/1", "/de/", "/de/x/y", "/de/x/yz", "/de/x/", "/d", "/fr/",
+    paths = ["/en/a-path-longer-than-any-host/x", "/de/x/yzabcdef", "", "/", "/en", "/en/", "/en/1", "/de/", "/de/x/y", "/de/x/yz", "/de/x/", "/d", "/fr/",
              "//en/", "/fr"]
     trie = build_trie(RULES)
     for host, path in itertools.product(hosts, paths):
