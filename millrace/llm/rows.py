@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +19,19 @@ def ascii_lower(text: Column) -> Column:
     ).otherwise(F.lower(text))
 
 
+def quoted(name: str) -> str:
+    """A column's name as it is written in an expression, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_prefix(columns: Iterable[str]) -> str:
+    """Underscores that no column begins with, for columns that are added for a while."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def drop_rows(
     docs: DataFrame, keys: Mapping[str, Column], touched: DataFrame, few: bool = False
 ) -> DataFrame:
@@ -29,26 +42,29 @@ def drop_rows(
     stays, and rows whose key is not in it stay.  Null keys match.  ``touched`` names
     only what is to be changed.  With ``few`` it is expected to be small against ``docs``
     and Spark broadcasts it below its size limit; otherwise both sides are merged by key
-    at every size.
+    at every size.  Columns of ``docs`` may have any names.
     """
-    columns = [F.col(f"__docs.`{c}`") for c in docs.columns]
-    names = [f"__k_{n}" for n in keys]
-    keyed = docs.select("*", *[c.alias(f"__k_{n}") for n, c in keys.items()]).alias("__docs")
+    own = free_prefix(docs.columns)
+    columns = [F.col(f"{own}docs.{quoted(c)}").alias(c) for c in docs.columns]
+    keyed = docs.select("*", *[c.alias(f"{own}k_{n}") for n, c in keys.items()]).alias(f"{own}docs")
     other = stored(
         touched.select(
-            *[F.col(n).alias(f"__t_{n}") for n in keys], F.col("stays").alias("__stays")
+            *[F.col(n).alias(f"{own}t_{n}") for n in keys], F.col("stays").alias(f"{own}stays")
         )
     )
     if not few:
         other = other.hint("merge")
-    same = [F.col(f"__k_{n}").eqNullSafe(F.col(f"__t_{n}")) for n in keys]
+    same = [F.col(f"{own}k_{n}").eqNullSafe(F.col(f"{own}t_{n}")) for n in keys]
     untouched = keyed.join(other, same, "left_anti").select(*columns)
-    repeated = keyed.join(other.filter("__stays"), same, "left_semi")
-    order = [F.col(c) for c, kind in docs.dtypes if "map" not in kind and "variant" not in kind]
+    repeated = keyed.join(other.filter(F.col(f"{own}stays")), same, "left_semi")
+    order = [
+        F.col(quoted(c)) for c, kind in docs.dtypes if "map" not in kind and "variant" not in kind
+    ]
+    names = [F.col(f"{own}k_{n}") for n in keys]
     first = Window.partitionBy(*names).orderBy(*(order or names))
     one = (
-        repeated.withColumn("__n", F.row_number().over(first))
-        .filter("__n = 1")
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        repeated.withColumn(f"{own}n", F.row_number().over(first))
+        .filter(F.col(f"{own}n") == 1)
+        .select(*[F.col(quoted(c)) for c in docs.columns])
     )
     return untouched.union(one)

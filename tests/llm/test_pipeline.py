@@ -119,3 +119,16 @@ def test_odd_rows(spark, odd, tmp_path):
     odd.limit(0).write.parquet(str(empty / "documents.parquet"))
     labels.limit(0).write.parquet(str(empty / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+def test_columns_of_any_name(spark, odd):
+    """Names with dots, blanks and backticks, and names that helpers use, go through."""
+    names = ["m.x", "a b", "back`tick", "__k_id", "__stays", "__docs", "__n", "__key"]
+    docs = odd
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, (odd.n_chars + i).cast("string"))
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns, name
+        plain = Counter(map(str, stage(spark, odd, FOLDER).collect()))
+        assert Counter(map(str, out.select(*odd.columns).collect())) == plain
