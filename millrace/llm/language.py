@@ -9,9 +9,9 @@ Training is one-versus-rest kernel ridge regression in the Nyström features of
 ``landmarks`` texts, dealt evenly to the languages.  It uses at most ``per_language``
 labelled documents of each language.  Only the landmarks' n-gram places (8 KB each) come to
 the driver; the normal equations are summed up by Spark where the documents are: a matrix of
-landmarks by landmarks and a row for each language.  The model keeps the landmarks and the
-ridge weights of each language in the Nyström features, so a language more costs a few
-hundred numbers; up to ``MAX_LANGUAGES`` are learned, and a label column with more values is
+landmarks by landmarks and a row for each language.  For many languages the model keeps the
+landmarks and the ridge weights of each language in the Nyström features, so a language more
+costs a few hundred numbers; up to ``MAX_LANGUAGES`` are learned, and a label column with more values is
 refused as no column of languages.  Scoring multiplies batches of presence vectors with
 both in the task that reads the texts.
 
@@ -90,16 +90,21 @@ def presence(block: Block, fold: np.ndarray) -> Iterator[tuple[int, np.ndarray,
 
 @dataclass
 class LanguageModel:
+    """``matrices`` are multiplied with presence vectors one after the other: places by
+    Nyström features and features by languages, or for few languages their product."""
+
     names: list[str]
-    chosen: np.ndarray  # places by Nyström features
-    weights: np.ndarray  # Nyström features by languages
+    matrices: list[np.ndarray]
     fold: np.ndarray
     rows: int = 0  # documents learned from
 
     def margins(self, found: np.ndarray) -> np.ndarray:
         """One-versus-rest margins of presence vectors."""
         size = np.maximum(found.sum(axis=1), 1)
-        return (found.astype(np.float32) @ self.chosen / np.sqrt(size)[:, None]) @ self.weights
+        out = found.astype(np.float32) / np.sqrt(size, dtype=np.float32)[:, None]
+        for matrix in self.matrices:
+            out = out @ matrix
+        return out
 
     def predict(self, block: Block) -> tuple[list[str], np.ndarray]:
         best = ["und"] * len(block)
@@ -251,7 +256,9 @@ def train_language(
         )
     )
     names, chosen, weights, learned = fit(places, landmarks, ridge)
-    return LanguageModel(names, chosen, weights, fold, learned)
+    few = len(names) <= len(weights)
+    matrices = [chosen @ weights] if few else [chosen, weights]
+    return LanguageModel(names, matrices, fold, learned)
 
 
 def _predict_batches(batches, model, text, keep, schema):

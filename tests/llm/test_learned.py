@@ -203,7 +203,7 @@ def test_more_labels_than_landmarks(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = train_language(docs, landmarks=20)
     assert len(model.names) == sum(not is_held_out(i) for i in range(600))
-    assert model.chosen.shape[1] <= 20 and model.weights.shape[1] == len(model.names)
+    assert model.matrices[0].shape[1] <= 20 and model.matrices[1].shape[1] == len(model.names)
     found = predict_language(docs, model, ["doc_id"]).collect()
     assert {r.lang_pred for r in found} <= set(model.names)
 
