@@ -57,6 +57,7 @@ from millrace.operators.reports import (
     usage_batch,
     usage_records,
 )
+from millrace.operators.tables_scan import rule_scan, term_scan
 from millrace.operators.tasks import (
     apply_acks,
     bucket_counts,
@@ -1033,6 +1034,50 @@ def denied_summary(spark: SparkSession, folder: str) -> DataFrame:
     return scan_summary(denylist_scan(files, TERMS, rules=CONTEXT), files)
 
 
+# Terms of a table: the words of the benchmark, and the denylist's own.
+_TABLE_TERMS_SQL = f"""SELECT DISTINCT w AS term, 'word' AS category, 'minor' AS severity, ['runtime'] AS blocked
+ FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]{{6,}}')) AS w FROM benchmark)
+ UNION ALL SELECT * FROM (VALUES {_TERM_ROWS}) t(term, category, severity, blocked)"""
+
+
+@catalog.add(
+    "term_scan",
+    SCAN_SQL.replace(f"(VALUES {_TERM_ROWS}) t(term, category, severity, blocked)", f"({_TABLE_TERMS_SQL}) t")
+    + """ SELECT path, line, term, category, classification, severity, context_kind, historical_or_fixture,
+ suggested_owner, sha256(text) AS text_sha256 FROM c""",
+)
+def table_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """The scan with every long word of the benchmark as a term, beside the denylist."""
+    words = (
+        table(spark, folder, "benchmark")
+        .select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{6,}"), F.lit(0))).alias("term"))
+        .distinct()
+        .select(
+            "term",
+            F.lit("word").alias("category"),
+            F.lit("minor").alias("severity"),
+            F.lit("of the benchmark").alias("reason"),
+            F.array(F.lit("runtime")).alias("blocked_in"),
+        )
+    )
+    own = spark.createDataFrame(
+        [(t.term, t.category, t.severity, t.reason, list(t.blocked_in)) for t in TERMS], words.schema
+    )
+    hits = term_scan(_scanned(spark, folder), words.unionByName(own), rules=CONTEXT)
+    return hits.select(
+        "path",
+        F.col("line").cast("long").alias("line"),
+        "term",
+        "category",
+        "classification",
+        "severity",
+        "context_kind",
+        "historical_or_fixture",
+        "suggested_owner",
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 IMPORT_RULES = (
     ImportRule("no-the", ("packages/*",), ("the ", "ion"), "blocker"),
     ImportRule("no-eau", ("tools/*", "docs/*"), ("Eau",), "major"),
@@ -1096,6 +1141,55 @@ def paths(spark: SparkSession, folder: str) -> DataFrame:
     return _path_hits(spark, folder).drop("allowed_scope")
 
 
+# Rules of a table: what pages' urls begin with, end with and hold.
+_TABLE_RULES_SQL = """SELECT 'b:' || p AS rule_id, p || '*' AS pattern FROM (SELECT DISTINCT substr(url, 1, 18) AS p FROM pages)
+ UNION ALL SELECT 'e:' || e, '*' || e FROM (SELECT DISTINCT right(url, 5) AS e FROM pages)
+ UNION ALL SELECT 'm:' || m, '*' || m || '?*' FROM (SELECT DISTINCT substr(url, 10, 5) AS m FROM pages)
+ UNION ALL SELECT 'w:' || page_id, url FROM pages WHERE page_id % 3 = 0
+ UNION ALL SELECT 'c:' || c, '*[' || c || ']' FROM (SELECT unnest(['0-4', '!0-9', 'a-f']) AS c)"""
+
+
+@catalog.add(
+    "rule_scan",
+    f"""SELECT DISTINCT page_id, rule_id, CASE WHEN starts_with(rule_id, 'b:') THEN 'boundary_tooling'
+ WHEN starts_with(url, 'http://m.') THEN 'blocked_runtime' ELSE 'review_required' END AS classification
+FROM pages JOIN ({_TABLE_RULES_SQL}) r ON url GLOB pattern""",
+)
+def table_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Path rules made of the urls themselves, a few for every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+
+    def made(tag: str, value: str, pattern: str) -> DataFrame:
+        found = pages.selectExpr(f"{value} AS v").distinct()
+        return found.selectExpr(f"concat('{tag}:', v) AS rule_id", f"{pattern} AS pattern")
+
+    whole = pages.filter("page_id % 3 = 0").selectExpr("concat('w:', page_id) AS rule_id", "url AS pattern")
+    classes = spark.range(1).selectExpr("explode(array('0-4', '!0-9', 'a-f')) AS v").selectExpr(
+        "concat('c:', v) AS rule_id", "concat('*[', v, ']') AS pattern"
+    )
+    rules = (
+        made("b", "substr(url, 1, 18)", "concat(v, '*')")
+        .union(made("e", "right(url, 5)", "concat('*', v)"))
+        .union(made("m", "substr(url, 10, 5)", "concat('*', v, '?*')"))
+        .union(whole)
+        .union(classes)
+        .select(
+            "rule_id",
+            F.array("pattern").alias("path_patterns"),
+            F.lit(True).alias("required_review"),
+            F.when(F.col("rule_id").startswith("b:"), "tooling_only").otherwise("nowhere").alias("allowed_scope"),
+            F.lit("web").alias("owner_hint"),
+        )
+    )
+    distinct = pages.select("url").distinct()
+    found = rule_scan(distinct, rules, "url", runtime_prefixes=("http://m.",))
+    return (
+        found.join(pages, found["path"] == pages["url"])
+        .select("page_id", "rule_id", "classification")
+        .distinct()
+    )
+
+
 @catalog.add(
     "path_scan_summary",
     PATHS_SQL

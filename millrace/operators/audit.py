@@ -321,7 +321,8 @@ class ContextRules:
     )
 
 
-def _any_of(value: Column, options: Sequence[str], test: str) -> Column:
+def any_of(value: Column, options: Sequence[str], test: str) -> Column:
+    """Whether a test of the column, such as ``contains``, holds for one of the options."""
     hit = F.lit(False)
     for option in options:
         hit = hit | getattr(value, test)(option)
@@ -338,18 +339,18 @@ def context_kind(path: Column, rules: ContextRules) -> Column:
     in_source = path.startswith(rules.package_prefix) & path.contains(rules.source_folder)
     return (
         F.when(
-            _any_of(name, rules.boundary_names, "eqNullSafe")
-            | _any_of(path, rules.boundary_prefixes, "startswith"),
+            any_of(name, rules.boundary_names, "eqNullSafe")
+            | any_of(path, rules.boundary_prefixes, "startswith"),
             "boundary_doc",
         )
-        .when(_any_of(path, rules.doc_prefixes, "startswith"), "historical_doc")
+        .when(any_of(path, rules.doc_prefixes, "startswith"), "historical_doc")
         .when(
-            _any_of(name, rules.tooling_names, "eqNullSafe")
-            | _any_of(path, rules.tooling_prefixes, "startswith"),
+            any_of(name, rules.tooling_names, "eqNullSafe")
+            | any_of(path, rules.tooling_prefixes, "startswith"),
             "tooling",
         )
         .when(inside(rules.fixture_folders), "test_fixture")
-        .when(_any_of(path, rules.core_prefixes, "startswith"), "core_contract")
+        .when(any_of(path, rules.core_prefixes, "startswith"), "core_contract")
         .when(in_source & inside(rules.connector_folders), "connector")
         .when(in_source, "runtime")
         .otherwise("other")
@@ -394,9 +395,9 @@ def denylist_scan(
     def wording(lowered: Column) -> Column:
         """What a line says that matters to its neighbours; no marker spans lines."""
         excuses = [
-            _any_of(lowered, options, "contains").alias(name) for name, options in excused.items()
+            any_of(lowered, options, "contains").alias(name) for name, options in excused.items()
         ]
-        negative = _any_of(lowered, NEGATIVE_MARKERS, "contains")
+        negative = any_of(lowered, NEGATIVE_MARKERS, "contains")
         return F.struct(negative.alias("negative"), *excuses)
 
     def line_hits(lowered: Column, i: Column) -> Column:
@@ -448,6 +449,11 @@ def denylist_scan(
     hits = found_in.select(
         F.col(path).alias("path"), "context_kind", F.explode("__hits").alias("h")
     ).filter(~F.col("h.excused"))
+    return classified_hits(hits, owners)
+
+
+def classified_hits(hits: DataFrame, owners: Mapping[str, str]) -> DataFrame:
+    """Rows of a scan from ``path``, ``context_kind`` and ``h``, a hit and what stands near it."""
     kind = F.col("context_kind")
     blocked = F.lit(False)
     for name, contexts in BLOCKED_CONTEXTS.items():
@@ -571,8 +577,8 @@ def import_scan(
                     t["rule_id"].alias("rule_id"),
                     t["severity"].alias("severity"),
                     t["reason"].alias("reason"),
-                    _any_of(lowered, IMPORT_MARKERS, "contains").alias("imports"),
-                    _any_of(lowered, BOUNDARY_NOTES, "contains").alias("note"),
+                    any_of(lowered, IMPORT_MARKERS, "contains").alias("imports"),
+                    any_of(lowered, BOUNDARY_NOTES, "contains").alias("note"),
                     F.trim(F.get(F.col("__lines"), i)).alias("text"),
                 ),
             ),
@@ -636,7 +642,7 @@ def path_rule_scan(
 ) -> DataFrame:
     """One row per path and matching rule, with its class and owner."""
     where = F.col(path)
-    in_runtime = _any_of(where, runtime_prefixes, "startswith")
+    in_runtime = any_of(where, runtime_prefixes, "startswith")
 
     def verdict(r: PathRule) -> Column:
         allowed = r.allowed_scope in ("boundary_docs_only", "tooling_only")
