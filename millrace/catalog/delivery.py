@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,9 @@ from millrace.operators.failures import (
     is_retryable,
     run_outcomes,
 )
+from millrace.operators.merge import merge_rows, merged_rows
 from millrace.operators.receipts import fanout, receipt_details, receipt_summary
+from millrace.session import results_folder
 
 catalog = Catalog()
 
@@ -107,6 +111,29 @@ def upserts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@catalog.add(
+    "merge_rows",
+    f"""WITH n AS (SELECT * FROM (SELECT delivery_identity AS identity_key, sha256, run_id, payload_json,
+  delivered AS delivered_at_utc, row_number() OVER (PARTITION BY delivery_identity
+   ORDER BY delivered DESC, payload_json DESC) AS rn FROM ({PAYLOADS_SQL})) WHERE rn = 1),
+ o AS ({_EXISTING_SQL})
+SELECT coalesce(n.identity_key, o.identity_key) AS identity_key,
+ coalesce(n.run_id, o.run_id) AS run_id, coalesce(n.payload_json, o.payload_json) AS payload_json,
+ coalesce(n.delivered_at_utc, o.delivered_at_utc) AS delivered_at_utc
+FROM n FULL JOIN o ON n.identity_key = o.identity_key""",
+)
+def merges(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored table after two upserts, of which the second is run twice."""
+    place = f"{results_folder(spark)}/merged-{uuid.uuid4().hex}"
+    incoming = table_rows(order_payloads(spark, folder), F.col("delivered"))
+    merge_rows(spark, place, _existing_rows(spark, folder).select(*incoming.columns))
+    for _ in range(2):
+        merge_rows(spark, place, incoming)
+    return merged_rows(spark, place).select(
+        "identity_key", "run_id", "payload_json", "delivered_at_utc"
+    )
+
+
 @catalog.add(
     "append_rows",
     f"""SELECT identity_key, sha256, run_id, 1 AS schema_version, payload_json, delivered_at_utc

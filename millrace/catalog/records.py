@@ -9,6 +9,7 @@ from millrace.catalog.base import Catalog, pick, sql_pick, table
 from millrace.catalog.fixtures import event_offsets
 from millrace.functions import identity
 from millrace.functions import jsontext as J
+from millrace.operators.ancestry import checkpoint_ancestry
 from millrace.operators.checkpoints import (
     build_checkpoints,
     checkpoint_compat,
@@ -668,6 +669,41 @@ def lineage(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Runs of 16 events; three of four are resumed inside the run before, the fourth begins a
+# chain, is resumed from that of another chain, from one that is gone, or from its own end.
+_RUNS_SQL = """SELECT 'k' || event_id AS key, CASE WHEN event_id % 16 <> 0 THEN 'k' || (event_id - 1)
+ WHEN event_id % 64 <> 0 OR (event_id // 64) % 5 IN (1, 2) THEN 'k' || (event_id - 10)
+ WHEN (event_id // 64) % 5 = 3 THEN 'gone' WHEN (event_id // 64) % 5 = 4 THEN 'k' || (event_id + 15) END AS up
+FROM events"""
+
+
+@catalog.add(
+    "checkpoint_ancestry",
+    f"""WITH RECURSIVE e AS ({_RUNS_SQL}),
+ c AS (SELECT key, key AS root, 0 AS depth, CASE WHEN up IS NULL THEN 'whole' ELSE 'broken' END AS ancestry
+  FROM e WHERE up IS NULL OR up NOT IN (SELECT key FROM e)
+  UNION ALL SELECT e.key, c.root, c.depth + 1, c.ancestry FROM c JOIN e ON e.up = c.key)
+SELECT e.key AS checkpoint_identity_key, c.root, CAST(c.depth AS BIGINT) AS depth,
+ coalesce(c.ancestry, 'cycle') AS ancestry FROM e LEFT JOIN c ON c.key = e.key""",
+)
+def ancestry(spark: SparkSession, folder: str) -> DataFrame:
+    """Roots of the events' checkpoints, whose runs are resumed from one another."""
+    at, block = F.col("event_id"), F.floor(F.col("event_id") / 64) % 5
+    key = F.concat(F.lit("k"), at)
+    resumed = (
+        F.when(at % 16 != 0, F.lit(None))
+        .when((at % 64 != 0) | block.isin(1, 2), F.concat(F.lit("k"), at - 10))
+        .when(block == 3, "gone")
+        .when(block == 4, F.concat(F.lit("k"), at + 15))
+    )
+    entries = table(spark, folder, "events").select(
+        key.alias("checkpoint_identity_key"),
+        F.when(at % 16 != 0, F.concat(F.lit("k"), at - 1)).alias("parent_checkpoint_identity_key"),
+        resumed.alias("resumed_from_checkpoint_identity_key"),
+    )
+    return checkpoint_ancestry(entries)
+
+
 _ENTRY = '{"checkpoint_index":~,"checkpoint_identity_key":"c~","progress":{"cursor":"~"}}'
 _GOOD = (
     '{"schema_version":1,"flow_kind":"it","stream":null,"task_identity_key":"t",'
