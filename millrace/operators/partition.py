@@ -22,7 +22,10 @@ END_MARK = r"[.!?:;,…]$"
 
 # A reference that is no Unicode character is shown as this one.
 _REPLACEMENT = "\ufffd"
-_REFERENCE = r"&(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
+# Names that stand for a character without a semicolon behind them too, longest first.
+_BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+_BARE = f"&(?:{'|'.join(_BARE_NAMES)})"
+_REFERENCE = rf"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[A-Za-z][A-Za-z0-9]*;)|{_BARE}"
 
 _TITLE = "\ue001"
 _ITEM = "\ue002"
@@ -56,23 +59,41 @@ def text_elements(text: Column) -> Column:
 
 @cache
 def _named_references() -> list[Column]:
-    """Names (``&name;``) and their characters, as the HTML standard lists them."""
-    return [F.lit(x) for name, text in html5.items() if name.endswith(";") for x in (f"&{name}", text)]
+    """Names (``&name;`` or ``&name``) and their characters, as the HTML standard lists them."""
+    return [F.lit(x) for name, text in html5.items() for x in (f"&{name}", text)]
+
+
+@cache
+def _remapped_numbers() -> list[Column]:
+    """Numbers of C1 controls that stand for the character of a Windows code page."""
+    pairs = ((b, bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0))
+    return [F.lit(x) for number, text in pairs if text for x in (number, text)]
 
 
 def _character(reference: Column) -> Column:
-    """What one character reference stands for; an unknown name stays as it is."""
-    digits = F.regexp_extract(reference, "^&#[xX]?0*([0-9A-Fa-f]*);$", 1)
+    """What one character reference stands for.
+
+    Of an unknown name the longest begin that needs no semicolon counts; else it stays.
+    """
+    digits = F.regexp_extract(reference, "^&#[xX]?0*([0-9A-Fa-f]*);?$", 1)
     base_16 = reference.rlike("^&#[xX]")
     short = F.when(F.length(digits) <= 8, digits)
     point = F.when(base_16, F.conv(short, 16, 10)).otherwise(short).try_cast("long")
     valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
     character = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    remapped = F.try_element_at(F.create_map(*_remapped_numbers()), point.cast("int"))
+    names = F.create_map(*_named_references())
+    begin = F.regexp_extract(reference, f"^{_BARE}", 0)
+    rest = F.substring(reference, F.length(begin) + 1, F.length(reference))
     return F.when(
         reference.startswith("&#"),
-        F.when(valid, character).otherwise(_REPLACEMENT),
+        F.when(valid, F.coalesce(remapped, character)).otherwise(_REPLACEMENT),
     ).otherwise(
-        F.coalesce(F.try_element_at(F.create_map(*_named_references()), reference), reference)
+        F.coalesce(
+            F.try_element_at(names, reference),
+            F.concat(F.try_element_at(names, begin), rest),
+            reference,
+        )
     )
 
 
@@ -153,7 +174,8 @@ def md_elements(text: Column) -> Column:
 
     def prose(piece: Column) -> Column:
         spaced = F.regexp_replace(piece, r"(?m)^( {0,3}#{1,6}\s.*)$", "\n$1\n")
-        spaced = F.regexp_replace(spaced, r"(?m)^(\s*(?:[-*+]|\d+[.)])\s+\S.*)$", "\n$1\n")
+        # Lines behind an item up to a blank one belong to it.
+        spaced = F.regexp_replace(spaced, r"(?m)^(\s*(?:[-*+]|\d+[.)])\s+\S.*)$", "\n$1")
         blocks = F.transform(
             F.split(spaced, r"\n\s*\n"),
             lambda b: F.regexp_replace(b, r"^\s+|\s+$", ""),
@@ -171,7 +193,8 @@ def md_elements(text: Column) -> Column:
             .when(
                 b.rlike(item),
                 F.struct(
-                    F.lit("ListItem").alias("type"), F.regexp_replace(b, item, "").alias("text")
+                    F.lit("ListItem").alias("type"),
+                    F.regexp_replace(F.regexp_replace(b, item, ""), r"\s*\n\s*", " ").alias("text"),
                 ),
             )
             .when(
