@@ -219,8 +219,8 @@ def scan_licenses(
     )
     document = ["id", "text_hash", "n_words"]
     voted = (
-        hits.repartition(*document)
-        .groupBy(*document, "template", "diagonal")
+        # Votes are put together where they are found, so repeated rows are few behind it.
+        hits.groupBy(*document, "template", "diagonal")
         .agg(F.collect_set("place").alias("voters"), F.count("*").alias("rows"))
     )
     pair_count = F.array(*[F.lit(len(t.words) - 1) for t in templates])

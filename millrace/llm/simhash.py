@@ -4,10 +4,12 @@ A fingerprint is the bitwise majority of the XXH64 hashes of a text's word
 shingles.  Texts whose fingerprints differ in few bits are linked, and linked
 texts form a component.
 
-Search.  Equal fingerprints are one node.  Two fingerprints that differ in at most
-``radius`` of 64 bits agree in at least one of ``radius + 1`` bands of bits, so the
-fingerprints that agree in a band form a *shard* and every link lies inside a
-shard.  Each shard gets a BK-tree: children hang under their integer Hamming
+Search.  Equal fingerprints are one node.  The bits are cut into blocks, more than
+``radius`` of them; two fingerprints that differ in at most ``radius`` bits agree in all
+blocks but ``radius`` at least.  So the fingerprints that agree in a *band*, a choice of that
+many blocks, form a *shard*, and every link lies inside a shard.  The more fingerprints there
+are, the more blocks are taken (``block_count``): a band then has more bits, and shards stay
+small.  Each shard gets a BK-tree: children hang under their integer Hamming
 distance to the parent, and a search follows only the edges within the radius of
 its own distance.  The shuffle brings a shard's tree and its searches together;
 collecting the trees for a broadcast would pass all fingerprints through the
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations, pairwise
 
 import numpy as np
 import pandas as pd
@@ -213,21 +216,39 @@ def _shard_links(frames: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.Dat
     yield flush()
 
 
+def block_count(nodes: int, radius: int, shard_limit: int) -> int:
+    """Blocks of bits: as few as make shards of evenly spread fingerprints fit the limit.
+
+    With a radius of three: four blocks (4 bands of 16 bits) up to some 10**8 fingerprints,
+    five (10 bands of 25 bits) up to 10**11, six (20 bands of 32 bits) up to 10**13.
+    """
+    blocks = radius + 1
+    while blocks < 2 * radius and nodes > shard_limit << (BITS * (blocks - radius) // blocks):
+        blocks += 1
+    return blocks
+
+
+def band_masks(blocks: int, radius: int) -> list[int]:
+    """The bits of each choice of ``blocks - radius`` blocks, as signed 64-bit numbers."""
+    bounds = [BITS * i // blocks for i in range(blocks + 1)]
+    own = [(1 << high) - (1 << low) for low, high in pairwise(bounds)]
+    masks = [sum(chosen) for chosen in combinations(own, blocks - radius)]
+    return [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+
+
 def links(nodes: DataFrame, radius: int = 3, shard_limit: int = 4096) -> DataFrame:
     """Links (``a``, ``b``) that span everything within ``radius`` bits.
 
     ``nodes`` has the distinct fingerprints in ``fp``.  No link between different
     components is lost; links inside a component need not all be named.
     """
-    bands = radius + 1
-    width = [BITS // bands + (i < BITS % bands) for i in range(bands)]
-    keys, low = [], 0
-    for number, bits in enumerate(width):
-        value = F.shiftright("fp", low) if low else F.col("fp")
-        if low + bits < BITS or low:
-            value = value.bitwiseAND(F.lit((1 << bits) - 1 if bits < 63 else -1))
-        keys.append(F.struct(F.lit(number).alias("band"), value.alias("value")))
-        low += bits
+    blocks = block_count(nodes.count(), radius, shard_limit)
+    keys = [
+        F.struct(
+            F.lit(number).alias("band"), F.col("fp").bitwiseAND(F.lit(mask)).alias("value")
+        )
+        for number, mask in enumerate(band_masks(blocks, radius))
+    ]
     banded = nodes.select("fp", F.inline(F.array(*keys)))
     shards = banded.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
     parts = F.ceil(F.col("n") / F.lit(shard_limit)).cast("int")

@@ -13,6 +13,8 @@ from millrace.llm.components import connect
 from millrace.llm.simhash import (
     BKTree,
     _block_fingerprints,
+    band_masks,
+    block_count,
     drop_near_duplicates,
     links,
     near_duplicates,
@@ -71,9 +73,25 @@ def test_tree_finds_all_in_the_radius():
         assert near == sorted(v for v in values if (v ^ value).bit_count() <= 2)
 
 
-@pytest.mark.parametrize("limit", [3, 4096])
-def test_links_join_what_is_near(spark, limit):
-    """Also where shards are cut into parts of a few fingerprints."""
+def test_blocks_grow_with_the_fingerprints():
+    assert [block_count(n, 3, 4096) for n in (0, 10**8, 10**10, 10**12)] == [4, 4, 5, 6]
+    rng = random.Random(3)
+    for blocks, bands in ((4, 4), (5, 10), (6, 20)):
+        masks = band_masks(blocks, 3)
+        assert len(masks) == len(set(masks)) == bands
+        assert min((m & (2**64 - 1)).bit_count() for m in masks) >= 64 * (blocks - 3) // blocks - 3
+        for _ in range(300):
+            a = b = rng.getrandbits(64)
+            for _ in range(3):
+                b ^= 1 << rng.randrange(64)
+            assert any((a & m) == (b & m) for m in masks)
+
+
+@pytest.mark.parametrize(("limit", "blocks"), [(3, None), (4096, None), (4096, 5), (5, 6)])
+def test_links_join_what_is_near(spark, limit, blocks, monkeypatch):
+    """Also where shards are cut into parts of a few fingerprints, and with more blocks."""
+    if blocks:
+        monkeypatch.setattr("millrace.llm.simhash.block_count", lambda *_: blocks)
     rng = random.Random(6)
     seeds = [rng.getrandbits(64) for _ in range(40)] + [0, (1 << 64) - 1]
     values = set(seeds)
