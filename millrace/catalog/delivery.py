@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import Catalog, pick, sql_pick, table
+from millrace.catalog.documents import LINES_SQL
 from millrace.catalog.fixtures import (
     ATTEMPTS_SQL,
     RECEIPTS_SQL,
@@ -38,6 +39,7 @@ from millrace.operators.failures import (
     run_outcomes,
 )
 from millrace.operators.merge import merge_rows, merged_rows
+from millrace.operators.partition import text_elements
 from millrace.operators.receipts import fanout, receipt_details, receipt_summary
 from millrace.session import results_folder
 
@@ -198,7 +200,14 @@ _STORED = (
     ("missing", None, None),
     ("available", 0, ""),
 )
-ELEMENT_TEXTS = ("[1,2]", "[]", "{}", None, "[")
+BAD_ELEMENTS = ("{}", None, "[")
+
+
+def element_texts() -> Column:
+    """Stored elements: the document's own, none, no list, missing, malformed."""
+    form = F.col("n_chars") % 5
+    own = F.to_json(text_elements(F.col("text")))
+    return F.when(form == 0, own).when(form == 1, "[]").otherwise(pick(BAD_ELEMENTS, form - 2))
 
 
 @catalog.add(
@@ -211,18 +220,19 @@ ELEMENT_TEXTS = ("[1,2]", "[]", "{}", None, "[")
   WHEN elements_count IS NOT NULL THEN 'elements_count_only_v1'
   ELSE 'artifact_reference_only_v1' END AS evidence_kind
 FROM (SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN length(text) END AS normalized_text_len,
- {sql_pick((2, 0, None, None, None), 'n_chars % 5')} AS elements_count,
+ CASE WHEN n_chars % 5 = 0 THEN coalesce(n, 0) WHEN n_chars % 5 = 1 THEN 0 END AS elements_count,
  CASE WHEN doc_id % 5 > 0 THEN {sql_pick([s[0] for s in _STORED], 'doc_id % 6')} END AS records_status,
  CASE WHEN doc_id % 5 > 0 THEN {sql_pick([s[1] for s in _STORED], 'doc_id % 6')} END AS records_count,
  CASE WHEN doc_id % 5 > 0 THEN {sql_pick([s[2] for s in _STORED], 'doc_id % 6')} END AS preview
-FROM documents)""",
+FROM documents LEFT JOIN (SELECT doc_id, CAST(count(*) AS INTEGER) AS n FROM ({LINES_SQL}) GROUP BY doc_id)
+ USING (doc_id))""",
 )
 def stored_evidence(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     stored = docs.select(
         "doc_id",
         F.when(F.col("doc_id") % 4 > 0, F.col("text")).alias("normalized_text"),
-        pick(ELEMENT_TEXTS, F.col("n_chars") % 5).alias("elements_json"),
+        element_texts().alias("elements_json"),
         pick(STORED_LINES, F.col("doc_id") % 6).alias("record_lines"),
         (F.col("doc_id") % 5 > 0).alias("is_records"),
     )

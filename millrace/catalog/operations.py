@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.catalog.base import Catalog, pick, sql_pick, table
+from millrace.catalog.delivery import element_texts
+from millrace.catalog.documents import LINES_SQL
 from millrace.catalog.fixtures import (
     DEAD_LETTERS_SQL,
     DOC_RESULTS_SQL,
@@ -567,19 +569,21 @@ LINE_FORMS = ('{"data":{"b":"x: y","a":1}}\n{"data":{}}', '{"data":[1]}', None,
     "replay_text",
     f"""SELECT doc_id, CASE WHEN has_text THEN CASE e WHEN 0 THEN text WHEN 1 THEN text END
   WHEN flow AND l = 0 THEN '{{"a": 1, "b": "x: y"}}' || chr(10) || '{{}}' END AS replay_text,
- CASE WHEN has_text THEN CASE e WHEN 0 THEN 2 WHEN 1 THEN 0 END WHEN flow AND l = 0 THEN 2 END AS replay_count,
+ CASE WHEN has_text THEN CASE e WHEN 0 THEN coalesce(n, 0) WHEN 1 THEN 0 END WHEN flow AND l = 0 THEN 2 END
+  AS replay_count,
  CASE WHEN has_text THEN CASE e WHEN 2 THEN 'invalid_elements_json' WHEN 3 THEN 'missing_elements_json'
    WHEN 4 THEN 'invalid_elements_json' END
   WHEN NOT flow THEN 'missing_normalized_txt' WHEN l = 2 THEN 'missing_records_jsonl'
   WHEN l <> 0 THEN 'invalid_records_jsonl' END AS reason
 FROM (SELECT doc_id, text, doc_id % 3 > 0 AS has_text, n_chars % 5 AS e, doc_id % 2 = 0 AS flow,
-  (doc_id // 6) % 4 AS l FROM documents)""",
+  (doc_id // 6) % 4 AS l, n FROM documents LEFT JOIN
+  (SELECT doc_id, CAST(count(*) AS INTEGER) AS n FROM ({LINES_SQL}) GROUP BY doc_id) USING (doc_id))""",
 )
 def replay_texts(spark: SparkSession, folder: str) -> DataFrame:
     stored = table(spark, folder, "documents").select(
         "doc_id",
         F.when(F.col("doc_id") % 3 > 0, F.col("text")).alias("normalized_text"),
-        pick(("[1,2]", "[]", "{}", None, "["), F.col("n_chars") % 5).alias("elements_json"),
+        element_texts().alias("elements_json"),
         pick(LINE_FORMS, F.floor(F.col("doc_id") / 6) % 4).alias("record_lines"),
         (F.col("doc_id") % 2 == 0).alias("is_records"),
     )
