@@ -37,14 +37,10 @@ COUNTED_SHARE = 16
 _TERM_FIELDS = ("term", "category", "severity", "reason", "blocked_in")
 
 
-def grams(text: Column, size: Column | int) -> Column:
-    """The different substrings of ``size`` characters."""
-    size = F.lit(size) if isinstance(size, int) else size
-    places = F.sequence(F.lit(1), F.length(text) - size + 1)
-    return F.when(
-        F.length(text) >= size,
-        F.array_distinct(F.transform(places, lambda i: F.substring(text, i, size))),
-    ).otherwise(F.array().cast("array<string>"))
+def grams(text: Column, size: int) -> Column:
+    """The different substrings of ``size`` characters, found in one pass over the text."""
+    found = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+    return F.array_distinct(found)
 
 
 def _lines(docs: DataFrame, path: str, text: str) -> DataFrame:
@@ -60,8 +56,9 @@ def _term_keys(terms: DataFrame, lines: DataFrame) -> DataFrame:
 
     A term shorter than a q-gram is its own key.
     """
-    size = F.least(F.length("needle"), F.lit(GRAM))
-    own = terms.select("needle").distinct().select("needle", F.explode(grams(F.col("needle"), size)).alias("key"))
+    needle = F.col("needle")
+    parts = F.when(F.length(needle) >= GRAM, grams(needle, GRAM)).otherwise(F.array(needle))
+    own = terms.select("needle").distinct().select("needle", F.explode(parts).alias("key"))
     drawn = lines.filter(F.pmod(F.xxhash64("path"), F.lit(COUNTED_SHARE)) == 0)
     counts = (
         drawn.select(F.explode(grams(F.col("lowered"), GRAM)).alias("key"))
