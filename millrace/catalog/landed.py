@@ -51,14 +51,15 @@ PAGE_IDS = 100
 
 def document_pages(spark: SparkSession, folder: str) -> DataFrame:
     """A language is a source; a page holds its documents of up to a hundred ids in a row."""
-    docs = table(spark, folder, "documents")
-    listed = docs.groupBy(
+    docs = table(spark, folder, "documents").select(
         F.coalesce("lang", F.lit("none")).alias("source"),
         F.floor(F.col("doc_id") / PAGE_IDS).alias("block"),
-    ).agg(F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("records"))
-    blocks = stored(listed.withColumn("one", F.lit(1)))
+        "doc_id",
+        "text",
+    )
+    # Pages are numbered by their names alone; texts are moved once.
     numbered = ordering.sum_before(
-        blocks.drop("records"),
+        docs.select("source", "block").distinct().withColumn("one", F.lit(1)),
         ["source"],
         ["block"],
         "one",
@@ -66,11 +67,14 @@ def document_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.floor(F.col("block") / 1024),
         totals={"pages": "one"},
     )
+    blocks = docs.groupBy("source", "block").agg(
+        F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("records")
+    )
     name = F.concat(F.lit("after "), "source", F.lit("/"))
     asked = F.when(F.col("before") > 0, F.concat(name, F.col("before").cast("string")))
     number = F.col("before") + 1
     following = F.when(number < F.col("pages"), F.concat(name, number.cast("string")))
-    return numbered.join(blocks.select("source", "block", "records"), ["source", "block"]).select(
+    return blocks.join(numbered, ["source", "block"]).select(
         page_key(F.col("source"), number, asked).alias("object_key"),
         number.alias("page_number"),
         "pages",

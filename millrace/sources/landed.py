@@ -240,16 +240,5 @@ def paged_tables(pages: DataFrame, source_url: Column, stream: Column) -> Record
 
     A page with a problem rejects its whole source; the first problem of a source is its error.
     """
-    faults = pages.filter(F.col("problem").isNotNull()).groupBy("source").agg(
-        F.min(F.struct("page_number", "problem")).alias("f")
-    ).select("source", "f.page_number", "f.problem")
-    good = pages.join(faults.select("source"), "source", "left_anti").select(
-        "source", "page_number", source_url.alias("source_url"), stream.alias("stream"), "body"
-    )
-    read = read_paged(good, ["source"])
-    return RecordTables(
-        records=read.records,
-        states=read.states,
-        logs=read.logs,
-        errors=read.errors.unionByName(faults),
-    )
+    named = pages.withColumns({"source_url": source_url, "stream": stream})
+    return read_paged(named, ["source"], fault="problem")

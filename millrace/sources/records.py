@@ -224,18 +224,21 @@ def read_paged(
     page_number: str = "page_number",
     source_url: str = "source_url",
     stream: str = "stream",
+    fault: str | None = None,
 ) -> RecordTables:
     """Read landed page responses ``{"records": [..], "next_cursor": ..}``.
 
     ``keys`` name one source, whose pages are numbered from 1.  Records carry no
     emit time.  Every page but the last leaves a state.  Any rejected page
-    rejects its whole source.
+    rejects its whole source.  ``fault`` names a column with the problem that a page came
+    with (null for none); it goes before those of its body.
     """
     at = [*keys, stream]
+    faults = [] if fault is None else [fault]
     listed = (
         evaluate_once(
             pages,
-            [*at, page_number, source_url, body],
+            [*at, page_number, source_url, body, *faults],
             {"__b": J.document(F.col(body), ["records"], ["next_cursor"])},
         )
         .withColumn("__items", F.col("__b.records"))
@@ -254,6 +257,8 @@ def read_paged(
             "next_cursor_not_a_filled_string",
         )
     )
+    if fault is not None:
+        problem = F.coalesce(F.col(fault), problem)
     # Bodies are parsed once; what follows reads only the columns it needs.
     parsed = stored(
         evaluate_once(
