@@ -33,7 +33,7 @@ _LISTED = pa.schema(
         ("size", pa.int64()),
         ("sha256", pa.string()),
         ("attempt", pa.string()),
-        ("place", pa.string()),
+        ("number", pa.int64()),
     ]
 )
 RECEIPTS = "object_key string, size long, sha256 string, `write` string"
@@ -77,7 +77,7 @@ class _Writer(DataSourceArrowWriter):
                     name = f"{objects}/{count:09d}"
                     storage.put(files, name, data)
                     digest = hashlib.sha256(data).hexdigest()
-                    rows.append((check_key(key.as_py()), len(data), digest, attempt, name))
+                    rows.append((check_key(key.as_py()), len(data), digest, attempt, count))
                     count += 1
                 columns = list(zip(*rows, strict=True)) or [[] for _ in _LISTED]
                 writer.write_table(
@@ -147,20 +147,20 @@ def publish_objects(spark: SparkSession, folder: str, write: str) -> DataFrame:
     committed = spark.createDataFrame([(a,) for a in attempts], "attempt string")
     lists = f"{folder.rstrip('/')}/{STAGED}/{write}/lists"
     listed = spark.read.schema(
-        "object_key string, size long, sha256 string, attempt string, place string"
+        "object_key string, size long, sha256 string, attempt string, number long"
     ).parquet(lists)
     ours = listed.join(committed, "attempt", "left_semi")
     winners = ours.groupBy("object_key").agg(
-        F.max(F.struct("sha256", "place", "size")).alias("w")
-    ).select("object_key", "w.size", "w.sha256", "w.place")
+        F.max(F.struct("sha256", "attempt", "number", "size")).alias("w")
+    ).select("object_key", "w.size", "w.sha256", "w.attempt", "w.number")
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = storage.opened(folder)
         made = None
         for batch in batches:
-            rows = batch.to_pydict()
-            for key, staged in zip(rows["object_key"], rows["place"], strict=True):
-                target = f"{root}/{key}"
+            for row in batch.to_pylist():
+                staged = f"{root}/{STAGED}/{write}/objects/{row['attempt']}/{row['number']:09d}"
+                target = f"{root}/{row['object_key']}"
                 parent = target.rpartition("/")[0]
                 if parent != made:
                     files.create_dir(parent, recursive=True)
