@@ -14,7 +14,7 @@ from millrace.catalog.base import Catalog, table
 from millrace.catalog.documents import ingested_sql
 from millrace.catalog.fixtures import DESTINATIONS
 from millrace.operators.sinks import read_artifacts
-from millrace.session import results_folder
+from millrace.session import file_system, results_folder
 from millrace.streaming.evidence import stream_evidence
 from millrace.streaming.fanout import STATE_STORE, stream_fanout
 from millrace.streaming.intake import stream_dedup, stream_dlq, stream_documents, stream_offsets
@@ -23,11 +23,14 @@ catalog = Catalog()
 
 
 def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return (
-        spark.readStream.schema(table(spark, folder, name).schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(folder)
-    )
+    """A table as a stream of its files; it is one file or a folder of them."""
+    place = f"{folder.rstrip('/')}/{name}.parquet"
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
+    files, path = file_system(spark, place)
+    if files.getFileStatus(path).isDirectory():
+        return reader.parquet(place)
+    # A stream reads folders only.
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
 def scratch(spark: SparkSession) -> str:

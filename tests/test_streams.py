@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.catalog.streams import stream_of
 from millrace.operators.audit import verify_evidence
 from millrace.operators.receipts import fanout
 from millrace.streaming.evidence import stream_evidence
@@ -145,3 +146,18 @@ def test_state_is_dropped(spark, tmp_path):
     query.awaitTermination()
     kept = [op["numRowsTotal"] for op in query.lastProgress["stateOperators"]]
     assert kept and max(kept) <= 2
+
+
+def test_a_table_streams_as_one_file_or_as_a_folder_of_files(spark, tmp_path):
+    rows = spark.range(10).select("id", F.concat(F.lit("t"), "id").alias("text"))
+    for form, parts in (("file", 1), ("folder", 3)):
+        folder = tmp_path / form
+        rows.repartition(parts).write.parquet(str(folder / "documents.parquet"))
+        if parts == 1:  # as a single file
+            (part,) = (folder / "documents.parquet").glob("part-*.parquet")
+            folder = tmp_path / "single"
+            folder.mkdir()
+            (folder / "documents.parquet").write_bytes(part.read_bytes())
+        out = tmp_path / f"{form}-out"
+        run(stream_of(spark, str(folder), "documents"), out, tmp_path / f"{form}-cp")
+        assert sorted(r.id for r in spark.read.parquet(str(out)).collect()) == list(range(10))
