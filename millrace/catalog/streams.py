@@ -14,7 +14,7 @@ from millrace.catalog.base import Catalog, table
 from millrace.catalog.documents import ingested_sql
 from millrace.catalog.fixtures import DESTINATIONS
 from millrace.operators.sinks import read_artifacts
-from millrace.session import file_system, results_folder
+from millrace.session import file_system, results_folder, stored
 from millrace.streaming.evidence import stream_evidence
 from millrace.streaming.fanout import STATE_STORE, stream_fanout
 from millrace.streaming.intake import stream_dedup, stream_dlq, stream_documents, stream_offsets
@@ -151,7 +151,7 @@ def parents(spark: SparkSession, folder: str) -> DataFrame:
     lines = items.groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_partkey").alias("l_partkey"), F.min("l_suppkey").alias("l_suppkey")
     )
-    children = lines.selectExpr(
+    children = stored(lines.selectExpr(
         "l_orderkey",
         "CAST(l_linenumber AS STRING) AS destination",
         "l_partkey % 3 > 0 AS ok",
@@ -161,7 +161,7 @@ def parents(spark: SparkSession, folder: str) -> DataFrame:
         "CAST(NULL AS STRING) AS error_code",
         "CAST(1 + l_orderkey % 7 AS INT) AS expected",
         "timestamp'2026-01-01 00:00:00' AS at",
-    )
+    ))
     clock = children.limit(1).selectExpr(
         "-1L AS l_orderkey", "destination", "ok", "attempts", "retryable", "failure_kind", "error_code",
         "1 AS expected", f"{_CLOCK} AS at",

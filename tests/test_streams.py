@@ -161,3 +161,37 @@ def test_a_table_streams_as_one_file_or_as_a_folder_of_files(spark, tmp_path):
         out = tmp_path / f"{form}-out"
         run(stream_of(spark, str(folder), "documents"), out, tmp_path / f"{form}-cp")
         assert sorted(r.id for r in spark.read.parquet(str(out)).collect()) == list(range(10))
+
+
+def test_deliveries_of_one_bucket_keep_apart(spark, tmp_path):
+    """Null and timestamp keys, different times to close, receipts over two batches."""
+    schema = CHILD.replace("doc string", "doc long, seen timestamp")
+    seen = datetime.datetime(2026, 1, 1, 0, 0, 0, 123456)
+    at = lambda minute: datetime.datetime(2026, 1, 1, minute // 60, minute % 60)
+    first, second, third = [], [], []
+    for doc in [None, *range(60)]:
+        n = -1 if doc is None else doc
+        for part, name in ((first, "a"), (second, "b")):
+            if name == "a" or n % 3:
+                details = (1 + n % 4, n % 2 == 0, "timeout", None)
+                part.append((doc, seen, name, n % 5 > 0, *details, 2, at(max(n, 0) if name == "a" else 60)))
+    third.append((100, seen, "a", True, None, None, None, None, 1, at(100)))
+    last = [(101, seen, "a", True, None, None, None, None, 1, at(600))]
+    source, out, progress = tmp_path / "in", tmp_path / "out", tmp_path / "cp"
+    for number, rows in enumerate((first, second, third, last)):
+        land(spark, source, number, rows, schema)
+        stream = stream_fanout(
+            read_stream(spark, source, schema), ["doc", "seen"], delay="2 hours", buckets=1
+        )
+        run(stream, out, progress)
+    rows = {r.doc: r for r in spark.read.parquet(str(out)).collect()}
+    assert spark.read.parquet(str(out)).count() == len(rows) == 63
+    assert {r.seen for r in rows.values()} == {seen}
+    children = spark.createDataFrame(first + second, schema)
+    for parent in fanout(children, ["doc", "seen"]).collect():
+        got = rows[parent.doc]
+        complete = parent.child_count == 2
+        assert got.status == ("complete" if complete else "timed_out")
+        assert got.ok == (parent.ok and complete)
+        for c in ("child_count", "failed_children", "attempts", "retryable", "failure_kind"):
+            assert got[c] == parent[c]
