@@ -24,31 +24,29 @@ def _place(spark: SparkSession) -> str:
     return f"{results_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
-FILE_ROWS = 5
+#: Tasks that write files; small rows cost a file each, so their bytes do not say how many.
+FILE_TASKS = 64
 
 
 @catalog.add(
     "scan_files",
-    f"""SELECT CAST(s_nationkey AS VARCHAR) AS folder, '.txt' AS extension,
- CAST(sum(strlen(s_name) + 1) AS BIGINT) AS size_bytes,
- sha256(string_agg(s_name || chr(10), '' ORDER BY s_suppkey)) AS sha256
-FROM (SELECT *, (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1) // {FILE_ROWS} AS file
- FROM supplier) GROUP BY s_nationkey, file""",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS folder, '.txt' AS extension,
+ CAST(sum(strlen(coalesce(s_name, '')) + 1) AS BIGINT) AS size_bytes,
+ sha256(string_agg(coalesce(s_name, '') || chr(10), '' ORDER BY s_name NULLS FIRST)) AS sha256
+FROM supplier GROUP BY s_nationkey, s_suppkey""",
 )
 def scanned(spark: SparkSession, folder: str) -> DataFrame:
-    """Files of five suppliers each, in a folder for each nation, are listed and hashed."""
+    """A file for each supplier, in its own folder below that of its nation, is listed and
+    hashed."""
     place = _place(spark)
     suppliers = table(spark, folder, "supplier").select(
-        F.col("s_nationkey").alias("nation"), "s_suppkey", "s_name"
+        F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("key"), "s_name"
     )
-    ordered = suppliers.repartition("nation").sortWithinPartitions("nation", "s_suppkey")
-    written = ordered.drop("s_suppkey").write.option("maxRecordsPerFile", str(FILE_ROWS))
-    written.partitionBy("nation").text(place)
+    ordered = suppliers.repartition(FILE_TASKS, "nation", "key").sortWithinPartitions("nation", "key", "s_name")
+    ordered.write.partitionBy("nation", "key").text(place)
+    key = F.regexp_extract("uri", "/key=(-?[0-9]+)/", 1)
     return scan_files(spark, place, with_sha=True).select(
-        F.regexp_extract("uri", "nation=([0-9]+)/", 1).alias("folder"),
-        "extension",
-        "size_bytes",
-        "sha256",
+        F.nullif(key, F.lit("")).alias("folder"), "extension", "size_bytes", "sha256"
     )
 
 

@@ -66,8 +66,9 @@ def object_filename(key: Column, mime: Column) -> Column:
 
 def wiki_filename(title: Column, page_id: Column) -> Column:
     dashed = F.regexp_replace(title, "[^A-Za-z0-9]+", "-")
-    short = F.lower(F.regexp_replace(dashed, "^-+|-+$", ""))
-    return F.when(short != "", F.concat(short, F.lit(".html"))).otherwise(
+    short = F.lower(F.btrim(dashed, F.lit("-")))
+    # Asked of the title, so the short name is made once.
+    return F.when(title.rlike("[A-Za-z0-9]"), F.concat(short, F.lit(".html"))).otherwise(
         F.concat(F.lit("confluence-page-"), page_id.cast("string"), F.lit(".html"))
     )
 

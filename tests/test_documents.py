@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.catalog.files import scanned
 from millrace.operators.audit import (
     ContextRules,
     Term,
@@ -18,7 +20,7 @@ from millrace.operators.partition import explode_elements, partition_documents
 from millrace.operators.routing import plan_intake
 from millrace.operators.sinks import read_artifacts, write_rows
 from millrace.operators.store import write_keyed
-from millrace.sources.fetched import fetched_metadata
+from millrace.sources.fetched import fetched_metadata, wiki_filename
 from millrace.sources.files import expand_braces, path_regex, scan_files
 from millrace.sources.specs import source_identity
 from millrace.sources.tabular import partition_tabular
@@ -341,3 +343,20 @@ def test_stream_dlq_and_dedup(spark, tmp_path):
     )
     query.awaitTermination()
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "first")).collect()) == ["a", "b"]
+
+
+def test_scan_files_query_lists_a_file_for_every_supplier(spark, tmp_path):
+    rows = [(n, None if n == 9 else f"S{n}", n % 3) for n in range(12)]
+    suppliers = spark.createDataFrame(rows, "s_suppkey long, s_name string, s_nationkey int")
+    suppliers.write.parquet(str(tmp_path / "supplier.parquet"))
+    got = {r.folder: r.sha256 for r in scanned(spark, str(tmp_path)).collect()}
+    texts = {str(key): f"{name or ''}\n" for key, name, _ in rows}
+    assert got == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in texts.items()}
+
+
+def test_wiki_filename_trims_dashes_at_both_ends_only(spark):
+    rows = [(1, "  Ab--C, d! "), (2, "...\n"), (3, ""), (4, None), (5, "É x")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = [r.f for r in df.select(wiki_filename(F.col("t"), F.col("id")).alias("f")).collect()]
+    page = "confluence-page-{}.html".format
+    assert got == ["ab-c-d.html", page(2), page(3), page(4), "x.html"]
