@@ -42,7 +42,9 @@ _SEPARATOR = rf'\G((?:[^",:]++|{_STRING})*+)([,:])'
 
 def _marked(text: Column) -> Column:
     floats = F.when(
-        text.rlike(_MAYBE_FLOAT), F.regexp_replace(text, _INTEGRAL_FLOAT, f'$1"{_MARK}$2"')
+        # The plain search comes first, as most texts hold no such number.
+        text.contains(".0") & text.rlike(_MAYBE_FLOAT),
+        F.regexp_replace(text, _INTEGRAL_FLOAT, f'$1"{_MARK}$2"'),
     ).otherwise(text)
     return F.when(
         floats.rlike(_MAYBE_LARGE),
