@@ -64,6 +64,33 @@ def test_bytes_that_are_no_text(vocabulary, library):
         decode_ids(np.array([10**6]), vocabulary)
 
 
+def test_short_words_merge_in_few_rounds(vocabulary, library, monkeypatch):
+    """Thousands of ranks occur, yet no more lookups than the longest word has bytes."""
+    rng = random.Random(5)
+    words = sorted({"".join(rng.choices("etaoinshrdlucmf", k=rng.randrange(1, 20))) for _ in range(20_000)})
+    looked_up = []
+    plain = np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *a, **k: looked_up.append(1) or plain(*a, **k))
+    got = encoded([" ".join(words)], vocabulary)
+    assert len(looked_up) < 64
+    monkeypatch.undo()
+    assert got == [library.encode(" ".join(words), add_special_tokens=False).ids]
+
+
+def test_words_of_all_lengths(vocabulary, library):
+    """Words around the length from which they are merged by rank, mixed with short ones."""
+    rng = random.Random(9)
+    sizes = [1, 2, 3, 5, 8, 62, 63, 64, 65, 66, 130, 400]
+    texts = [
+        "".join(rng.choices(letters, k=rng.choice(sizes)))
+        for letters in ("a", "ab", "etaoin", "!", "!-", "éß", "日本")
+        for _ in range(60)
+    ]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert encoded(texts, vocabulary) == want
+    assert encoded([" ".join(texts)], vocabulary) == [library.encode(" ".join(texts), add_special_tokens=False).ids]
+
+
 def test_rows(odd, library):
     docs = odd.withColumnRenamed("score", "n_tokens")
     rows = encode_texts(docs, PATH, ["doc_id", "n_tokens", "size"], decoded=True).collect()
