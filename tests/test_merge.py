@@ -6,6 +6,7 @@ import pytest
 
 from millrace.operators.ancestry import checkpoint_ancestry
 from millrace.operators.merge import merge_rows, merged_rows
+from millrace.session import stored
 
 SCHEMA = "identity_key string, value int, delivered_at_utc string"
 
@@ -90,3 +91,22 @@ def test_no_entries(spark):
         "resumed_from_checkpoint_identity_key string"
     )
     assert checkpoint_ancestry(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_rounds_of_ancestry_follow_the_longest_chain(spark, monkeypatch):
+    """Short cycles and what leads to them take few rounds, however many entries there are."""
+    entries = [(f"a{i}", None, None) for i in range(5000)]
+    for size in (1, 2, 3, 5, 8):
+        entries += [(f"s{size}-{i}", f"s{size}-{(i + 1) % size}", None) for i in range(size)]
+        # Keys that are less than all of the cycle lead to it, some from far away.
+        entries += [(f"b{size}-{i}", f"b{size}-{i - 1}" if i else f"s{size}-0", None) for i in range(9)]
+    written = []
+    monkeypatch.setattr("millrace.operators.ancestry.stored", lambda df: written.append(1) or stored(df))
+    schema = (
+        "checkpoint_identity_key string, parent_checkpoint_identity_key string, "
+        "resumed_from_checkpoint_identity_key string"
+    )
+    rows = checkpoint_ancestry(spark.createDataFrame(entries, schema)).collect()
+    got = {r.checkpoint_identity_key: (r.root, r.depth, r.ancestry) for r in rows}
+    assert len(rows) == len(got) and got == ancestry_by_hand(entries)
+    assert len(written) <= 11
