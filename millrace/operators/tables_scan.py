@@ -1,9 +1,12 @@
 """Scans whose terms and rules are tables.
 
-A list of thousands of terms cannot be an expression.  Here a term is found by one of its
-q-grams: the rarest of them is its key, lines are taken apart into their different q-grams,
-and an equi-join brings lines and terms together that share a key.  Only these pairs are
-compared.  Path rules are joined in the same way, by the literal begin or end of their
+A list of thousands of terms cannot be an expression.  Lines are taken apart into runs of
+letters and of signs.  A term stands on a line only if its longest run stands in a run of
+the line, so terms are looked for in the different runs of all lines, which are far fewer
+than the lines' own, and an equi-join of whole runs leads from there to the lines.  In a run
+a term is found by one of its q-grams: the rarest of them is its key, runs are taken apart
+into their different q-grams, and an equi-join brings runs and terms together that share a
+key.  Only these pairs are compared.  Path rules are joined in the same way, by the literal begin or end of their
 patterns or by a q-gram of a literal inside.  No plan grows with the number of terms or
 rules; a small table is broadcast by Spark's own size check, a large one is shuffled by key.
 """
@@ -31,9 +34,12 @@ from millrace.operators.audit import (
 from millrace.session import stored
 
 GRAM = 3
-#: One document in so many gives the q-gram counts by which keys are chosen.  They decide
+#: One run in so many gives the q-gram counts by which keys are chosen.  They decide
 #: only how many pairs are compared.
 COUNTED_SHARE = 16
+#: ASCII letters and digits and whatever is not ASCII; a line's other parts are signs.
+_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+_SIGNS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _TERM_FIELDS = ("term", "category", "severity", "reason", "blocked_in")
 
 
@@ -44,14 +50,23 @@ def grams(text: Column, size: int) -> Column:
 
 
 def _lines(docs: DataFrame, path: str, text: str) -> DataFrame:
-    """``path``, ``line`` (from 1) and ``lowered`` of every line."""
+    """``path``, ``copy``, ``line`` (from 1) and ``lowered`` of every line.
+
+    ``copy`` tells documents of one path apart."""
     lines = docs.select(
-        F.col(path).alias("path"), F.posexplode(textrules.lines_of(F.col(text))).alias("i", "l")
-    )
-    return lines.select("path", (F.col("i") + 1).alias("line"), F.lower("l").alias("lowered"))
+        F.col(path).alias("path"),
+        F.monotonically_increasing_id().alias("copy"),
+        F.col(text).alias("text"),
+    ).select("path", "copy", F.posexplode(textrules.lines_of(F.col("text"))).alias("i", "l"))
+    return lines.select("path", "copy", (F.col("i") + 1).alias("line"), F.lower("l").alias("lowered"))
+
 
+def _runs(text: Column, *others: str) -> Column:
+    """The different runs of a text between runs of what the patterns describe."""
+    return F.array_distinct(F.concat(*[F.split(text, p) for p in others]))
 
-def _term_keys(terms: DataFrame, lines: DataFrame) -> DataFrame:
+
+def _term_keys(terms: DataFrame, runs: DataFrame) -> DataFrame:
     """``needle`` and ``key``: the rarest q-gram of every term (of equals the smallest).
 
     A term shorter than a q-gram is its own key.
@@ -59,9 +74,9 @@ def _term_keys(terms: DataFrame, lines: DataFrame) -> DataFrame:
     needle = F.col("needle")
     parts = F.when(F.length(needle) >= GRAM, grams(needle, GRAM)).otherwise(F.array(needle))
     own = terms.select("needle").distinct().select("needle", F.explode(parts).alias("key"))
-    drawn = lines.filter(F.pmod(F.xxhash64("path"), F.lit(COUNTED_SHARE)) == 0)
+    drawn = runs.filter(F.pmod(F.xxhash64("run"), F.lit(COUNTED_SHARE)) == 0)
     counts = (
-        drawn.select(F.explode(grams(F.col("lowered"), GRAM)).alias("key"))
+        drawn.select(F.explode(grams(F.col("run"), GRAM)).alias("key"))
         .join(own.select("key").distinct(), "key", "left_semi")
         .groupBy("key")
         .agg(F.count("*").alias("n"))
@@ -74,6 +89,15 @@ def _term_keys(terms: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
+def _run_hits(runs: DataFrame, parts: DataFrame) -> DataFrame:
+    """``run`` and ``part``: which parts of terms stand in which runs."""
+    keys = stored(_term_keys(parts.select(F.col("part").alias("needle")), runs))
+    sizes = [r.n for r in keys.select(F.least(F.length("key"), F.lit(GRAM)).alias("n")).distinct().collect()]
+    offered = F.concat(*[grams(F.col("run"), n) for n in sorted(sizes)]) if sizes else F.array().cast("array<string>")
+    near = runs.select("run", F.explode(offered).alias("key")).join(keys, "key")
+    return near.filter(F.col("run").contains(F.col("needle"))).select("run", F.col("needle").alias("part"))
+
+
 def term_hits(
     docs: DataFrame, terms: DataFrame, path: str = "path", text: str = "text"
 ) -> DataFrame:
@@ -82,12 +106,43 @@ def term_hits(
     ``terms`` has ``term``.  Empty terms and null texts give nothing.
     """
     lines = _lines(docs, path, text)
-    needles = terms.select(F.lower("term").alias("needle")).filter("needle <> ''")
-    keys = stored(_term_keys(needles, lines))
-    short = [r.n for r in keys.select(F.length("key").alias("n")).distinct().collect() if r.n < GRAM]
-    parts = F.concat(*[grams(F.col("lowered"), n) for n in sorted([*short, GRAM])])
-    near = lines.select("path", "line", "lowered", F.explode(parts).alias("key")).join(keys, "key")
-    return near.filter(F.col("lowered").contains(F.col("needle"))).select("path", "line", "needle")
+    longest = F.sort_array(
+        F.transform(
+            _runs(F.col("needle"), _WORD, _SIGNS), lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))
+        ),
+        asc=False,
+    )[0]["r"]
+    needles = stored(
+        terms.select(F.lower("term").alias("needle"))
+        .filter("needle <> ''")
+        .distinct()
+        .withColumn("part", longest)
+        .withColumn("alone", F.col("part") == F.col("needle"))
+        .withColumn("signs", F.col("part").rlike(_SIGNS))
+    )
+    # At most two values each: whether signs are looked at, and whether lines have to be.
+    kinds = needles.select("alone", "signs").distinct().collect()
+    others = [_WORD if signs else _SIGNS for signs in sorted({k.signs for k in kinds})]
+    own = _runs(F.col("lowered"), *(others or [_SIGNS]))
+    runs = stored(lines.select(F.explode(own).alias("run")).distinct())
+    found = stored(_run_hits(runs, needles).join(needles, "part").select("run", "needle", "alone"))
+    # Several runs of a line may hold one term.
+    hits = (
+        lines.select("path", "copy", "line", F.explode(own).alias("run"))
+        .join(found, "run")
+        .select("path", "copy", "line", "needle", "alone")
+        .distinct()
+    )
+    if all(k.alone for k in kinds):
+        return hits.select("path", "line", "needle")
+    hits = stored(hits)
+    parted = hits.filter("NOT alone").select(
+        F.col("path").alias("__path"), F.col("line").alias("__line"), "needle"
+    ).distinct()
+    seen = lines.join(parted, F.col("path").eqNullSafe(F.col("__path")) & (F.col("line") == F.col("__line"))).filter(
+        F.col("lowered").contains(F.col("needle"))
+    )
+    return hits.filter("alone").select("path", "line", "needle").unionByName(seen.select("path", "line", "needle"))
 
 
 def term_scan(
@@ -112,23 +167,42 @@ def term_scan(
     at = hits.select("path", "line").distinct().groupBy("path").agg(
         F.collect_list("line").alias("__at")
     )
-    lines = F.col("__lines")
+    lines, wording = F.col("__lines"), F.col("__wording")
+    # Only an excuse that holds a line break itself is looked for in the joined lines.
+    spanning = {name for name, options in excuses.items() if any("\n" in o for o in options)}
+
+    def says(line: Column) -> Column:
+        """What a line says that matters to its neighbours; no marker spans lines."""
+        return let(
+            F.lower(line),
+            lambda low: F.struct(
+                any_of(low, NEGATIVE_MARKERS, "contains").alias("negative"),
+                F.array(*[any_of(low, options, "contains") for options in excuses.values()]).alias("excused"),
+            ),
+        )
 
     def around(line: Column) -> Column:
         first = F.greatest(line - LINES_BEFORE, F.lit(1))
-        near = F.lower(F.array_join(F.slice(lines, first, line - first + 1 + LINES_AFTER), "\n"))
+        count = line - first + 1 + LINES_AFTER
+
+        def excused(near: Column, number: int, name: str) -> Column:
+            if name in spanning:
+                joined = F.lower(F.array_join(F.slice(lines, first, count), "\n"))
+                return any_of(joined, excuses[name], "contains")
+            return F.exists(near, lambda w: w["excused"][number])
+
         return let(
-            near,
-            lambda n: F.struct(
+            F.slice(wording, first, count),
+            lambda near: F.struct(
                 line.alias("line"),
-                any_of(n, NEGATIVE_MARKERS, "contains").alias("negative"),
+                F.exists(near, lambda w: w["negative"]).alias("negative"),
                 F.filter(
                     F.array(
                         *[
-                            F.when(any_of(n, options, "contains"), F.lit(name))
-                            for name, options in excuses.items()
+                            F.when(excused(near, number, name), F.lit(name))
+                            for number, name in enumerate(excuses)
                         ]
-                    ),
+                    ).cast("array<string>"),
                     lambda name: name.isNotNull(),
                 ).alias("excused"),
                 F.trim(F.get(lines, line - 1)).alias("text"),
@@ -140,8 +214,9 @@ def term_scan(
         .join(at, "path")
         .withColumn("__lines", textrules.lines_of(F.col("__text")))
     )
+    worded = evaluate_once(found_in, ["path", "__at", "__lines"], {"__wording": F.transform(lines, says)})
     near = evaluate_once(
-        found_in,
+        worded,
         ["path"],
         {
             "context_kind": context_kind(F.col("path"), rules or ContextRules()),
