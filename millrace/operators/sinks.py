@@ -69,15 +69,17 @@ def write_artifacts(
     path: str,
     batch: str,
     digits: int = DIGITS,
+    dealt: bool = False,
     **others: DataFrame,
 ) -> None:
     """Filesystem sink: run metadata of every run, texts and elements of successful ones.
 
     ``others`` are further artifact tables, such as record and log lines; ``digits`` sets the
-    buckets of new tables.  Run metadata is
+    buckets of new tables; ``dealt`` says that the results lie as they are written
+    (``store.deal_keyed``).  Run metadata is
     written last, so a content counts as known only when its other rows are there.
     """
-    write_keyed(results, path, "results", batch, digits=digits)
+    write_keyed(results, path, "results", batch, digits=digits, dealt=dealt)
     for table, df in others.items():
         write_keyed(df, path, table, batch, digits=digits)
     write_keyed(run_meta, path, "run_meta", batch, digits=digits)

@@ -26,6 +26,8 @@ from millrace.session import file_system, stored
 DIGITS = 1
 #: Batches of a bucket that are left apart.
 APART = 8
+#: Texts and their elements are written once a batch and are most of what a sink writes.
+CODEC = "zstd"
 _NO_SHA = "bnone"
 
 
@@ -73,22 +75,38 @@ def _only(rows: DataFrame, asked: DataFrame | Sequence[str], sha: str) -> DataFr
     return rows.filter(F.col(sha).isin(*asked))
 
 
+def deal_keyed(df: DataFrame, sha: str = "sha256", digits: int = DIGITS) -> DataFrame:
+    """Rows dealt to tasks as files of buckets are written: rows of a bucket in few tasks."""
+    # A bucket may be written by several tasks; Spark puts small ones together.
+    return df.repartition(F.coalesce(F.substring(F.col(sha), 1, digits + 1), F.lit(_NO_SHA)))
+
+
 def write_keyed(
-    df: DataFrame, path: str, table: str, batch: str, sha: str = "sha256", digits: int = DIGITS
+    df: DataFrame,
+    path: str,
+    table: str,
+    batch: str,
+    sha: str = "sha256",
+    digits: int = DIGITS,
+    dealt: bool = False,
 ) -> None:
     """Write the rows of a batch into their buckets; a batch of the same name is replaced
-    there.  A table keeps the number of digits that it began with."""
+    there.  A table keeps the number of digits that it began with.
+
+    Rows that were ``dealt`` (``deal_keyed``) are not moved again; others said to be so only
+    make more files.
+    """
     root = _root(path, table)
     digits = _digits(_layout(df.sparkSession, root), digits)
-    finer = F.coalesce(F.substring(F.col(sha), 1, digits + 1), F.lit(_NO_SHA))
-    keyed = df.withColumns({"bucket": _bucket(F.col(sha), digits), "batch": F.lit(f"n{batch}")})
+    placed = df if dealt else deal_keyed(df, sha, digits)
+    keyed = placed.withColumns({"bucket": _bucket(F.col(sha), digits), "batch": F.lit(f"n{batch}")})
     (
-        # A bucket may be written by several tasks; Spark puts small ones together.
-        keyed.repartition(finer)
-        .sortWithinPartitions("bucket", "batch", sha)
+        keyed.sortWithinPartitions("bucket", "batch", sha)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
         .option(f"parquet.bloom.filter.enabled#{sha}", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("bucket", "batch")
         .parquet(root)
     )
@@ -180,7 +198,9 @@ def compact_keyed(
         .sortWithinPartitions("bucket", "batch", sha)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
         .option(f"parquet.bloom.filter.enabled#{sha}", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("bucket", "batch")
         .parquet(root)
     )

@@ -118,3 +118,29 @@ def test_a_batch_costs_the_same_after_many(spark, tmp_path, monkeypatch):
     assert max(seen) <= 3 + 8
     texts = read_keyed(spark, str(out), "results").select(F.col("normalized_text")).collect()
     assert sorted(r[0] for r in texts) == sorted(f"text {i}" for i in range(11))
+
+
+def test_small_files_have_small_filters(spark, tmp_path):
+    write_keyed(rows(spark, range(50), "a"), str(tmp_path), "t", "b1")
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    assert files and max(f.stat().st_size for f in files) < 50_000
+
+
+def test_dealt_rows_are_not_moved_again(spark, tmp_path):
+    """Three batches of rows that were dealt once: the rows and the buckets of moved ones."""
+    from millrace.operators.store import deal_keyed
+    from millrace.session import stored
+
+    given = rows(spark, range(300), "a").union(
+        spark.createDataFrame([(None, 1, "none")] * 2, "sha256 string, v int, tag string")
+    )
+    once = stored(deal_keyed(given.repartition(7)), "zstd")
+    for n in range(3):
+        write_keyed(once.filter(F.col("v") >= n), str(tmp_path), "dealt", f"b{n}", dealt=True)
+        write_keyed(given.filter(F.col("v") >= n), str(tmp_path), "moved", f"b{n}")
+    assert folders(tmp_path, "dealt") == folders(tmp_path, "moved")
+    columns = ["sha256", "v", "tag", "batch"]
+    got, want = (
+        sorted(map(str, read_keyed(spark, str(tmp_path), t).select(columns).collect())) for t in ("dealt", "moved")
+    )
+    assert got == want and len(got) >= 300
